@@ -88,13 +88,32 @@ def _reduce(cand: pd.DataFrame, k: int, order: list[str]) -> pd.DataFrame:
     return cand.groupby("__q", sort=False).head(k)
 
 
-def _topk_kernel(bq, vec: str, mode: str, dim: int, k: int, min_score, order: list[str], out_schema: pa.Schema):
+def cosine_scorer(vec: str, mode: str, dim: int):
+    """Scores of one batch against the broadcast queries: ``(rows × queries)`` cosine."""
+
+    def score(rb: pa.RecordBatch, state) -> np.ndarray:
+        _, q, qn = state[:3]
+        m = _matrix(rb.column(vec), mode, dim)
+        cn = np.sqrt(np.einsum("ij,ij->i", m, m))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return (m @ q.T) / (cn[:, None] * qn[None, :])
+
+    return score
+
+
+def topk_kernel(bq, scorer, drop: list[str], k: int, min_score, order: list[str], out_schema: pa.Schema,
+                round_digits: int | None = None, positive_only: bool = False):
+    """``mapInArrow`` body: score each batch with ``scorer(batch, bq.value) -> (rows × queries)``
+    and keep, per query, the candidates that can still be in the global top-k under
+    ``score desc, order asc``. Candidates are re-reduced whenever they pile up and
+    emitted once per task, so a task emits at most ``queries × k`` rows (plus exact ties)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, q, qn = bq.value
+        state = bq.value
+        qids = state[0]
         nq = len(qids)
         if nq == 0:
             return
-        qt = np.ascontiguousarray(q.T)
         limit = max(100_000, 8 * nq * k)
         pending: list[pd.DataFrame] = []
         held = 0
@@ -102,11 +121,12 @@ def _topk_kernel(bq, vec: str, mode: str, dim: int, k: int, min_score, order: li
             b = rb.num_rows
             if b == 0:
                 continue
-            m = _matrix(rb.column(vec), mode, dim)
-            cn = np.sqrt(np.einsum("ij,ij->i", m, m))
-            with np.errstate(divide="ignore", invalid="ignore"):
-                s = (m @ qt) / (cn[:, None] * qn[None, :])
+            s = scorer(rb, state)
+            if round_digits is not None:
+                s = np.round(s, round_digits)
             ok = np.isfinite(s)
+            if positive_only:
+                ok &= s > 0
             if min_score is not None:
                 ok &= s >= min_score
             if b > k:
@@ -116,7 +136,7 @@ def _topk_kernel(bq, vec: str, mode: str, dim: int, k: int, min_score, order: li
             r, qi = np.nonzero(ok)
             if len(r) == 0:
                 continue
-            cand = rb.drop_columns([vec]).take(pa.array(r)).to_pandas()
+            cand = rb.drop_columns(drop).take(pa.array(r)).to_pandas()
             cand["__q"] = qi
             cand["score"] = s[r, qi]
             pending.append(cand)
@@ -134,13 +154,24 @@ def _topk_kernel(bq, vec: str, mode: str, dim: int, k: int, min_score, order: li
     return run
 
 
-def _out_schema(chunks: DataFrame, vec: str) -> T.StructType:
+def out_schema(chunks: DataFrame, drop: list[str]) -> T.StructType:
     fields = [T.StructField("query_id", T.LongType(), True)]
-    fields += [f for f in chunks.schema.fields if f.name != vec]
+    fields += [f for f in chunks.schema.fields if f.name not in drop]
     fields.append(T.StructField("score", T.DoubleType(), True))
     return T.StructType(fields)
 
 
+def query_blocks(queries: DataFrame, query_id: str, row_bytes: int, max_broadcast_bytes: int) -> list[DataFrame]:
+    """Split the query table so each block's broadcast stays under the limit.
+
+    The count is an aggregate (one number to the driver); blocks cover all queries."""
+    n = queries.count()
+    blocks = max(1, math.ceil(n * row_bytes / max_broadcast_bytes))
+    if blocks == 1:
+        return [queries]
+    return [queries.where(F.pmod(F.xxhash64(F.col(query_id)), F.lit(blocks)) == b) for b in range(blocks)]
+
+
 def _infer_dim(queries: DataFrame, vec: str) -> int:
     row = queries.select(F.size(vec).alias("n")).where("n > 0").limit(1).collect()
     if not row:
@@ -161,6 +192,7 @@ def search_candidates(
     min_score: float | None = None,
     order: list[str] | None = None,
     max_broadcast_bytes: int = SearchParams().max_broadcast_bytes,
+    round_digits: int | None = None,
 ) -> DataFrame:
     """Per-task top-k candidates ``(query_id, <chunk columns>, score)``; see ``search_batch``."""
     query_vec = query_vec or vec
@@ -172,15 +204,14 @@ def search_candidates(
     if dim is None:
         dim = _infer_dim(queries, query_vec)
     spark = chunks.sparkSession
-    n = queries.count()
-    blocks = max(1, math.ceil(n * dim * 8 / max_broadcast_bytes))
-    schema = _out_schema(chunks, vec)
+    schema = out_schema(chunks, [vec])
     arrow_schema = to_arrow_schema(schema)
+    scorer = cosine_scorer(vec, mode, dim)
     parts = []
-    for b in range(blocks):
-        qb = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64(F.col(query_id)), F.lit(blocks)) == b)
+    for qb in query_blocks(queries, query_id, dim * 8, max_broadcast_bytes):
         bq = spark.sparkContext.broadcast(_query_matrix(qb, query_id, query_vec, mode, dim))
-        parts.append(chunks.mapInArrow(_topk_kernel(bq, vec, mode, dim, k, min_score, order, arrow_schema), schema))
+        kern = topk_kernel(bq, scorer, [vec], k, min_score, order, arrow_schema, round_digits)
+        parts.append(chunks.mapInArrow(kern, schema))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -206,6 +237,7 @@ def search_batch(
     min_score: float | None = None,
     order: list[str] | None = None,
     max_broadcast_bytes: int = SearchParams().max_broadcast_bytes,
+    round_digits: int | None = None,
 ) -> DataFrame:
     """R2: exact top-k cosine for every row of ``queries`` against every chunk.
 
@@ -217,7 +249,7 @@ def search_batch(
     order = list(order or [])
     cands = search_candidates(
         chunks, queries, k, vec=vec, query_id=query_id, query_vec=query_vec, mode=mode, dim=dim,
-        min_score=min_score, order=order, max_broadcast_bytes=max_broadcast_bytes,
+        min_score=min_score, order=order, max_broadcast_bytes=max_broadcast_bytes, round_digits=round_digits,
     )
     return rank_within_query(cands, k, order)
 

@@ -9,10 +9,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import Window
+
+from ragloom.functions.metadata import (
+    base_metadata,
+    meta_long,
+    meta_string,
+    metadata_from_json,
+    metadata_to_json,
+    overlay_columns,
+)
+from ragloom.functions.text import byte_length
 from ragloom.operators.chunking import chunk_fixed, count_chunks
+from ragloom.operators.context import (
+    dedup_by_chunk,
+    dedup_by_content,
+    pack_flags,
+    rank_hits,
+    score_threshold,
+)
+from ragloom.operators.embedding import hash_terms
+from ragloom.operators.hybrid import bm25_search, history_queries, rrf_fuse
+from ragloom.operators.ivf import ivf_assign, ivf_fit, ivf_search
+from ragloom.operators.messages import build_history, merge_fragments, model_input, render_template, run_tool_calls, search_report
+from ragloom.operators.search import search, search_batch
 from ragloom.params import CONFIGURED_PACK, ChunkParams, SearchParams
-from ragloom.plans.rag import rag_contexts
+from ragloom.plans.rag import contexts_from_hits, rag_contexts, retrieve, with_chunk_buckets, with_query_buckets
 from ragloom.plans.tables import table
+from ragloom.sources.reports import field_limit_violations, import_report, import_totals
 
 CHUNKS = ChunkParams()  # 500 / 50 / 10
 SEARCH = SearchParams()  # k=5, threshold 0.5, 256 hashed buckets
@@ -47,9 +71,287 @@ def q_chunks_per_document(spark, sf_dir):
     return doc_chunks(spark, sf_dir).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_chunks"))
 
 
+def sparse_hits(spark, sf_dir, qs: DataFrame, k: int = SEARCH.k, min_score: float | None = None) -> DataFrame:
+    """Hashed-token cosine top-k of ``qs (query_id, question)`` against T1 chunks."""
+    chunks = with_chunk_buckets(doc_chunks(spark, sf_dir), SEARCH.dim)
+    q = with_query_buckets(qs, SEARCH.dim)
+    return retrieve(q, chunks, SearchParams(k=k, min_score=SEARCH.min_score, dim=SEARCH.dim), min_score=min_score)
+
+
+HIT_COLUMNS = ["query_id", "chunk_id", "doc_id", "chunk_index", "score", "rank"]
+
+
+def q_knn_sparse(spark, sf_dir):
+    """Top-5 chunks per benchmark question (no threshold)."""
+    return sparse_hits(spark, sf_dir, questions(spark, sf_dir)).select(*HIT_COLUMNS)
+
+
+def q_dedup_hits(spark, sf_dir):
+    """F3 + A3 + A4: thresholded hits after both dedup levels."""
+    hits = sparse_hits(spark, sf_dir, questions(spark, sf_dir), min_score=SEARCH.min_score)
+    d = dedup_by_content(dedup_by_chunk(score_threshold(hits, SEARCH.min_score)))
+    return d.select("query_id", "chunk_id", "doc_id", "chunk_index", "score")
+
+
+def q_pack_context(spark, sf_dir):
+    """W1 + W2: ranked hits kept by the 2000-byte / 10-chunk budget (stop at the first overflow)."""
+    hits = sparse_hits(spark, sf_dir, questions(spark, sf_dir), min_score=SEARCH.min_score)
+    ranked = rank_hits(dedup_by_content(dedup_by_chunk(score_threshold(hits, SEARCH.min_score))))
+    flagged = pack_flags(ranked, CONFIGURED_PACK)
+    return flagged.where("in_pack").select("query_id", "chunk_id", "pos", byte_length("content").cast("long").alias("n_bytes"))
+
+
+def q_rag_prompt(spark, sf_dir):
+    """M1: the rendered prompt of every answerable question."""
+    return q_rag_contexts(spark, sf_dir).where("answerable").select("query_id", "prompt")
+
+
+# ----------------------------------------------------------------------------- metadata
+
+
+def q_doc_metadata_json(spark, sf_dir):
+    """P2 + P4: base metadata of each document as sorted-key JSON text."""
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.col("doc_id").cast("string").alias("doc_id"),
+                    metadata_to_json(base_metadata(F.col("doc_id"), F.col("source"), F.col("text"))).alias("metadata_json"))
+
+
+def q_metadata_roundtrip(spark, sf_dir):
+    """P9 -> P5 -> P6/P7 -> P8: chunk metadata written as JSON, read back and overlaid."""
+    ch = doc_chunks(spark, sf_dir, keep=["source", "text"])
+    meta = F.map_concat(base_metadata(F.col("doc_id"), F.col("source"), F.col("text")),
+                        F.create_map(F.lit("chunk_index"), F.col("chunk_index").cast("string")))
+    rows = ch.select("chunk_id", "doc_id", "chunk_index", "source", metadata_to_json(meta).alias("metadata_json"))
+    parsed = rows.select("chunk_id", "doc_id", "chunk_index", "source", metadata_from_json(F.col("metadata_json")).alias("m"))
+    over = parsed.select("chunk_id", overlay_columns(F.col("m"), F.col("doc_id"), F.col("chunk_index"), F.col("source")).alias("m"))
+    return over.select(
+        "chunk_id",
+        meta_string(F.col("m"), "doc_id").alias("doc_id"),
+        meta_long(F.col("m"), "chunk_index").alias("chunk_index"),
+        meta_string(F.col("m"), "source").alias("source"),
+        meta_long(F.col("m"), "original_length").alias("original_length"),
+        F.size(F.col("m")).cast("long").alias("n_keys"),
+    )
+
+
+def q_hash_embed(spark, sf_dir):
+    """Hashed-token counts (256 buckets) of every document."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    return hash_terms(d, ["doc_id"], "text", SEARCH.dim)
+
+
+# ----------------------------------------------------------------------------- dense kNN
+
+DENSE_DIGITS = 9
+
+
+def embeddings(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+
+
+def q_knn_single(spark, sf_dir):
+    """The 10 vectors nearest (cosine) to the mean of all vectors; JVM-only plan."""
+    e = embeddings(spark, sf_dir)
+    mean = (e.select(F.posexplode("embedding").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("a"))
+            .orderBy("i").collect())  # dim values: bounded by the vector width
+    top = search(e, [r["a"] for r in mean], k=10, order=["vec_id"])
+    top = top.withColumn("score", F.round("score", DENSE_DIGITS))
+    w = Window.orderBy(F.col("score").desc(), "vec_id")  # k rows only
+    return top.withColumn("rank", F.row_number().over(w)).select("vec_id", "label", "score", "rank")
+
+
+def _dense_batch(spark, sf_dir, k, min_score=None):
+    e = embeddings(spark, sf_dir)
+    q = e.select(F.col("vec_id").alias("query_id"), "embedding")
+    return search_batch(e, q, k, vec="embedding", mode="dense", min_score=min_score, order=["vec_id"],
+                        round_digits=DENSE_DIGITS).select("query_id", "vec_id", "label", "score", "rank")
+
+
+def q_knn_batch(spark, sf_dir):
+    """R2: every vector's 5 nearest vectors (itself included), exact."""
+    return _dense_batch(spark, sf_dir, 5)
+
+
+def q_knn_threshold(spark, sf_dir):
+    """R2 + F3: up to 10 nearest vectors with cosine >= 0.25."""
+    return _dense_batch(spark, sf_dir, 10, 0.25)
+
+
+IVF_LISTS = 128
+
+
+def q_ivf_assign(spark, sf_dir):
+    """Cosine k-means cell (128 lists) of every vector."""
+    e = embeddings(spark, sf_dir)
+    model = ivf_fit(e, nlist=IVF_LISTS)
+    return ivf_assign(e, model).select("vec_id", "label", "cell")
+
+
+def q_ivf_search(spark, sf_dir):
+    """R7 at nprobe = nlist = 128 (the reference's setting): equals the exact search."""
+    e = embeddings(spark, sf_dir)
+    model = ivf_fit(e, nlist=IVF_LISTS)
+    cells = ivf_assign(e, model)
+    q = e.select(F.col("vec_id").alias("query_id"), "embedding")
+    return ivf_search(cells, q, model, k=5, nprobe=IVF_LISTS, order=["vec_id"], round_digits=DENSE_DIGITS).select(
+        "query_id", "vec_id", "label", "score", "rank")
+
+
+# ----------------------------------------------------------------------------- templates, messages
+
+
+def q_render_translate(spark, sf_dir):
+    """M2 translate: each benchmark text into English."""
+    b = table(spark, sf_dir, "benchmark")
+    return render_template(b, "translate", {"text": F.col("text"), "target_lang": "English"}, keep=["item_id"])
+
+
+def q_render_code(spark, sf_dir):
+    """M2 code: each benchmark text as a Python requirement."""
+    b = table(spark, sf_dir, "benchmark")
+    return render_template(b, "code", {"requirement": F.col("text"), "language": "Python"}, keep=["item_id"])
+
+
+def q_render_summarize(spark, sf_dir):
+    """M2 summarize: each document, in the style named by its language, within 200 characters."""
+    d = table(spark, sf_dir, "documents")
+    return render_template(d, "summarize", {"content": F.col("text"), "style": F.col("lang"), "max_length": "200"},
+                           keep=["doc_id"])
+
+
+def q_conversation_history(spark, sf_dir):
+    """M3: default system message, then every turn in order."""
+    return build_history(table(spark, sf_dir, "conversations")).select("conv_id", "seq", "role", "content")
+
+
+def last_user_questions(conv: DataFrame) -> DataFrame:
+    """The latest user turn of each conversation (an aggregate: one row per conversation)."""
+    return conv.where(F.col("role") == "user").groupBy("conv_id").agg(
+        F.max_by("text", "turn").alias("question")).select(F.col("conv_id").alias("query_id"), "question")
+
+
+def q_model_input(spark, sf_dir):
+    """M4: each conversation's history plus a RAG prompt for its latest user turn
+    (only when that question is answerable: otherwise the model is not called)."""
+    conv = table(spark, sf_dir, "conversations")
+    ctx = rag_contexts(last_user_questions(conv), doc_chunks(spark, sf_dir), SEARCH, CONFIGURED_PACK)
+    prompts = ctx.where("answerable").select(F.col("query_id").alias("conv_id"), F.col("prompt").alias("content"))
+    hist = build_history(conv)
+    return model_input(hist.join(prompts.select("conv_id"), "conv_id", "left_semi"), prompts).select(
+        "conv_id", "seq", "role", "content")
+
+
+def tool_calls_from_conversations(conv: DataFrame) -> DataFrame:
+    """Derived tool calls: every user turn asks ``search_docs`` for its own text."""
+    return conv.where(F.col("role") == "user").select(
+        "conv_id",
+        F.col("turn").cast("int").alias("call_pos"),
+        F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string")).alias("call_id"),
+        F.lit("search_docs").alias("name"),
+        F.to_json(F.struct(F.col("text").alias("query"))).alias("arguments"),
+    )
+
+
+def q_tool_results(spark, sf_dir):
+    """M6 + M7: tool messages for search calls derived from the conversations."""
+    conv = table(spark, sf_dir, "conversations")
+
+    def search_fn(qs, k):
+        return sparse_hits(spark, sf_dir, qs, k=k)
+
+    return run_tool_calls(tool_calls_from_conversations(conv), search_fn, k=5)
+
+
+def q_search_report(spark, sf_dir):
+    """The search tool's report for every benchmark question (top 5, no threshold)."""
+    qs = questions(spark, sf_dir)
+    rep = search_report(sparse_hits(spark, sf_dir, qs, k=5), ["query_id"])
+    return qs.join(rep, "query_id", "left").select("query_id", F.coalesce("report", F.lit("未找到相关文档")).alias("report"))
+
+
+FRAGMENT_CHARS = 16
+
+
+def q_merge_fragments(spark, sf_dir):
+    """Every message cut into 16-character stream fragments, then merged back by seq."""
+    conv = table(spark, sf_dir, "conversations")
+    t = F.coalesce(F.col("text"), F.lit(""))
+    n = F.greatest(F.lit(1), F.ceil(F.length(t) / F.lit(float(FRAGMENT_CHARS)))).cast("int")
+    frags = conv.select("conv_id", "turn", F.posexplode(
+        F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(t, i * FRAGMENT_CHARS + 1, F.lit(FRAGMENT_CHARS)))
+    ).alias("seq", "content"))
+    return merge_fragments(frags, ["conv_id", "turn"])
+
+
+# ----------------------------------------------------------------------------- reports
+
+
+def q_import_report(spark, sf_dir):
+    """Per document import outcome with the fixed-window splitter."""
+    return import_report(table(spark, sf_dir, "documents"), CHUNKS)
+
+
+def q_import_totals(spark, sf_dir):
+    """A1: successes, failures, total chunks."""
+    return import_totals(import_report(table(spark, sf_dir, "documents"), CHUNKS))
+
+
+def q_field_limit_violations(spark, sf_dir):
+    """stored-field byte limits, for documents stored unsplit (one chunk per document)."""
+    return field_limit_violations(table(spark, sf_dir, "documents"))
+
+
+# ----------------------------------------------------------------------------- hybrid
+
+
+def q_bm25_search(spark, sf_dir):
+    """BM25 top-5 chunks per benchmark question."""
+    return bm25_search(doc_chunks(spark, sf_dir), questions(spark, sf_dir), 5).select(*HIT_COLUMNS)
+
+
+def q_rrf_fuse(spark, sf_dir):
+    """Reciprocal-rank fusion of the hashed-cosine and BM25 top-5 lists."""
+    qs = questions(spark, sf_dir)
+    a = sparse_hits(spark, sf_dir, qs, k=5)
+    b = bm25_search(doc_chunks(spark, sf_dir), qs, 5)
+    return rrf_fuse(a, b, k=5).select(*HIT_COLUMNS)
+
+
+def q_retrieve_with_history(spark, sf_dir):
+    """Per conversation, top-5 chunks for the text of its last three turns."""
+    conv = table(spark, sf_dir, "conversations")
+    return sparse_hits(spark, sf_dir, history_queries(conv, 3), k=5).select(*HIT_COLUMNS)
+
+
 QUERIES = {
     "rag_contexts": q_rag_contexts,
     "chunk_fixed": q_chunk_fixed,
     "count_chunks": q_count_chunks,
     "chunks_per_document": q_chunks_per_document,
+    "knn_sparse": q_knn_sparse,
+    "dedup_hits": q_dedup_hits,
+    "pack_context": q_pack_context,
+    "rag_prompt": q_rag_prompt,
+    "doc_metadata_json": q_doc_metadata_json,
+    "metadata_roundtrip": q_metadata_roundtrip,
+    "hash_embed": q_hash_embed,
+    "knn_single": q_knn_single,
+    "knn_batch": q_knn_batch,
+    "knn_threshold": q_knn_threshold,
+    "ivf_assign": q_ivf_assign,
+    "ivf_search": q_ivf_search,
+    "render_translate": q_render_translate,
+    "render_code": q_render_code,
+    "render_summarize": q_render_summarize,
+    "conversation_history": q_conversation_history,
+    "model_input": q_model_input,
+    "tool_results": q_tool_results,
+    "search_report": q_search_report,
+    "merge_fragments": q_merge_fragments,
+    "import_report": q_import_report,
+    "import_totals": q_import_totals,
+    "field_limit_violations": q_field_limit_violations,
+    "bm25_search": q_bm25_search,
+    "rrf_fuse": q_rrf_fuse,
+    "retrieve_with_history": q_retrieve_with_history,
 }

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from ragloom.functions.prompts import NO_ANSWER, RAG_PROMPT_HEAD, RAG_PROMPT_MID, RAG_PROMPT_TAIL
+from ragloom.functions.prompts import NO_ANSWER, RAG_PROMPT_HEAD, RAG_PROMPT_MID, RAG_PROMPT_TAIL, SYSTEM_MESSAGE
+from ragloom.operators.embedding import TOKEN_SPLIT
 from ragloom.plans.sqlfrag import chunks_sql, lit, terms_sql
+from ragloom.sources.reports import NO_CHUNKS_FIXED
 
 K, MIN_SCORE, DIM, MAX_BYTES, MAX_CHUNKS = 5, 0.5, 256, 2000, 10
 
 
-def _sparse_hits_sql(k: int = K, min_score: float | None = MIN_SCORE, dim: int = DIM) -> str:
-    """R8 in SQL: hashed-token cosine of benchmark questions against T1 chunks, top-k."""
+QUESTIONS = "SELECT item_id AS query_id, text AS question FROM benchmark"
+
+
+def _sparse_hits_sql(k: int = K, min_score: float | None = MIN_SCORE, dim: int = DIM, questions: str = QUESTIONS) -> str:
+    """R8 in SQL: hashed-token cosine of the questions against T1 chunks, top-k (CTEs ch, q, hits)."""
     thr = f"WHERE score >= {min_score}" if min_score is not None else ""
     return f"""
     ch AS {chunks_sql()},
     ct AS {terms_sql('ch', 'chunk_id', 'content', dim)},
     cn AS (SELECT chunk_id, sum(n * n) AS n2 FROM ct GROUP BY chunk_id),
-    q AS (SELECT item_id AS query_id, text AS question FROM benchmark),
+    q AS ({questions}),
     qt AS {terms_sql('q', 'query_id', 'question', dim)},
     qn AS (SELECT query_id, sum(n * n) AS n2 FROM qt GROUP BY query_id),
     dots AS (SELECT qt.query_id, ct.chunk_id, sum(ct.n * qt.n) AS dot
@@ -68,9 +73,256 @@ FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM {chunks_sql()} GRO
 
 CHUNKS_PER_DOCUMENT = f"SELECT doc_id, count(*) AS n_chunks FROM {chunks_sql()} GROUP BY doc_id"
 
+
+def _hits_only(min_score=None, k=K, questions=QUESTIONS, cols="query_id, chunk_id, doc_id, chunk_index, score, rank"):
+    return f"WITH {_sparse_hits_sql(k=k, min_score=min_score, questions=questions)}\nSELECT {cols} FROM hits"
+
+
+KNN_SPARSE = _hits_only()
+
+DEDUP_HITS = f"""
+WITH {_sparse_hits_sql()},
+{_contexts_sql()}
+SELECT query_id, chunk_id, doc_id, chunk_index, score FROM d2
+"""
+
+PACK_CONTEXT = f"""
+WITH {_sparse_hits_sql()},
+{_contexts_sql()}
+SELECT query_id, chunk_id, pos, CAST(strlen(content) AS BIGINT) AS n_bytes FROM flagged WHERE in_pack
+"""
+
+RAG_PROMPT = f"SELECT query_id, prompt FROM ({RAG_CONTEXTS}) WHERE answerable"
+
+DOC_METADATA_JSON = """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id,
+       '{"doc_id":' || to_json(CAST(doc_id AS VARCHAR)) || ',"original_length":' || to_json(CAST(strlen(text) AS VARCHAR))
+       || ',"source":' || to_json(coalesce(source, '')) || '}' AS metadata_json
+FROM documents
+"""
+
+METADATA_ROUNDTRIP = f"""
+SELECT chunk_id, doc_id, chunk_index, coalesce(source, '') AS source, CAST(strlen(text) AS BIGINT) AS original_length,
+       CAST(4 AS BIGINT) AS n_keys
+FROM {chunks_sql(extra="source, text")}
+"""
+
+HASH_EMBED = f"""
+SELECT doc_id, CAST(bucket AS INTEGER) AS bucket, n
+FROM {terms_sql("(SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents)", "doc_id", "text", DIM)}
+"""
+
+_E = "e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+_COS = "round(list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * sqrt(list_dot_product({b}, {b}))), 9)"
+
+KNN_SINGLE = f"""
+WITH {_E},
+ex AS (SELECT unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e),
+m AS (SELECT list(a ORDER BY i) AS mv FROM (SELECT i, avg(x) AS a FROM ex GROUP BY i)),
+s AS (SELECT vec_id, label, {_COS.format(a="v", b="mv")} AS score FROM e, m)
+SELECT vec_id, label, score, CAST(row_number() OVER (ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM s WHERE score IS NOT NULL QUALIFY rank <= 10
+"""
+
+
+def _knn_batch_sql(k, min_score=None):
+    thr = f"AND score >= {min_score}" if min_score is not None else ""
+    return f"""
+WITH {_E},
+s AS (SELECT q.vec_id AS query_id, c.vec_id, c.label, {_COS.format(a="q.v", b="c.v")} AS score FROM e q, e c)
+SELECT query_id, vec_id, label, score,
+       CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM s WHERE score IS NOT NULL {thr} QUALIFY rank <= {k}
+"""
+
+
+KNN_BATCH = _knn_batch_sql(5)
+KNN_THRESHOLD = _knn_batch_sql(10, 0.25)
+
+
+def _render(system_parts, user_parts, key, rel):
+    return f"SELECT {key}, {' || '.join(system_parts)} AS system, {' || '.join(user_parts)} AS user FROM {rel}"
+
+
+def _tmpl(template: str, slots: dict[str, str]) -> list[str]:
+    import re as _re
+
+    out, pos = [], 0
+    for m in _re.finditer(r"\{(\w+)\}", template):
+        if m.start() > pos:
+            out.append(lit(template[pos:m.start()]))
+        out.append(slots[m.group(1)])
+        pos = m.end()
+    if pos < len(template):
+        out.append(lit(template[pos:]))
+    return out
+
+
+def _render_sql(name, slots, key, rel):
+    from ragloom.functions.prompts import TEMPLATES
+
+    system, user = TEMPLATES[name]
+    return _render(_tmpl(system, slots), _tmpl(user, slots), key, rel)
+
+
+RENDER_TRANSLATE = _render_sql("translate", {"text": "text", "target_lang": "'English'"}, "item_id", "benchmark")
+RENDER_CODE = _render_sql("code", {"requirement": "text", "language": "'Python'"}, "item_id", "benchmark")
+RENDER_SUMMARIZE = _render_sql("summarize", {"content": "text", "style": "lang", "max_length": "'200'"}, "doc_id", "documents")
+
+_HISTORY = f"""
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS seq, 'system' AS role, {lit(SYSTEM_MESSAGE)} AS content FROM conversations
+    UNION ALL
+    SELECT conv_id, CAST(turn + 1 AS BIGINT) AS seq, role, text AS content FROM conversations"""
+
+CONVERSATION_HISTORY = _HISTORY
+
+_LAST_USER = "SELECT conv_id AS query_id, arg_max(text, turn) AS question FROM conversations WHERE role = 'user' GROUP BY conv_id"
+
+MODEL_INPUT = f"""
+WITH {_sparse_hits_sql(questions=_LAST_USER)},
+{_contexts_sql()},
+hist AS ({_HISTORY}),
+p AS (SELECT q.query_id AS conv_id,
+             {lit(RAG_PROMPT_HEAD)} || coalesce(ctx.context, '') || {lit(RAG_PROMPT_MID)} || q.question || {lit(RAG_PROMPT_TAIL)} AS content
+      FROM q JOIN ctx ON q.query_id = ctx.query_id WHERE ctx.n_hits > 0),
+last AS (SELECT conv_id, max(seq) AS m FROM hist GROUP BY conv_id)
+SELECT h.conv_id, h.seq, h.role, h.content FROM hist h WHERE h.conv_id IN (SELECT conv_id FROM p)
+UNION ALL
+SELECT p.conv_id, CAST(last.m + 1 AS BIGINT) AS seq, 'user' AS role, p.content FROM p JOIN last ON p.conv_id = last.conv_id
+"""
+
+
+def _report_sql(hits_cte: str, questions: str, key_select: str) -> str:
+    entry = ("chr(10) || '[文档' || CAST(rank AS VARCHAR) || ']' || chr(10) || '内容: ' || content || chr(10) "
+             "|| CASE WHEN doc_id IS NOT NULL THEN '文档ID: ' || doc_id || chr(10) ELSE '' END")
+    return f"""
+WITH {hits_cte},
+rep AS (SELECT query_id, '找到 ' || CAST(count(*) AS VARCHAR) || ' 个相关文档：' || chr(10)
+               || string_agg({entry}, '' ORDER BY rank) AS report
+        FROM hits GROUP BY query_id)
+SELECT {key_select}, coalesce(rep.report, '未找到相关文档') AS report
+FROM q LEFT JOIN rep ON q.query_id = rep.query_id
+"""
+
+
+SEARCH_REPORT = _report_sql(_sparse_hits_sql(min_score=None), QUESTIONS, "q.query_id")
+
+_USER_CALLS = "SELECT conv_id * 1000000 + turn AS query_id, text AS question FROM conversations WHERE role = 'user'"
+
+TOOL_RESULTS = f"""
+WITH r AS ({_report_sql(_sparse_hits_sql(min_score=None, questions=_USER_CALLS), _USER_CALLS, "q.query_id AS query_id")})
+SELECT c.conv_id, CAST(c.turn AS INTEGER) AS call_pos, 'call_' || CAST(c.conv_id AS VARCHAR) || '_' || CAST(c.turn AS VARCHAR) AS call_id,
+       'tool' AS role, r.report AS content
+FROM conversations c JOIN r ON r.query_id = c.conv_id * 1000000 + c.turn
+WHERE c.role = 'user'
+"""
+
+MERGE_FRAGMENTS = "SELECT conv_id, turn, coalesce(text, '') AS content FROM conversations"
+
+IMPORT_REPORT = f"""
+SELECT CAST(d.doc_id AS VARCHAR) AS doc_id, CAST(coalesce(c.n, 0) AS BIGINT) AS chunk_count,
+       coalesce(c.n, 0) > 0 AS success,
+       CASE WHEN coalesce(c.n, 0) = 0 THEN {lit(NO_CHUNKS_FIXED)} END AS error
+FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM {chunks_sql()} GROUP BY doc_id) c
+  ON CAST(d.doc_id AS VARCHAR) = c.doc_id
+"""
+
+IMPORT_TOTALS = f"""
+SELECT CAST(count(*) FILTER (WHERE success) AS BIGINT) AS n_success,
+       CAST(count(*) FILTER (WHERE NOT success) AS BIGINT) AS n_failed,
+       CAST(coalesce(sum(chunk_count), 0) AS BIGINT) AS total_chunks
+FROM ({IMPORT_REPORT})
+"""
+
+FIELD_LIMIT_VIOLATIONS = f"""
+WITH r AS (
+  SELECT CAST(doc_id AS VARCHAR) || ':0' AS chunk_id, text AS content, CAST(doc_id AS VARCHAR) AS doc_id,
+         coalesce(source, '') AS source,
+         '{{"doc_id":' || to_json(CAST(doc_id AS VARCHAR)) || ',"original_length":' || to_json(CAST(strlen(text) AS VARCHAR))
+         || ',"source":' || to_json(coalesce(source, '')) || '}}' AS metadata_json
+  FROM documents),
+c AS (
+  SELECT doc_id, 'chunk_id' AS field, CAST(strlen(chunk_id) AS BIGINT) AS n_bytes, CAST(64 AS BIGINT) AS max_bytes FROM r
+  UNION ALL SELECT doc_id, 'content', strlen(content), 16384 FROM r
+  UNION ALL SELECT doc_id, 'doc_id', strlen(doc_id), 64 FROM r
+  UNION ALL SELECT doc_id, 'source', strlen(source), 256 FROM r
+  UNION ALL SELECT doc_id, 'metadata_json', strlen(metadata_json), 4096 FROM r)
+SELECT doc_id, field, n_bytes, max_bytes FROM c WHERE n_bytes > max_bytes
+"""
+
+_BM25_BASE = f"""
+    ch AS {chunks_sql()},
+    q AS ({QUESTIONS}),"""
+
+_BM25 = f"""
+    ctok AS (SELECT chunk_id, tok FROM (SELECT chunk_id, unnest(regexp_split_to_array(lower(content), '{TOKEN_SPLIT}')) AS tok FROM ch)
+             WHERE tok <> ''),
+    dl AS (SELECT ch.chunk_id, CAST(count(ctok.tok) AS DOUBLE) AS dl FROM ch LEFT JOIN ctok ON ch.chunk_id = ctok.chunk_id
+           GROUP BY ch.chunk_id),
+    stats AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),
+    tf AS (SELECT chunk_id, tok, CAST(count(*) AS DOUBLE) AS tf FROM ctok GROUP BY chunk_id, tok),
+    bqt AS (SELECT DISTINCT query_id, tok FROM (SELECT query_id, unnest(regexp_split_to_array(lower(question), '{TOKEN_SPLIT}')) AS tok FROM q)
+           WHERE tok <> ''),
+    dfq AS (SELECT tok, CAST(count(*) AS DOUBLE) AS df FROM tf WHERE tok IN (SELECT tok FROM bqt) GROUP BY tok),
+    bm AS (SELECT bqt.query_id, tf.chunk_id,
+                  round(sum(ln((stats.n - dfq.df + 0.5) / (dfq.df + 0.5) + 1.0) * (tf.tf * 2.2)
+                            / (tf.tf + 1.2 * (1 - 0.75 + 0.75 * dl.dl / stats.avgdl))), 9) AS score
+           FROM bqt JOIN tf ON bqt.tok = tf.tok JOIN dfq ON dfq.tok = bqt.tok JOIN dl ON dl.chunk_id = tf.chunk_id, stats
+           GROUP BY bqt.query_id, tf.chunk_id),
+    bmhits AS (SELECT bm.query_id, ch.chunk_id, ch.doc_id, ch.chunk_index, bm.score,
+                      CAST(row_number() OVER (PARTITION BY bm.query_id ORDER BY bm.score DESC, ch.doc_id, ch.chunk_index) AS INTEGER) AS rank
+               FROM bm JOIN ch ON bm.chunk_id = ch.chunk_id WHERE bm.score > 0 QUALIFY rank <= 5)"""
+
+BM25_SEARCH = f"WITH {_BM25_BASE}{_BM25}\nSELECT query_id, chunk_id, doc_id, chunk_index, score, rank FROM bmhits"
+
+RRF_FUSE = f"""
+WITH {_sparse_hits_sql(min_score=None)},
+{_BM25},
+u AS (SELECT query_id, chunk_id, doc_id, chunk_index, rank FROM hits
+      UNION ALL SELECT query_id, chunk_id, doc_id, chunk_index, rank FROM bmhits),
+f AS (SELECT query_id, chunk_id, doc_id, chunk_index, sum(1.0 / (60 + rank)) AS score FROM u
+      GROUP BY query_id, chunk_id, doc_id, chunk_index)
+SELECT query_id, chunk_id, doc_id, chunk_index, score,
+       CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, chunk_index) AS INTEGER) AS rank
+FROM f QUALIFY rank <= 5
+"""
+
+_HISTORY_Q = """
+SELECT c.conv_id AS query_id, string_agg(coalesce(c.text, ''), chr(10) ORDER BY c.turn) AS question
+FROM conversations c JOIN (SELECT conv_id, max(turn) AS m FROM conversations GROUP BY conv_id) l ON c.conv_id = l.conv_id
+WHERE c.turn > l.m - 3
+GROUP BY c.conv_id"""
+
+RETRIEVE_WITH_HISTORY = _hits_only(questions=_HISTORY_Q)
+
 ORACLE = {
     "rag_contexts": RAG_CONTEXTS,
     "chunk_fixed": CHUNK_FIXED,
     "count_chunks": COUNT_CHUNKS,
     "chunks_per_document": CHUNKS_PER_DOCUMENT,
+    "knn_sparse": KNN_SPARSE,
+    "dedup_hits": DEDUP_HITS,
+    "pack_context": PACK_CONTEXT,
+    "rag_prompt": RAG_PROMPT,
+    "doc_metadata_json": DOC_METADATA_JSON,
+    "metadata_roundtrip": METADATA_ROUNDTRIP,
+    "hash_embed": HASH_EMBED,
+    "knn_single": KNN_SINGLE,
+    "knn_batch": KNN_BATCH,
+    "knn_threshold": KNN_THRESHOLD,
+    "ivf_search": KNN_BATCH,
+    "render_translate": RENDER_TRANSLATE,
+    "render_code": RENDER_CODE,
+    "render_summarize": RENDER_SUMMARIZE,
+    "conversation_history": CONVERSATION_HISTORY,
+    "model_input": MODEL_INPUT,
+    "tool_results": TOOL_RESULTS,
+    "search_report": SEARCH_REPORT,
+    "merge_fragments": MERGE_FRAGMENTS,
+    "import_report": IMPORT_REPORT,
+    "import_totals": IMPORT_TOTALS,
+    "field_limit_violations": FIELD_LIMIT_VIOLATIONS,
+    "bm25_search": BM25_SEARCH,
+    "rrf_fuse": RRF_FUSE,
+    "retrieve_with_history": RETRIEVE_WITH_HISTORY,
 }
