@@ -21,9 +21,11 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def chunk_fixed_array(text, params: ChunkParams = ChunkParams()) -> Column:
-    """T1 as a column: ``array<string>`` of the kept windows, in text order."""
-    t = trim_unicode(text)
+def fixed_windows(t: Column, params: ChunkParams = ChunkParams()) -> Column:
+    """T1 on an already-trimmed text: ``array<string>`` of the kept windows, in text order.
+
+    ``t`` must be a column reference, not an expression: it is read inside the window
+    lambda, and an expression there would be evaluated again for every window."""
     step = params.step
     last = F.greatest(F.lit(0), F.ceil((char_length(t) - F.lit(params.size)) / F.lit(float(step)))).cast("int")
     windows = F.transform(
@@ -33,19 +35,28 @@ def chunk_fixed_array(text, params: ChunkParams = ChunkParams()) -> Column:
     return F.filter(windows, lambda c: char_length(c) >= params.min_chars)
 
 
-def count_chunks(text, params: ChunkParams = ChunkParams()) -> Column:
-    """Number of chunks T1 gives."""
-    return F.size(chunk_fixed_array(text, params))
+def with_fixed_chunks(df: DataFrame, params: ChunkParams = ChunkParams(), text: str = "text", out: str = "chunks") -> DataFrame:
+    """Adds ``out``: T1 chunks of ``text`` (the trimmed text is projected first, once)."""
+    staged = df.withColumn("_t", trim_unicode(_c(text)))
+    return staged.withColumn(out, fixed_windows(F.col("_t"), params)).drop("_t")
+
+
+def count_chunks(df: DataFrame, params: ChunkParams = ChunkParams(), text: str = "text", out: str = "n_chunks") -> DataFrame:
+    """Adds ``out``, the number of chunks T1 gives (no explode)."""
+    return with_fixed_chunks(df, params, text, "_chunks").withColumn(out, F.size("_chunks").cast("long")).drop("_chunks")
 
 
 def explode_chunks(df: DataFrame, chunks_col: Column, doc_id: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
     """One row per chunk with a dense 0-based ``chunk_index`` and a deterministic ``chunk_id``."""
     keep = list(keep or [])
+    # posexplode_outer + a filter on its output, not posexplode: for an inner explode the
+    # optimizer infers ``size(array) > 0`` and pushes it below the projections that
+    # stage the text, inlining every staged array into that filter.
     out = df.select(
         _c(doc_id).cast("string").alias("doc_id"),
         *[_c(k) for k in keep],
-        F.posexplode(chunks_col).alias("chunk_index", "content"),
-    )
+        F.posexplode_outer(chunks_col).alias("chunk_index", "content"),
+    ).where(F.col("content").isNotNull())
     return out.select(
         chunk_id_expr("doc_id", "chunk_index").alias("chunk_id"),
         "doc_id",
@@ -67,7 +78,10 @@ def chunk_fixed(
     Narrow transformation only: partitions of the document scan become partitions of
     chunks, nothing is shuffled, and the scan reads just ``doc_id``, ``text`` and ``keep``.
     """
-    return explode_chunks(df, chunk_fixed_array(_c(text), params), doc_id=doc_id, keep=keep)
+    keep = list(keep or [])
+    staged = df.select(_c(doc_id).alias(doc_id), *[_c(k) for k in keep if k != doc_id],
+                       trim_unicode(_c(text)).alias("_t"))
+    return explode_chunks(staged, fixed_windows(F.col("_t"), params), doc_id=doc_id, keep=keep)
 
 
 def is_markdown_source(source) -> Column:
@@ -80,3 +94,47 @@ def is_markdown_type(file_type) -> Column:
     """T6 routing test on an explicit type; the dot is optional."""
     t = F.lower(F.coalesce(_c(file_type), F.lit("")))
     return t.isin(".md", ".markdown", "md", "markdown")
+
+
+def chunk_routed(
+    df: DataFrame,
+    params: ChunkParams = ChunkParams(),
+    text: str = "text",
+    doc_id: str = "doc_id",
+    source: str = "source",
+    keep: list[str] | None = None,
+    file_type: str | None = None,
+) -> DataFrame:
+    """Markdown rows (``.md``/``.markdown`` source, any case; or an explicit
+    ``file_type``) go through the header splitter, all others through the recursive
+    splitter. The choice is made per row (the reference routes a whole batch by its first
+    document); the two branches are one ``when`` expression, so there is no union and no
+    shuffle, and only the recursive branch reaches Python."""
+    from ragloom.operators.markdown import with_markdown_sections
+    from ragloom.operators.recursive import chunk_recursive_array
+
+    md = is_markdown_type(F.col(file_type)) if file_type else is_markdown_source(F.col(source))
+    keep = list(keep or [])
+    if source not in keep and source in df.columns:
+        keep.append(source)
+    staged = with_markdown_sections(df.withColumn("_md", md).withColumn("_mdtext", F.when(F.col("_md"), F.col(text))),
+                                    "_mdtext", "_sections")
+    arr = F.when(F.col("_md"), F.col("_sections")).otherwise(
+        chunk_recursive_array(F.when(~F.col("_md"), F.col(text)), params.size, params.overlap))
+    return explode_chunks(staged, arr, doc_id=doc_id, keep=keep)
+
+
+def chunk_markdown(df: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
+    """T4 + T7 on a documents table."""
+    from ragloom.operators.markdown import with_markdown_sections
+
+    staged = with_markdown_sections(df, text, "_sections")
+    return explode_chunks(staged, F.col("_sections"), doc_id=doc_id, keep=keep)
+
+
+def chunk_recursive(df: DataFrame, params: ChunkParams = ChunkParams(), text: str = "text", doc_id: str = "doc_id",
+                    keep: list[str] | None = None) -> DataFrame:
+    """T3 + T7 on a documents table."""
+    from ragloom.operators.recursive import chunk_recursive_array
+
+    return explode_chunks(df, chunk_recursive_array(F.col(text), params.size, params.overlap), doc_id=doc_id, keep=keep)

@@ -11,8 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import hashlib
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,30 +44,86 @@ def token_buckets(text, dim: int) -> Column:
     return F.transform(tokens(text), lambda t: token_bucket(t, dim))
 
 
-def _dense_from_buckets(dim: int):
+def arrow_tokens(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Vectorised tokeniser for Arrow batches (same tokens as ``tokens``): returns the row
+    of every token and the tokens themselves."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    parts = pc.split_pattern_regex(pc.utf8_lower(texts), TOKEN_SPLIT)
+    parent = pc.list_parent_indices(parts).to_numpy(zero_copy_only=False)
+    flat = pc.list_flatten(parts)
+    keep = pc.not_equal(flat, "")
+    return parent[keep.to_numpy(zero_copy_only=False)].astype(np.int64), flat.filter(keep)
+
+
+def md5_bucket(tok: str, dim: int) -> int:
+    """Bucket of one token: first 32 bits of md5 (big-endian) modulo ``dim``."""
+    return int.from_bytes(hashlib.md5(tok.encode("utf-8")).digest()[:4], "big") % dim
+
+
+def arrow_buckets(texts: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, bucket) of every token of an Arrow string array; each distinct token of the
+    batch is hashed once."""
+    parent, toks = arrow_tokens(texts)
+    if len(toks) == 0:
+        return parent, np.zeros(0, dtype=np.int64)
+    enc = pc.dictionary_encode(toks)
+    uniq = enc.dictionary.to_pylist()
+    table = np.fromiter((md5_bucket(t, dim) for t in uniq), dtype=np.int64, count=len(uniq))
+    return parent, table[enc.indices.to_numpy(zero_copy_only=False)]
+
+
+def bucket_counts(texts: pa.Array, dim: int) -> np.ndarray:
+    """(rows × dim) float64 matrix of hashed-token counts (E4 before normalisation)."""
+    n = len(texts)
+    parent, b = arrow_buckets(texts, dim)
+    return np.bincount(parent * dim + b, minlength=n * dim).astype(np.float64).reshape(n, dim)
+
+
+def _dense_embed_udf(dim: int):
     @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def dense(buckets: pd.Series) -> pd.Series:
-        out = []
-        for b in buckets:
-            if b is None:
-                out.append(None)
-                continue
-            v = np.bincount(np.asarray(b, dtype=np.int64), minlength=dim).astype(np.float64)
-            n = np.sqrt(v @ v)
-            out.append((v / n).astype(np.float32) if n > 0 else v.astype(np.float32))
-        return pd.Series(out)
+    def dense(texts: pd.Series) -> pd.Series:
+        m = bucket_counts(pa.array(texts, type=pa.string()), dim)
+        n = np.sqrt(np.einsum("ij,ij->i", m, m))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            v = np.where(n[:, None] > 0, m / n[:, None], 0.0).astype(np.float32)
+        return pd.Series(list(v))
 
     return dense
 
 
 def hash_embed(df: DataFrame, text: str = "content", dim: int = 256, out: str = "embedding") -> DataFrame:
-    """E4 dense form: unit-length ``array<float>`` of width ``dim`` (all-zero for a text with no token)."""
-    return df.withColumn(out, _dense_from_buckets(dim)(token_buckets(_c(text), dim)))
+    """E4 dense form: unit-length ``array<float>`` of width ``dim`` (all-zero for a text
+    with no token), computed per Arrow batch."""
+    return df.withColumn(out, _dense_embed_udf(dim)(_c(text)))
 
 
 def hash_terms(df: DataFrame, key: list[str], text: str, dim: int = 256) -> DataFrame:
-    """E4 as rows: ``(*key, bucket, n)``; the partial aggregate runs before the shuffle,
-    so at most ``dim`` rows per key cross the network."""
+    """E4 as rows ``(*key, bucket, n)`` for rows whose ``key`` is unique: each row's
+    counts are complete inside its task, so nothing is shuffled (``mapInArrow``)."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    fields = [f for f in df.select(*key).schema.fields]
+    schema = T.StructType(fields + [T.StructField("bucket", T.IntegerType()), T.StructField("n", T.LongType())])
+    arrow_schema = to_arrow_schema(schema)
+
+    def run(batches):
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            parent, b = arrow_buckets(rb.column(text), dim)
+            codes, n = np.unique(parent * dim + b, return_counts=True)
+            rows = codes // dim
+            cols = [rb.column(k).take(pa.array(rows)) for k in key]
+            yield pa.RecordBatch.from_arrays(
+                cols + [pa.array((codes % dim).astype(np.int32)), pa.array(n.astype(np.int64))], schema=arrow_schema)
+
+    return df.select(*key, text).mapInArrow(run, schema)
+
+
+def hash_terms_grouped(df: DataFrame, key: list[str], text: str, dim: int = 256) -> DataFrame:
+    """E4 as rows when ``key`` repeats across rows: JVM tokens, then a grouped count with a
+    partial aggregate before the shuffle (at most ``dim`` rows per key per task)."""
     return (
         df.select(*key, F.explode(token_buckets(_c(text), dim)).alias("bucket"))
         .groupBy(*key, "bucket")

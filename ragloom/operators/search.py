@@ -15,9 +15,11 @@ Physical plan of ``search_batch`` (R2/R8)::
 * The threshold (F3) is applied before the local top-k: for a single descending order,
   "threshold then top-k" equals "top-k then threshold", and far fewer rows leave the task.
 
-Two vector forms are accepted: ``dense`` (``array<float>``, fixed width ``dim``) and
-``sparse`` (``array<int>`` of hashed-token buckets, see ``embedding.token_buckets``), whose
-counts are exact integers so the scores equal a SQL evaluation bit for bit.
+Three vector forms are accepted: ``dense`` (``array<float>``, fixed width ``dim``),
+``sparse`` (``array<int>`` of hashed-token buckets, see ``embedding.token_buckets``) and
+``text`` (a string column hashed into bucket counts inside the task, the same vectors as
+``sparse`` without materialising them). Hashed counts are exact integers, so those scores
+equal a SQL evaluation bit for bit.
 """
 
 from __future__ import annotations
@@ -55,6 +57,10 @@ def _matrix(col: pa.Array, mode: str, dim: int) -> np.ndarray:
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     n = len(col)
+    if mode == "text":
+        from ragloom.operators.embedding import bucket_counts
+
+        return bucket_counts(col, dim)
     if mode == "sparse":
         parent = pc.list_parent_indices(col).to_numpy(zero_copy_only=False).astype(np.int64)
         vals = pc.list_flatten(col).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -197,10 +203,10 @@ def search_candidates(
     """Per-task top-k candidates ``(query_id, <chunk columns>, score)``; see ``search_batch``."""
     query_vec = query_vec or vec
     order = list(order or [])
-    if mode not in ("dense", "sparse"):
-        raise ValueError(f"mode must be 'dense' or 'sparse', got {mode!r}")
-    if mode == "sparse" and dim is None:
-        raise ValueError("sparse search needs dim")
+    if mode not in ("dense", "sparse", "text"):
+        raise ValueError(f"mode must be 'dense', 'sparse' or 'text', got {mode!r}")
+    if mode in ("sparse", "text") and dim is None:
+        raise ValueError(f"{mode} search needs dim")
     if dim is None:
         dim = _infer_dim(queries, query_vec)
     spark = chunks.sparkSession

@@ -20,7 +20,8 @@ from ragloom.functions.metadata import (
     overlay_columns,
 )
 from ragloom.functions.text import byte_length
-from ragloom.operators.chunking import chunk_fixed, count_chunks
+from ragloom.operators.chunking import chunk_fixed, chunk_markdown, chunk_recursive, chunk_routed, count_chunks
+from ragloom.operators.markdown import derived_markdown
 from ragloom.operators.context import (
     dedup_by_chunk,
     dedup_by_content,
@@ -34,16 +35,24 @@ from ragloom.operators.ivf import ivf_assign, ivf_fit, ivf_search
 from ragloom.operators.messages import build_history, merge_fragments, model_input, render_template, run_tool_calls, search_report
 from ragloom.operators.search import search, search_batch
 from ragloom.params import CONFIGURED_PACK, ChunkParams, SearchParams
-from ragloom.plans.rag import contexts_from_hits, rag_contexts, retrieve, with_chunk_buckets, with_query_buckets
+from ragloom.plans.rag import rag_contexts, retrieve
 from ragloom.plans.tables import table
+from ragloom.session import spread
 from ragloom.sources.reports import field_limit_violations, import_report, import_totals
 
 CHUNKS = ChunkParams()  # 500 / 50 / 10
 SEARCH = SearchParams()  # k=5, threshold 0.5, 256 hashed buckets
 
 
+def documents(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
+    """The documents table, projected first, then spread over all cores when the file
+    gives fewer splits than cores (chunking and hashing are CPU-bound)."""
+    d = table(spark, sf_dir, "documents")
+    return spread(d.select(*cols) if cols else d)
+
+
 def doc_chunks(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
-    return chunk_fixed(table(spark, sf_dir, "documents"), CHUNKS, keep=keep)
+    return chunk_fixed(documents(spark, sf_dir, ["doc_id", "text", *(k for k in (keep or []) if k != "text")]), CHUNKS, keep=keep)
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,8 +71,8 @@ def q_chunk_fixed(spark, sf_dir):
 
 def q_count_chunks(spark, sf_dir):
     """Chunk count of each document (0 for blank text)."""
-    d = table(spark, sf_dir, "documents")
-    return d.select(F.col("doc_id").cast("string").alias("doc_id"), count_chunks(F.col("text"), CHUNKS).cast("long").alias("n_chunks"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_chunks(d, CHUNKS).select(F.col("doc_id").cast("string").alias("doc_id"), "n_chunks")
 
 
 def q_chunks_per_document(spark, sf_dir):
@@ -73,9 +82,8 @@ def q_chunks_per_document(spark, sf_dir):
 
 def sparse_hits(spark, sf_dir, qs: DataFrame, k: int = SEARCH.k, min_score: float | None = None) -> DataFrame:
     """Hashed-token cosine top-k of ``qs (query_id, question)`` against T1 chunks."""
-    chunks = with_chunk_buckets(doc_chunks(spark, sf_dir), SEARCH.dim)
-    q = with_query_buckets(qs, SEARCH.dim)
-    return retrieve(q, chunks, SearchParams(k=k, min_score=SEARCH.min_score, dim=SEARCH.dim), min_score=min_score)
+    return retrieve(qs, doc_chunks(spark, sf_dir), SearchParams(k=k, min_score=SEARCH.min_score, dim=SEARCH.dim),
+                    min_score=min_score)
 
 
 HIT_COLUMNS = ["query_id", "chunk_id", "doc_id", "chunk_index", "score", "rank"]
@@ -136,7 +144,7 @@ def q_metadata_roundtrip(spark, sf_dir):
 
 def q_hash_embed(spark, sf_dir):
     """Hashed-token counts (256 buckets) of every document."""
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    d = documents(spark, sf_dir, ["doc_id", "text"]).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     return hash_terms(d, ["doc_id"], "text", SEARCH.dim)
 
 
@@ -323,6 +331,34 @@ def q_retrieve_with_history(spark, sf_dir):
     return sparse_hits(spark, sf_dir, history_queries(conv, 3), k=5).select(*HIT_COLUMNS)
 
 
+# ----------------------------------------------------------------------------- splitters
+
+
+def markdown_documents(spark, sf_dir):
+    """Documents rewritten as Markdown (derived headings) with a source extension by language:
+    en -> .md, de -> .MARKDOWN, fr -> .txt, others none."""
+    d = documents(spark, sf_dir, ["doc_id", "text", "lang", "source"])
+    ext = (F.when(F.col("lang") == "en", ".md").when(F.col("lang") == "de", ".MARKDOWN")
+           .when(F.col("lang") == "fr", ".txt").otherwise(""))
+    return d.select("doc_id", derived_markdown(F.col("text")).alias("text"),
+                    F.concat(F.col("source"), ext).alias("source"))
+
+
+def q_chunk_markdown(spark, sf_dir):
+    """T4 + T7: header chunks of the Markdown form of every document."""
+    return chunk_markdown(markdown_documents(spark, sf_dir))
+
+
+def q_chunk_recursive(spark, sf_dir):
+    """T3 + T7: recursive 500/50 chunks of every document."""
+    return chunk_recursive(documents(spark, sf_dir, ["doc_id", "text"]), CHUNKS)
+
+
+def q_chunk_routed(spark, sf_dir):
+    """T5: Markdown sources through T4, the rest through T3, per row."""
+    return chunk_routed(markdown_documents(spark, sf_dir), CHUNKS)
+
+
 QUERIES = {
     "rag_contexts": q_rag_contexts,
     "chunk_fixed": q_chunk_fixed,
@@ -354,4 +390,7 @@ QUERIES = {
     "bm25_search": q_bm25_search,
     "rrf_fuse": q_rrf_fuse,
     "retrieve_with_history": q_retrieve_with_history,
+    "chunk_markdown": q_chunk_markdown,
+    "chunk_recursive": q_chunk_recursive,
+    "chunk_routed": q_chunk_routed,
 }

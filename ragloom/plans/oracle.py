@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ragloom.functions.prompts import NO_ANSWER, RAG_PROMPT_HEAD, RAG_PROMPT_MID, RAG_PROMPT_TAIL, SYSTEM_MESSAGE
 from ragloom.operators.embedding import TOKEN_SPLIT
-from ragloom.plans.sqlfrag import chunks_sql, lit, terms_sql
+from ragloom.plans.sqlfrag import WS_SQL, chunks_sql, lit, terms_sql
 from ragloom.sources.reports import NO_CHUNKS_FIXED
 
 K, MIN_SCORE, DIM, MAX_BYTES, MAX_CHUNKS = 5, 0.5, 256, 2000, 10
@@ -295,6 +295,30 @@ GROUP BY c.conv_id"""
 
 RETRIEVE_WITH_HISTORY = _hits_only(questions=_HISTORY_Q)
 
+_MD_DOCS = """
+    SELECT doc_id, string_agg(CASE WHEN i = 0 THEN '# ' || line
+                                   WHEN length(line) < 40 THEN '## ' || line
+                                   WHEN length(line) < 80 THEN '### ' || line
+                                   ELSE line END, chr(10) ORDER BY i) AS text
+    FROM (SELECT CAST(doc_id AS VARCHAR) AS doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                 generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS i FROM documents)
+    GROUP BY doc_id"""
+
+CHUNK_MARKDOWN = f"""
+WITH md AS ({_MD_DOCS}),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
+      FROM md),
+f AS (SELECT *, CAST(regexp_matches(line, '^ {{0,3}}(```|~~~)') AS INTEGER) AS is_fence FROM l),
+g AS (SELECT *, coalesce(sum(is_fence) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                AS fences_before FROM f),
+h AS (SELECT *, CAST(regexp_matches(line, '^#{{2,3}} ') AND fences_before % 2 = 0 AS INTEGER) AS is_head FROM g),
+s AS (SELECT *, sum(is_head) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS section FROM h),
+sec AS (SELECT doc_id, section, trim(string_agg(line, chr(10) ORDER BY i), {WS_SQL}) AS content FROM s GROUP BY doc_id, section),
+o AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY section) - 1 AS BIGINT) AS chunk_index, content
+      FROM sec WHERE length(content) > 0)
+SELECT doc_id || ':' || CAST(chunk_index AS VARCHAR) AS chunk_id, doc_id, chunk_index, content FROM o
+"""
+
 ORACLE = {
     "rag_contexts": RAG_CONTEXTS,
     "chunk_fixed": CHUNK_FIXED,
@@ -325,4 +349,5 @@ ORACLE = {
     "bm25_search": BM25_SEARCH,
     "rrf_fuse": RRF_FUSE,
     "retrieve_with_history": RETRIEVE_WITH_HISTORY,
+    "chunk_markdown": CHUNK_MARKDOWN,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "ragloom") -> SparkSession:
@@ -47,3 +47,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when a scan yields fewer partitions than the cluster
+    has cores (e.g. a file written as one row group), so CPU-heavy per-row work (chunking,
+    hashing, scoring) uses every core. A large table already has at least that many
+    splits and is left untouched, so this never adds a shuffle at scale. Round-robin
+    output is deterministic on retry (rows are sorted before the exchange)."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

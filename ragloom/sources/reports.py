@@ -22,10 +22,11 @@ def import_report(documents: DataFrame, params: ChunkParams = ChunkParams(), tex
                   doc_id: str = "doc_id") -> DataFrame:
     """S6 per document: ``doc_id, chunk_count, success, error``. One document's failure
     never stops the others. Counting uses T2 on the row (no explode, no shuffle)."""
-    n = count_chunks(F.col(text), params).cast("long")
-    return documents.select(
+    counted = count_chunks(documents.select(doc_id, text), params, text, "chunk_count")
+    n = F.col("chunk_count")
+    return counted.select(
         F.col(doc_id).cast("string").alias("doc_id"),
-        n.alias("chunk_count"),
+        n,
         (n > 0).alias("success"),
         F.when(n == 0, F.lit(NO_CHUNKS_FIXED)).alias("error"),
     )
