@@ -68,9 +68,15 @@ def field_limit_violations(documents: DataFrame) -> DataFrame:
     return field_violations(stored_rows_unsplit(documents))
 
 
-def split_by_field_limits(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """F7, quarantine form: (rows within every limit, rows over some limit)."""
+def within_field_limits():
+    """F7 predicate: every stored field within its byte limit."""
     ok = F.lit(True)
     for name, limit in FIELD_LIMITS:
         ok = ok & (F.coalesce(byte_length(F.col(name)), F.lit(0)) <= limit)
+    return ok
+
+
+def split_by_field_limits(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """F7, quarantine form: (rows within every limit, rows over some limit)."""
+    ok = within_field_limits()
     return rows.where(ok), rows.where(~ok)
