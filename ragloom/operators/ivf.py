@@ -93,12 +93,17 @@ def ivf_search(
     arrow_schema = to_arrow_schema(schema)
     base = cosine_scorer(vec, "dense", dim)
 
-    def scorer(rb: pa.RecordBatch, state) -> np.ndarray:
-        s = base(rb, state)
+    def scorer(rb: pa.RecordBatch, state):
+        block = base(rb, state)
         probe = state[3]
         cells = rb.column(cell).to_numpy(zero_copy_only=False).astype(np.int64)
-        s[~probe[:, cells].T] = np.nan
-        return s
+
+        def masked(lo: int, hi: int) -> np.ndarray:
+            s = block(lo, hi)
+            s[~probe[:, cells[lo:hi]]] = np.nan
+            return s
+
+        return masked
 
     parts = []
     for qb in query_blocks(queries, query_id, dim * 8, max_broadcast_bytes):

@@ -95,24 +95,43 @@ def _reduce(cand: pd.DataFrame, k: int, order: list[str]) -> pd.DataFrame:
 
 
 def cosine_scorer(vec: str, mode: str, dim: int):
-    """Scores of one batch against the broadcast queries: ``(rows × queries)`` cosine."""
+    """Scores of one batch against the broadcast queries, transposed: ``(queries × rows)``.
 
-    def score(rb: pa.RecordBatch, state) -> np.ndarray:
+    Returns a function of the row range so that a large batch is scored block by block
+    (the score block stays a few tens of MB whatever the number of queries)."""
+
+    def prepare(rb: pa.RecordBatch, state):
         _, q, qn = state[:3]
         m = _matrix(rb.column(vec), mode, dim)
         cn = np.sqrt(np.einsum("ij,ij->i", m, m))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return (m @ q.T) / (cn[:, None] * qn[None, :])
 
-    return score
+        def block(lo: int, hi: int) -> np.ndarray:
+            with np.errstate(divide="ignore", invalid="ignore"):
+                return (q @ m[lo:hi].T) / np.multiply.outer(qn, cn[lo:hi])
+
+        return block
+
+    return prepare
+
+
+def _order_rank(rb: pa.RecordBatch, order: list[str]) -> np.ndarray:
+    """Position of every row of the batch under the tie-break order (binary string order)."""
+    n = rb.num_rows
+    if not order:
+        return np.arange(n)
+    perm = pc.sort_indices(rb.select(order), sort_keys=[(c, "ascending") for c in order], null_placement="at_end")
+    rank = np.empty(n, dtype=np.int64)
+    rank[perm.to_numpy(zero_copy_only=False)] = np.arange(n)
+    return rank
 
 
 def topk_kernel(bq, scorer, drop: list[str], k: int, min_score, order: list[str], out_schema: pa.Schema,
-                round_digits: int | None = None, positive_only: bool = False):
-    """``mapInArrow`` body: score each batch with ``scorer(batch, bq.value) -> (rows × queries)``
-    and keep, per query, the candidates that can still be in the global top-k under
-    ``score desc, order asc``. Candidates are re-reduced whenever they pile up and
-    emitted once per task, so a task emits at most ``queries × k`` rows (plus exact ties)."""
+                round_digits: int | None = None, positive_only: bool = False, block_cells: int = 1 << 22):
+    """``mapInArrow`` body: score each batch with ``scorer(batch, bq.value)`` and keep, per
+    query, the k best rows under ``score desc, order asc``. Selection is numeric (a
+    partition per query row, then one lexsort with the batch's order rank), so only
+    ``queries × k`` rows per batch are materialised; they are re-reduced whenever they pile
+    up and emitted once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = bq.value
@@ -121,30 +140,46 @@ def topk_kernel(bq, scorer, drop: list[str], k: int, min_score, order: list[str]
         if nq == 0:
             return
         limit = max(100_000, 8 * nq * k)
+        step = max(256, block_cells // max(nq, 1))
         pending: list[pd.DataFrame] = []
         held = 0
         for rb in batches:
             b = rb.num_rows
             if b == 0:
                 continue
-            s = scorer(rb, state)
-            if round_digits is not None:
-                s = np.round(s, round_digits)
-            ok = np.isfinite(s)
-            if positive_only:
-                ok &= s > 0
-            if min_score is not None:
-                ok &= s >= min_score
-            if b > k:
-                sm = np.where(ok, s, -np.inf)
-                kth = np.partition(sm, b - k, axis=0)[b - k]
-                ok &= sm >= kth[None, :]
-            r, qi = np.nonzero(ok)
-            if len(r) == 0:
+            block = scorer(rb, state)
+            qs, rs, ss = [], [], []
+            for lo in range(0, b, step):
+                hi = min(b, lo + step)
+                s = block(lo, hi)
+                if round_digits is not None:
+                    s = np.round(s, round_digits)
+                ok = np.isfinite(s)
+                if positive_only:
+                    ok &= s > 0
+                if min_score is not None:
+                    ok &= s >= min_score
+                w = hi - lo
+                if w > k:
+                    sm = np.where(ok, s, -np.inf)
+                    kth = np.partition(sm, w - k, axis=1)[:, w - k]
+                    ok &= sm >= kth[:, None]
+                qi, ri = np.nonzero(ok)
+                if len(qi):
+                    qs.append(qi)
+                    rs.append(ri + lo)
+                    ss.append(s[qi, ri])
+            if not qs:
                 continue
-            cand = rb.drop_columns(drop).take(pa.array(r)).to_pandas()
+            qi, ri, sc = np.concatenate(qs), np.concatenate(rs), np.concatenate(ss)
+            srt = np.lexsort((_order_rank(rb, order)[ri], -sc, qi))
+            qi, ri, sc = qi[srt], ri[srt], sc[srt]
+            first = np.searchsorted(qi, qi, side="left")
+            keep = (np.arange(len(qi)) - first) < k
+            qi, ri, sc = qi[keep], ri[keep], sc[keep]
+            cand = rb.drop_columns(drop).take(pa.array(ri)).to_pandas()
             cand["__q"] = qi
-            cand["score"] = s[r, qi]
+            cand["score"] = sc
             pending.append(cand)
             held += len(cand)
             if held > limit:
@@ -152,7 +187,7 @@ def topk_kernel(bq, scorer, drop: list[str], k: int, min_score, order: list[str]
                 held = len(pending[0])
         if not pending:
             return
-        res = _reduce(pd.concat(pending, ignore_index=True), k, order)
+        res = pending[0] if len(pending) == 1 else _reduce(pd.concat(pending, ignore_index=True), k, order)
         res.insert(0, "query_id", qids[res["__q"].to_numpy()])
         res = res.drop(columns="__q")
         yield pa.RecordBatch.from_pandas(res[out_schema.names], schema=out_schema, preserve_index=False)
