@@ -34,7 +34,7 @@ from ragloom.operators.hybrid import bm25_search, history_queries, rrf_fuse
 from ragloom.operators.ivf import ivf_assign, ivf_fit, ivf_search
 from ragloom.operators.messages import build_history, merge_fragments, model_input, render_template, run_tool_calls, search_report
 from ragloom.operators.search import search, search_batch
-from ragloom.params import CONFIGURED_PACK, ChunkParams, SearchParams
+from ragloom.params import CONFIGURED_PACK, GRAPH_PACK, ChunkParams, SearchParams
 from ragloom.plans.rag import rag_contexts, retrieve
 from ragloom.plans.tables import table
 from ragloom.session import spread
@@ -64,6 +64,11 @@ def q_rag_contexts(spark, sf_dir):
     return rag_contexts(questions(spark, sf_dir), doc_chunks(spark, sf_dir), SEARCH, CONFIGURED_PACK)
 
 
+def q_rag_contexts_graph(spark, sf_dir):
+    """M9 with the second parameter set (graph constants): 4000 bytes, 10 chunks, no guard."""
+    return rag_contexts(questions(spark, sf_dir), doc_chunks(spark, sf_dir), SEARCH, GRAPH_PACK, guard=False)
+
+
 def q_chunk_fixed(spark, sf_dir):
     """T1 + T7: every chunk of every document."""
     return doc_chunks(spark, sf_dir)
@@ -361,6 +366,7 @@ def q_chunk_routed(spark, sf_dir):
 
 QUERIES = {
     "rag_contexts": q_rag_contexts,
+    "rag_contexts_graph": q_rag_contexts_graph,
     "chunk_fixed": q_chunk_fixed,
     "count_chunks": q_count_chunks,
     "chunks_per_document": q_chunks_per_document,

@@ -63,6 +63,17 @@ SELECT q.query_id, q.question, coalesce(ctx.context, '') AS context,
 FROM q LEFT JOIN ctx ON q.query_id = ctx.query_id
 """
 
+RAG_CONTEXTS_GRAPH = f"""
+WITH {_sparse_hits_sql()},
+{_contexts_sql(max_bytes=4000, max_chunks=10)}
+SELECT q.query_id, q.question, coalesce(ctx.context, '') AS context,
+       coalesce(ctx.n_chunks, 0) AS n_chunks, coalesce(ctx.n_bytes, 0) AS n_bytes,
+       TRUE AS answerable,
+       {lit(RAG_PROMPT_HEAD)} || coalesce(ctx.context, '') || {lit(RAG_PROMPT_MID)} || q.question || {lit(RAG_PROMPT_TAIL)} AS prompt,
+       CAST(NULL AS VARCHAR) AS fixed_reply
+FROM q LEFT JOIN ctx ON q.query_id = ctx.query_id
+"""
+
 CHUNK_FIXED = f"SELECT * FROM {chunks_sql()}"
 
 COUNT_CHUNKS = f"""
@@ -321,6 +332,7 @@ SELECT doc_id || ':' || CAST(chunk_index AS VARCHAR) AS chunk_id, doc_id, chunk_
 
 ORACLE = {
     "rag_contexts": RAG_CONTEXTS,
+    "rag_contexts_graph": RAG_CONTEXTS_GRAPH,
     "chunk_fixed": CHUNK_FIXED,
     "count_chunks": COUNT_CHUNKS,
     "chunks_per_document": CHUNKS_PER_DOCUMENT,
