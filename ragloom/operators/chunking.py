@@ -21,6 +21,12 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def drop_empty_documents(df: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(documents with text after Unicode trimming, documents without: import failures)."""
+    has = F.coalesce(char_length(trim_unicode(_c(text))), F.lit(0)) > 0
+    return df.where(has), df.where(~has)
+
+
 def fixed_windows(t: Column, params: ChunkParams = ChunkParams()) -> Column:
     """T1 on an already-trimmed text: ``array<string>`` of the kept windows, in text order.
 

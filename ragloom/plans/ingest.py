@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ragloom.functions.metadata import base_metadata
+from ragloom.functions.metadata import base_metadata, file_metadata
 from ragloom.operators.chunking import chunk_fixed, chunk_routed
 from ragloom.operators.embedding import embed
 from ragloom.params import ChunkParams
@@ -24,7 +24,10 @@ def ingest(documents: DataFrame, params: ChunkParams = ChunkParams(), dim: int =
 
     ``documents``: ``doc_id, text, source``. ``splitter``: ``routed`` (T5, the live path)
     or ``fixed`` (T1)."""
-    docs = documents.withColumn("_meta", base_metadata(F.col("doc_id"), F.col("source"), F.col("text")))
+    meta = base_metadata(F.col("doc_id"), F.col("source"), F.col("text"))
+    if "path" in documents.columns:  # file imports also carry P3 file metadata
+        meta = F.map_concat(F.map_filter(meta, lambda k, v: k != "source"), file_metadata(F.col("path")))
+    docs = documents.withColumn("_meta", meta)
     if splitter == "fixed":
         ch = chunk_fixed(docs, params, keep=["source", "_meta"])
     else:

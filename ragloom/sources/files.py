@@ -54,7 +54,7 @@ def _with_file_columns(df: DataFrame) -> DataFrame:
 
 def documents_from_files(files: DataFrame) -> DataFrame:
     """Files as documents: the path is the document id and the source (P3 metadata)."""
-    return files.select(F.col("path").alias("doc_id"), "text", F.col("path").alias("source"))
+    return files.select(F.col("path").alias("doc_id"), "text", F.col("path").alias("source"), "path")
 
 
 def documents_from_table(df: DataFrame, id_col: str = "id", content: str = "content", source: str = "source") -> DataFrame:
