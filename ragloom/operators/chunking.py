@@ -27,24 +27,36 @@ def drop_empty_documents(df: DataFrame, text: str = "text") -> tuple[DataFrame,
     return df.where(has), df.where(~has)
 
 
-def fixed_windows(t: Column, params: ChunkParams = ChunkParams()) -> Column:
+def fixed_windows(t: Column, params: ChunkParams = ChunkParams(), pieces: Column | None = None) -> Column:
     """T1 on an already-trimmed text: ``array<string>`` of the kept windows, in text order.
 
     ``t`` must be a column reference, not an expression: it is read inside the window
-    lambda, and an expression there would be evaluated again for every window."""
+    lambda, and an expression there would be evaluated again for every window. With
+    ``pieces`` (a column holding ``step_pieces(t)``) a window is assembled from the
+    step-sized pieces it covers, which is linear in the text; ``substring`` on UTF-8 text
+    walks from the start of the string, so cutting every window from ``t`` is quadratic
+    in the length of a long document."""
     step = params.step
     last = F.greatest(F.lit(0), F.ceil((char_length(t) - F.lit(params.size)) / F.lit(float(step)))).cast("int")
-    windows = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda i: trim_unicode(F.substring(t, i * step + 1, F.lit(params.size))),
-    )
+    if pieces is None:
+        cut = lambda i: F.substring(t, i * step + 1, F.lit(params.size))
+    else:
+        span = -(-params.size // step)  # pieces a window touches
+        cut = lambda i: F.substring(F.array_join(F.slice(pieces, i + 1, F.lit(span)), ""), 1, params.size)
+    windows = F.transform(F.sequence(F.lit(0), last), lambda i: trim_unicode(cut(i)))
     return F.filter(windows, lambda c: char_length(c) >= params.min_chars)
 
 
+def step_pieces(t: Column, params: ChunkParams = ChunkParams()) -> Column:
+    """The trimmed text cut into consecutive pieces of ``step`` characters (one linear regex pass)."""
+    return F.regexp_extract_all(t, F.lit(f"(?s).{{1,{params.step}}}"), 0)
+
+
 def with_fixed_chunks(df: DataFrame, params: ChunkParams = ChunkParams(), text: str = "text", out: str = "chunks") -> DataFrame:
     """Adds ``out``: T1 chunks of ``text`` (the trimmed text is projected first, once)."""
     staged = df.withColumn("_t", trim_unicode(_c(text)))
-    return staged.withColumn(out, fixed_windows(F.col("_t"), params)).drop("_t")
+    staged = staged.withColumn("_p", step_pieces(F.col("_t"), params))
+    return staged.withColumn(out, fixed_windows(F.col("_t"), params, F.col("_p"))).drop("_t", "_p")
 
 
 def count_chunks(df: DataFrame, params: ChunkParams = ChunkParams(), text: str = "text", out: str = "n_chunks") -> DataFrame:
@@ -87,7 +99,8 @@ def chunk_fixed(
     keep = list(keep or [])
     staged = df.select(_c(doc_id).alias(doc_id), *[_c(k) for k in keep if k != doc_id],
                        trim_unicode(_c(text)).alias("_t"))
-    return explode_chunks(staged, fixed_windows(F.col("_t"), params), doc_id=doc_id, keep=keep)
+    staged = staged.withColumn("_p", step_pieces(F.col("_t"), params))
+    return explode_chunks(staged, fixed_windows(F.col("_t"), params, F.col("_p")), doc_id=doc_id, keep=keep)
 
 
 def is_markdown_source(source) -> Column:
