@@ -245,13 +245,15 @@ def search_candidates(
     if dim is None:
         dim = _infer_dim(queries, query_vec)
     spark = chunks.sparkSession
-    schema = out_schema(chunks, [vec])
+    # a text column is hashed in the task and stays in the payload; vectors are dropped
+    drop = [] if mode == "text" else [vec]
+    schema = out_schema(chunks, drop)
     arrow_schema = to_arrow_schema(schema)
     scorer = cosine_scorer(vec, mode, dim)
     parts = []
     for qb in query_blocks(queries, query_id, dim * 8, max_broadcast_bytes):
         bq = spark.sparkContext.broadcast(_query_matrix(qb, query_id, query_vec, mode, dim))
-        kern = topk_kernel(bq, scorer, [vec], k, min_score, order, arrow_schema, round_digits)
+        kern = topk_kernel(bq, scorer, drop, k, min_score, order, arrow_schema, round_digits)
         parts.append(chunks.mapInArrow(kern, schema))
     return reduce(DataFrame.unionByName, parts)
 
