@@ -45,6 +45,13 @@ def ivf_assign(vectors: DataFrame, model, vec: str = "embedding", out: str = "ce
     return pred.drop("features").withColumnRenamed("_cell", out).withColumn(out, F.col(out).cast("int"))
 
 
+def write_ivf_table(vectors: DataFrame, model, path: str, vec: str = "embedding", cell: str = "cell",
+                    mode: str = "overwrite") -> None:
+    """R6 storage: the cell-tagged table written with ``partitionBy(cell)``, so R7's probe
+    filter on ``cell`` becomes partition pruning (only probed cells are read)."""
+    ivf_assign(vectors, model, vec, cell).write.mode(mode).partitionBy(cell).parquet(path)
+
+
 def centroids(model) -> np.ndarray:
     return np.asarray(model.clusterCenters(), dtype=np.float64)
 

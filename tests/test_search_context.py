@@ -141,3 +141,22 @@ def test_ivf_recall(spark):
         recalls.append(len(exact & {(r[0], r[1]) for r in got}) / len(exact))
     assert recalls[-1] == 1.0
     assert recalls[0] <= recalls[1] <= recalls[2]
+
+
+def test_ivf_partition_pruning(spark, tmpdir_fresh):
+    import os
+
+    from conftest import SF001
+    from ragloom.operators.ivf import write_ivf_table
+
+    e = spark.read.parquet(f"{SF001}/embeddings.parquet").select("vec_id", "embedding")
+    model = ivf_fit(e, nlist=8)
+    path = os.path.join(tmpdir_fresh, "ivf")
+    write_ivf_table(e, model, path)
+    table = spark.read.parquet(path)
+    q = e.where("vec_id = 1").select(F.col("vec_id").alias("query_id"), "embedding")
+    res = ivf_search(table, q, model, k=3, nprobe=2, order=["vec_id"])
+    plan = res._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(cell" in plan or "PartitionFilters: [cell" in plan
+    got = res.orderBy("rank").collect()
+    assert got[0]["vec_id"] == 1 and len(got) == 3
