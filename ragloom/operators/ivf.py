@@ -15,6 +15,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ragloom.operators.search import (
@@ -127,4 +128,127 @@ def ivf_search(
     return rank_within_query(cands, k, order)
 
 
-__all__ = ["ivf_fit", "ivf_assign", "ivf_search", "centroids", "_matrix"]
+
+
+def _probe_rows(bc, nprobe: int, query_id: str, query_vec: str, dim: int):
+    """``mapInArrow`` body: every query with each of its ``nprobe`` cells."""
+
+    def run(batches):
+        cents = bc.value
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            q = _matrix(rb.column(query_vec), "dense", dim)
+            probe = _probes(q, cents, nprobe)
+            qi, ci = np.nonzero(probe)
+            yield pa.RecordBatch.from_arrays(
+                [rb.column(query_id).take(pa.array(qi)), pa.array(ci.astype(np.int32)), rb.column(query_vec).take(pa.array(qi))],
+                names=[query_id, "cell", query_vec],
+            )
+
+    return run
+
+
+def _score_group(cpdf, qpdf, names, payload, vec, dim, k, order, round_digits):
+    """Score one (cell, chunk salt, query salt) group: local top-k per query."""
+    import pandas as pd
+
+    if len(cpdf) == 0 or len(qpdf) == 0:
+        return pd.DataFrame({n: [] for n in names})
+    m = np.zeros((len(cpdf), dim))
+    ok_rows = np.array([v is not None and len(v) == dim for v in cpdf[vec]], dtype=bool)
+    if ok_rows.any():
+        m[ok_rows] = np.stack([np.asarray(v, dtype=np.float64) for v in cpdf[vec][ok_rows]])
+    q = np.stack([np.asarray(v, dtype=np.float64) if v is not None and len(v) == dim else np.zeros(dim)
+                  for v in qpdf["_qv"]])
+    cn = np.sqrt(np.einsum("ij,ij->i", m, m))
+    qn = np.sqrt(np.einsum("ij,ij->i", q, q))
+    out = []
+    step = max(1, (1 << 22) // max(len(cpdf), 1))
+    for lo in range(0, len(qpdf), step):
+        hi = min(len(qpdf), lo + step)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            s = (q[lo:hi] @ m.T) / np.multiply.outer(qn[lo:hi], cn)
+        if round_digits is not None:
+            s = np.round(s, round_digits)
+        ok = np.isfinite(s)
+        if s.shape[1] > k:
+            sm = np.where(ok, s, -np.inf)
+            kth = np.partition(sm, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+            ok &= sm >= kth[:, None]
+        qi, ri = np.nonzero(ok)
+        part = cpdf.iloc[ri][payload].reset_index(drop=True)
+        part.insert(0, "query_id", qpdf["_qid"].to_numpy()[lo + qi])
+        part["score"] = s[qi, ri]
+        out.append(part)
+    res = pd.concat(out, ignore_index=True)
+    res = res.sort_values(["query_id", "score", *order], ascending=[True, False, *([True] * len(order))])
+    return res.groupby("query_id", sort=False).head(k)[names]
+
+
+def ivf_join(
+    chunks: DataFrame,
+    queries: DataFrame,
+    model_or_centroids,
+    k: int = 5,
+    nprobe: int = NPROBE,
+    *,
+    vec: str = "embedding",
+    cell: str = "cell",
+    query_id: str = "query_id",
+    query_vec: str | None = None,
+    order: list[str] | None = None,
+    round_digits: int | None = None,
+    group_chunks: int = 50_000,
+    group_queries: int = 20_000,
+) -> DataFrame:
+    """R7 for query tables of any size: a skew-aware partitioned join on the cell.
+
+    Each cell is split into ``S_c = ceil(chunks_c / group_chunks)`` salted chunk groups and
+    ``T_c = ceil(probes_c / group_queries)`` query groups (sizes from two small per-cell
+    counts); chunk rows are replicated ``T_c`` times and probe rows ``S_c`` times, so a hot
+    cell becomes many bounded groups instead of one huge task. Each co-group is scored in
+    NumPy and emits only its local top-k per query; the global rank is the usual window.
+    No (query, chunk) pair is emitted. Same result as ``ivf_search`` with the same probes.
+    """
+    query_vec = query_vec or vec
+    order = list(order or [])
+    cents = model_or_centroids if isinstance(model_or_centroids, np.ndarray) else centroids(model_or_centroids)
+    nl, dim = cents.shape
+    spark = chunks.sparkSession
+    bc = spark.sparkContext.broadcast(cents)
+    probes = queries.select(F.col(query_id).cast("long").alias(query_id), F.col(query_vec).alias(query_vec)).mapInArrow(
+        _probe_rows(bc, nprobe, query_id, query_vec, dim),
+        f"{query_id} long, cell int, {query_vec} array<float>",
+    )
+    n_chunks = {r[0]: r[1] for r in chunks.groupBy(cell).count().collect()}  # <= nlist rows
+    n_probes = {r[0]: r[1] for r in probes.groupBy("cell").count().collect()}
+    s_arr = F.array(*[F.lit(max(1, -(-n_chunks.get(c, 0) // group_chunks))) for c in range(nl)]).cast("array<int>")
+    t_arr = F.array(*[F.lit(max(1, -(-n_probes.get(c, 0) // group_queries))) for c in range(nl)]).cast("array<int>")
+
+    key = F.xxhash64(*[F.col(c) for c in (order or [vec])])
+    # the co-group keys must have the same types on both sides: int and bigint hash
+    # differently, and cogroup does not coerce them
+    c_side = (chunks.withColumn("_s", F.pmod(key, F.element_at(s_arr, F.col(cell) + 1)).cast("int"))
+              .withColumn("_t", F.explode(F.sequence(F.lit(0), (F.element_at(t_arr, F.col(cell) + 1) - 1).cast("int"))))
+              .withColumn("_cell", F.col(cell).cast("int")).drop(cell))
+    q_side = (probes.withColumn("_t", F.pmod(F.xxhash64(query_id), F.element_at(t_arr, F.col("cell") + 1)).cast("int"))
+              .withColumn("_s", F.explode(F.sequence(F.lit(0), (F.element_at(s_arr, F.col("cell") + 1) - 1).cast("int"))))
+              .withColumn("_cell", F.col("cell").cast("int"))
+              .select("_cell", "_s", "_t", F.col(query_id).alias("_qid"), F.col(query_vec).alias("_qv")))
+
+    payload = [f.name for f in chunks.schema.fields if f.name not in (vec, cell)]
+    schema = T.StructType([T.StructField("query_id", T.LongType())]
+                          + [f for f in chunks.schema.fields if f.name in payload]
+                          + [T.StructField("score", T.DoubleType())])
+
+    def score_group(cpdf, qpdf):
+        return _score_group(cpdf, qpdf, schema.names, payload, vec, dim, k, order, round_digits)
+
+    cands = (c_side.groupBy("_cell", "_s", "_t")
+             .cogroup(q_side.groupBy("_cell", "_s", "_t"))
+             .applyInPandas(score_group, schema))
+    return rank_within_query(cands, k, order)
+
+
+__all__ = ["ivf_fit", "ivf_assign", "ivf_search", "ivf_join", "write_ivf_table", "centroids"]

@@ -31,7 +31,7 @@ from ragloom.operators.context import (
 )
 from ragloom.operators.embedding import hash_terms
 from ragloom.operators.hybrid import bm25_search, history_queries, rrf_fuse
-from ragloom.operators.ivf import ivf_assign, ivf_fit, ivf_search
+from ragloom.operators.ivf import ivf_assign, ivf_fit, ivf_join, ivf_search
 from ragloom.operators.messages import build_history, merge_fragments, model_input, render_template, run_tool_calls, search_report
 from ragloom.operators.search import search, search_batch
 from ragloom.params import CONFIGURED_PACK, GRAPH_PACK, ChunkParams, SearchParams
@@ -210,6 +210,17 @@ def q_ivf_search(spark, sf_dir):
         "query_id", "vec_id", "label", "score", "rank")
 
 
+def q_ivf_join(spark, sf_dir):
+    """R7 as a skew-aware partitioned join on the cell (for query tables too big to
+    broadcast), at nprobe = nlist: equals the exact search."""
+    e = embeddings(spark, sf_dir)
+    model = ivf_fit(e, nlist=IVF_LISTS)
+    cells = ivf_assign(e, model)
+    q = e.select(F.col("vec_id").alias("query_id"), "embedding")
+    return ivf_join(cells, q, model, k=5, nprobe=IVF_LISTS, order=["vec_id"], round_digits=DENSE_DIGITS).select(
+        "query_id", "vec_id", "label", "score", "rank")
+
+
 # ----------------------------------------------------------------------------- templates, messages
 
 
@@ -382,6 +393,7 @@ QUERIES = {
     "knn_threshold": q_knn_threshold,
     "ivf_assign": q_ivf_assign,
     "ivf_search": q_ivf_search,
+    "ivf_join": q_ivf_join,
     "render_translate": q_render_translate,
     "render_code": q_render_code,
     "render_summarize": q_render_summarize,

@@ -347,6 +347,7 @@ ORACLE = {
     "knn_batch": KNN_BATCH,
     "knn_threshold": KNN_THRESHOLD,
     "ivf_search": KNN_BATCH,
+    "ivf_join": KNN_BATCH,
     "render_translate": RENDER_TRANSLATE,
     "render_code": RENDER_CODE,
     "render_summarize": RENDER_SUMMARIZE,

@@ -160,3 +160,19 @@ def test_ivf_partition_pruning(spark, tmpdir_fresh):
     assert "PartitionFilters: [isnotnull(cell" in plan or "PartitionFilters: [cell" in plan
     got = res.orderBy("rank").collect()
     assert got[0]["vec_id"] == 1 and len(got) == 3
+
+
+def test_ivf_join_equals_probe_search(spark):
+    from conftest import SF01
+    from ragloom.operators.ivf import ivf_join
+
+    e = spark.read.parquet(f"{SF01}/embeddings.parquet").select("vec_id", "embedding")
+    model = ivf_fit(e, nlist=8)
+    cells = ivf_assign(e, model)
+    q = e.select(F.col("vec_id").alias("query_id"), "embedding")
+    a = ivf_search(cells, q, model, k=5, nprobe=3, order=["vec_id"], round_digits=9)
+    # tiny groups force salting of every cell on both sides
+    b = ivf_join(cells, q, model, k=5, nprobe=3, order=["vec_id"], round_digits=9, group_chunks=17, group_queries=29)
+    ra = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in a.collect())
+    rb = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in b.collect())
+    assert ra == rb and len(ra) == 2500
