@@ -258,9 +258,23 @@ def search_candidates(
     return reduce(DataFrame.unionByName, parts)
 
 
-def rank_within_query(cands: DataFrame, k: int | None, order: list[str]) -> DataFrame:
-    """Global rank per query under ``score desc, order asc``; keeps ``rank <= k``."""
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), *[F.col(c).asc() for c in order])
+def rank_within_query(cands: DataFrame, k: int | None, order: list[str], fan_in: int = 1024) -> DataFrame:
+    """Global rank per query under ``score desc, order asc``; keeps ``rank <= k``.
+
+    Every candidate task holds at most k rows per query, so one query meets
+    ``tasks × k`` rows after the exchange. When there are more than ``2 × fan_in``
+    candidate tasks (a scan of a very large table), a first level keeps the top-k per
+    (query, group of ``fan_in`` tasks), so no reducer sees more than ``fan_in × k`` rows
+    of one query at either level."""
+    ordering = [F.col("score").desc(), *[F.col(c).asc() for c in order]]
+    if k is not None:
+        n = cands.rdd.getNumPartitions()
+        if n > 2 * fan_in:
+            groups = -(-n // fan_in)
+            w1 = Window.partitionBy("query_id", "_grp").orderBy(*ordering)
+            cands = (cands.withColumn("_grp", F.pmod(F.spark_partition_id(), F.lit(groups)))
+                     .withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_grp", "_r1"))
+    w = Window.partitionBy("query_id").orderBy(*ordering)
     out = cands.withColumn("rank", F.row_number().over(w))
     if k is not None:
         out = out.where(F.col("rank") <= k)

@@ -176,3 +176,16 @@ def test_ivf_join_equals_probe_search(spark):
     ra = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in a.collect())
     rb = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in b.collect())
     assert ra == rb and len(ra) == 2500
+
+
+def test_two_level_rank_equals_one_level(spark):
+    from conftest import SF001
+    from ragloom.operators.search import rank_within_query, search_candidates
+
+    e = spark.read.parquet(f"{SF001}/embeddings.parquet").select("vec_id", "embedding").repartition(12)
+    q = e.select(F.col("vec_id").alias("query_id"), "embedding")
+    cands = search_candidates(e, q, 5, order=["vec_id"], round_digits=9)
+    one = rank_within_query(cands, 5, ["vec_id"]).select("query_id", "vec_id", "rank").collect()
+    two = rank_within_query(cands, 5, ["vec_id"], fan_in=2)  # 12 tasks > 2 x 2: two levels
+    assert "_grp" not in two.columns
+    assert sorted(map(tuple, one)) == sorted(map(tuple, two.select("query_id", "vec_id", "rank").collect()))
