@@ -38,7 +38,7 @@ def _contexts_sql(max_bytes: int = MAX_BYTES, max_chunks: int = MAX_CHUNKS) -> s
     kept AS (SELECT * FROM hits WHERE score >= {MIN_SCORE}),
     d1 AS (SELECT * FROM kept QUALIFY row_number() OVER (PARTITION BY query_id, doc_id, chunk_index ORDER BY score DESC, rank) = 1),
     d2 AS (SELECT * FROM d1 QUALIFY row_number() OVER (PARTITION BY query_id, content ORDER BY score DESC, doc_id, chunk_index) = 1),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, chunk_index) AS pos FROM d2),
+    ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, chunk_index) AS INTEGER) AS pos FROM d2),
     flagged AS (SELECT *, (sum(strlen(content) + 1) OVER (PARTITION BY query_id ORDER BY pos
                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= {max_bytes} AND pos <= {max_chunks}) AS in_pack
                 FROM ranked),
