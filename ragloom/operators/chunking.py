@@ -30,20 +30,30 @@ def drop_empty_documents(df: DataFrame, text: str = "text") -> tuple[DataFrame,
 def fixed_windows(t: Column, params: ChunkParams = ChunkParams(), pieces: Column | None = None) -> Column:
     """T1 on an already-trimmed text: ``array<string>`` of the kept windows, in text order.
 
-    ``t`` must be a column reference, not an expression: it is read inside the window
-    lambda, and an expression there would be evaluated again for every window. With
-    ``pieces`` (a column holding ``step_pieces(t)``) a window is assembled from the
-    step-sized pieces it covers, which is linear in the text; ``substring`` on UTF-8 text
-    walks from the start of the string, so cutting every window from ``t`` is quadratic
-    in the length of a long document."""
+    With ``pieces`` (a column holding ``step_pieces(t)``) window i is the concatenation of
+    pieces i .. i+span-1 cut to ``size`` characters. The pieces are zipped with shifted
+    copies of themselves, so the window lambda reads only its own element: linear in the
+    text. (``substring`` on UTF-8 text walks from the start of the string, so cutting every
+    window from ``t`` is quadratic in the length of a long document; and a column read
+    inside a lambda may be inlined there by the optimizer and recomputed per element.)
+    Without ``pieces``, windows are cut from ``t``, which must then be a column reference."""
     step = params.step
     last = F.greatest(F.lit(0), F.ceil((char_length(t) - F.lit(params.size)) / F.lit(float(step)))).cast("int")
     if pieces is None:
-        cut = lambda i: F.substring(t, i * step + 1, F.lit(params.size))
+        windows = F.transform(
+            F.sequence(F.lit(0), last),
+            lambda i: trim_unicode(F.substring(t, i * step + 1, F.lit(params.size))),
+        )
     else:
         span = -(-params.size // step)  # pieces a window touches
-        cut = lambda i: F.substring(F.array_join(F.slice(pieces, i + 1, F.lit(span)), ""), 1, params.size)
-    windows = F.transform(F.sequence(F.lit(0), last), lambda i: trim_unicode(cut(i)))
+        n = last + 1
+        shifted = [F.slice(pieces, j + 1, n).alias(f"p{j}") for j in range(span)]
+        windows = F.transform(
+            F.arrays_zip(*shifted),
+            lambda z: trim_unicode(F.substring(F.concat_ws("", *[z[f"p{j}"] for j in range(span)]), 1, params.size)),
+        )
+        # an empty text has no piece: keep the single empty window of the plain form
+        windows = F.when(F.size(pieces) > 0, windows).otherwise(F.array(F.lit("")))
     return F.filter(windows, lambda c: char_length(c) >= params.min_chars)
 
 
