@@ -39,10 +39,15 @@ def with_markdown_sections(df: DataFrame, text: str = "text", out: str = "sectio
     idx = F.sequence(F.lit(0), F.size(lines) - 1)
     staged = staged.withColumn("_fences", F.filter(idx, lambda i: F.get(lines, i).rlike(FENCE)))
     fences = F.col("_fences")
-    heads = F.filter(
+    plain = F.filter(idx, lambda i: F.get(lines, i).rlike(HEADING))
+    fenced = F.filter(
         idx,
         lambda i: F.get(lines, i).rlike(HEADING) & ((F.size(F.filter(fences, lambda f: f < i)) % 2) == 0),
     )
+    # ``_fences`` is read outside the lambda too (the size test), so the optimizer keeps it
+    # as its own projection instead of inlining the fence scan into the per-line lambda;
+    # documents without fences skip the parity test
+    heads = F.when(F.size(fences) == 0, plain).otherwise(fenced)
     staged = staged.withColumn("_starts", F.array_distinct(F.concat(F.array(F.lit(0)), heads)))
     starts = F.col("_starts")
     ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(F.size(lines)))

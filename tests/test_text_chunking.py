@@ -109,3 +109,15 @@ def test_chunking_plan_has_no_shuffle(spark):
     plan = chunk_fixed(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan or "text" in plan
+
+
+def test_staged_arrays_not_inlined_into_lambdas(spark):
+    """Each staged regex scan appears once in the optimized plan (not once per element)."""
+    from conftest import SF001
+    from ragloom.operators.chunking import chunk_markdown
+
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    for df, pattern in ((chunk_fixed(docs), "(?s).{1,450}"), (count_chunks(docs), "(?s).{1,450}"),
+                        (chunk_markdown(docs), "(```|~~~)")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count(pattern) == 1, pattern
