@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ragloom.sources.reports import EMPTY_FILE, NO_CHUNKS_ROUTED
+
 # Extensions accepted by a directory scan (compared lower-cased).
 SCAN_EXTENSIONS = (".txt", ".md")
 
@@ -102,7 +104,7 @@ def import_report_files(listing: DataFrame, chunk_counts: DataFrame, extensions=
     n = F.coalesce(F.col("chunk_count"), F.lit(0)).cast("long")
     err = (
         F.when(F.col("name").startswith("_"), F.lit("skipped: name starts with '_'"))
-        .when(F.col("length") == 0, F.lit("empty file"))
-        .when(n == 0, F.lit("文档切分后没有有效分块"))
+        .when(F.col("length") == 0, F.lit(EMPTY_FILE))
+        .when(n == 0, F.lit(NO_CHUNKS_ROUTED))
     )
     return j.select("path", n.alias("chunk_count"), err.isNull().alias("success"), err.alias("error"))

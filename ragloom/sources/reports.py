@@ -10,9 +10,10 @@ from ragloom.functions.text import byte_length
 from ragloom.operators.chunking import count_chunks
 from ragloom.params import ChunkParams
 
-# Failure texts of an import that yields no chunk, by splitter path.
+# Failure texts of an import that yields no chunk (by splitter path), and of an empty file.
 NO_CHUNKS_FIXED = "文本切分后没有有效分块"
 NO_CHUNKS_ROUTED = "文档切分后没有有效分块"
+EMPTY_FILE = "文件内容为空"
 
 # Declared maximum lengths of the stored fields (id, content, doc_id, source, metadata_json).
 FIELD_LIMITS = [("chunk_id", 64), ("content", 16384), ("doc_id", 64), ("source", 256), ("metadata_json", 4096)]

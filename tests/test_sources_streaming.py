@@ -35,9 +35,9 @@ def test_directory_scan_and_report(spark, tmpdir_fresh):
     rep = {os.path.basename(r["path"]): r for r in import_report_files(list_files(spark, tmpdir_fresh), counts).collect()}
     assert set(rep) == {"a.txt", "B.TXT", "c.md", "e.txt", "_u.txt", "blank.txt"}
     assert rep["a.txt"]["success"] and rep["c.md"]["success"] and rep["a.txt"]["chunk_count"] > 0
-    assert not rep["e.txt"]["success"] and rep["e.txt"]["error"] == "empty file"
+    assert not rep["e.txt"]["success"] and rep["e.txt"]["error"] == "文件内容为空"
     assert not rep["_u.txt"]["success"] and rep["_u.txt"]["error"].startswith("skipped")
-    assert not rep["blank.txt"]["success"]
+    assert not rep["blank.txt"]["success"] and rep["blank.txt"]["error"] == "文档切分后没有有效分块"
     one = read_files(spark, [os.path.join(tmpdir_fresh, "m.markdown")]).collect()
     assert len(one) == 1 and one[0]["text"] == TEXT  # explicit file: no extension test, whole file as one row
 
