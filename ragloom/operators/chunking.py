@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ragloom.functions.metadata import chunk_id as chunk_id_expr
 from ragloom.functions.text import char_length, file_ext_lower, trim_unicode
 from ragloom.params import ChunkParams
+from ragloom.session import ship_package
 
 
 def _c(c) -> Column:
@@ -142,6 +143,7 @@ def chunk_routed(
     from ragloom.operators.markdown import with_markdown_sections
     from ragloom.operators.recursive import chunk_recursive_array
 
+    ship_package(df.sparkSession)
     md = is_markdown_type(F.col(file_type)) if file_type else is_markdown_source(F.col(source))
     keep = list(keep or [])
     if source not in keep and source in df.columns:
@@ -166,4 +168,5 @@ def chunk_recursive(df: DataFrame, params: ChunkParams = ChunkParams(), text: st
     """T3 + T7 on a documents table."""
     from ragloom.operators.recursive import chunk_recursive_array
 
+    ship_package(df.sparkSession)
     return explode_chunks(df, chunk_recursive_array(F.col(text), params.size, params.overlap), doc_id=doc_id, keep=keep)

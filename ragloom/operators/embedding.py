@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from ragloom.session import ship_package
 
 # Fixed value: a token is a maximal run of letters and digits.
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
@@ -95,6 +96,7 @@ def _dense_embed_udf(dim: int):
 def hash_embed(df: DataFrame, text: str = "content", dim: int = 256, out: str = "embedding") -> DataFrame:
     """E4 dense form: unit-length ``array<float>`` of width ``dim`` (all-zero for a text
     with no token), computed per Arrow batch."""
+    ship_package(df.sparkSession)
     return df.withColumn(out, _dense_embed_udf(dim)(_c(text)))
 
 
@@ -103,6 +105,7 @@ def hash_terms(df: DataFrame, key: list[str], text: str, dim: int = 256) -> Data
     counts are complete inside its task, so nothing is shuffled (``mapInArrow``)."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ship_package(df.sparkSession)
     fields = [f for f in df.select(*key).schema.fields]
     schema = T.StructType(fields + [T.StructField("bucket", T.IntegerType()), T.StructField("n", T.LongType())])
     arrow_schema = to_arrow_schema(schema)
@@ -151,6 +154,7 @@ def embed(df: DataFrame, text: str = "content", fn=None, dim: int = 256, out: st
     """Embed ``text`` with ``fn`` (a batch callable), or with E4 when ``fn`` is None."""
     if fn is None:
         return hash_embed(df, text, dim, out)
+    ship_package(df.sparkSession)
     return df.withColumn(out, embedder_udf(fn)(_c(text)))
 
 

@@ -28,6 +28,7 @@ from ragloom.operators.search import (
     topk_kernel,
 )
 from ragloom.params import SearchParams
+from ragloom.session import ship_package
 
 # Index lists and probed lists of the reference's index (all probed: exact).
 NLIST = 128
@@ -97,6 +98,7 @@ def ivf_search(
     cents = model_or_centroids if isinstance(model_or_centroids, np.ndarray) else centroids(model_or_centroids)
     dim = dim or cents.shape[1]
     spark = chunks.sparkSession
+    ship_package(spark)
     schema = out_schema(chunks, [vec, cell])
     arrow_schema = to_arrow_schema(schema)
     base = cosine_scorer(vec, "dense", dim)
@@ -216,6 +218,7 @@ def ivf_join(
     cents = model_or_centroids if isinstance(model_or_centroids, np.ndarray) else centroids(model_or_centroids)
     nl, dim = cents.shape
     spark = chunks.sparkSession
+    ship_package(spark)
     bc = spark.sparkContext.broadcast(cents)
     probes = queries.select(F.col(query_id).cast("long").alias(query_id), F.col(query_vec).alias(query_vec)).mapInArrow(
         _probe_rows(bc, nprobe, query_id, query_vec, dim),

@@ -39,6 +39,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ragloom.functions.vectors import cosine
 from ragloom.params import SearchParams
+from ragloom.session import ship_package
 
 
 class DimensionError(ValueError):
@@ -245,6 +246,7 @@ def search_candidates(
     if dim is None:
         dim = _infer_dim(queries, query_vec)
     spark = chunks.sparkSession
+    ship_package(spark)
     # a text column is hashed in the task and stays in the payload; vectors are dropped
     drop = [] if mode == "text" else [vec]
     schema = out_schema(chunks, drop)

@@ -59,3 +59,25 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     output is deterministic on retry (rows are sorted before the exchange)."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ragloom`` importable in the Python workers of this application.
+
+    Operators that run Python in tasks (``mapInArrow``, ``pandas_udf``, ``applyInPandas``)
+    call this first. The package is zipped once per SparkContext and added with
+    ``addPyFile``, which Spark distributes to every executor (the same as ``--py-files``).
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="ragloom-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "ragloom"), "zip", root_dir=os.path.dirname(pkg_dir), base_dir="ragloom")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
