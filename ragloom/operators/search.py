@@ -260,17 +260,28 @@ def search_candidates(
     return reduce(DataFrame.unionByName, parts)
 
 
-def rank_within_query(cands: DataFrame, k: int | None, order: list[str], fan_in: int = 1024) -> DataFrame:
+def scan_tasks_lower_bound(df: DataFrame) -> int:
+    """A lower bound on the number of scan tasks feeding ``df``: its input files (every file
+    is at least one split). Read from the file index, without running anything (asking an
+    adaptive plan for its partition count would execute its shuffle stages)."""
+    try:
+        return len(df.inputFiles())
+    except Exception:  # sources without a file listing
+        return 0
+
+
+def rank_within_query(cands: DataFrame, k: int | None, order: list[str], fan_in: int = 1024,
+                      tasks: int | None = None) -> DataFrame:
     """Global rank per query under ``score desc, order asc``; keeps ``rank <= k``.
 
     Every candidate task holds at most k rows per query, so one query meets
     ``tasks × k`` rows after the exchange. When there are more than ``2 × fan_in``
-    candidate tasks (a scan of a very large table), a first level keeps the top-k per
-    (query, group of ``fan_in`` tasks), so no reducer sees more than ``fan_in × k`` rows
-    of one query at either level."""
+    candidate tasks (a scan of a very large table; ``tasks`` defaults to the number of
+    input files), a first level keeps the top-k per (query, group of ``fan_in`` tasks), so
+    no reducer sees more than ``fan_in × k`` rows of one query at either level."""
     ordering = [F.col("score").desc(), *[F.col(c).asc() for c in order]]
     if k is not None:
-        n = cands.rdd.getNumPartitions()
+        n = scan_tasks_lower_bound(cands) if tasks is None else tasks
         if n > 2 * fan_in:
             groups = -(-n // fan_in)
             w1 = Window.partitionBy("query_id", "_grp").orderBy(*ordering)

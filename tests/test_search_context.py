@@ -186,6 +186,6 @@ def test_two_level_rank_equals_one_level(spark):
     q = e.select(F.col("vec_id").alias("query_id"), "embedding")
     cands = search_candidates(e, q, 5, order=["vec_id"], round_digits=9)
     one = rank_within_query(cands, 5, ["vec_id"]).select("query_id", "vec_id", "rank").collect()
-    two = rank_within_query(cands, 5, ["vec_id"], fan_in=2)  # 12 tasks > 2 x 2: two levels
+    two = rank_within_query(cands, 5, ["vec_id"], fan_in=2, tasks=12)  # 12 tasks > 2 x 2: two levels
     assert "_grp" not in two.columns
     assert sorted(map(tuple, one)) == sorted(map(tuple, two.select("query_id", "vec_id", "rank").collect()))
