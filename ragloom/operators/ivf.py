@@ -151,41 +151,25 @@ def _probe_rows(bc, nprobe: int, query_id: str, query_vec: str, dim: int):
     return run
 
 
-def _score_group(cpdf, qpdf, names, payload, vec, dim, k, order, round_digits):
-    """Score one (cell, chunk salt, query salt) group: local top-k per query."""
-    import pandas as pd
-
-    if len(cpdf) == 0 or len(qpdf) == 0:
-        return pd.DataFrame({n: [] for n in names})
-    m = np.zeros((len(cpdf), dim))
-    ok_rows = np.array([v is not None and len(v) == dim for v in cpdf[vec]], dtype=bool)
-    if ok_rows.any():
-        m[ok_rows] = np.stack([np.asarray(v, dtype=np.float64) for v in cpdf[vec][ok_rows]])
-    q = np.stack([np.asarray(v, dtype=np.float64) if v is not None and len(v) == dim else np.zeros(dim)
-                  for v in qpdf["_qv"]])
-    cn = np.sqrt(np.einsum("ij,ij->i", m, m))
+class _GroupQueries:
+    """Stands in for the broadcast query state inside one co-group (same ``.value`` shape)."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def _score_group(ct: pa.Table, qt: pa.Table, vec: str, dim: int, k: int, order: list[str], round_digits,
+                 drop: list[str], arrow_schema: pa.Schema) -> pa.Table:
+    """Score one (cell, chunk salt, query salt) group with the search kernel: local top-k per query."""
+    if ct.num_rows == 0 or qt.num_rows == 0:
+        return arrow_schema.empty_table()
+    ids = qt.column("_qid").to_numpy().astype(np.int64)
+    q = _matrix(qt.column("_qv"), "dense", dim)
     qn = np.sqrt(np.einsum("ij,ij->i", q, q))
-    out = []
-    step = max(1, (1 << 22) // max(len(cpdf), 1))
-    for lo in range(0, len(qpdf), step):
-        hi = min(len(qpdf), lo + step)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            s = (q[lo:hi] @ m.T) / np.multiply.outer(qn[lo:hi], cn)
-        if round_digits is not None:
-            s = np.round(s, round_digits)
-        ok = np.isfinite(s)
-        if s.shape[1] > k:
-            sm = np.where(ok, s, -np.inf)
-            kth = np.partition(sm, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
-            ok &= sm >= kth[:, None]
-        qi, ri = np.nonzero(ok)
-        part = cpdf.iloc[ri][payload].reset_index(drop=True)
-        part.insert(0, "query_id", qpdf["_qid"].to_numpy()[lo + qi])
-        part["score"] = s[qi, ri]
-        out.append(part)
-    res = pd.concat(out, ignore_index=True)
-    res = res.sort_values(["query_id", "score", *order], ascending=[True, False, *([True] * len(order))])
-    return res.groupby("query_id", sort=False).head(k)[names]
+    run = topk_kernel(_GroupQueries((ids, q, qn)), cosine_scorer(vec, "dense", dim), drop, k, None, order,
+                      arrow_schema, round_digits)
+    out = list(run(iter(ct.to_batches())))
+    return pa.Table.from_batches(out, schema=arrow_schema) if out else arrow_schema.empty_table()
 
 
 def ivf_join(
@@ -240,17 +224,16 @@ def ivf_join(
               .withColumn("_cell", F.col("cell").cast("int"))
               .select("_cell", "_s", "_t", F.col(query_id).alias("_qid"), F.col(query_vec).alias("_qv")))
 
-    payload = [f.name for f in chunks.schema.fields if f.name not in (vec, cell)]
-    schema = T.StructType([T.StructField("query_id", T.LongType())]
-                          + [f for f in chunks.schema.fields if f.name in payload]
-                          + [T.StructField("score", T.DoubleType())])
+    drop = [vec, "_cell", "_s", "_t"]
+    schema = out_schema(c_side, drop)
+    arrow_schema = to_arrow_schema(schema)
 
-    def score_group(cpdf, qpdf):
-        return _score_group(cpdf, qpdf, schema.names, payload, vec, dim, k, order, round_digits)
+    def score_group(ct, qt):
+        return _score_group(ct, qt, vec, dim, k, order, round_digits, drop, arrow_schema)
 
     cands = (c_side.groupBy("_cell", "_s", "_t")
              .cogroup(q_side.groupBy("_cell", "_s", "_t"))
-             .applyInPandas(score_group, schema))
+             .applyInArrow(score_group, schema))
     return rank_within_query(cands, k, order)
 
 
