@@ -189,3 +189,20 @@ def test_two_level_rank_equals_one_level(spark):
     two = rank_within_query(cands, 5, ["vec_id"], fan_in=2, tasks=12)  # 12 tasks > 2 x 2: two levels
     assert "_grp" not in two.columns
     assert sorted(map(tuple, one)) == sorted(map(tuple, two.select("query_id", "vec_id", "rank").collect()))
+
+
+def test_empty_and_null_queries(spark):
+    from ragloom.operators.hybrid import bm25_search
+    from ragloom.plans.rag import rag_contexts
+
+    ch = spark.createDataFrame([("a:0", "a", 0, "some text here"), ("b:0", "b", 0, "other words")],
+                               "chunk_id string, doc_id string, chunk_index long, content string")
+    empty = spark.createDataFrame([], "query_id long, question string")
+    assert rag_contexts(empty, ch).count() == 0
+    assert bm25_search(ch, empty, 3).count() == 0
+    nulls = spark.createDataFrame([(1, None), (2, "")], "query_id long, question string")
+    out = {r["query_id"]: r for r in rag_contexts(nulls, ch).collect()}
+    assert not out[1]["answerable"] and not out[2]["answerable"]
+    assert bm25_search(ch, nulls, 3).count() == 0
+    e = spark.createDataFrame([(1, [1.0, 0.0])], "vec_id long, embedding array<float>")
+    assert search_batch(e, spark.createDataFrame([], "query_id long, embedding array<float>"), 3, dim=2).count() == 0
