@@ -203,12 +203,14 @@ def out_schema(chunks: DataFrame, drop: list[str]) -> T.StructType:
     return T.StructType(fields)
 
 
-def query_blocks(queries: DataFrame, query_id: str, row_bytes: int, max_broadcast_bytes: int) -> list[DataFrame]:
+def query_blocks(queries: DataFrame, query_id: str, row_bytes: int, max_broadcast_bytes: int,
+                  blocks: int | None = None) -> list[DataFrame]:
     """Split the query table so each block's broadcast stays under the limit.
 
     The count is an aggregate (one number to the driver); blocks cover all queries."""
-    n = queries.count()
-    blocks = max(1, math.ceil(n * row_bytes / max_broadcast_bytes))
+    if blocks is None:
+        n = queries.count()
+        blocks = max(1, math.ceil(n * row_bytes / max_broadcast_bytes))
     if blocks == 1:
         return [queries]
     return [queries.where(F.pmod(F.xxhash64(F.col(query_id)), F.lit(blocks)) == b) for b in range(blocks)]

@@ -206,3 +206,14 @@ def test_empty_and_null_queries(spark):
     assert bm25_search(ch, nulls, 3).count() == 0
     e = spark.createDataFrame([(1, [1.0, 0.0])], "vec_id long, embedding array<float>")
     assert search_batch(e, spark.createDataFrame([], "query_id long, embedding array<float>"), 3, dim=2).count() == 0
+
+
+def test_bm25_blocks_equal_single_block(spark):
+    from conftest import SF001
+    from ragloom.operators.hybrid import bm25_search
+    from ragloom.plans.catalog import doc_chunks, questions
+
+    ch, qs = doc_chunks(spark, SF001), questions(spark, SF001)
+    one = bm25_search(ch, qs, 5).select("query_id", "chunk_id", "rank").collect()
+    many = bm25_search(ch, qs, 5, max_broadcast_bytes=20_000).select("query_id", "chunk_id", "rank").collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, many)) and len(one) > 0
