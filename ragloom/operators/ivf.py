@@ -116,7 +116,8 @@ def ivf_search(
         return masked
 
     parts = []
-    for qb in query_blocks(queries, query_id, dim * 8, max_broadcast_bytes):
+    # a query row ships its vector (dim doubles) and its probe mask (nlist booleans)
+    for qb in query_blocks(queries, query_id, dim * 8 + cents.shape[0], max_broadcast_bytes):
         ids, q, qn = _query_matrix(qb, query_id, query_vec, "dense", dim)
         probe = _probes(q, cents, nprobe)
         probed = sorted(int(c) for c in np.nonzero(probe.any(axis=0))[0])
