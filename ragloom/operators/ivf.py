@@ -211,18 +211,24 @@ def ivf_join(
     )
     n_chunks = {r[0]: r[1] for r in chunks.groupBy(cell).count().collect()}  # <= nlist rows
     n_probes = {r[0]: r[1] for r in probes.groupBy("cell").count().collect()}
-    s_arr = F.array(*[F.lit(max(1, -(-n_chunks.get(c, 0) // group_chunks))) for c in range(nl)]).cast("array<int>")
-    t_arr = F.array(*[F.lit(max(1, -(-n_probes.get(c, 0) // group_queries))) for c in range(nl)]).cast("array<int>")
-
+    # per-cell group counts: a table of nlist rows (its size is the index parameter), broadcast
+    sizes = spark.createDataFrame(
+        [(c, max(1, -(-n_chunks.get(c, 0) // group_chunks)), max(1, -(-n_probes.get(c, 0) // group_queries)))
+         for c in range(nl)],
+        "_cell int, _ns int, _nt int",
+    )
     key = F.xxhash64(*[F.col(c) for c in (order or [vec])])
     # the co-group keys must have the same types on both sides: int and bigint hash
     # differently, and cogroup does not coerce them
-    c_side = (chunks.withColumn("_s", F.pmod(key, F.element_at(s_arr, F.col(cell) + 1)).cast("int"))
-              .withColumn("_t", F.explode(F.sequence(F.lit(0), (F.element_at(t_arr, F.col(cell) + 1) - 1).cast("int"))))
-              .withColumn("_cell", F.col(cell).cast("int")).drop(cell))
-    q_side = (probes.withColumn("_t", F.pmod(F.xxhash64(query_id), F.element_at(t_arr, F.col("cell") + 1)).cast("int"))
-              .withColumn("_s", F.explode(F.sequence(F.lit(0), (F.element_at(s_arr, F.col("cell") + 1) - 1).cast("int"))))
-              .withColumn("_cell", F.col("cell").cast("int"))
+    c_side = (chunks.withColumn("_cell", F.col(cell).cast("int")).drop(cell)
+              .join(F.broadcast(sizes), "_cell")
+              .withColumn("_s", F.pmod(key, F.col("_ns")).cast("int"))
+              .withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("_nt") - 1)))
+              .drop("_ns", "_nt"))
+    q_side = (probes.withColumn("_cell", F.col("cell").cast("int"))
+              .join(F.broadcast(sizes), "_cell")
+              .withColumn("_t", F.pmod(F.xxhash64(query_id), F.col("_nt")).cast("int"))
+              .withColumn("_s", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1)))
               .select("_cell", "_s", "_t", F.col(query_id).alias("_qid"), F.col(query_vec).alias("_qv")))
 
     drop = [vec, "_cell", "_s", "_t"]
