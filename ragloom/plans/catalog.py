@@ -32,11 +32,21 @@ from ragloom.operators.context import (
 from ragloom.operators.embedding import hash_terms
 from ragloom.operators.hybrid import bm25_search, history_queries, rrf_fuse
 from ragloom.operators.ivf import ivf_assign, ivf_fit, ivf_join, ivf_search
-from ragloom.operators.messages import build_history, merge_fragments, model_input, render_template, run_tool_calls, search_report
+from ragloom.operators.messages import (
+    build_history,
+    merge_fragments,
+    model_input,
+    render_template,
+    run_tool_calls,
+    search_report,
+    tool_messages,
+)
 from ragloom.operators.search import search, search_batch
 from ragloom.params import CONFIGURED_PACK, GRAPH_PACK, ChunkParams, SearchParams
 from ragloom.plans.rag import rag_contexts, retrieve
+from ragloom.plans.ingest import ingest
 from ragloom.plans.tables import table
+from ragloom.sources.chunk_table import to_rows
 from ragloom.session import spread
 from ragloom.sources.reports import field_limit_violations, import_report, import_totals
 
@@ -307,6 +317,25 @@ def q_merge_fragments(spark, sf_dir):
     return merge_fragments(frags, ["conv_id", "turn"])
 
 
+def q_tool_history(spark, sf_dir):
+    """U1 + M7: each conversation's history followed by its tool messages in call order."""
+    conv = table(spark, sf_dir, "conversations")
+
+    def search_fn(qs, k):
+        return sparse_hits(spark, sf_dir, qs, k=k)
+
+    results = run_tool_calls(tool_calls_from_conversations(conv), search_fn, k=5)
+    return tool_messages(results, build_history(conv)).select("conv_id", "seq", "role", "content", "tool_call_id")
+
+
+def q_chunk_rows(spark, sf_dir):
+    """M10 up to the sink (P2, T1, T7, P9): stored chunk rows with sorted-key metadata JSON
+    (the vector column is left out of the comparison)."""
+    docs = documents(spark, sf_dir, ["doc_id", "text", "source"]).select(
+        F.col("doc_id").cast("string").alias("doc_id"), "text", "source")
+    return to_rows(ingest(docs, CHUNKS, SEARCH.dim, splitter="fixed")).drop("embedding")
+
+
 # ----------------------------------------------------------------------------- reports
 
 
@@ -379,6 +408,7 @@ QUERIES = {
     "rag_contexts": q_rag_contexts,
     "rag_contexts_graph": q_rag_contexts_graph,
     "chunk_fixed": q_chunk_fixed,
+    "chunk_rows": q_chunk_rows,
     "count_chunks": q_count_chunks,
     "chunks_per_document": q_chunks_per_document,
     "knn_sparse": q_knn_sparse,
@@ -400,6 +430,7 @@ QUERIES = {
     "conversation_history": q_conversation_history,
     "model_input": q_model_input,
     "tool_results": q_tool_results,
+    "tool_history": q_tool_history,
     "search_report": q_search_report,
     "merge_fragments": q_merge_fragments,
     "import_report": q_import_report,

@@ -76,6 +76,14 @@ FROM q LEFT JOIN ctx ON q.query_id = ctx.query_id
 
 CHUNK_FIXED = f"SELECT * FROM {chunks_sql()}"
 
+CHUNK_ROWS = f"""
+SELECT chunk_id, doc_id, chunk_index, content, coalesce(source, '') AS source,
+       '{{"chunk_index":' || to_json(CAST(chunk_index AS VARCHAR)) || ',"doc_id":' || to_json(doc_id)
+       || ',"original_length":' || to_json(CAST(strlen(text) AS VARCHAR)) || ',"source":' || to_json(coalesce(source, ''))
+       || '}}' AS metadata_json
+FROM {chunks_sql(extra="source, text")}
+"""
+
 COUNT_CHUNKS = f"""
 SELECT CAST(d.doc_id AS VARCHAR) AS doc_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_chunks
 FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM {chunks_sql()} GROUP BY doc_id) c
@@ -228,6 +236,16 @@ FROM conversations c JOIN r ON r.query_id = c.conv_id * 1000000 + c.turn
 WHERE c.role = 'user'
 """
 
+TOOL_HISTORY = f"""
+WITH hist AS ({_HISTORY}),
+last AS (SELECT conv_id, max(seq) AS m FROM hist GROUP BY conv_id),
+t AS ({TOOL_RESULTS})
+SELECT conv_id, seq, role, content, CAST(NULL AS VARCHAR) AS tool_call_id FROM hist
+UNION ALL
+SELECT t.conv_id, CAST(last.m + 1 + t.call_pos AS BIGINT) AS seq, 'tool' AS role, t.content, t.call_id AS tool_call_id
+FROM t JOIN last ON t.conv_id = last.conv_id
+"""
+
 MERGE_FRAGMENTS = "SELECT conv_id, turn, coalesce(text, '') AS content FROM conversations"
 
 IMPORT_REPORT = f"""
@@ -334,6 +352,7 @@ ORACLE = {
     "rag_contexts": RAG_CONTEXTS,
     "rag_contexts_graph": RAG_CONTEXTS_GRAPH,
     "chunk_fixed": CHUNK_FIXED,
+    "chunk_rows": CHUNK_ROWS,
     "count_chunks": COUNT_CHUNKS,
     "chunks_per_document": CHUNKS_PER_DOCUMENT,
     "knn_sparse": KNN_SPARSE,
@@ -354,6 +373,7 @@ ORACLE = {
     "conversation_history": CONVERSATION_HISTORY,
     "model_input": MODEL_INPUT,
     "tool_results": TOOL_RESULTS,
+    "tool_history": TOOL_HISTORY,
     "search_report": SEARCH_REPORT,
     "merge_fragments": MERGE_FRAGMENTS,
     "import_report": IMPORT_REPORT,
