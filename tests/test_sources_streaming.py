@@ -97,3 +97,27 @@ def test_search_stream(spark, tmpdir_fresh):
     got = sorted((r["query_id"], r["context"]) for r in spark.read.parquet(out).collect())
     exp = sorted((r["query_id"], r["context"]) for r in q_rag_contexts(spark, SF001).collect())
     assert got == exp
+
+
+def test_rag_over_stored_dense_table(spark, tmpdir_fresh):
+    """S4 -> S5 -> M9 with stored E4 vectors (dense mode) agrees with the in-task hashed search."""
+    from conftest import SF001
+    from ragloom.operators.embedding import hash_embed
+    from ragloom.plans.catalog import doc_chunks, questions
+    from ragloom.plans.rag import rag_contexts, retrieve
+    from ragloom.params import SearchParams
+
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "source")
+    path = os.path.join(tmpdir_fresh, "dense")
+    ingest_to_table(docs, path, dim=256, splitter="fixed")
+    stored = read_chunks(spark, path, with_vector=True)
+    qs = hash_embed(questions(spark, SF001), "question", 256)
+    dense = {(r["query_id"], r["chunk_id"]): r["score"] for r in
+             retrieve(qs, stored, SearchParams(k=5), vec="embedding", query_vec="embedding", mode="dense").collect()}
+    text = {(r["query_id"], r["chunk_id"]): r["score"] for r in
+            retrieve(questions(spark, SF001), doc_chunks(spark, SF001), SearchParams(k=5)).collect()}
+    same = set(dense) & set(text)
+    assert len(same) >= 0.95 * len(text)
+    assert all(abs(dense[k] - text[k]) < 1e-5 for k in same)
+    ctx = rag_contexts(qs, stored, vec="embedding", mode="dense").collect()
+    assert len(ctx) == 40 and sum(r["answerable"] for r in ctx) >= 25
