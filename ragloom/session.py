@@ -56,7 +56,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     has cores (e.g. a file written as one row group), so CPU-heavy per-row work (chunking,
     hashing, scoring) uses every core. A large table already has at least that many
     splits and is left untouched, so this never adds a shuffle at scale. Round-robin
-    output is deterministic on retry (rows are sorted before the exchange)."""
+    output is deterministic on retry (rows are sorted before the exchange). Meant for a
+    scan: asking an adaptive plan that already contains a shuffle for its partition count
+    would run that shuffle."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 

@@ -121,3 +121,21 @@ def test_rag_over_stored_dense_table(spark, tmpdir_fresh):
     assert all(abs(dense[k] - text[k]) < 1e-5 for k in same)
     ctx = rag_contexts(qs, stored, vec="embedding", mode="dense").collect()
     assert len(ctx) == 40 and sum(r["answerable"] for r in ctx) >= 25
+
+
+def test_write_quarantine_and_dimension_split(spark, tmpdir_fresh):
+    from ragloom.operators.search import split_by_dimension
+
+    rows = spark.createDataFrame(
+        [("a:0", "a", 0, "ok", "s", [1.0, 0.0]), ("b:0", "b", 0, "x" * 20000, "s", [0.0, 1.0]),
+         ("c:0" + "9" * 70, "c", 0, "long id", "s", [1.0, 1.0])],
+        "chunk_id string, doc_id string, chunk_index long, content string, source string, embedding array<float>")
+    good, bad = os.path.join(tmpdir_fresh, "good"), os.path.join(tmpdir_fresh, "bad")
+    write_chunks(rows, good, 2, quarantine_path=bad)
+    assert [r["chunk_id"] for r in spark.read.parquet(good).collect()] == ["a:0"]
+    assert sorted(r["doc_id"] for r in spark.read.parquet(bad).collect()) == ["b", "c"]
+    with pytest.raises(Exception):
+        write_chunks(rows, os.path.join(tmpdir_fresh, "strict"), 2)  # no quarantine: the write fails
+    v = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0]), (3, None), (4, [])], "id long, embedding array<float>")
+    ok, wrong = split_by_dimension(v, 2)
+    assert sorted(r["id"] for r in ok.collect()) == [1, 3, 4] and [r["id"] for r in wrong.collect()] == [2]
