@@ -217,3 +217,16 @@ def test_bm25_blocks_equal_single_block(spark):
     one = bm25_search(ch, qs, 5).select("query_id", "chunk_id", "rank").collect()
     many = bm25_search(ch, qs, 5, max_broadcast_bytes=20_000).select("query_id", "chunk_id", "rank").collect()
     assert sorted(map(tuple, one)) == sorted(map(tuple, many)) and len(one) > 0
+
+
+def test_sparse_jvm_buckets_equal_text_mode(spark):
+    from conftest import SF001
+    from ragloom.params import SearchParams
+    from ragloom.plans.catalog import doc_chunks, questions
+    from ragloom.plans.rag import retrieve, with_chunk_buckets, with_query_buckets
+
+    ch, qs = doc_chunks(spark, SF001), questions(spark, SF001)
+    text = retrieve(qs, ch, SearchParams(k=5)).select("query_id", "chunk_id", "score", "rank").collect()
+    sparse = retrieve(with_query_buckets(qs, 256), with_chunk_buckets(ch, 256), SearchParams(k=5),
+                      vec="buckets", query_vec="buckets", mode="sparse").select("query_id", "chunk_id", "score", "rank").collect()
+    assert sorted(map(tuple, text)) == sorted(map(tuple, sparse))  # bit-identical scores
