@@ -6,11 +6,9 @@ where it is the feature (top-k).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pyspark.sql import Window
-
 from ragloom.functions.metadata import (
     base_metadata,
     meta_long,
@@ -21,17 +19,11 @@ from ragloom.functions.metadata import (
 )
 from ragloom.functions.text import byte_length
 from ragloom.operators.chunking import chunk_fixed, chunk_markdown, chunk_recursive, chunk_routed, count_chunks
-from ragloom.operators.markdown import derived_markdown
-from ragloom.operators.context import (
-    dedup_by_chunk,
-    dedup_by_content,
-    pack_flags,
-    rank_hits,
-    score_threshold,
-)
+from ragloom.operators.context import dedup_by_chunk, dedup_by_content, pack_flags, rank_hits, score_threshold
 from ragloom.operators.embedding import hash_terms
 from ragloom.operators.hybrid import bm25_search, history_queries, rrf_fuse
 from ragloom.operators.ivf import ivf_assign, ivf_fit, ivf_join, ivf_search
+from ragloom.operators.markdown import derived_markdown
 from ragloom.operators.messages import (
     build_history,
     merge_fragments,
@@ -43,11 +35,11 @@ from ragloom.operators.messages import (
 )
 from ragloom.operators.search import search, search_batch
 from ragloom.params import CONFIGURED_PACK, GRAPH_PACK, ChunkParams, SearchParams
-from ragloom.plans.rag import rag_contexts, retrieve
 from ragloom.plans.ingest import ingest
+from ragloom.plans.rag import rag_contexts, retrieve
 from ragloom.plans.tables import table
-from ragloom.sources.chunk_table import to_rows
 from ragloom.session import spread
+from ragloom.sources.chunk_table import to_rows
 from ragloom.sources.reports import field_limit_violations, import_report, import_totals
 
 CHUNKS = ChunkParams()  # 500 / 50 / 10
@@ -62,10 +54,12 @@ def documents(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -
 
 
 def doc_chunks(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
+    """T1 chunks (500/50/10) of every document: ``chunk_id, doc_id, chunk_index, content, *keep``."""
     return chunk_fixed(documents(spark, sf_dir, ["doc_id", "text", *(k for k in (keep or []) if k != "text")]), CHUNKS, keep=keep)
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items as the question table ``(query_id, question)``."""
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
 
 
