@@ -19,7 +19,8 @@ HEADLINE = [
     "chunk_markdown",     # T4 over all documents
     "chunk_recursive",    # T3 over all documents
     "hash_embed",         # E4 token hashing of all documents
-    "knn_batch",          # R2 dense exact top-k, all embeddings as queries
+    "knn_batch",          # R2 dense exact top-k, all embeddings as queries (NumPy kernel)
+    "knn_single",         # R1 one query, SQL higher-order functions in the JVM
     "bm25_search",        # X1
     "tool_results",       # M6: one search per user turn
     "model_input",        # M4: history + RAG prompt per conversation
