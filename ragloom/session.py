@@ -8,11 +8,14 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "ragloom") -> SparkSession:
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "ragloom",
+              scan_split_bytes: int | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE on, the UI off and Arrow enabled.
 
     On a cluster pass ``master=None`` and let spark-submit decide; partitions are
     sized by AQE from the advisory size, so the initial number only bounds it.
+    ``scan_split_bytes`` sets ``spark.sql.files.maxPartitionBytes``: larger scan splits mean
+    fewer search tasks, and each task emits at most ``queries × k`` candidates.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -28,6 +31,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     )
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if scan_split_bytes:
+        b = b.config("spark.sql.files.maxPartitionBytes", str(scan_split_bytes))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
