@@ -42,6 +42,12 @@ def import_totals(report: DataFrame) -> DataFrame:
     )
 
 
+def import_failures(report: DataFrame) -> DataFrame:
+    """S6 failed list: the failed entries with their errors. It stays a DataFrame (write
+    or show it); collecting an unbounded list to the driver is left to the caller."""
+    return report.where(~F.col("success")).drop("success")
+
+
 def stored_rows_unsplit(documents: DataFrame) -> DataFrame:
     """Documents as they would be stored without splitting (one chunk per document)."""
     return documents.select(

@@ -139,3 +139,16 @@ def test_write_quarantine_and_dimension_split(spark, tmpdir_fresh):
     v = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0]), (3, None), (4, [])], "id long, embedding array<float>")
     ok, wrong = split_by_dimension(v, 2)
     assert sorted(r["id"] for r in ok.collect()) == [1, 3, 4] and [r["id"] for r in wrong.collect()] == [2]
+
+
+def test_import_totals_and_failures(spark):
+    from ragloom.sources.reports import import_failures, import_report, import_totals
+
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    r = import_totals(import_report(empty)).first()
+    assert (r["n_success"], r["n_failed"], r["total_chunks"]) == (0, 0, 0)
+    docs = spark.createDataFrame([(1, "x" * 30), (2, "  "), (3, "short")], "doc_id long, text string")
+    rep = import_report(docs)
+    t = import_totals(rep).first()
+    assert (t["n_success"], t["n_failed"], t["total_chunks"]) == (1, 2, 1)
+    assert sorted(r["doc_id"] for r in import_failures(rep).collect()) == ["2", "3"]
