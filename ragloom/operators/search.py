@@ -237,6 +237,7 @@ def search_candidates(
     order: list[str] | None = None,
     max_broadcast_bytes: int = SearchParams().max_broadcast_bytes,
     round_digits: int | None = None,
+    carry_text: bool = True,
 ) -> DataFrame:
     """Per-task top-k candidates ``(query_id, <chunk columns>, score)``; see ``search_batch``."""
     query_vec = query_vec or vec
@@ -249,8 +250,9 @@ def search_candidates(
         dim = _infer_dim(queries, query_vec)
     spark = chunks.sparkSession
     ship_package(spark)
-    # a text column is hashed in the task and stays in the payload; vectors are dropped
-    drop = [] if mode == "text" else [vec]
+    # a text column is hashed in the task and stays in the payload (unless carry_text is
+    # off); vectors are dropped
+    drop = [] if (mode == "text" and carry_text) else [vec]
     schema = out_schema(chunks, drop)
     arrow_schema = to_arrow_schema(schema)
     scorer = cosine_scorer(vec, mode, dim)
@@ -310,6 +312,7 @@ def search_batch(
     order: list[str] | None = None,
     max_broadcast_bytes: int = SearchParams().max_broadcast_bytes,
     round_digits: int | None = None,
+    carry_text: bool = True,
 ) -> DataFrame:
     """R2: exact top-k cosine for every row of ``queries`` against every chunk.
 
@@ -322,6 +325,7 @@ def search_batch(
     cands = search_candidates(
         chunks, queries, k, vec=vec, query_id=query_id, query_vec=query_vec, mode=mode, dim=dim,
         min_score=min_score, order=order, max_broadcast_bytes=max_broadcast_bytes, round_digits=round_digits,
+        carry_text=carry_text,
     )
     return rank_within_query(cands, k, order)
 

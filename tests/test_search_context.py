@@ -230,3 +230,16 @@ def test_sparse_jvm_buckets_equal_text_mode(spark):
     sparse = retrieve(with_query_buckets(qs, 256), with_chunk_buckets(ch, 256), SearchParams(k=5),
                       vec="buckets", query_vec="buckets", mode="sparse").select("query_id", "chunk_id", "score", "rank").collect()
     assert sorted(map(tuple, text)) == sorted(map(tuple, sparse))  # bit-identical scores
+
+
+def test_keys_only_search_equals_carried_content(spark):
+    from conftest import SF001
+    from ragloom.params import SearchParams
+    from ragloom.plans.catalog import doc_chunks, questions
+    from ragloom.plans.rag import retrieve
+
+    ch, qs = doc_chunks(spark, SF001), questions(spark, SF001)
+    cols = ["query_id", "chunk_id", "doc_id", "chunk_index", "content", "score", "rank"]
+    a = retrieve(qs, ch, SearchParams(k=5)).select(cols).collect()
+    b = retrieve(qs, ch, SearchParams(k=5), carry_content=False).select(cols).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) == 200
