@@ -27,3 +27,22 @@ def test_every_query_plans_at_smoke_scale(spark):
             continue  # fitted in test_search_context
         df = fn(spark, SF001)
         assert df.schema is not None and len(df.columns) > 0, name
+
+
+def test_entry_from_another_working_directory():
+    """Python workers must import the package wherever the driver runs (addPyFile)."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "import __spark_entry__ as E\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "s.sparkContext.setLogLevel('ERROR')\n"
+        "print('ROWS', E.entry(s).count())\n" % repo
+    )
+    out = subprocess.run([sys.executable, "-c", code], cwd="/tmp", capture_output=True, text=True, timeout=600)
+    assert "ROWS 40" in out.stdout, out.stderr[-2000:]
