@@ -71,3 +71,26 @@ def test_dedup_idempotent_and_budgets(spark):
     out = q_rag_contexts(spark, SF01)
     assert out.where((F.col("n_bytes") > 2000) | (F.col("n_chunks") > 10)).count() == 0
     assert out.where(F.col("n_bytes") != F.octet_length("context")).count() == 0
+
+
+@settings(max_examples=300, deadline=None, derandomize=True)
+@given(text=st.text(alphabet=st.sampled_from(list("ab .?!。\n ")), max_size=600), size=st.integers(2, 80),
+       overlap=st.integers(0, 40))
+def test_recursive_splitter_invariants(text, size, overlap):
+    """Every chunk fits the size; with no overlap the chunks put back together are the text
+    (separators stay with the left piece); with overlap every chunk is a piece of the text."""
+    from ragloom.operators.recursive import split_recursive
+
+    overlap = min(overlap, size - 1)
+    chunks = split_recursive(text, size, overlap)
+    assert all(len(c) <= size for c in chunks)
+    assert all(c.strip() for c in chunks)
+    if overlap == 0:  # no text lost: only all-white-space chunks are dropped
+        import re
+
+        assert re.sub(r"\s", "", "".join(chunks)) == re.sub(r"\s", "", text)
+    pos = 0
+    for c in chunks:
+        at = text.find(c, max(0, pos - size))
+        assert at >= 0
+        pos = at + len(c)
