@@ -24,6 +24,11 @@ from ragloom.session import ship_package
 
 # Fixed value: a token is a maximal run of letters and digits.
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
+# Two tokenisers apply it: the JVM one (``tokens``: Java regex, ``lower``) and the Arrow
+# one (``arrow_tokens``: RE2, ``utf8_lower``, the same engine family as the DuckDB oracle).
+# They agree on the given tables (tested); lower-casing rules differ for a few scripts
+# (the JVM maps a word-final Greek sigma to its final form), so one index is best hashed
+# with one of them. The default text-mode search uses the Arrow one for both sides.
 
 
 def _c(c) -> Column:
