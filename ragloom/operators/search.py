@@ -80,7 +80,9 @@ def _matrix(col: pa.Array, mode: str, dim: int) -> np.ndarray:
 
 
 def _query_matrix(queries: DataFrame, query_id: str, vec: str, mode: str, dim: int):
-    tbl = queries.select(F.col(query_id).cast("long").alias("qid"), F.col(vec).alias("v")).toArrow()
+    # a query without an id cannot be answered (nor told apart): it is left out
+    tbl = (queries.select(F.col(query_id).cast("long").alias("qid"), F.col(vec).alias("v"))
+           .where(F.col("qid").isNotNull()).toArrow())
     ids = tbl.column("qid").to_numpy(zero_copy_only=False).astype(np.int64)
     q = _matrix(tbl.column("v"), mode, dim)
     qn = np.sqrt(np.einsum("ij,ij->i", q, q))

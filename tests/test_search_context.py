@@ -243,3 +243,10 @@ def test_keys_only_search_equals_carried_content(spark):
     a = retrieve(qs, ch, SearchParams(k=5)).select(cols).collect()
     b = retrieve(qs, ch, SearchParams(k=5), carry_content=False).select(cols).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) == 200
+
+
+def test_null_query_ids_are_skipped(spark):
+    c = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    q = spark.createDataFrame([(None, [1.0, 0.0]), (7, [0.0, 1.0])], "query_id long, embedding array<float>")
+    got = search_batch(c, q, 1, order=["vec_id"]).collect()
+    assert [(r["query_id"], r["vec_id"]) for r in got] == [(7, 2)]
