@@ -53,6 +53,10 @@ class PackParams:
     max_bytes: int = 2000
     max_chunks: int = 10
 
+    def __post_init__(self):
+        if self.max_bytes < 0 or self.max_chunks < 0:
+            raise ValueError(f"budget must be non-negative, got {self.max_bytes} bytes, {self.max_chunks} chunks")
+
 
 # configured RAG path: threshold 0.5, k=5, 2000 bytes, 10 chunks
 CONFIGURED_PACK = PackParams(2000, 10)
