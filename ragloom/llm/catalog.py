@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ragloom.llm import license, quality
+from ragloom.llm import license, quality, simhash, substring
 from ragloom.llm.common import read_table
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan_licenses(read_table(spark, sf_dir, "documents")).drop("places")
 
@@ -18,12 +22,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read_table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_simhash_dedup": op5_simhash_dedup,
     "op6_license_scan": op6_license_scan,
     "op7_quality_rules": op7_quality_rules,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op6_license_scan": license.ORACLE_SQL,
     "op7_quality_rules": quality.ORACLE_SQL,
+    "op9_substring_dedup": substring.ORACLE_SQL,
 }
