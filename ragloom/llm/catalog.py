@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ragloom.llm import license, quality, simhash, substring
+from ragloom.llm import license, packing, quality, simhash, substring
 from ragloom.llm.common import read_table
 
 
@@ -22,6 +22,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read_table(spark, sf_dir, "documents"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_report(read_table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_license_scan": op6_license_scan,
     "op7_quality_rules": op7_quality_rules,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
