@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ragloom.llm import license, packing, quality, simhash, substring
+from ragloom.llm import license, packing, pii, quality, simhash, substring
 from ragloom.llm.common import read_table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(read_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read_table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_license_scan": op6_license_scan,
     "op7_quality_rules": op7_quality_rules,
