@@ -6,14 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ragloom.llm import license, packing, pii, quality, simhash, substring
-from ragloom.llm.common import read_table
+from ragloom.llm import bpe, license, packing, pii, quality, simhash, substring, tokenfile
+from ragloom.llm.common import new_path, read_table
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(read_table(spark, sf_dir, "documents"))
 
 
+def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the file in the shared checkpoint folder, then reads it back."""
+    path = new_path(spark)
+    tokenfile.write_token_file(read_table(spark, sf_dir, "documents"), path)
+    return tokenfile.token_report(spark, path)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.bpe_report(read_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read_table(spark, sf_dir, "documents"))
 
@@ -36,6 +47,8 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_token_file": op2_token_file,
+    "op4_bpe": op4_bpe,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_license_scan": op6_license_scan,
     "op7_quality_rules": op7_quality_rules,

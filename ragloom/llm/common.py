@@ -14,13 +14,18 @@ from ragloom.session import checkpoint_dir, ship_package
 WHITE = r"[\x20\x09-\x0D]+"
 
 
+def new_path(spark: SparkSession) -> str:
+    """A path of its own in the cluster's shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the cluster's shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read of the shared files, and values that a
     task numbered (partition ids, row positions) stay as written."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
