@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ragloom.llm import bpe, license, packing, pii, quality, simhash, substring, tokenfile
+from ragloom.llm import bpe, license, metricjoin, packing, pii, quality, simhash, substring, tokenfile
 from ragloom.llm.common import new_path, read_table
 
 
@@ -21,6 +21,10 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_report(spark, path)
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metricjoin.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_report(read_table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_token_file": op2_token_file,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_bpe": op4_bpe,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_license_scan": op6_license_scan,
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_embedding_dedup": metricjoin.ORACLE_SQL,
     "op6_license_scan": license.ORACLE_SQL,
     "op7_quality_rules": quality.ORACLE_SQL,
     "op9_substring_dedup": substring.ORACLE_SQL,
