@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ragloom.llm import bpe, license, metricjoin, packing, pii, quality, simhash, substring, tokenfile
+from ragloom.llm import bpe, license, lm, metricjoin, packing, pii, quality, simhash, substring, tokenfile
 from ragloom.llm.common import new_path, read_table
 
 
@@ -49,6 +49,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_report(read_table(spark, sf_dir, "documents"))
 
 
+def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_token_file": op2_token_file,
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_lattice_lm": op10_lattice_lm,
 }
 
 ORACLE: dict[str, str] = {

@@ -285,8 +285,8 @@ ORACLE_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 w AS (SELECT rid, doc_id, i, array_to_string(ws[i:i+49], ' ') AS k FROM (SELECT rid, doc_id, ws, unnest(generate_series(1, len(ws) - 49)) AS i FROM d)),
 m AS (SELECT k, min(doc_id) AS least FROM w GROUP BY k HAVING min(doc_id) < max(doc_id)),
-g AS (SELECT DISTINCT rid, i + j AS at FROM w JOIN m USING (k), (SELECT unnest(generate_series(0, 49)) AS j) WHERE least < doc_id),
-x AS (SELECT rid, list(at) AS gone FROM g GROUP BY rid),
+g AS (SELECT DISTINCT rid, i + j AS pos FROM w JOIN m USING (k), (SELECT unnest(generate_series(0, 49)) AS j) WHERE least < doc_id),
+x AS (SELECT rid, list(pos) AS gone FROM g GROUP BY rid),
 y AS (SELECT doc_id, ws, CASE WHEN gone IS NULL THEN ws ELSE list_transform(list_filter(generate_series(1, len(ws)),
         lambda i: NOT list_contains(gone, i)), lambda i: ws[i]) END AS kept FROM d LEFT JOIN x USING (rid))
 SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - len(kept))::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM y
