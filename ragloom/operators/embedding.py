@@ -172,9 +172,34 @@ def needs_embedding(vec) -> Column:
 def embed_missing(df: DataFrame, text: str = "content", vec: str = "embedding", fn=None, dim: int = 256) -> DataFrame:
     """Embed only rows whose vector is missing; the rest pass through untouched.
 
-    The two branches are a filter + union, so the model is never called on rows that
-    already carry a vector.
+    One pass: the text of a row that has a vector is masked, and the embedder is called on the
+    unmasked texts of each Arrow batch only.
     """
-    todo = df.where(needs_embedding(vec)).drop(vec)
-    done = df.where(~needs_embedding(vec))
-    return done.unionByName(embed(todo, text, fn, dim, vec).select(*df.columns))
+    ship_package(df.sparkSession)
+    plain = fn if fn is not None else _hash_batch(dim)
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def missing(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            todo = [i for i, t in enumerate(texts) if t is not None]
+            out: list = [None] * len(texts)
+            if todo:
+                for i, v in zip(todo, plain([texts.iloc[i] for i in todo])):
+                    out[i] = None if v is None else np.asarray(v, dtype=np.float32)
+            yield pd.Series(out, dtype=object)
+
+    need = needs_embedding(vec)
+    masked = F.when(need, F.coalesce(_c(text), F.lit("")))
+    made = df.withColumn("_new", missing(masked))
+    return made.withColumn(vec, F.when(need, F.col("_new")).otherwise(F.col(vec).cast("array<float>"))).select(*df.columns)
+
+
+def _hash_batch(dim: int):
+    """E4 as a batch embedder."""
+    def fn(texts: list[str]):
+        m = bucket_counts(pa.array(texts, pa.string()), dim)
+        n = np.sqrt(np.einsum("ij,ij->i", m, m))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return list(np.where(n[:, None] > 0, m / n[:, None], 0.0).astype(np.float32))
+
+    return fn

@@ -1,20 +1,27 @@
 """The chunk table (S4, S5): Parquet, append-only, fixed schema.
 
-Written rows: ``chunk_id, doc_id, chunk_index, content, source, embedding, metadata_json``.
-Every write checks the vector width (F6: a wrong width fails the whole write, as in the
-reference) and quarantines rows over the field limits (F7) instead of failing.
+Written rows: ``chunk_id, doc_id, chunk_index, content, source, embedding, metadata_json``. Every import,
+batch or stream, owns one partition ``ingest_id=<id>`` of the table and writes only there, so imports
+never overwrite each other and a replayed import replaces just its own rows. A second partition
+column ``quarantined`` separates rows over a field limit (F7) in the same single write. Every write
+checks the vector width (F6: a wrong width fails the whole write, as in the reference).
 """
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ragloom.functions.metadata import metadata_from_json, metadata_to_json
 from ragloom.operators.search import check_dimension
-from ragloom.sources.reports import split_by_field_limits, within_field_limits
+from ragloom.sources.reports import within_field_limits
 
 STORED_COLUMNS = ["chunk_id", "doc_id", "chunk_index", "content", "source", "embedding", "metadata_json"]
+STORED_SCHEMA = ("chunk_id string, doc_id string, chunk_index long, content string, source string, "
+                 "embedding array<float>, metadata_json string, ingest_id string, quarantined boolean")
 
 
 def to_rows(chunks: DataFrame) -> DataFrame:
@@ -32,31 +39,53 @@ def to_rows(chunks: DataFrame) -> DataFrame:
     )
 
 
-def write_chunks(chunks: DataFrame, path: str, dim: int, quarantine_path: str | None = None) -> None:
-    """Append to the chunk table (re-importing adds rows: no upsert, like the reference).
+def new_ingest_id() -> str:
+    return f"batch-{uuid.uuid4().hex}"
+
+
+def write_chunks(chunks: DataFrame, path: str, dim: int, quarantine: bool = False, ingest_id: str | None = None) -> str:
+    """Add one import to the chunk table and return its ``ingest_id``.
 
-    An empty input writes nothing. Rows over a field limit go to ``quarantine_path`` when
-    given, else they fail the write.
+    Re-importing adds rows (no upsert, like the reference); giving the same ``ingest_id`` again replaces
+    that import. An empty input adds no rows. Rows over a field limit fail the write, or with
+    ``quarantine`` are kept apart (``read_quarantined``). The plan runs once.
     """
+    ingest_id = ingest_id or new_ingest_id()
+    if not re.fullmatch(r"[A-Za-z][A-Za-z0-9._-]*", ingest_id):
+        raise ValueError(f"ingest_id must be a plain name starting with a letter, got {ingest_id!r}")
     rows = check_dimension(to_rows(chunks), dim)
-    ok, bad = split_by_field_limits(rows)
-    if quarantine_path:
-        ok.write.mode("append").parquet(path)
-        bad.write.mode("append").parquet(quarantine_path)
+    ok = within_field_limits()
+    if quarantine:
+        flagged = rows.withColumn("quarantined", ~ok)
     else:
-        checked = rows.withColumn(
-            "chunk_id",
-            F.when(~within_field_limits(), F.raise_error(F.concat(F.lit("field over its limit in chunk "), F.col("chunk_id"))))
-            .otherwise(F.col("chunk_id")),
-        )
-        checked.write.mode("append").parquet(path)
-
-
-def read_chunks(spark: SparkSession, path: str, with_vector: bool = False) -> DataFrame:
-    """The chunk table with the metadata parsed back (P5); the vector column is read
-    only when asked for (column pruning keeps it out of the scan otherwise)."""
-    df = spark.read.parquet(path)
+        failed = F.raise_error(F.concat(F.lit("field over its limit in chunk "), F.col("chunk_id"))).cast("boolean")
+        flagged = rows.withColumn("quarantined", F.when(ok, F.lit(False)).otherwise(failed))
+    flagged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("quarantined").parquet(
+        f"{path.rstrip('/')}/ingest_id={ingest_id}")
+    return ingest_id
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STORED_SCHEMA).parquet(path)
+
+
+def read_chunks(spark: SparkSession, path: str, with_vector: bool = False, ingest_id: str | None = None) -> DataFrame:
+    """The chunk table with the metadata parsed back (P5), of all imports or one; the vector column is
+    read only when asked for (column pruning keeps it out of the scan otherwise)."""
+    df = _stored(spark, path).where(~F.col("quarantined"))
+    if ingest_id is not None:
+        df = df.where(F.col("ingest_id") == ingest_id)
     cols = ["chunk_id", "doc_id", "chunk_index", "content", "source"]
     if with_vector:
         cols.append("embedding")
     return df.select(*cols, metadata_from_json(F.col("metadata_json")).alias("metadata"))
+
+
+def read_quarantined(spark: SparkSession, path: str) -> DataFrame:
+    """the stored rows that were kept apart, with their import."""
+    return _stored(spark, path).where("quarantined").drop("quarantined")
+
+
+def stored_ids(spark: SparkSession, path: str, ingest_id: str) -> DataFrame:
+    """The chunk ids that one import added."""
+    return read_chunks(spark, path, ingest_id=ingest_id).select("chunk_id")

@@ -1,63 +1,75 @@
 """Structured Streaming jobs.
 
-Both are append-only and need no state beyond the stream checkpoint: the file source
-remembers which files it has taken, and each micro-batch runs the batch plan in
-``foreachBatch``. Micro-batch output is written under ``batch_id=<n>`` with overwrite, so
-a batch replayed after a failure replaces its own output instead of duplicating it.
-The checkpoint lives under the cluster's shared ``spark.checkpoint.dir``.
+Both are append-only and need no state beyond the stream checkpoint: the file source remembers which
+files it has taken, and each micro-batch runs the batch plan in ``foreachBatch``. A micro-batch owns
+the partition named by the stream's own id (kept in its checkpoint) and the batch number, so a batch
+replayed after a failure replaces its own output, and no other stream or import can be overwritten.
+Default checkpoints live under the cluster's shared ``spark.checkpoint.dir``, one for each source and target.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ragloom.params import CONFIGURED_PACK, ChunkParams, PackParams, SearchParams
-from ragloom.plans.ingest import ingest
+from ragloom.plans.ingest import Splitter, ingest
 from ragloom.plans.rag import rag_contexts
 from ragloom.session import checkpoint_dir
-from ragloom.sources.chunk_table import to_rows
-from ragloom.sources.files import SCAN_EXTENSIONS, _ci_glob, _local_path
+from ragloom.sources.chunk_table import write_chunks
+from ragloom.sources.files import SCAN_EXTENSIONS, _ci_glob, documents_from_files, with_file_columns
 
 
-def _ckpt(spark: SparkSession, name: str, location: str | None) -> str:
-    return location or os.path.join(checkpoint_dir(spark), "streams", name)
+def _ckpt(spark: SparkSession, kind: str, location: str | None, *ends: str) -> str:
+    if location:
+        return location
+    name = hashlib.sha256("\0".join(ends).encode()).hexdigest()[:16]
+    return os.path.join(checkpoint_dir(spark), "streams", f"{kind}-{name}")
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint: the same after a restart, another for a new checkpoint."""
+    text = "".join(r["value"] for r in spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect())
+    return json.loads(text)["id"]
 
 
 def ingest_stream(spark: SparkSession, src_dir: str, table_path: str, *, params: ChunkParams = ChunkParams(),
                   dim: int = 256, checkpoint: str | None = None, available_now: bool = True,
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Every new ``.txt``/``.md`` file under ``src_dir`` is chunked, embedded and
-    appended to the chunk table at ``table_path/batch_id=<n>``."""
+                  max_files_per_trigger: int | None = None, embed_fn=None, splitter: Splitter = "routed",
+                  quarantine: bool = False) -> StreamingQuery:
+    """Every new ``.txt``/``.md`` file under ``src_dir`` is split, embedded, checked (F6, F7) and added to
+    the chunk table, with the same columns and metadata (P3) as a batch import."""
     reader = (spark.readStream.format("text").option("wholetext", "true").option("recursiveFileLookup", "true")
               .option("pathGlobFilter", _ci_glob(SCAN_EXTENSIONS)))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    files = reader.load(src_dir).select(_local_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("text"))
-    docs = files.select(F.col("path").alias("doc_id"), "text", F.col("path").alias("source"))
+    docs = documents_from_files(with_file_columns(reader.load(src_dir)))
+    location = _ckpt(spark, "ingest", checkpoint, src_dir, table_path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        rows = to_rows(ingest(batch, params, dim))
-        rows.write.mode("overwrite").parquet(os.path.join(table_path, f"batch_id={batch_id}"))
+        own = f"stream-{stream_id(batch.sparkSession, location)}-{batch_id:09d}"
+        write_chunks(ingest(batch, params, dim, embed_fn, splitter), table_path, dim, quarantine, own)
 
-    w = docs.writeStream.foreachBatch(run).option("checkpointLocation", _ckpt(spark, "ingest", checkpoint))
+    w = docs.writeStream.foreachBatch(run).option("checkpointLocation", location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
 def search_stream(spark: SparkSession, questions: DataFrame, chunks: DataFrame, out_path: str, *,
                   search: SearchParams = SearchParams(), pack: PackParams = CONFIGURED_PACK,
-                  checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Each micro-batch of questions ``(query_id, question)`` goes through M9 against the
-    static chunk table; contexts are appended to ``out_path/batch_id=<n>``."""
+                  checkpoint: str | None = None, available_now: bool = True, name: str = "questions") -> StreamingQuery:
+    """Each micro-batch of questions ``(query_id, question)`` goes through M9 against the static chunk
+    table; contexts are added to ``out_path``. ``name`` tells streams into one path apart (default checkpoint)."""
+    location = _ckpt(spark, "search", checkpoint, name, out_path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        rag_contexts(batch, chunks, search, pack).write.mode("overwrite").parquet(
-            os.path.join(out_path, f"batch_id={batch_id}"))
+        own = f"stream-{stream_id(batch.sparkSession, location)}-{batch_id:09d}"
+        rag_contexts(batch, chunks, search, pack).write.mode("overwrite").parquet(os.path.join(out_path, f"answer_id={own}"))
 
-    w = questions.writeStream.foreachBatch(run).option("checkpointLocation", _ckpt(spark, "search", checkpoint))
+    w = questions.writeStream.foreachBatch(run).option("checkpointLocation", location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

@@ -5,9 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from ragloom.plans.ingest import ingest, ingest_to_table
-from ragloom.sources.chunk_table import read_chunks, to_rows, write_chunks
-from ragloom.sources.files import documents_from_table, import_report_files, list_files, read_documents, read_files
+from ragloom.plans.ingest import ingest, ingest_to_table, store_chunks
+from ragloom.sources.chunk_table import read_chunks, read_quarantined, stored_ids, to_rows, write_chunks
+from ragloom.sources.files import documents_from_files, documents_from_table, import_report_files, list_files, read_documents, read_files
 from ragloom.streaming.jobs import ingest_stream, search_stream
 
 TEXT = "First paragraph of the file. " * 30
@@ -67,20 +67,84 @@ def test_chunk_table_roundtrip(spark, tmpdir_fresh):
         write_chunks(wrong.withColumn("metadata", F.lit(None).cast("map<string,string>")), os.path.join(tmpdir_fresh, "bad"), 64)
 
 
+def _all_columns(df):
+    return sorted(str(r) for r in df.withColumn("metadata", F.array_sort(F.map_entries("metadata"))).collect())
+
+
 def test_stream_equals_batch(spark, tmpdir_fresh):
     src = os.path.join(tmpdir_fresh, "in")
     make_tree(src)
     out = os.path.join(tmpdir_fresh, "table")
     q = ingest_stream(spark, src, out, dim=32, checkpoint=os.path.join(tmpdir_fresh, "ck"))
     q.awaitTermination(120)
-    streamed = sorted((r["chunk_id"], r["content"]) for r in spark.read.parquet(out).collect())
-    files = read_documents(spark, src)
-    batch = to_rows(ingest(files.select(F.col("path").alias("doc_id"), "text", F.col("path").alias("source")), dim=32))
-    assert streamed == sorted((r["chunk_id"], r["content"]) for r in batch.collect())
+    streamed = _all_columns(read_chunks(spark, out, with_vector=True))
+    batch = os.path.join(tmpdir_fresh, "batch")
+    ingest_to_table(documents_from_files(read_documents(spark, src)), batch, dim=32)
+    assert streamed == _all_columns(read_chunks(spark, batch, with_vector=True)) and "filepath" in streamed[0]
     # a second run with no new file adds nothing
     q = ingest_stream(spark, src, out, dim=32, checkpoint=os.path.join(tmpdir_fresh, "ck"))
     q.awaitTermination(120)
-    assert spark.read.parquet(out).count() == len(streamed)
+    assert read_chunks(spark, out).count() == len(streamed)
+
+
+def test_imports_never_lose_rows(spark, tmpdir_fresh):
+    """Two streams, a batch import and a restart with a new checkpoint share one table."""
+    table = os.path.join(tmpdir_fresh, "table")
+    for k in ("one", "two"):
+        os.makedirs(os.path.join(tmpdir_fresh, k))
+        with open(os.path.join(tmpdir_fresh, k, f"{k}.txt"), "w") as f:
+            f.write(f"{k} " + TEXT)
+        ingest_stream(spark, os.path.join(tmpdir_fresh, k), table, dim=8, splitter="fixed",
+                      embed_fn=lambda ts: [[float(len(t))] * 8 for t in ts]).awaitTermination(120)
+    n = read_chunks(spark, table).count()
+    assert {r["metadata"]["filename"] for r in read_chunks(spark, table).collect()} == {"one.txt", "two.txt"}
+    ingest_to_table(spark.createDataFrame([("b", TEXT, "s")], "doc_id string, text string, source string"), table, dim=8, splitter="fixed")
+    assert read_chunks(spark, table).count() == n + n // 2
+    ingest_stream(spark, os.path.join(tmpdir_fresh, "one"), table, dim=8, splitter="fixed",
+                  checkpoint=os.path.join(tmpdir_fresh, "new")).awaitTermination(120)
+    assert read_chunks(spark, table).count() == 2 * n  # the file is imported again: rows are added, none replaced
+
+
+def test_odd_file_names(spark, tmpdir_fresh):
+    long = "/".join(["a" * 50] * 4)
+    names = ["a b.txt", "100%.txt", "x+y.txt", "é中.md", "_u.txt", ".h.txt", "e.txt", f"{long}/deep.txt", "q%20r.txt"]
+    for name in names:
+        p = os.path.join(tmpdir_fresh, name)
+        os.makedirs(os.path.dirname(p), exist_ok=True)
+        with open(p, "w", encoding="utf-8") as f:
+            f.write("" if name == "e.txt" else TEXT)
+    paths = [os.path.join(tmpdir_fresh, n) for n in names]
+    files = read_files(spark, paths)
+    assert sorted((r["path"], r["text"]) for r in files.collect()) == sorted((p, "" if p.endswith("e.txt") and "/e.txt" in p else TEXT) for p in paths)
+    result = ingest_to_table(documents_from_files(files), os.path.join(tmpdir_fresh, "t"), dim=8)
+    report = result.report.collect()
+    assert len(report) == len(names) and [r["error"] for r in report if not r["success"]] == ["文件内容为空"]
+    stored = read_chunks(spark, os.path.join(tmpdir_fresh, "t")).collect()
+    assert {r["metadata"]["filepath"] for r in stored} == set(paths) - {os.path.join(tmpdir_fresh, "e.txt")}
+    assert all(len(r["doc_id"]) == 32 for r in stored)
+    with pytest.raises(Exception):
+        read_files(spark, [os.path.join(tmpdir_fresh, "not there")])
+    scanned = read_documents(spark, tmpdir_fresh)
+    counts = scanned.select("path", F.lit(1).alias("chunk_count"))
+    rep = {os.path.basename(r["path"]): r["success"] for r in import_report_files(list_files(spark, tmpdir_fresh), counts).collect()}
+    assert rep == {"a b.txt": True, "100%.txt": True, "x+y.txt": True, "é中.md": True, "q%20r.txt": True, "_u.txt": False, "e.txt": False, "deep.txt": True}
+
+
+def test_import_result_own_splitter_and_missing_vectors(spark, tmpdir_fresh):
+    docs = spark.createDataFrame([("a", "one|two||three", "s"), ("b", " ", "s"), ("c", "", "s")], "doc_id string, text string, source string")
+    path = os.path.join(tmpdir_fresh, "t")
+    r = ingest_to_table(docs, path, dim=8, splitter=lambda t: F.split(F.trim(t), r"\|"))
+    assert {x["doc_id"]: (x["chunk_count"], x["success"], x["error"]) for x in r.report.collect()} == {
+        "a": (3, True, None), "b": (0, False, "文档切分后没有有效分块"), "c": (0, False, "文件内容为空")}
+    chunks = spark.createDataFrame([("x:0", "x", 0, "has one", "s", [1.0, 2.0]), ("x:1", "x", 1, "none", "s", None), ("x:2", "x", 2, "empty", "s", [])],
+                                   "chunk_id string, doc_id string, chunk_index long, content string, source string, embedding array<float>")
+
+    def fn(texts):
+        assert "has one" not in texts
+        return [[float(len(t)), 0.0] for t in texts]
+    own = store_chunks(chunks, path, dim=2, embed_fn=fn)
+    got = {x["chunk_id"]: x["embedding"] for x in read_chunks(spark, path, with_vector=True, ingest_id=own).collect()}
+    assert got == {"x:0": [1.0, 2.0], "x:1": [4.0, 0.0], "x:2": [5.0, 0.0]}
 
 
 def test_search_stream(spark, tmpdir_fresh):
@@ -130,10 +194,11 @@ def test_write_quarantine_and_dimension_split(spark, tmpdir_fresh):
         [("a:0", "a", 0, "ok", "s", [1.0, 0.0]), ("b:0", "b", 0, "x" * 20000, "s", [0.0, 1.0]),
          ("c:0" + "9" * 70, "c", 0, "long id", "s", [1.0, 1.0])],
         "chunk_id string, doc_id string, chunk_index long, content string, source string, embedding array<float>")
-    good, bad = os.path.join(tmpdir_fresh, "good"), os.path.join(tmpdir_fresh, "bad")
-    write_chunks(rows, good, 2, quarantine_path=bad)
-    assert [r["chunk_id"] for r in spark.read.parquet(good).collect()] == ["a:0"]
-    assert sorted(r["doc_id"] for r in spark.read.parquet(bad).collect()) == ["b", "c"]
+    good = os.path.join(tmpdir_fresh, "good")
+    own = write_chunks(rows, good, 2, quarantine=True)
+    assert [r["chunk_id"] for r in read_chunks(spark, good).collect()] == ["a:0"]
+    assert [r["chunk_id"] for r in stored_ids(spark, good, own).collect()] == ["a:0"]
+    assert sorted(r["doc_id"] for r in read_quarantined(spark, good).collect()) == ["b", "c"]
     with pytest.raises(Exception):
         write_chunks(rows, os.path.join(tmpdir_fresh, "strict"), 2)  # no quarantine: the write fails
     v = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0]), (3, None), (4, [])], "id long, embedding array<float>")
