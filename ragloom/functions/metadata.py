@@ -55,8 +55,15 @@ def metadata_to_json(m) -> Column:
 
 
 def metadata_from_json(c) -> Column:
-    """P5: JSON text -> map; empty, malformed or ``null`` text -> empty map (never an error)."""
-    return F.coalesce(F.from_json(_c(c), "map<string,string>", {"mode": "PERMISSIVE"}), empty_map())
+    """P5: JSON text -> map; empty, malformed or ``null`` text -> empty map (never an error).
+    A repeated key keeps its last value."""
+    def last_wins(entries: Column) -> Column:
+        return F.map_from_entries(F.filter(entries, lambda e, i: ~F.exists(
+            F.slice(entries, i + 2, F.size(entries)), lambda x: x["key"] == e["key"])))
+
+    m = F.from_json(_c(c), "map<string,string>", {"mode": "PERMISSIVE"})
+    # the one-element array holds the entries, so they are parsed once
+    return F.coalesce(F.element_at(F.transform(F.array(F.map_entries(m)), last_wins), 1), empty_map())
 
 
 def meta_string(m, key: str) -> Column:
@@ -65,8 +72,8 @@ def meta_string(m, key: str) -> Column:
 
 
 def meta_long(m, key: str) -> Column:
-    """Numeric value truncated toward zero; absent or not a number -> 0."""
-    return F.coalesce(F.try_element_at(_c(m), F.lit(key)).try_cast("double"), F.lit(0.0)).cast("long")
+    """Numeric value truncated toward zero; absent, not a number or beyond a long -> 0."""
+    return F.coalesce(F.try_element_at(_c(m), F.lit(key)).try_cast("double").try_cast("long"), F.lit(0).cast("long"))
 
 
 def overlay_columns(meta, doc_id, chunk_index, source) -> Column:

@@ -23,7 +23,7 @@ from ragloom.operators.context import dedup_by_chunk, dedup_by_content, pack_fla
 from ragloom.operators.embedding import hash_terms
 from ragloom.operators.hybrid import bm25_search, history_queries, rrf_fuse
 from ragloom.operators.ivf import ivf_assign, ivf_fit, ivf_join, ivf_search
-from ragloom.operators.markdown import derived_markdown
+from ragloom.operators.markdown import derived_markdown, fenced_markdown
 from ragloom.operators.messages import (
     build_history,
     merge_fragments,
@@ -373,6 +373,9 @@ def q_retrieve_with_history(spark, sf_dir):
 # ----------------------------------------------------------------------------- splitters
 
 
+ODD_NUMBERS = ("NaN", "1e30", "3.9", "-3.9", "x", "", "Infinity", "12")
+
+
 def markdown_documents(spark, sf_dir):
     """Documents rewritten as Markdown (derived headings) with a source extension by language:
     en -> .md, de -> .MARKDOWN, fr -> .txt, others none."""
@@ -388,6 +391,24 @@ def q_chunk_markdown(spark, sf_dir):
     return chunk_markdown(markdown_documents(spark, sf_dir))
 
 
+def q_chunk_markdown_fenced(spark, sf_dir):
+    """T4 with code fences of both markers: headings inside a fence don't split."""
+    d = documents(spark, sf_dir, ["doc_id", "text"])
+    return chunk_markdown(d.select("doc_id", fenced_markdown(F.col("text")).alias("text")))
+
+
+def q_metadata_odd_json(spark, sf_dir):
+    """P5-P8 on JSON that repeats keys and holds numbers a long cannot take."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "source", "n_chars")
+    number = F.element_at(F.array(*[F.lit(x) for x in ODD_NUMBERS]), (F.col("n_chars") % len(ODD_NUMBERS) + 1).cast("int"))
+    text = F.concat(F.lit('{"chunk_index":"7","source":"old","n":"'), number, F.lit('","chunk_index":"'), F.col("n_chars").cast("string"),
+                    F.lit('","source":"new","x":null}'))
+    m = overlay_columns(metadata_from_json(text), F.col("doc_id"), F.lit(0), F.lit(""))
+    parsed = d.select("doc_id", m.alias("m"))
+    return parsed.select("doc_id", meta_string("m", "doc_id").alias("meta_doc_id"), meta_long("m", "chunk_index").alias("chunk_index"),
+                         meta_string("m", "source").alias("source"), meta_long("m", "n").alias("n"), F.size("m").cast("long").alias("n_keys"))
+
+
 def q_chunk_recursive(spark, sf_dir):
     """T3 + T7: recursive 500/50 chunks of every document."""
     return chunk_recursive(documents(spark, sf_dir, ["doc_id", "text"]), CHUNKS)
@@ -434,6 +455,8 @@ QUERIES = {
     "rrf_fuse": q_rrf_fuse,
     "retrieve_with_history": q_retrieve_with_history,
     "chunk_markdown": q_chunk_markdown,
+    "chunk_markdown_fenced": q_chunk_markdown_fenced,
+    "metadata_odd_json": q_metadata_odd_json,
     "chunk_recursive": q_chunk_recursive,
     "chunk_routed": q_chunk_routed,
 }

@@ -333,14 +333,22 @@ _MD_DOCS = """
                  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS i FROM documents)
     GROUP BY doc_id"""
 
-CHUNK_MARKDOWN = f"""
-WITH md AS ({_MD_DOCS}),
+def _markdown_sql(docs: str) -> str:
+    """T4: one step a fence or heading line, the open marker as the state; then sections between headings."""
+    return f"""
+WITH RECURSIVE md AS ({docs}),
 l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
       FROM md),
-f AS (SELECT *, CAST(regexp_matches(line, '^ {{0,3}}(```|~~~)') AS INTEGER) AS is_fence FROM l),
-g AS (SELECT *, coalesce(sum(is_fence) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-                AS fences_before FROM f),
-h AS (SELECT *, CAST(regexp_matches(line, '^#{{2,3}} ') AND fences_before % 2 = 0 AS INTEGER) AS is_head FROM g),
+k AS (SELECT doc_id, i, m, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n
+      FROM (SELECT doc_id, i, CASE WHEN regexp_matches(line, '^#{{2,3}} ') THEN '#' ELSE regexp_extract(line, '^ {{0,3}}(```|~~~)', 1) END AS m FROM l)
+      WHERE m <> ''),
+r(doc_id, n, i, m, before, after) AS (
+  SELECT doc_id, n, i, m, '', CASE WHEN m = '#' THEN '' ELSE m END FROM k WHERE n = 1
+  UNION ALL
+  SELECT k.doc_id, k.n, k.i, k.m, r.after,
+         CASE WHEN k.m = '#' THEN r.after WHEN r.after = '' THEN k.m WHEN r.after = k.m THEN '' ELSE r.after END
+  FROM r JOIN k ON k.doc_id = r.doc_id AND k.n = r.n + 1),
+h AS (SELECT l.*, CASE WHEN r.m = '#' AND r.before = '' THEN 1 ELSE 0 END AS is_head FROM l LEFT JOIN r ON r.doc_id = l.doc_id AND r.i = l.i),
 s AS (SELECT *, sum(is_head) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS section FROM h),
 sec AS (SELECT doc_id, section, trim(string_agg(line, chr(10) ORDER BY i), {WS_SQL}) AS content FROM s GROUP BY doc_id, section),
 o AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY section) - 1 AS BIGINT) AS chunk_index, content
@@ -348,6 +356,21 @@ o AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY sectio
 SELECT doc_id || ':' || CAST(chunk_index AS VARCHAR) AS chunk_id, doc_id, chunk_index, content FROM o
 """
 
+
+CHUNK_MARKDOWN = _markdown_sql(_MD_DOCS)
+CHUNK_MARKDOWN_FENCED = _markdown_sql(f"""
+    SELECT doc_id, string_agg(CASE WHEN starts_with(line, '#') THEN line WHEN length(line) % 7 = 0 THEN '``` ' || line
+                                   WHEN length(line) % 11 = 0 THEN ' ~~~' || line ELSE line END, chr(10) ORDER BY i) AS text
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM ({_MD_DOCS}))
+    GROUP BY doc_id""")
+
+# the numbers by n_chars % 8, as a long: NaN, 1e30, 3.9, -3.9, x, '', Infinity, 12
+METADATA_ODD_JSON = """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(doc_id AS VARCHAR) AS meta_doc_id, CAST(n_chars AS BIGINT) AS chunk_index, 'new' AS source,
+       CAST([0, 0, 3, -3, 0, 0, 0, 12][n_chars % 8 + 1] AS BIGINT) AS n, CAST(5 AS BIGINT) AS n_keys
+FROM documents
+"""
+
 ORACLE = {
     "rag_contexts": RAG_CONTEXTS,
     "rag_contexts_graph": RAG_CONTEXTS_GRAPH,
@@ -383,4 +406,6 @@ ORACLE = {
     "rrf_fuse": RRF_FUSE,
     "retrieve_with_history": RETRIEVE_WITH_HISTORY,
     "chunk_markdown": CHUNK_MARKDOWN,
+    "chunk_markdown_fenced": CHUNK_MARKDOWN_FENCED,
+    "metadata_odd_json": METADATA_ODD_JSON,
 }

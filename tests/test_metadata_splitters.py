@@ -121,3 +121,19 @@ def test_recursive_loses_no_text():
     t = "Para one. Second sentence!\n\nPara two line\nnext line? " + "word " * 200
     chunks = split_recursive(t, 100, 0)
     assert "".join(chunks) == t
+
+
+def test_odd_metadata_never_fails(spark):
+    from ragloom.functions.metadata import meta_long, metadata_from_json, overlay_columns
+
+    rows = [('{"a":"1","a":"2","b":"x","a":"3"}',), ('{"n":"NaN"}',), ('{"n":"1e30"}',), ('{"n":"-3.9"}',), ('{"n":"-1e30"}',), (None,), ("{",)]
+    df = spark.createDataFrame(rows, "j string").select(metadata_from_json("j").alias("m"))
+    got = df.select("m", meta_long("m", "n").alias("n"), overlay_columns(F.col("m"), F.lit("d"), F.lit(1), F.lit("s")).alias("o")).collect()
+    assert got[0]["m"] == {"a": "3", "b": "x"} and got[0]["o"]["a"] == "3"
+    assert [r["n"] for r in got] == [0, 0, 0, -3, 0, 0, 0]
+
+
+def test_only_the_opening_marker_closes_a_fence(spark):
+    text = "\n".join(["## a", "```", "~~~", "## in code", "```", "## b", "~~~", "```", "### in tildes", "~~~ ", "### c", "```", "## never closed"])
+    rows = chunk_markdown(spark.createDataFrame([("d", text)], "doc_id string, text string")).orderBy("chunk_index").collect()
+    assert [r["content"].split("\n")[0] for r in rows] == ["## a", "## b", "### c"]
