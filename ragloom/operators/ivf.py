@@ -11,17 +11,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ragloom.operators.search import (
+    CosineScorer,
     _matrix,
     _query_matrix,
-    cosine_scorer,
+    check_query_ids,
     out_schema,
     query_blocks,
     rank_within_query,
@@ -35,16 +37,34 @@ NLIST = 128
 NPROBE = 128
 
 
+def _usable(vec) -> Column:
+    """A vector with a direction: not null, not empty, not all zero."""
+    return F.coalesce(F.exists(F.col(vec), lambda x: x != 0), F.lit(False))
+
+
 def ivf_fit(vectors: DataFrame, vec: str = "embedding", nlist: int = NLIST, seed: int = 42, max_iter: int = 20):
-    """R6 training: cosine k-means; returns the fitted model (centroids: nlist × dim)."""
-    data = vectors.select(array_to_vector(F.col(vec)).alias("features"))
+    """R6 training: cosine k-means over the vectors that have a direction; returns the fitted model
+    (centroids: nlist × dim). Fit once and pass the model, or its centroids, to the searches."""
+    data = vectors.where(_usable(vec)).select(array_to_vector(F.col(vec)).alias("features"))
     return KMeans(k=nlist, seed=seed, maxIter=max_iter, distanceMeasure="cosine", featuresCol="features").fit(data)
 
 
-def ivf_assign(vectors: DataFrame, model, vec: str = "embedding", out: str = "cell") -> DataFrame:
-    """Every row with its cell id (a narrow transform, no shuffle)."""
-    pred = model.setPredictionCol("_cell").transform(vectors.withColumn("features", array_to_vector(F.col(vec))))
-    return pred.drop("features").withColumnRenamed("_cell", out).withColumn(out, F.col(out).cast("int"))
+def ivf_assign(vectors: DataFrame, model_or_centroids, vec: str = "embedding", out: str = "cell") -> DataFrame:
+    """Every row with the id of the centroid of highest cosine (the first one of equals), a narrow
+    transform; rows without a direction (null, empty or zero vectors) stay and get a null cell."""
+    spark = vectors.sparkSession
+    ship_package(spark)
+    cents = model_or_centroids if isinstance(model_or_centroids, np.ndarray) else centroids(model_or_centroids)
+    unit = spark.sparkContext.broadcast(cents / np.linalg.norm(cents, axis=1, keepdims=True))
+    dim = cents.shape[1]
+
+    def run(batches):
+        for rb in batches:
+            m = _matrix(rb.column(vec), "dense", dim)
+            cell = (m @ unit.value.T).argmax(axis=1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(cell, mask=~m.any(axis=1))], names=[*rb.schema.names, out])
+
+    return vectors.mapInArrow(run, T.StructType([*vectors.schema.fields, T.StructField(out, T.IntegerType())]))
 
 
 def write_ivf_table(vectors: DataFrame, model, path: str, vec: str = "embedding", cell: str = "cell",
@@ -99,38 +119,36 @@ def ivf_search(
     dim = dim or cents.shape[1]
     spark = chunks.sparkSession
     ship_package(spark)
-    schema = out_schema(chunks, [vec, cell])
-    arrow_schema = to_arrow_schema(schema)
-    base = cosine_scorer(vec, "dense", dim)
-
-    def scorer(rb: pa.RecordBatch, state):
-        block = base(rb, state)
-        probe = state[3]
-        cells = rb.column(cell).to_numpy(zero_copy_only=False).astype(np.int64)
-
-        def masked(lo: int, hi: int) -> np.ndarray:
-            s = block(lo, hi)
-            s[~probe[:, cells[lo:hi]]] = np.nan
-            return s
-
-        return masked
-
-    parts = []
+    schema = out_schema(chunks, [vec, cell], queries.schema[query_id].dataType)
+    blocks, probed = [], set()
+    n = check_query_ids(queries, query_id)
     # a query row ships its vector (dim doubles) and its probe mask (nlist booleans)
-    for qb in query_blocks(queries, query_id, dim * 8 + cents.shape[0], max_broadcast_bytes):
+    for qb in query_blocks(queries, query_id, dim * 8 + cents.shape[0], max_broadcast_bytes, n):
         ids, q, qn = _query_matrix(qb, query_id, query_vec, "dense", dim)
         probe = _probes(q, cents, nprobe)
-        probed = sorted(int(c) for c in np.nonzero(probe.any(axis=0))[0])
-        bq = spark.sparkContext.broadcast((ids, q, qn, probe))
-        scan = chunks.where(F.col(cell).isin(probed)) if len(probed) < cents.shape[0] else chunks
-        kern = topk_kernel(bq, scorer, [vec, cell], k, None, order, arrow_schema, round_digits)
-        parts.append(scan.mapInArrow(kern, schema))
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
-    return rank_within_query(cands, k, order)
+        probed |= {int(c) for c in np.nonzero(probe.any(axis=0))[0]}
+        blocks.append(spark.sparkContext.broadcast((ids, q, qn, probe)))
+    scan = chunks.where(F.col(cell).isin(sorted(probed))) if len(probed) < cents.shape[0] else chunks
+    kern = topk_kernel(blocks, _ProbeScorer(vec, dim, cell), [vec, cell], k, None, order, to_arrow_schema(schema), round_digits)
+    return rank_within_query(scan.mapInArrow(kern, schema), k, order)
+
+
+class _ProbeScorer(CosineScorer):
+    """Cosine for the queries that probe a row's cell."""
+
+    def __init__(self, vec: str, dim: int, cell: str):
+        super().__init__(vec, "dense", dim)
+        self.cell = cell
 
+    def features(self, rb: pa.RecordBatch):
+        cells = pc.fill_null(rb.column(self.cell), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        return super().features(rb), cells
 
+    def scores(self, features, state, lo: int, hi: int) -> np.ndarray:
+        base, cells = features
+        s = super().scores(base, state, lo, hi)
+        s[~state[3][:, cells[lo:hi]] | (cells[lo:hi] < 0)] = np.nan
+        return s
 
 
 def _probe_rows(bc, nprobe: int, query_id: str, query_vec: str, dim: int):
@@ -164,10 +182,10 @@ def _score_group(ct: pa.Table, qt: pa.Table, vec: str, dim: int, k: int, order:
     """Score one (cell, chunk salt, query salt) group with the search kernel: local top-k per query."""
     if ct.num_rows == 0 or qt.num_rows == 0:
         return arrow_schema.empty_table()
-    ids = qt.column("_qid").to_numpy().astype(np.int64)
+    ids = qt.column("_qid").combine_chunks()
     q = _matrix(qt.column("_qv"), "dense", dim)
     qn = np.sqrt(np.einsum("ij,ij->i", q, q))
-    run = topk_kernel(_GroupQueries((ids, q, qn)), cosine_scorer(vec, "dense", dim), drop, k, None, order,
+    run = topk_kernel([_GroupQueries((ids, q, qn))], CosineScorer(vec, "dense", dim), drop, k, None, order,
                       arrow_schema, round_digits)
     out = list(run(iter(ct.to_batches())))
     return pa.Table.from_batches(out, schema=arrow_schema) if out else arrow_schema.empty_table()
@@ -205,10 +223,13 @@ def ivf_join(
     spark = chunks.sparkSession
     ship_package(spark)
     bc = spark.sparkContext.broadcast(cents)
-    probes = queries.select(F.col(query_id).cast("long").alias(query_id), F.col(query_vec).alias(query_vec)).mapInArrow(
+    check_query_ids(queries, query_id)
+    id_type = queries.schema[query_id].dataType
+    probes = queries.select(query_id, F.col(query_vec).cast("array<float>").alias(query_vec)).mapInArrow(
         _probe_rows(bc, nprobe, query_id, query_vec, dim),
-        f"{query_id} long, cell int, {query_vec} array<float>",
+        f"{query_id} {id_type.simpleString()}, cell int, {query_vec} array<float>",
     )
+    chunks = chunks.where(F.col(cell).isNotNull())  # vectors without a direction match nothing
     n_chunks = {r[0]: r[1] for r in chunks.groupBy(cell).count().collect()}  # <= nlist rows
     n_probes = {r[0]: r[1] for r in probes.groupBy("cell").count().collect()}
     # per-cell group counts: a table of nlist rows (its size is the index parameter), broadcast
@@ -232,7 +253,7 @@ def ivf_join(
               .select("_cell", "_s", "_t", F.col(query_id).alias("_qid"), F.col(query_vec).alias("_qv")))
 
     drop = [vec, "_cell", "_s", "_t"]
-    schema = out_schema(c_side, drop)
+    schema = out_schema(c_side, drop, id_type)
     arrow_schema = to_arrow_schema(schema)
 
     def score_group(ct, qt):

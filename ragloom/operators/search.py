@@ -10,8 +10,10 @@ Physical plan of ``search_batch`` (R2/R8)::
   per query, only candidates that can still be in the global top-k under the total order
   ``score desc, <tie-break columns> asc``.
 * The query matrix is broadcast only after its size is checked
-  (``rows × dim × 8 ≤ max_broadcast_bytes``); a larger query table is split into blocks
-  by a hash of the query id and each block is one more pass over the chunks.
+  (``rows × dim × 8 ≤ max_broadcast_bytes``); a larger query table is split into blocks by a hash of
+  the query id. All blocks are scored in the same pass: a batch's chunk vectors are built once and
+  met with every block in turn.
+* Query ids may be of any type. A null or repeated id is an error (one aggregate checks it).
 * The threshold (F3) is applied before the local top-k: for a single descending order,
   "threshold then top-k" equals "top-k then threshold", and far fewer rows leave the task.
 
@@ -26,7 +28,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -79,11 +80,19 @@ def _matrix(col: pa.Array, mode: str, dim: int) -> np.ndarray:
     return m
 
 
+def check_query_ids(queries: DataFrame, query_id: str) -> int:
+    """The number of queries; a null or repeated id is an error, as its hits could not be told apart."""
+    n, ids, distinct = queries.agg(F.count(F.lit(1)), F.count(query_id), F.countDistinct(query_id)).first()
+    if ids < n:
+        raise ValueError(f"{n - ids} of {n} queries have no {query_id}")
+    if distinct < ids:
+        raise ValueError(f"{query_id} repeats: {distinct} distinct ids in {ids} queries")
+    return n
+
+
 def _query_matrix(queries: DataFrame, query_id: str, vec: str, mode: str, dim: int):
-    # a query without an id cannot be answered (nor told apart): it is left out
-    tbl = (queries.select(F.col(query_id).cast("long").alias("qid"), F.col(vec).alias("v"))
-           .where(F.col("qid").isNotNull()).toArrow())
-    ids = tbl.column("qid").to_numpy(zero_copy_only=False).astype(np.int64)
+    tbl = queries.select(F.col(query_id).alias("qid"), F.col(vec).alias("v")).toArrow()
+    ids = tbl.column("qid").combine_chunks()
     q = _matrix(tbl.column("v"), mode, dim)
     qn = np.sqrt(np.einsum("ij,ij->i", q, q))
     return ids, q, qn
@@ -97,24 +106,22 @@ def _reduce(cand: pd.DataFrame, k: int, order: list[str]) -> pd.DataFrame:
     return cand.groupby("__q", sort=False).head(k)
 
 
-def cosine_scorer(vec: str, mode: str, dim: int):
-    """Scores of one batch against the broadcast queries, transposed: ``(queries × rows)``.
-
-    Returns a function of the row range so that a large batch is scored block by block
-    (the score block stays a few tens of MB whatever the number of queries)."""
+class CosineScorer:
+    """Cosine of a batch against one block of queries, transposed: ``(queries × rows)``."""
 
-    def prepare(rb: pa.RecordBatch, state):
-        _, q, qn = state[:3]
-        m = _matrix(rb.column(vec), mode, dim)
-        cn = np.sqrt(np.einsum("ij,ij->i", m, m))
+    def __init__(self, vec: str, mode: str, dim: int):
+        self.vec, self.mode, self.dim = vec, mode, dim
 
-        def block(lo: int, hi: int) -> np.ndarray:
-            with np.errstate(divide="ignore", invalid="ignore"):
-                return (q @ m[lo:hi].T) / np.multiply.outer(qn, cn[lo:hi])
+    def features(self, rb: pa.RecordBatch):
+        """What every block needs of the batch, built once."""
+        m = _matrix(rb.column(self.vec), self.mode, self.dim)
+        return m, np.sqrt(np.einsum("ij,ij->i", m, m))
 
-        return block
-
-    return prepare
+    def scores(self, features, state, lo: int, hi: int) -> np.ndarray:
+        """Scores of the rows ``lo..hi`` (a range keeps the matrix at a few tens of MB)."""
+        (m, cn), (_, q, qn) = features, state[:3]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return (q @ m[lo:hi].T) / np.multiply.outer(qn, cn[lo:hi])
 
 
 def _order_rank(rb: pa.RecordBatch, order: list[str]) -> np.ndarray:
@@ -128,90 +135,96 @@ def _order_rank(rb: pa.RecordBatch, order: list[str]) -> np.ndarray:
     return rank
 
 
-def topk_kernel(bq, scorer, drop: list[str], k: int, min_score, order: list[str], out_schema: pa.Schema,
+def _select(scorer, features, state, n: int, k: int, min_score, round_digits, positive_only: bool, step: int):
+    """Rows (query, batch row, score) of one batch that can still be in a query's top k."""
+    qs, rs, ss = [], [], []
+    for lo in range(0, n, step):
+        hi = min(n, lo + step)
+        s = scorer.scores(features, state, lo, hi)
+        if round_digits is not None:
+            s = np.round(s, round_digits)
+        ok = np.isfinite(s)
+        if positive_only:
+            ok &= s > 0
+        if min_score is not None:
+            ok &= s >= min_score
+        w = hi - lo
+        if w > k:
+            sm = np.where(ok, s, -np.inf)
+            kth = np.partition(sm, w - k, axis=1)[:, w - k]
+            ok &= sm >= kth[:, None]
+        qi, ri = np.nonzero(ok)
+        if len(qi):
+            qs.append(qi)
+            rs.append(ri + lo)
+            ss.append(s[qi, ri])
+    return (np.concatenate(qs), np.concatenate(rs), np.concatenate(ss)) if qs else None
+
+
+def topk_kernel(blocks: list, scorer, drop: list[str], k: int, min_score, order: list[str], out_schema: pa.Schema,
                 round_digits: int | None = None, positive_only: bool = False, block_cells: int = 1 << 22):
-    """``mapInArrow`` body: score each batch with ``scorer(batch, bq.value)`` and keep, per
-    query, the k best rows under ``score desc, order asc``. Selection is numeric (a
-    partition per query row, then one lexsort with the batch's order rank), so only
-    ``queries × k`` rows per batch are materialised; they are re-reduced whenever they pile
-    up and emitted once per task."""
+    """``mapInArrow`` body: score each batch against every query block and keep, per query, the k best rows
+    under ``score desc, order asc``. ``blocks``: broadcasts of ``(query ids, ...)``. Selection is
+    numeric (a partition per query row, then one lexsort with the batch's order rank), so only
+    ``queries × k`` rows per batch are materialised; they are re-reduced whenever they pile up and
+    emitted once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = bq.value
-        qids = state[0]
-        nq = len(qids)
-        if nq == 0:
-            return
-        limit = max(100_000, 8 * nq * k)
-        step = max(256, block_cells // max(nq, 1))
-        pending: list[pd.DataFrame] = []
-        held = 0
+        pending: list[list[pd.DataFrame]] = [[] for _ in blocks]
+        held = [0] * len(blocks)
         for rb in batches:
-            b = rb.num_rows
-            if b == 0:
-                continue
-            block = scorer(rb, state)
-            qs, rs, ss = [], [], []
-            for lo in range(0, b, step):
-                hi = min(b, lo + step)
-                s = block(lo, hi)
-                if round_digits is not None:
-                    s = np.round(s, round_digits)
-                ok = np.isfinite(s)
-                if positive_only:
-                    ok &= s > 0
-                if min_score is not None:
-                    ok &= s >= min_score
-                w = hi - lo
-                if w > k:
-                    sm = np.where(ok, s, -np.inf)
-                    kth = np.partition(sm, w - k, axis=1)[:, w - k]
-                    ok &= sm >= kth[:, None]
-                qi, ri = np.nonzero(ok)
-                if len(qi):
-                    qs.append(qi)
-                    rs.append(ri + lo)
-                    ss.append(s[qi, ri])
-            if not qs:
+            if rb.num_rows == 0:
                 continue
-            qi, ri, sc = np.concatenate(qs), np.concatenate(rs), np.concatenate(ss)
-            srt = np.lexsort((_order_rank(rb, order)[ri], -sc, qi))
-            qi, ri, sc = qi[srt], ri[srt], sc[srt]
-            first = np.searchsorted(qi, qi, side="left")
-            keep = (np.arange(len(qi)) - first) < k
-            qi, ri, sc = qi[keep], ri[keep], sc[keep]
-            cand = rb.drop_columns(drop).take(pa.array(ri)).to_pandas()
-            cand["__q"] = qi
-            cand["score"] = sc
-            pending.append(cand)
-            held += len(cand)
-            if held > limit:
-                pending = [_reduce(pd.concat(pending, ignore_index=True), k, order)]
-                held = len(pending[0])
-        if not pending:
-            return
-        res = pending[0] if len(pending) == 1 else _reduce(pd.concat(pending, ignore_index=True), k, order)
-        res.insert(0, "query_id", qids[res["__q"].to_numpy()])
-        res = res.drop(columns="__q")
-        yield pa.RecordBatch.from_pandas(res[out_schema.names], schema=out_schema, preserve_index=False)
+            features, rank, rest = scorer.features(rb), None, rb.drop_columns(drop)
+            for j, block in enumerate(blocks):
+                state = block.value
+                nq = len(state[0])
+                if nq == 0:
+                    continue
+                found = _select(scorer, features, state, rb.num_rows, k, min_score, round_digits, positive_only,
+                                max(256, block_cells // nq))
+                if found is None:
+                    continue
+                qi, ri, sc = found
+                if rank is None:
+                    rank = _order_rank(rb, order)
+                srt = np.lexsort((rank[ri], -sc, qi))
+                qi, ri, sc = qi[srt], ri[srt], sc[srt]
+                keep = (np.arange(len(qi)) - np.searchsorted(qi, qi, side="left")) < k
+                qi, ri, sc = qi[keep], ri[keep], sc[keep]
+                cand = rest.take(pa.array(ri)).to_pandas()
+                cand["__q"] = qi
+                cand["score"] = sc
+                pending[j].append(cand)
+                held[j] += len(cand)
+                if held[j] > max(100_000, 8 * nq * k):
+                    pending[j] = [_reduce(pd.concat(pending[j], ignore_index=True), k, order)]
+                    held[j] = len(pending[j][0])
+        for j, block in enumerate(blocks):
+            if pending[j]:
+                res = pending[j][0] if len(pending[j]) == 1 else _reduce(pd.concat(pending[j], ignore_index=True), k, order)
+                ids = block.value[0].take(pa.array(res["__q"].to_numpy()))
+                names = out_schema.names[1:]
+                body = pa.RecordBatch.from_pandas(res[names], schema=pa.schema([out_schema.field(c) for c in names]), preserve_index=False)
+                yield pa.RecordBatch.from_arrays([ids.cast(out_schema.field(0).type), *body.columns], schema=out_schema)
 
     return run
 
 
-def out_schema(chunks: DataFrame, drop: list[str]) -> T.StructType:
-    fields = [T.StructField("query_id", T.LongType(), True)]
+def out_schema(chunks: DataFrame, drop: list[str], id_type: T.DataType = T.LongType()) -> T.StructType:
+    fields = [T.StructField("query_id", id_type, True)]
     fields += [f for f in chunks.schema.fields if f.name not in drop]
     fields.append(T.StructField("score", T.DoubleType(), True))
     return T.StructType(fields)
 
 
-def query_blocks(queries: DataFrame, query_id: str, row_bytes: int, max_broadcast_bytes: int,
-                  blocks: int | None = None) -> list[DataFrame]:
+def query_blocks(queries: DataFrame, query_id: str, row_bytes: int, max_broadcast_bytes: int, n: int | None = None,
+                 blocks: int | None = None) -> list[DataFrame]:
     """Split the query table so each block's broadcast stays under the limit.
 
     The count is an aggregate (one number to the driver); blocks cover all queries."""
     if blocks is None:
-        n = queries.count()
+        n = queries.count() if n is None else n
         blocks = max(1, math.ceil(n * row_bytes / max_broadcast_bytes))
     if blocks == 1:
         return [queries]
@@ -255,44 +268,29 @@ def search_candidates(
     # a text column is hashed in the task and stays in the payload (unless carry_text is
     # off); vectors are dropped
     drop = [] if (mode == "text" and carry_text) else [vec]
-    schema = out_schema(chunks, drop)
-    arrow_schema = to_arrow_schema(schema)
-    scorer = cosine_scorer(vec, mode, dim)
-    parts = []
-    for qb in query_blocks(queries, query_id, dim * 8, max_broadcast_bytes):
-        bq = spark.sparkContext.broadcast(_query_matrix(qb, query_id, query_vec, mode, dim))
-        kern = topk_kernel(bq, scorer, drop, k, min_score, order, arrow_schema, round_digits)
-        parts.append(chunks.mapInArrow(kern, schema))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def scan_tasks_lower_bound(df: DataFrame) -> int:
-    """A lower bound on the number of scan tasks feeding ``df``: its input files (every file
-    is at least one split). Read from the file index, without running anything (asking an
-    adaptive plan for its partition count would execute its shuffle stages)."""
-    try:
-        return len(df.inputFiles())
-    except Exception:  # sources without a file listing
-        return 0
-
-
-def rank_within_query(cands: DataFrame, k: int | None, order: list[str], fan_in: int = 1024,
-                      tasks: int | None = None) -> DataFrame:
+    schema = out_schema(chunks, drop, queries.schema[query_id].dataType)
+    n = check_query_ids(queries, query_id)
+    blocks = [spark.sparkContext.broadcast(_query_matrix(qb, query_id, query_vec, mode, dim))
+              for qb in query_blocks(queries, query_id, dim * 8, max_broadcast_bytes, n)]
+    kern = topk_kernel(blocks, CosineScorer(vec, mode, dim), drop, k, min_score, order, to_arrow_schema(schema), round_digits)
+    return chunks.mapInArrow(kern, schema)
+
+
+RANK_GROUPS = 16
+
+
+def rank_within_query(cands: DataFrame, k: int | None, order: list[str], groups: int = RANK_GROUPS) -> DataFrame:
     """Global rank per query under ``score desc, order asc``; keeps ``rank <= k``.
 
-    Every candidate task holds at most k rows per query, so one query meets
-    ``tasks × k`` rows after the exchange. When there are more than ``2 × fan_in``
-    candidate tasks (a scan of a very large table; ``tasks`` defaults to the number of
-    input files), a first level keeps the top-k per (query, group of ``fan_in`` tasks), so
-    no reducer sees more than ``fan_in × k`` rows of one query at either level."""
+    Every candidate task holds at most k rows per query, so one query meets ``tasks × k`` rows. With a
+    ``k`` two levels share them out: the top k of each (query, group of tasks) first, then the top k of at
+    most ``groups × k`` rows. ``groups`` grows with the square root of the tasks that one plans for
+    (16 for some thousands); 1 is a single level."""
     ordering = [F.col("score").desc(), *[F.col(c).asc() for c in order]]
-    if k is not None:
-        n = scan_tasks_lower_bound(cands) if tasks is None else tasks
-        if n > 2 * fan_in:
-            groups = -(-n // fan_in)
-            w1 = Window.partitionBy("query_id", "_grp").orderBy(*ordering)
-            cands = (cands.withColumn("_grp", F.pmod(F.spark_partition_id(), F.lit(groups)))
-                     .withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_grp", "_r1"))
+    if k is not None and groups > 1:
+        w1 = Window.partitionBy("query_id", "_grp").orderBy(*ordering)
+        cands = (cands.withColumn("_grp", F.pmod(F.spark_partition_id(), F.lit(groups)))
+                 .withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_grp", "_r1"))
     w = Window.partitionBy("query_id").orderBy(*ordering)
     out = cands.withColumn("rank", F.row_number().over(w))
     if k is not None:

@@ -6,26 +6,40 @@ where it is the feature (top-k).
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ragloom.functions.metadata import (
     base_metadata,
+    build_document,
+    file_metadata,
+    hit_id_fallback,
     meta_long,
     meta_string,
     metadata_from_json,
     metadata_to_json,
     overlay_columns,
 )
-from ragloom.functions.text import byte_length
-from ragloom.operators.chunking import chunk_fixed, chunk_markdown, chunk_recursive, chunk_routed, count_chunks
-from ragloom.operators.context import dedup_by_chunk, dedup_by_content, pack_flags, rank_hits, score_threshold
-from ragloom.operators.embedding import hash_terms
-from ragloom.operators.hybrid import bm25_search, history_queries, rrf_fuse
-from ragloom.operators.ivf import ivf_assign, ivf_fit, ivf_join, ivf_search
+from ragloom.functions.text import WS_CLASS, byte_length, file_ext_lower, normalize_ws
+from ragloom.functions.vectors import vector_widen
+from ragloom.operators.chunking import (
+    chunk_fixed,
+    chunk_markdown,
+    chunk_recursive,
+    chunk_routed,
+    count_chunks,
+    is_markdown_source,
+    is_markdown_type,
+)
+from ragloom.operators.context import dedup_by_chunk, dedup_by_content, pack_flags, rank_hits, score_threshold, skip_bad_hits
+from ragloom.operators.embedding import embed_missing, hash_terms
+from ragloom.operators.hybrid import FUSE_DEPTH, bm25_search, history_queries, rrf_fuse
+from ragloom.operators.ivf import centroids, ivf_assign, ivf_fit, ivf_join, ivf_search
 from ragloom.operators.markdown import derived_markdown, fenced_markdown
 from ragloom.operators.messages import (
     build_history,
+    history_after_template,
     merge_fragments,
     model_input,
     render_template,
@@ -33,12 +47,13 @@ from ragloom.operators.messages import (
     search_report,
     tool_messages,
 )
-from ragloom.operators.search import search, search_batch
+from ragloom.operators.recursive import chunk_recursive_array
+from ragloom.operators.search import search, search_batch, split_by_dimension
 from ragloom.params import CONFIGURED_PACK, GRAPH_PACK, ChunkParams, SearchParams
 from ragloom.plans.ingest import ingest
 from ragloom.plans.rag import rag_contexts, retrieve
 from ragloom.plans.tables import table
-from ragloom.session import spread
+from ragloom.session import ship_package
 from ragloom.sources.chunk_table import to_rows
 from ragloom.sources.reports import field_limit_violations, import_report, import_totals
 
@@ -47,10 +62,12 @@ SEARCH = SearchParams()  # k=5, threshold 0.5, 256 hashed buckets
 
 
 def documents(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
-    """The documents table, projected first, then spread over all cores when the file
-    gives fewer splits than cores (chunking and hashing are CPU-bound)."""
+    """The documents table, projected first. ``ragloom.scan.partitions`` (unset by default) deals it out
+    anew: for a file that is one row group, which no scan split size can cut."""
     d = table(spark, sf_dir, "documents")
-    return spread(d.select(*cols) if cols else d)
+    d = d.select(*cols) if cols else d
+    n = spark.conf.get("ragloom.scan.partitions", None)
+    return d.repartition(int(n)) if n else d
 
 
 def doc_chunks(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
@@ -280,6 +297,27 @@ def tool_calls_from_conversations(conv: DataFrame) -> DataFrame:
     )
 
 
+def dispatched_calls(conv: DataFrame) -> DataFrame:
+    """Derived calls of every kind, one per user turn: searches, bad JSON, an unknown tool, the calculator, no
+    name. All are ``call_0`` at position 0 of their reply, as models name them."""
+    kind = (F.col("conv_id") + F.col("turn")) % 5
+    return conv.where(F.col("role") == "user").select(
+        "conv_id", F.col("turn").alias("reply_seq"), F.lit(0).alias("call_pos"), F.lit("call_0").alias("call_id"),
+        F.when(kind <= 1, "search_docs").when(kind == 2, "weather").when(kind == 3, "calculator").otherwise("").alias("name"),
+        F.when(kind == 1, F.lit('{"query": 5')).when(kind == 3, F.to_json(F.struct(F.col("turn").cast("string").alias("expression"))))
+        .otherwise(F.to_json(F.struct(F.col("text").alias("query")))).alias("arguments"))
+
+
+def q_tool_dispatch(spark, sf_dir):
+    """M6, F10 and the failure paths: calls of every kind with one repeated call id."""
+    conv = table(spark, sf_dir, "conversations")
+
+    def search_fn(qs, k):
+        return sparse_hits(spark, sf_dir, qs, k=k)
+
+    return run_tool_calls(dispatched_calls(conv), search_fn, k=5)
+
+
 def q_tool_results(spark, sf_dir):
     """M6 + M7: tool messages for search calls derived from the conversations."""
     conv = table(spark, sf_dir, "conversations")
@@ -357,10 +395,10 @@ def q_bm25_search(spark, sf_dir):
 
 
 def q_rrf_fuse(spark, sf_dir):
-    """Reciprocal-rank fusion of the hashed-cosine and BM25 top-5 lists."""
+    """Reciprocal-rank fusion of the hashed-cosine and BM25 top-20 lists, then the top 5."""
     qs = questions(spark, sf_dir)
-    a = sparse_hits(spark, sf_dir, qs, k=5)
-    b = bm25_search(doc_chunks(spark, sf_dir), qs, 5)
+    a = sparse_hits(spark, sf_dir, qs, k=FUSE_DEPTH)
+    b = bm25_search(doc_chunks(spark, sf_dir), qs, FUSE_DEPTH)
     return rrf_fuse(a, b, k=5).select(*HIT_COLUMNS)
 
 
@@ -419,7 +457,148 @@ def q_chunk_routed(spark, sf_dir):
     return chunk_routed(markdown_documents(spark, sf_dir), CHUNKS)
 
 
+# ----------------------------------------------------------------------------- single functions over the tables
+
+
+def label_means(spark, sf_dir) -> DataFrame:
+    """The mean vector of each label, made from all rows: ``label, embedding``."""
+    return (embeddings(spark, sf_dir).select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i")
+            .agg(F.avg("x").alias("a")).groupBy("label").agg(F.sort_array(F.collect_list(F.struct("i", "a"))).alias("v"))
+            .select("label", F.transform("v", lambda x: x["a"]).alias("embedding")))
+
+
+def q_knn_label_means(spark, sf_dir):
+    """R2 with a query table that does not grow with the vectors: the 10 nearest vectors of each label's mean."""
+    e = embeddings(spark, sf_dir)
+    q = label_means(spark, sf_dir).select(F.col("label").alias("query_id"), "embedding")
+    return search_batch(e, q, 10, vec="embedding", mode="dense", order=["vec_id"], round_digits=DENSE_DIGITS).select(
+        "query_id", "vec_id", "label", "score", "rank")
+
+
+def label_centroids(spark, sf_dir) -> np.ndarray:
+    """Label means as IVF centroids in label order (labels × dim numbers)."""
+    return np.array([r["embedding"] for r in label_means(spark, sf_dir).orderBy("label").collect()])
+
+
+def q_ivf_assign_labels(spark, sf_dir):
+    """R6 with given centroids (the label means): the nearest cell of every vector."""
+    return ivf_assign(embeddings(spark, sf_dir), label_centroids(spark, sf_dir)).select("vec_id", "label", "cell")
+
+
+IVF_PROBES = 2
+
+
+def q_ivf_search_probes(spark, sf_dir):
+    """R7 below full probe: the 5 nearest vectors within each vector's 2 nearest of 10 cells, exact there.
+    (All vectors are queries here, so the work is quadratic in a cell; ``knn_label_means`` is the form that scales.)"""
+    e, cents = embeddings(spark, sf_dir), label_centroids(spark, sf_dir)
+    q = e.select(F.col("vec_id").alias("query_id"), "embedding")
+    return ivf_search(ivf_assign(e, cents), q, cents, k=5, nprobe=IVF_PROBES, order=["vec_id"], round_digits=DENSE_DIGITS).select(
+        "query_id", "vec_id", "label", "score", "rank")
+
+
+def q_ivf_join_probes(spark, sf_dir):
+    """R7 as the partitioned join at ``nprobe`` = 2 of 10: a query meets the chunks of its two cells only."""
+    e, cents = embeddings(spark, sf_dir), label_centroids(spark, sf_dir)
+    q = e.select(F.col("vec_id").alias("query_id"), "embedding")
+    return ivf_join(ivf_assign(e, cents), q, cents, k=5, nprobe=IVF_PROBES, order=["vec_id"], round_digits=DENSE_DIGITS).select(
+        "query_id", "vec_id", "label", "score", "rank")
+
+
+def _no_space(c):
+    return F.regexp_replace(c, WS_CLASS, "")
+
+
+def q_chunk_recursive_checks(spark, sf_dir):
+    """T3 invariants per document: chunks over 500 characters at overlap 50 (none), and the digest of the chunks at
+    overlap 0 joined (the text, white space aside)."""
+    ship_package(spark)
+    d = documents(spark, sf_dir, ["doc_id", "text"])
+    both = d.select("doc_id", chunk_recursive_array("text", 500, 50).alias("a"), chunk_recursive_array("text", 500, 0).alias("b"))
+    return both.select("doc_id", F.size(F.filter("a", lambda c: F.length(c) > 500)).cast("long").alias("n_over"),
+                       F.md5(_no_space(F.array_join("b", ""))).alias("digest"))
+
+
+def q_chunk_routed_checks(spark, sf_dir):
+    """T5 per document at overlap 0: Markdown sources give T4's chunks, the others cover their text in chunks of at most 500."""
+    docs = markdown_documents(spark, sf_dir)
+    ch = chunk_routed(docs, ChunkParams(500, 0, 10)).withColumn("md", is_markdown_source(F.col("source")))
+    per = ch.groupBy("doc_id").agg(
+        F.first("md").alias("is_markdown"), F.count_if(~F.col("md") & (F.length("content") > 500)).cast("long").alias("n_over"),
+        F.count(F.lit(1)).alias("n"), F.expr("listagg(content, '\\u0001') WITHIN GROUP (ORDER BY chunk_index)").alias("joined"))
+    return per.select("doc_id", "is_markdown", "n_over", F.when(F.col("is_markdown"), F.col("n")).alias("n_chunks"),
+                      F.md5(F.when(F.col("is_markdown"), F.col("joined")).otherwise(
+                          _no_space(F.regexp_replace("joined", "\u0001", "")))).alias("digest"))
+
+
+def q_file_metadata(spark, sf_dir):
+    """P1 + P3: each document as a file document, its path made from source and id."""
+    d = table(spark, sf_dir, "documents")
+    path = F.concat(F.lit("/data/"), F.coalesce("source", F.lit("")), F.lit("/doc "), F.col("doc_id").cast("string"), F.lit(".Txt"))
+    doc = build_document("doc_id", path, file_metadata(path))
+    return d.select(doc.alias("d")).select("d.doc_id", F.col("d.content").alias("path"), *[
+        meta_string("d.metadata", k).alias(k) for k in ("filename", "filepath", "source", "file_type")], F.size("d.metadata").cast("long").alias("n_keys"))
+
+
+def q_text_functions(spark, sf_dir):
+    """P12 + P14 + T6 + P16: normalised text (digest), lower-cased extension, Markdown by type, hit id or its fallback."""
+    d = markdown_documents(spark, sf_dir)
+    kind = F.regexp_extract("source", r"\.([^.]*)$", 1)
+    return d.select("doc_id", F.md5(normalize_ws("text")).alias("digest"), file_ext_lower("source").alias("ext"),
+                    is_markdown_type(kind).alias("by_type"),
+                    hit_id_fallback(F.when(F.col("doc_id") % 3 == 0, F.lit("")).when(F.col("doc_id") % 3 == 1, F.col("doc_id").cast("string")),
+                                    (F.col("doc_id") + 1).cast("int")).alias("hit_id"))
+
+
+def q_embed_missing(spark, sf_dir):
+    """F4 + E1 + E2 + P10: vectors are null or empty for two labels of three; only those are embedded (by the text's length)."""
+    e = embeddings(spark, sf_dir)
+    v = F.when(F.col("label") % 3 == 0, F.lit(None)).when(F.col("label") % 3 == 1, F.array().cast("array<float>")).otherwise(F.col("embedding"))
+    rows = e.select("vec_id", F.concat(F.lit("vector "), F.col("vec_id").cast("string")).alias("content"), v.cast("array<float>").alias("embedding"))
+    out = embed_missing(rows, fn=lambda texts: [[float(len(t)), 0.5] for t in texts])
+    return out.select("vec_id", F.size("embedding").cast("long").alias("width"), F.round(vector_widen("embedding")[0], 6).alias("first"))
+
+
+def q_dimension_split(spark, sf_dir):
+    """F6 split form: vectors cut to half width are set apart; missing ones pass."""
+    e = embeddings(spark, sf_dir)
+    v = F.when(F.col("label") % 4 == 0, F.slice("embedding", 1, 32)).when(F.col("label") % 4 != 1, F.col("embedding"))
+    ok, bad = split_by_dimension(e.select("vec_id", v.alias("embedding")), 64)
+    return ok.select("vec_id", F.lit(True).alias("usable")).unionByName(bad.select("vec_id", F.lit(False).alias("usable")))
+
+
+def q_merge_hit_lists(spark, sf_dir):
+    """A3 with real duplicates, F5: the hashed-cosine list twice, once at half its score and with a hit's text missing."""
+    hits = sparse_hits(spark, sf_dir, questions(spark, sf_dir))
+    again = hits.withColumn("score", F.col("score") * 0.5).withColumn("content", F.when(F.col("rank") > 1, F.col("content")))
+    merged = skip_bad_hits(hits.withColumn("content", F.when(F.col("rank") < 5, F.col("content"))).unionByName(again))
+    return dedup_by_chunk(merged).select("query_id", "chunk_id", "doc_id", "chunk_index", "score")
+
+
+def q_template_history(spark, sf_dir):
+    """M5: each conversation's history after a summary call: the rendered user message and the reply."""
+    conv = table(spark, sf_dir, "conversations")
+    asked = last_user_questions(conv)
+    rendered = render_template(asked, "translate", {"text": F.col("question"), "target_lang": "English"}, keep=["query_id"])
+    replies = asked.select(F.col("query_id").alias("conv_id"), F.concat(F.lit("answer: "), F.col("question")).alias("content"))
+    return history_after_template(build_history(conv), rendered.withColumnRenamed("query_id", "conv_id"), replies).select(
+        "conv_id", "seq", "role", "content")
+
+
 QUERIES = {
+    "knn_label_means": q_knn_label_means,
+    "ivf_assign_labels": q_ivf_assign_labels,
+    "ivf_search_probes": q_ivf_search_probes,
+    "ivf_join_probes": q_ivf_join_probes,
+    "chunk_recursive_checks": q_chunk_recursive_checks,
+    "chunk_routed_checks": q_chunk_routed_checks,
+    "file_metadata": q_file_metadata,
+    "text_functions": q_text_functions,
+    "embed_missing": q_embed_missing,
+    "dimension_split": q_dimension_split,
+    "merge_hit_lists": q_merge_hit_lists,
+    "template_history": q_template_history,
+    "tool_dispatch": q_tool_dispatch,
     "rag_contexts": q_rag_contexts,
     "rag_contexts_graph": q_rag_contexts_graph,
     "chunk_fixed": q_chunk_fixed,

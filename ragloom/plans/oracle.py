@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ragloom.functions.prompts import NO_ANSWER, RAG_PROMPT_HEAD, RAG_PROMPT_MID, RAG_PROMPT_TAIL, SYSTEM_MESSAGE
+from ragloom.functions.prompts import NO_ANSWER, RAG_PROMPT_HEAD, RAG_PROMPT_MID, RAG_PROMPT_TAIL, SYSTEM_MESSAGE, TEMPLATES
 from ragloom.operators.embedding import TOKEN_SPLIT
 from ragloom.plans.sqlfrag import WS_SQL, chunks_sql, lit, terms_sql
 from ragloom.sources.reports import NO_CHUNKS_FIXED
@@ -25,10 +25,10 @@ def _sparse_hits_sql(k: int = K, min_score: float | None = MIN_SCORE, dim: int =
     qn AS (SELECT query_id, sum(n * n) AS n2 FROM qt GROUP BY query_id),
     dots AS (SELECT qt.query_id, ct.chunk_id, sum(ct.n * qt.n) AS dot
              FROM ct JOIN qt ON ct.bucket = qt.bucket GROUP BY qt.query_id, ct.chunk_id),
-    scored AS (SELECT d.query_id, c.chunk_id, c.doc_id, c.chunk_index, c.content,
-                      d.dot / (sqrt(cn.n2) * sqrt(qn.n2)) AS score
-               FROM dots d JOIN cn ON d.chunk_id = cn.chunk_id JOIN qn ON d.query_id = qn.query_id
-               JOIN ch c ON c.chunk_id = d.chunk_id),
+    scored AS (SELECT qn.query_id, c.chunk_id, c.doc_id, c.chunk_index, c.content,
+                      coalesce(d.dot, 0) / (sqrt(cn.n2) * sqrt(qn.n2)) AS score
+               FROM cn JOIN ch c ON c.chunk_id = cn.chunk_id CROSS JOIN qn
+               LEFT JOIN dots d ON d.chunk_id = cn.chunk_id AND d.query_id = qn.query_id),
     hits AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, chunk_index) AS INTEGER) AS rank
              FROM (SELECT * FROM scored {thr}) QUALIFY rank <= {k})"""
 
@@ -283,7 +283,8 @@ _BM25_BASE = f"""
     ch AS {chunks_sql()},
     q AS ({QUESTIONS}),"""
 
-_BM25 = f"""
+def _bm25_sql(depth: int = K) -> str:
+    return f"""
     ctok AS (SELECT chunk_id, tok FROM (SELECT chunk_id, unnest(regexp_split_to_array(lower(content), '{TOKEN_SPLIT}')) AS tok FROM ch)
              WHERE tok <> ''),
     dl AS (SELECT ch.chunk_id, CAST(count(ctok.tok) AS DOUBLE) AS dl FROM ch LEFT JOIN ctok ON ch.chunk_id = ctok.chunk_id
@@ -300,13 +301,16 @@ _BM25 = f"""
            GROUP BY bqt.query_id, tf.chunk_id),
     bmhits AS (SELECT bm.query_id, ch.chunk_id, ch.doc_id, ch.chunk_index, bm.score,
                       CAST(row_number() OVER (PARTITION BY bm.query_id ORDER BY bm.score DESC, ch.doc_id, ch.chunk_index) AS INTEGER) AS rank
-               FROM bm JOIN ch ON bm.chunk_id = ch.chunk_id WHERE bm.score > 0 QUALIFY rank <= 5)"""
+               FROM bm JOIN ch ON bm.chunk_id = ch.chunk_id WHERE bm.score > 0 QUALIFY rank <= {depth})"""
+
+
+FUSE = 20
 
-BM25_SEARCH = f"WITH {_BM25_BASE}{_BM25}\nSELECT query_id, chunk_id, doc_id, chunk_index, score, rank FROM bmhits"
+BM25_SEARCH = f"WITH {_BM25_BASE}{_bm25_sql()}\nSELECT query_id, chunk_id, doc_id, chunk_index, score, rank FROM bmhits"
 
 RRF_FUSE = f"""
-WITH {_sparse_hits_sql(min_score=None)},
-{_BM25},
+WITH {_sparse_hits_sql(k=FUSE, min_score=None)},
+{_bm25_sql(FUSE)},
 u AS (SELECT query_id, chunk_id, doc_id, chunk_index, rank FROM hits
       UNION ALL SELECT query_id, chunk_id, doc_id, chunk_index, rank FROM bmhits),
 f AS (SELECT query_id, chunk_id, doc_id, chunk_index, sum(1.0 / (60 + rank)) AS score FROM u
@@ -317,10 +321,10 @@ FROM f QUALIFY rank <= 5
 """
 
 _HISTORY_Q = """
-SELECT c.conv_id AS query_id, string_agg(coalesce(c.text, ''), chr(10) ORDER BY c.turn) AS question
-FROM conversations c JOIN (SELECT conv_id, max(turn) AS m FROM conversations GROUP BY conv_id) l ON c.conv_id = l.conv_id
-WHERE c.turn > l.m - 3
-GROUP BY c.conv_id"""
+SELECT conv_id AS query_id, string_agg(coalesce(text, ''), chr(10) ORDER BY back DESC) AS question
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, role DESC NULLS LAST, text DESC NULLS LAST) AS back FROM conversations)
+WHERE back <= 3
+GROUP BY conv_id"""
 
 RETRIEVE_WITH_HISTORY = _hits_only(questions=_HISTORY_Q)
 
@@ -371,7 +375,117 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(doc_id AS VARCHAR) AS meta_doc_id
 FROM documents
 """
 
+_MEANS = """mu AS (SELECT label, list(a ORDER BY i) AS mv FROM (SELECT label, i, avg(x) AS a FROM
+      (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e) GROUP BY label, i) GROUP BY label)"""
+
+KNN_LABEL_MEANS = f"""
+WITH {_E}, {_MEANS},
+s AS (SELECT mu.label AS query_id, e.vec_id, e.label, {_COS.format(a="mu.mv", b="e.v")} AS score FROM mu, e)
+SELECT query_id, vec_id, label, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM s WHERE score IS NOT NULL QUALIFY rank <= 10
+"""
+
+# every vector with its cells in order of cosine (cells are numbered by label from 0)
+_CELLS = f"""{_E}, {_MEANS},
+cc AS (SELECT mv, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS cell FROM mu),
+near AS (SELECT vec_id, label, v, cell, row_number() OVER (PARTITION BY vec_id ORDER BY
+           list_dot_product(v, mv) / sqrt(list_dot_product(mv, mv)) DESC, cell) AS pos FROM e, cc)"""
+
+IVF_ASSIGN_LABELS = f"WITH {_CELLS} SELECT vec_id, label, cell FROM near WHERE pos = 1"
+
+IVF_SEARCH_PROBES = f"""
+WITH {_CELLS},
+s AS (SELECT q.vec_id AS query_id, c.vec_id, c.label, {_COS.format(a="q.v", b="c.v")} AS score
+      FROM near q JOIN near c ON q.cell = c.cell AND c.pos = 1 AND q.pos <= 2)
+SELECT query_id, vec_id, label, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM s WHERE score IS NOT NULL QUALIFY rank <= 5
+"""
+
+_NO_SPACE = "translate({x}, {ws}, '')"
+
+
+def _no_space(x: str) -> str:
+    return _NO_SPACE.format(x=x, ws=WS_SQL)
+
+
+CHUNK_RECURSIVE_CHECKS = f"SELECT doc_id, CAST(0 AS BIGINT) AS n_over, md5({_no_space('coalesce(text, %s)' % lit(''))}) AS digest FROM documents"
+
+_ROUTED = "CASE lang WHEN 'en' THEN source || '.md' WHEN 'de' THEN source || '.MARKDOWN' WHEN 'fr' THEN source || '.txt' ELSE source END"
+
+CHUNK_ROUTED_CHECKS = f"""
+WITH t AS ({CHUNK_MARKDOWN}),
+md AS (SELECT doc_id, count(*) AS n, md5(string_agg(content, chr(1) ORDER BY chunk_index)) AS digest FROM t GROUP BY doc_id),
+x AS (SELECT m.doc_id, m.text, d.lang IN ('en', 'de') AS is_markdown FROM ({_MD_DOCS}) m JOIN documents d ON CAST(d.doc_id AS VARCHAR) = m.doc_id)
+SELECT x.doc_id, is_markdown, CAST(0 AS BIGINT) AS n_over, CASE WHEN is_markdown THEN md.n END AS n_chunks,
+       CASE WHEN is_markdown THEN md.digest ELSE md5({_no_space('x.text')}) END AS digest
+FROM x LEFT JOIN md ON md.doc_id = x.doc_id WHERE NOT is_markdown OR md.n > 0
+"""
+
+FILE_METADATA = """
+SELECT doc_id, path, regexp_extract(path, '([^/]*)$', 1) AS filename, path AS filepath, path AS source, 'Txt' AS file_type, CAST(4 AS BIGINT) AS n_keys
+FROM (SELECT CAST(doc_id AS VARCHAR) AS doc_id, '/data/' || coalesce(source, '') || '/doc ' || CAST(doc_id AS VARCHAR) || '.Txt' AS path FROM documents)
+"""
+
+TEXT_FUNCTIONS = f"""
+SELECT d.doc_id, md5(regexp_replace(trim(m.text, {WS_SQL}), '[' || {WS_SQL} || ']+', ' ', 'g')) AS digest,
+       lower(regexp_extract({_ROUTED}, '(\\.[^./]*)$', 1)) AS ext, lang IN ('en', 'de') AS by_type,
+       CASE WHEN d.doc_id % 3 = 1 THEN CAST(d.doc_id AS VARCHAR) ELSE 'hit_' || CAST(d.doc_id AS VARCHAR) END AS hit_id
+FROM documents d JOIN ({_MD_DOCS}) m ON m.doc_id = CAST(d.doc_id AS VARCHAR)
+"""
+
+EMBED_MISSING = """
+SELECT vec_id, CAST(CASE WHEN label % 3 = 2 THEN 64 ELSE 2 END AS BIGINT) AS width,
+       CASE WHEN label % 3 = 2 THEN round(CAST(embedding[1] AS DOUBLE), 6) ELSE CAST(length('vector ' || CAST(vec_id AS VARCHAR)) AS DOUBLE) END AS first
+FROM embeddings
+"""
+
+DIMENSION_SPLIT = "SELECT vec_id, label % 4 <> 0 AS usable FROM embeddings"
+
+MERGE_HIT_LISTS = f"""
+WITH {_sparse_hits_sql(min_score=None)}
+SELECT query_id, chunk_id, doc_id, chunk_index, CASE WHEN rank < 5 THEN score ELSE score * 0.5 END AS score FROM hits
+"""
+
+TEMPLATE_HISTORY = f"""
+WITH hist AS ({_HISTORY}),
+asked AS ({_LAST_USER}),
+last AS (SELECT conv_id, max(seq) AS m FROM hist GROUP BY conv_id)
+SELECT conv_id, seq, role, content FROM hist
+UNION ALL
+SELECT last.conv_id, CAST(m + 1 AS BIGINT), 'user', {" || ".join(_tmpl(TEMPLATES["translate"][1], {"text": "question", "target_lang": "'English'"}))}
+FROM last JOIN asked ON asked.query_id = last.conv_id
+UNION ALL
+SELECT last.conv_id, CAST(m + 2 AS BIGINT), 'assistant', 'answer: ' || question FROM last JOIN asked ON asked.query_id = last.conv_id
+"""
+
+_DISPATCHED = """SELECT conv_id * 1000000 + turn AS query_id, text AS question FROM conversations
+      WHERE role = 'user' AND (conv_id + turn) % 5 = 0"""
+
+TOOL_DISPATCH = f"""
+WITH r AS ({_report_sql(_sparse_hits_sql(min_score=None, questions=_DISPATCHED), _DISPATCHED, "q.query_id AS query_id")})
+SELECT c.conv_id, c.turn AS reply_seq, CAST(0 AS INTEGER) AS call_pos, 'call_0' AS call_id, 'tool' AS role,
+       CASE (c.conv_id + c.turn) % 5 WHEN 0 THEN r.report
+            WHEN 1 THEN '工具search_docs执行失败，请检查输入或重试'
+            WHEN 2 THEN '工具weather执行失败，请检查输入或重试'
+            ELSE '计算结果: ' || CAST(c.turn AS VARCHAR) || ' = ' || CAST(c.turn AS VARCHAR) END AS content
+FROM conversations c LEFT JOIN r ON r.query_id = c.conv_id * 1000000 + c.turn
+WHERE c.role = 'user' AND (c.conv_id + c.turn) % 5 <> 4
+"""
+
 ORACLE = {
+    "knn_label_means": KNN_LABEL_MEANS,
+    "ivf_assign_labels": IVF_ASSIGN_LABELS,
+    "ivf_search_probes": IVF_SEARCH_PROBES,
+    "ivf_join_probes": IVF_SEARCH_PROBES,
+    "chunk_recursive_checks": CHUNK_RECURSIVE_CHECKS,
+    "chunk_routed_checks": CHUNK_ROUTED_CHECKS,
+    "file_metadata": FILE_METADATA,
+    "text_functions": TEXT_FUNCTIONS,
+    "embed_missing": EMBED_MISSING,
+    "dimension_split": DIMENSION_SPLIT,
+    "merge_hit_lists": MERGE_HIT_LISTS,
+    "template_history": TEMPLATE_HISTORY,
+    "tool_dispatch": TOOL_DISPATCH,
     "rag_contexts": RAG_CONTEXTS,
     "rag_contexts_graph": RAG_CONTEXTS_GRAPH,
     "chunk_fixed": CHUNK_FIXED,

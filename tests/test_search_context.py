@@ -185,8 +185,8 @@ def test_two_level_rank_equals_one_level(spark):
     e = spark.read.parquet(f"{SF001}/embeddings.parquet").select("vec_id", "embedding").repartition(12)
     q = e.select(F.col("vec_id").alias("query_id"), "embedding")
     cands = search_candidates(e, q, 5, order=["vec_id"], round_digits=9)
-    one = rank_within_query(cands, 5, ["vec_id"]).select("query_id", "vec_id", "rank").collect()
-    two = rank_within_query(cands, 5, ["vec_id"], fan_in=2, tasks=12)  # 12 tasks > 2 x 2: two levels
+    one = rank_within_query(cands, 5, ["vec_id"], groups=1).select("query_id", "vec_id", "rank").collect()
+    two = rank_within_query(cands, 5, ["vec_id"], groups=4)
     assert "_grp" not in two.columns
     assert sorted(map(tuple, one)) == sorted(map(tuple, two.select("query_id", "vec_id", "rank").collect()))
 
@@ -245,8 +245,26 @@ def test_keys_only_search_equals_carried_content(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) == 200
 
 
-def test_null_query_ids_are_skipped(spark):
+def test_query_ids(spark):
+    """Ids of any type; a null or repeated id is an error; blocks don't change the hits."""
+    from ragloom.operators.hybrid import bm25_search, history_queries
+
     c = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
-    q = spark.createDataFrame([(None, [1.0, 0.0]), (7, [0.0, 1.0])], "query_id long, embedding array<float>")
-    got = search_batch(c, q, 1, order=["vec_id"]).collect()
-    assert [(r["query_id"], r["vec_id"]) for r in got] == [(7, 2)]
+    q = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("c", [0.6, 0.8])], "query_id string, embedding array<float>")
+    want = [("a", 1), ("b", 2), ("c", 2)]
+    assert sorted((r["query_id"], r["vec_id"]) for r in search_batch(c, q, 1, order=["vec_id"]).collect()) == want
+    many = search_batch(c, q, 1, order=["vec_id"], max_broadcast_bytes=20)
+    assert sorted((r["query_id"], r["vec_id"]) for r in many.collect()) == want
+    assert many._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1  # one pass, whatever the blocks
+    for bad in ([(None, [1.0, 0.0])], [("a", [1.0, 0.0]), ("a", [0.0, 1.0])]):
+        with pytest.raises(ValueError):
+            search_batch(c, spark.createDataFrame(bad, "query_id string, embedding array<float>"), 1, order=["vec_id"])
+    ch = spark.createDataFrame([("d:0", "d", 0, "die ΟΔΟΣ dort"), ("e:0", "e", 0, "nothing here")], "chunk_id string, doc_id string, chunk_index long, content string")
+    qs = spark.createDataFrame([("x", "ΟΔΟΣ"), ("y", "dort dort")], "query_id string, question string")
+    for limit in (64 << 20, 64):
+        assert sorted((r["query_id"], r["doc_id"]) for r in bm25_search(ch, qs, 2, max_broadcast_bytes=limit).collect()) == [("x", "d"), ("y", "d")]
+    with pytest.raises(ValueError):
+        bm25_search(ch, spark.createDataFrame([(None, "x")], "query_id string, question string"), 2)
+    turns = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "user", "b"), (1, 5, "user", "c"), (1, 9, "user", None), (2, 3, "user", "z")],
+                                  "conv_id long, turn long, role string, text string")
+    assert {r["query_id"]: r["question"] for r in history_queries(turns, 3).collect()} == {1: "b\nc\n", 2: "z"}
