@@ -17,6 +17,7 @@ import numpy as np
 
 MEMO_PARTS = 1 << 20  # entries, then the memo starts anew
 _AMBIGUOUS = re.compile(r"\s \s|\s $|^ \s|^ ?$")
+_RARE = re.compile(r"[^\S \n]")  # white space other than spaces and newlines
 _LINES = re.compile(r"\s\n|\n\s|^ ?\n|\n$")
 _PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
@@ -49,8 +50,9 @@ class ByteEncoder:
         self.code, self.dtype = ("H", "<u2") if small else ("I", "<u4")
         self.tokenize = self.tokenizer.model.tokenize
         self.alphabet = dict(byte_characters())
-        self.newline = self._whole("\n")
-        self.tails: dict[str, list[int]] = {"": []}
+        self.newline, self.space = self._whole("\n"), self.alphabet[32]
+        self.tails: dict[str, bytes] = {"": b""}
+        self.firsts: dict[str, bytes] = {}
         self.memo: dict[str, bytes] = {}
         self.limit = memo_parts
 
@@ -60,35 +62,68 @@ class ByteEncoder:
     def _piece(self, piece: str) -> list[int]:
         return [t.id for t in self.tokenize(piece.encode("utf-8").decode("latin-1").translate(self.alphabet))]
 
-    def _part(self, part: str) -> bytes:
-        plain = _PLAIN.fullmatch(part)
-        if not plain:
-            if "\n" in part and not _LINES.search(part):  # a single newline is a piece of its own
-                return self.newline.join([self._known(x) for x in part.split("\n")])
-            return self._whole(part)
-        word, tail = plain.groups()
+    def _tail(self, tail: str) -> list[int]:
         if tail not in self.tails:
             if len(self.tails) > 4096:
                 self.tails = {"": []}
             self.tails[tail] = self._piece(tail)
-        return array(self.code, self._piece(word) + self.tails[tail]).tobytes()
+        return self.tails[tail]
+
+    def _tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            if len(self.tails) > 4096:
+                self.tails = {"": b""}
+            self.tails[tail] = array(self.code, self._piece(tail)).tobytes()
+        return self.tails[tail]
+
+    def _spaced(self, part: str) -> bytes:
+        """A part that follows a space; kept under the part alone."""
+        word, tail = (part[:-1], part[-1]) if part[-1:] in (".", ",") else (part, "")
+        if word.isascii() and word.isalpha():
+            # plain letters stand for themselves in the byte alphabet; the space before them is its own sign
+            stem = self.memo.get(word) if tail else None
+            if stem is None:
+                stem = self.memo[word] = array(self.code, [t.id for t in self.tokenize(self.space + word)]).tobytes()
+            if not tail:
+                return stem
+            got = stem + self._tail(tail)
+        else:
+            got = self._part(" " + part)
+        self.memo[part] = got
+        return got
 
-    def _known(self, part: str) -> bytes:
-        got = self.memo.get(part)
+    def _part(self, part: str) -> bytes:
+        plain = _PLAIN.fullmatch(part)
+        if plain:
+            word, tail = plain.groups()
+            return array(self.code, self._piece(word)).tobytes() + self._tail(tail)
+        if "\n" in part and not _LINES.search(part):  # a single newline is a piece of its own
+            head, *rest = part.split("\n")
+            head = (self.memo.get(head[1:]) or self._spaced(head[1:])) if head[0] == " " else self._first(head)
+            return self.newline.join([head, *map(self._first, rest)])
+        return self._whole(part)
+
+    def _first(self, part: str) -> bytes:
+        """A part without a space before it."""
+        got = self.firsts.get(part)
         if got is None:
-            got = self.memo[part] = self._part(part)
+            if len(self.firsts) > 1 << 17:
+                self.firsts.clear()
+            got = self.firsts[part] = self._part(part)
         return got
 
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, dtype=self.dtype)
-        if _AMBIGUOUS.search(text):
+        doubtful = "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _RARE.search(text)
+        if doubtful and _AMBIGUOUS.search(text):
             return np.frombuffer(self._whole(text), dtype=self.dtype)
         if len(self.memo) > self.limit:
             self.memo.clear()
-        parts = text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text.split(" ")[0], *(" " + x for x in text.split(" ")[1:])]
-        known = self.memo
-        try:
-            return np.frombuffer(b"".join([known[p] for p in parts]), dtype=self.dtype)
-        except KeyError:
-            return np.frombuffer(b"".join([self._known(p) for p in parts]), dtype=self.dtype)
+        parts = text.split(" ")
+        got = list(map(self.memo.get, parts))
+        got[0] = self._first(parts[0]) if parts[0] else b""
+        if None in got:
+            known, spaced = self.memo.get, self._spaced
+            got = [(known(p) or spaced(p)) if g is None else g for p, g in zip(parts, got)]
+        return np.frombuffer(b"".join(got), dtype=self.dtype)
