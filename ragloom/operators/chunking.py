@@ -134,14 +134,16 @@ def chunk_routed(
     source: str = "source",
     keep: list[str] | None = None,
     file_type: str | None = None,
+    max_section_bytes: int | None = None,
 ) -> DataFrame:
     """Markdown rows (``.md``/``.markdown`` source, any case; or an explicit
     ``file_type``) go through the header splitter, all others through the recursive
     splitter. The choice is made per row (the reference routes a whole batch by its first
     document); the two branches are one ``when`` expression, so there is no union and no
-    shuffle, and only the recursive branch reaches Python."""
+    shuffle, and only the recursive branch reaches Python. With ``max_section_bytes`` a Markdown section
+    above it is cut further by the recursive splitter (T4's sections have no bound of their own)."""
     from ragloom.operators.markdown import with_markdown_sections
-    from ragloom.operators.recursive import chunk_recursive_array
+    from ragloom.operators.recursive import chunk_recursive_array, split_long_array
 
     ship_package(df.sparkSession)
     md = is_markdown_type(F.col(file_type)) if file_type else is_markdown_source(F.col(source))
@@ -150,7 +152,11 @@ def chunk_routed(
         keep.append(source)
     staged = with_markdown_sections(df.withColumn("_md", md).withColumn("_mdtext", F.when(F.col("_md"), F.col(text))),
                                     "_mdtext", "_sections")
-    arr = F.when(F.col("_md"), F.col("_sections")).otherwise(
+    sections = F.col("_sections")
+    if max_section_bytes:
+        long = F.exists(sections, lambda c: F.octet_length(c) > max_section_bytes)
+        sections = F.when(long, split_long_array(F.when(long, sections), max_section_bytes, params.size, params.overlap)).otherwise(sections)
+    arr = F.when(F.col("_md"), sections).otherwise(
         chunk_recursive_array(F.when(~F.col("_md"), F.col(text)), params.size, params.overlap))
     return explode_chunks(staged, arr, doc_id=doc_id, keep=keep)
 

@@ -88,3 +88,21 @@ def chunk_recursive_array(text, size: int = 500, overlap: int = 50) -> Column:
 
     t = F.col(text) if isinstance(text, str) else text
     return _split(t)
+
+
+def split_long_array(sections, max_bytes: int, size: int = 500, overlap: int = 50) -> Column:
+    """Sections over ``max_bytes`` bytes through T3; the others as they are. Null stays null."""
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def _split(lists: pd.Series) -> pd.Series:
+        out = []
+        for one in lists:
+            if one is None:
+                out.append(None)
+                continue
+            parts: list[str] = []
+            for text in one:
+                parts += [text] if len(text.encode("utf-8")) <= max_bytes else split_recursive(text, size, overlap)
+            out.append(parts)
+        return pd.Series(out, dtype=object)
+
+    return _split(F.col(sections) if isinstance(sections, str) else sections)

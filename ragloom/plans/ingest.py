@@ -20,7 +20,9 @@ from ragloom.operators.chunking import chunk_fixed, chunk_routed, explode_chunks
 from ragloom.operators.embedding import embed, embed_missing
 from ragloom.params import ChunkParams
 from ragloom.sources.chunk_table import read_chunks, write_chunks
-from ragloom.sources.reports import EMPTY_FILE, NO_CHUNKS_FIXED, NO_CHUNKS_ROUTED
+from ragloom.sources.reports import EMPTY_FILE, FIELD_LIMITS, NO_CHUNKS_FIXED, NO_CHUNKS_ROUTED
+
+CONTENT_LIMIT = dict(FIELD_LIMITS)["content"]
 
 # a splitter of one's own: the text column -> array<string> of chunks
 Splitter = str | Callable[[Column], Column]
@@ -35,8 +37,9 @@ class ImportResult:
 
 
 def ingest(documents: DataFrame, params: ChunkParams = ChunkParams(), dim: int = 256, embed_fn=None,
-           splitter: Splitter = "routed") -> DataFrame:
-    """Chunk rows with metadata and vectors, ready for ``write_chunks``.
+           splitter: Splitter = "routed", max_section_bytes: int | None = CONTENT_LIMIT) -> DataFrame:
+    """Chunk rows with metadata and vectors, ready for ``write_chunks``. A Markdown section over
+    ``max_section_bytes`` (the stored content limit) is cut further, so it cannot fail the import.
 
     ``documents``: ``doc_id, text, source``. ``splitter``: ``routed`` (T5, the live path), ``fixed`` (T1), or a
     function from the text column to an ``array<string>`` of chunks."""
@@ -50,7 +53,7 @@ def ingest(documents: DataFrame, params: ChunkParams = ChunkParams(), dim: int =
     elif splitter == "fixed":
         ch = chunk_fixed(docs, params, keep=["source", "_meta"])
     elif splitter == "routed":
-        ch = chunk_routed(docs, params, keep=["_meta"])
+        ch = chunk_routed(docs, params, keep=["_meta"], max_section_bytes=max_section_bytes)
     else:
         raise ValueError(f"splitter must be 'routed', 'fixed' or a function, got {splitter!r}")
     ch = ch.withColumn(

@@ -130,6 +130,15 @@ def test_odd_file_names(spark, tmpdir_fresh):
     assert rep == {"a b.txt": True, "100%.txt": True, "x+y.txt": True, "é中.md": True, "q%20r.txt": True, "_u.txt": False, "e.txt": False, "deep.txt": True}
 
 
+def test_a_long_markdown_section_is_stored(spark, tmpdir_fresh):
+    text = "## Head\n" + "word " * 5000 + "\n## Next\nshort body"
+    docs = spark.createDataFrame([("a", text, "a.md"), ("b", TEXT, "b.md")], "doc_id string, text string, source string")
+    r = ingest_to_table(docs, os.path.join(tmpdir_fresh, "t"), dim=8)
+    assert all(x["success"] for x in r.report.collect())
+    got = [x["content"] for x in read_chunks(spark, os.path.join(tmpdir_fresh, "t")).where("doc_id = 'a'").orderBy("chunk_index").collect()]
+    assert len(got) > 50 and all(len(x) <= 500 for x in got) and got[-1] == "## Next\nshort body"
+
+
 def test_import_result_own_splitter_and_missing_vectors(spark, tmpdir_fresh):
     docs = spark.createDataFrame([("a", "one|two||three", "s"), ("b", " ", "s"), ("c", "", "s")], "doc_id string, text string, source string")
     path = os.path.join(tmpdir_fresh, "t")
