@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -139,12 +140,18 @@ class WordBpe:
         return (sum(p[2] for p in known), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode("utf-8")).hexdigest())
 
 
+@lru_cache(maxsize=2)
+def word_bpe(path: str | None = None) -> WordBpe:
+    """The coder of this worker process: its memo serves all tasks that the worker runs."""
+    return WordBpe(path)
+
+
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, ids: the ids of every whole text."""
     with_package(docs.sparkSession)
 
     def run(batches):
-        bpe = WordBpe(path)
+        bpe = word_bpe(path)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([bpe.ids(t.as_py()) for t in b.column(1)], pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
@@ -156,7 +163,7 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     with_package(encoded.sparkSession)
 
     def run(batches):
-        bpe = WordBpe(path)
+        bpe = word_bpe(path)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([bpe.decode(x or []) for x in b.column(1).to_pylist()], pa.string())], names=["doc_id", "text"])
 
@@ -168,7 +175,7 @@ def bpe_report(docs: DataFrame, path: str | None = None) -> DataFrame:
     with_package(docs.sparkSession)
 
     def run(batches):
-        bpe = WordBpe(path)
+        bpe = word_bpe(path)
         for b in batches:
             got = [bpe.digests(t.as_py()) for t in b.column(1)]
             cols = list(zip(*got)) or [[]] * 3
