@@ -34,18 +34,16 @@ def _split_keep(text: str, sep: str) -> list[str]:
 
 def _merge(pieces: list[str], size: int, overlap: int) -> list[str]:
     out: list[str] = []
-    cur: list[str] = []
-    total = 0
-    for p in pieces:
-        if cur and total + len(p) > size:
-            out.append("".join(cur))
-            while cur and (total > overlap or total + len(p) > size):
-                total -= len(cur[0])
-                cur.pop(0)
-        cur.append(p)
+    first = total = 0  # the open chunk is pieces[first:i]
+    for i, p in enumerate(pieces):
+        if first < i and total + len(p) > size:
+            out.append("".join(pieces[first:i]))
+            while first < i and (total > overlap or total + len(p) > size):
+                total -= len(pieces[first])
+                first += 1
         total += len(p)
-    if cur:
-        out.append("".join(cur))
+    if pieces:
+        out.append("".join(pieces[first:]))
     return out
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ragloom.functions.vectors import cosine
-from ragloom.params import SearchParams
+from ragloom.params import DEFAULT_SERVICE_K, SearchParams
 from ragloom.session import ship_package
 
 
@@ -330,7 +330,7 @@ def search_batch(
     return rank_within_query(cands, k, order)
 
 
-def search(chunks: DataFrame, query_vector: list[float], k: int = 10, vec: str = "embedding",
+def search(chunks: DataFrame, query_vector: list[float], k: int = DEFAULT_SERVICE_K, vec: str = "embedding",
            order: list[str] | None = None) -> DataFrame:
     """One query vector, all JVM: cosine by ``zip_with``/``aggregate``, then
     ``orderBy(...).limit(k)``, which plans ``TakeOrderedAndProject`` (k rows per task
