@@ -41,7 +41,7 @@ from ragloom.operators.messages import (
     build_history,
     history_after_template,
     merge_fragments,
-    model_input,
+    prompted_history,
     render_template,
     run_tool_calls,
     search_report,
@@ -281,9 +281,7 @@ def q_model_input(spark, sf_dir):
     conv = table(spark, sf_dir, "conversations")
     ctx = rag_contexts(last_user_questions(conv), doc_chunks(spark, sf_dir), SEARCH, CONFIGURED_PACK)
     prompts = ctx.where("answerable").select(F.col("query_id").alias("conv_id"), F.col("prompt").alias("content"))
-    hist = build_history(conv)
-    return model_input(hist.join(prompts.select("conv_id"), "conv_id", "left_semi"), prompts).select(
-        "conv_id", "seq", "role", "content")
+    return prompted_history(conv, prompts).select("conv_id", "seq", "role", "content")
 
 
 def tool_calls_from_conversations(conv: DataFrame) -> DataFrame:
