@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ragloom.llm.common import materialize, with_package
-from ragloom.llm.tokens import ByteEncoder
+from ragloom.llm.tokens import byte_encoder
 
 END = 0
 
@@ -53,7 +53,7 @@ def pieces(docs: DataFrame, p: PackingParams) -> DataFrame:
     with_package(docs.sparkSession)
 
     def run(batches):
-        encoder, part, seen = ByteEncoder(p.tokenizer), TaskContext.get().partitionId(), np.zeros(p.capacity + 1, dtype=np.int64)
+        encoder, part, seen = byte_encoder(p.tokenizer), TaskContext.get().partitionId(), np.zeros(p.capacity + 1, dtype=np.int64)
         for b in batches:
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):

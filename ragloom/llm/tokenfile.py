@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ragloom.llm.common import with_package
-from ragloom.llm.tokens import ByteEncoder
+from ragloom.llm.tokens import byte_encoder
 
 END = 0
 
@@ -43,7 +43,7 @@ END = 0
 class TokenFileParams:
     tokenizer: str | None = None   # path; None: the installed byte_bpe_50k.json
     shard_tokens: int = 1 << 21    # a shard ends with the document that reaches this
-    pairs_a_round: int = 1024
+    pairs_a_round: int = 4096
     least_count: int = 16          # occurrences that a rule must have
     least_gain: float = 0.01       # of the sequence, for another round
     frequent: int = 2048           # symbols whose pairs are counted: any other pair is rarer than the last of them
@@ -69,35 +69,35 @@ def compress(tokens: np.ndarray, p: TokenFileParams = TokenFileParams()) -> Gram
     number[ids] = np.arange(len(ids))
     seq = number[tokens]
     total, rules, lengths, rounds = len(ids), [], [np.ones(len(ids), dtype=np.int64)], []
-    width = p.frequent
+    width = p.frequent + 1  # the last place stands for all rarer symbols
     while len(seq) > 1:
-        counts = np.bincount(seq, minlength=total)
-        top = np.argsort(-counts, kind="stable")[:width]
-        place = np.full(total, -1, dtype=np.int32)
+        top = np.argsort(-np.bincount(seq, minlength=total), kind="stable")[:p.frequent]
+        place = np.full(total, p.frequent, dtype=np.int64)
         place[top] = np.arange(len(top))
         at = place[seq]
-        key = at[:-1].astype(np.int64) * width + at[1:]
-        key[(at[:-1] < 0) | (at[1:] < 0)] = -1
-        pair_counts = np.bincount(key[key >= 0], minlength=width * width)
-        chosen, side = [], {}
+        key = at[:-1] * width
+        key += at[1:]
+        pair_counts = np.bincount(key, minlength=width * width).reshape(width, width)
+        pair_counts[p.frequent, :] = pair_counts[:, p.frequent] = 0
+        np.fill_diagonal(pair_counts, 0)  # a pair of one symbol overlaps itself
+        pair_counts = pair_counts.reshape(-1)
         most = np.flatnonzero(pair_counts >= p.least_count)
-        most = most[np.argsort(-pair_counts[most], kind="stable")]
-        for k in most[:8 * p.pairs_a_round]:
-            a, b = divmod(int(k), width)
-            if a != b and side.get(a, 0) == 0 and side.get(b, 1) == 1:
-                side[a], side[b] = 0, 1
-                chosen.append(int(k))
+        most = most[np.argsort(-pair_counts[most], kind="stable")][:4 * p.pairs_a_round]
+        chosen, left, right = [], set(), set()
+        for k, a, b in zip(most.tolist(), (most // width).tolist(), (most % width).tolist()):
+            if a not in right and b not in left:
+                left.add(a)
+                right.add(b)
+                chosen.append(k)
                 if len(chosen) == p.pairs_a_round:
                     break
         if not chosen or pair_counts[chosen].sum() < p.least_gain * len(seq):
             break
-        new = np.full(width * width, -1, dtype=np.int32)
+        new = np.zeros(width * width, dtype=np.int32)
         new[chosen] = np.arange(total, total + len(chosen))
-        hit = np.flatnonzero(key >= 0)
-        made = new[key[hit]]
-        hit, made = hit[made >= 0], made[made >= 0]
-        seq = seq.copy()
-        seq[hit] = made
+        made = new[key]
+        hit = np.flatnonzero(made)
+        seq[hit] = made[hit]
         keep = np.ones(len(seq), dtype=bool)
         keep[hit + 1] = False
         seq = seq[keep]
@@ -161,7 +161,7 @@ def write_token_file(docs: DataFrame, path: str, p: TokenFileParams = TokenFileP
     with_package(docs.sparkSession)
 
     def run(batches):
-        encoder, part, shard, held, texts, size = ByteEncoder(p.tokenizer), TaskContext.get().partitionId(), 0, [], [], 0
+        encoder, part, shard, held, texts, size = byte_encoder(p.tokenizer), TaskContext.get().partitionId(), 0, [], [], 0
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
                 ids = encoder.ids(text.as_py())

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from functools import lru_cache
 
 import numpy as np
 
@@ -46,8 +47,9 @@ class ByteEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(path, "byte_bpe_50k.json"))
-        small = self.tokenizer.get_vocab_size() <= 1 << 16
-        self.code, self.dtype = ("H", "<u2") if small else ("I", "<u4")
+        size = self.tokenizer.get_vocab_size()
+        self.code, self.dtype = ("H", "<u2") if size <= 1 << 16 else ("I", "<u4")
+        self.coded = [i.tobytes() for i in np.arange(size, dtype=self.dtype)]  # each id's bytes
         self.tokenize = self.tokenizer.model.tokenize
         self.alphabet = dict(byte_characters())
         self.newline, self.space = self._whole("\n"), self.alphabet[32]
@@ -83,7 +85,8 @@ class ByteEncoder:
             # plain letters stand for themselves in the byte alphabet; the space before them is its own sign
             stem = self.memo.get(word) if tail else None
             if stem is None:
-                stem = self.memo[word] = array(self.code, [t.id for t in self.tokenize(self.space + word)]).tobytes()
+                code = self.coded
+                stem = self.memo[word] = b"".join([code[t.id] for t in self.tokenize(self.space + word)])
             if not tail:
                 return stem
             got = stem + self._tail(tail)
@@ -127,3 +130,9 @@ class ByteEncoder:
             known, spaced = self.memo.get, self._spaced
             got = [(known(p) or spaced(p)) if g is None else g for p, g in zip(parts, got)]
         return np.frombuffer(b"".join(got), dtype=self.dtype)
+
+
+@lru_cache(maxsize=2)
+def byte_encoder(path: str | None = None) -> ByteEncoder:
+    """The encoder of this worker process: its memo serves all tasks that the worker runs."""
+    return ByteEncoder(path)
