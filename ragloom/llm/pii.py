@@ -3,11 +3,11 @@ r"""Personal data by candidate generation and gradient boosting (JVM expressions
 Generators with high recall propose overlapping spans: e-mail addresses, dotted numbers, digit
 groups, plus numbers, long digit or punctuated number runs, and long letter-digit runs. Spans that pass
 the fixed checks (number ranges, Luhn, digit counts) are base spans and always stay. Boosted trees
-score the other spans by format and context; they are trained on a bounded sample of candidates in
-which candidates on base spans and key = "value" secrets are the positive cases, on features that leave
-the deciding check itself out. One half of the sample fits, the other half calibrates: the threshold is
-the smallest score whose precision there reaches ``precision`` for the kind. The fitted trees become
-one SQL expression, so scoring runs in the scan.
+score the other spans by format and context; candidates on base spans and key = "value" secrets are the
+positive cases, on features that leave the deciding check itself out. The trees are fitted on a bounded
+sample of different candidates, drawn by kind and label. Every candidate of the corpus (those few
+included) calibrates its kind: the threshold is the smallest score whose precision over all of them
+reaches ``precision``. The fitted trees become one SQL expression, so scoring runs in the scan.
 
 Defined results: a null text is empty; without both classes in the sample nothing is added;
 repeated rows are judged one by one; an empty table gives an empty result; other columns are left alone.
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ragloom.llm.common import let, materialize
@@ -42,7 +42,7 @@ SPAN = "struct<kind:int,a:int,b:int,text:string,before:string,after:string>"
 
 @dataclass(frozen=True)
 class PiiParams:
-    sample_candidates: int = 4000  # bound of the labelled sample
+    sample_candidates: int = 4000  # bound of the sample that fits the trees
     trees: int = 8
     depth: int = 3
     precision: float = 0.9
@@ -126,19 +126,25 @@ def _seen_by(spans: Column):
         spans, lambda y: y["base"] & (y["a"] < s["b"]) & (s["a"] < y["b"]))).alias("hit"))
 
 
-def labelled_sample(docs: DataFrame, p: PiiParams) -> DataFrame:
-    """At most ``sample_candidates`` candidates, half of them positive: features, label, fold. Every document may be drawn."""
+def labelled(docs: DataFrame) -> DataFrame:
+    """All candidates, written once: kind, features, label, draw (the same for candidates of equal text and place)."""
     one = candidates(docs.select(F.coalesce("text", F.lit("")).alias("text"))).filter(F.size("spans") > 0).select(
         F.explode(F.transform("spans", _seen_by(F.col("spans")))).alias("x")).select("x.*")
     positive = F.col("hit") | ((F.col("s.kind") == 5) & F.col("s.before").rlike(SECRET_KEY))
-    rows = materialize(one.select(
+    return materialize(one.select(
         F.col("s.kind").alias("kind"), *[c.alias(f) for c, f in zip(features(F.col("s")), FEATURES)], positive.cast("double").alias("label"),
         F.xxhash64("s.text", "s.before", "s.a").alias("draw")))
-    half = p.sample_candidates // 2
-    drawn = [rows.filter(F.col("label") == y).orderBy("draw").limit(half) for y in (0.0, 1.0)]
-    both = drawn[0].union(drawn[1]).withColumn("fold", F.pmod(F.xxhash64("draw"), F.lit(2)))
-    return materialize(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(both)
-                       .select("features", "label", "fold", "kind").coalesce(1))
+
+
+def fitting_sample(rows: DataFrame, p: PiiParams) -> DataFrame:
+    """At most ``sample_candidates`` different candidates, as many of each kind and label: features, label, kind."""
+    key, quota = ["kind", "label", "draw"], p.sample_candidates // (2 * len(KINDS))
+    # a rank limit below 1000 is applied in each task before the exchange by kind and label
+    nth = F.row_number().over(Window.partitionBy("kind", "label").orderBy("draw"))
+    drawn = rows.select(key).distinct().withColumn("nth", nth).filter(F.col("nth") <= quota).drop("nth")
+    one = rows.join(F.broadcast(drawn), key).groupBy(key).agg(F.min(F.struct(*FEATURES)).alias("f")).select(*key, "f.*")
+    return materialize(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(one)
+                       .coalesce(1).sortWithinPartitions(key).select("features", "label", "kind"))
 
 
 def _tree_sql(node) -> str:
@@ -157,31 +163,35 @@ class PiiModel:
     thresholds: dict[int, float]
 
 
+#: Margins are counted in steps of 1 / LEVELS (exact in binary): the histogram's size depends on the trees alone.
+LEVELS = 4096
+
+
+def calibrate(rows: DataFrame, margin: str, p: PiiParams) -> dict[int, float]:
+    """Least margin by added kind, over all its candidates."""
+    level = F.floor(F.expr(margin) * LEVELS).alias("level")
+    counts = rows.filter(F.col("kind") >= len(BASE_KINDS)).select("kind", "label", F.struct(*FEATURES).alias("f")).select(
+        "kind", "label", level).groupBy("kind", "level").agg(F.sum("label").alias("good"), F.count("*").alias("seen")).collect()
+    thresholds = {}
+    for kind in range(len(BASE_KINDS), len(KINDS)):
+        good = seen = 0
+        for r in sorted((r for r in counts if r["kind"] == kind), key=lambda r: -r["level"]):
+            good, seen = good + r["good"], seen + r["seen"]
+            if good >= p.least_positives and good / seen >= p.precision:
+                thresholds[kind] = r["level"] / LEVELS
+    return thresholds
+
+
 def fit(docs: DataFrame, p: PiiParams = PiiParams()) -> PiiModel | None:
-    """Boosted trees on fold 0, thresholds on fold 1; None without both classes."""
-    sample = labelled_sample(docs, p)
-    train = sample.filter("fold = 0")
+    """Boosted trees on the sample, thresholds on all candidates; None without both classes."""
+    rows = labelled(docs)
+    train = fitting_sample(rows, p)
     if train.select("label").distinct().count() < 2:
         return None
     model = GBTClassifier(maxIter=p.trees, maxDepth=p.depth, seed=7, maxMemoryInMB=64, checkpointInterval=-1).fit(train)
     terms = [f"{float(w)!r}D * {_tree_sql(t._java_obj.rootNode())}" for w, t in zip(model.treeWeights, model.trees)]
     margin = " + ".join(terms)
-    thresholds = {}
-    from pyspark.ml.functions import vector_to_array
-
-    held = sample.filter("fold = 1").select("kind", "label", F.struct(*[
-        F.element_at(vector_to_array("features"), k + 1).alias(n) for k, n in enumerate(FEATURES)]).alias("f"))
-    scored = held.select("kind", "label", F.expr(margin).alias("m")).orderBy(F.desc("m")).collect()  # bounded by the sample
-    for kind in (4, 5):
-        # number spans are calibrated against all digit candidates, secrets against their own kind
-        mine = [r for r in scored if (r["kind"] == 5) == (kind == 5)]
-        good = seen = 0
-        for at, r in enumerate(mine):
-            good, seen = good + r["label"], seen + 1
-            tied = at + 1 < len(mine) and mine[at + 1]["m"] == r["m"]
-            if not tied and good >= p.least_positives and good / seen >= p.precision:
-                thresholds[kind] = r["m"]
-    return PiiModel(margin, thresholds)
+    return PiiModel(margin, calibrate(rows, margin, p))
 
 
 def find_spans(docs: DataFrame, model: PiiModel | None) -> DataFrame:

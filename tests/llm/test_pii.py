@@ -66,6 +66,27 @@ def test_model_and_sql_agree(spark):
     assert out[5].startswith('word token = "[SECRET]" and build-5') and out[5].endswith("then [EMAIL]")
 
 
+def test_rare_secrets_among_many_addresses(spark):
+    """Secrets are under one percent of the positive candidates, and one text is repeated very often."""
+    rows = [(i, " ".join(f"{10 + i}.{j % 250}.{j // 250}.{100 + i} and" for j in range(200)), "", 0) for i in range(60)]
+    for i in range(60):
+        h = hashlib.sha1(str(i).encode()).hexdigest()
+        rows.append((100 + i, f'word token = "{h}" and build-{i}-of-the-long-named-thing{i} then', "", 0))
+    rows += [(200 + i, "mail a.b@example.com or 7.7.7.7", "", 0) for i in range(4000)]
+    got = pii.pii_report(spark.createDataFrame(rows, SCHEMA).repartition(8)).collect()
+    assert all(r["spans"].count("secret:") == 1 for r in got if 100 <= r["doc_id"] < 160)
+
+
+def test_every_candidate_calibrates(spark):
+    rows = [(i, f'secret = "{hashlib.sha1(b"x").hexdigest()}" then the-long-named-thing-{i % 7}-of-{i % 5}', "", 0) for i in range(500)]
+    every = pii.labelled(spark.createDataFrame(rows, SCHEMA))
+    assert every.filter("kind = 5").count() == 1000
+    sample = pii.fitting_sample(every, pii.PiiParams())
+    assert sample.filter("kind = 5 AND label = 1").count() == 1  # one candidate, however often it is there
+    # 500 occurrences of one candidate: enough positive cases for a threshold
+    assert 5 in pii.fit(spark.createDataFrame(rows, SCHEMA)).thresholds
+
+
 def test_redact_keeps_the_rest(spark):
     rows = [(1, "a x@y.zz b 1.2.3.4\nc", "s", 1), (2, None, None, None), (3, "é +1 (017) 555-7713 é", "", 0), (4, "plain  text", "", 0)]
     docs = spark.createDataFrame(rows, SCHEMA)
