@@ -14,7 +14,8 @@ Parquet table (so any shared store will do, and Spark commits a task's file once
 
 Re-Pair: each round counts the adjacent pairs of the whole shard and replaces the most frequent ones by
 new nonterminals, until a round gains too little. The pairs of one round never overlap: a symbol is the
-left or the right part of that round's pairs, not both. A document is decoded without the others: the
+left or the right part of that round's pairs, not both; a pair of one symbol with itself takes every
+other place of a run, and that symbol is in no other pair of the round. A document is decoded without the others: the
 expansion lengths lead from its first id to the symbols that hold it.
 
 Defined results: a null or empty text is its end id alone; rows without a doc_id come first; rows of
@@ -46,7 +47,7 @@ class TokenFileParams:
     pairs_a_round: int = 4096
     least_count: int = 16          # occurrences that a rule must have
     least_gain: float = 0.01       # of the sequence, for another round
-    frequent: int = 2048           # symbols whose pairs are counted: any other pair is rarer than the last of them
+    frequent: int = 2048           # symbols whose pairs are counted in one table; the others' pairs are sorted
 
 
 @dataclass
@@ -61,47 +62,76 @@ class Grammar:
         return np.r_[np.ones(len(self.ids), dtype=np.int64), self.lengths.astype(np.int64)]
 
 
+#: Pairs of rarer symbols are sorted only where their bucket of 2 ** HASH_BITS holds least_count places.
+HASH_BITS = 18
+
+
+def _second_places(seq: np.ndarray) -> np.ndarray:
+    """Places of pairs of one symbol with itself that overlap the pair before: every other one of a run."""
+    same = np.flatnonzero(seq[1:] == seq[:-1])
+    nth = np.arange(len(same))
+    starts = np.r_[True, np.diff(same) > 1][:len(same)]
+    return same[(nth - np.maximum.accumulate(np.where(starts, nth, 0))) % 2 == 1]
+
+
 def compress(tokens: np.ndarray, p: TokenFileParams = TokenFileParams()) -> Grammar:
     """Re-Pair over one shard."""
     seen = np.bincount(tokens) if len(tokens) else np.zeros(0, dtype=np.int64)
     ids = np.flatnonzero(seen)
-    number = np.zeros(len(seen), dtype=np.int32)
+    number = np.zeros(len(seen), dtype=np.int64)  # of the index type: no copies below
     number[ids] = np.arange(len(ids))
     seq = number[tokens]
     total, rules, lengths, rounds = len(ids), [], [np.ones(len(ids), dtype=np.int64)], []
-    width = p.frequent + 1  # the last place stands for all rarer symbols
+    seldom, rarer, width = p.frequent, p.frequent + 1, p.frequent + 2  # places of symbols below least_count, and of the others not in the table
     while len(seq) > 1:
-        top = np.argsort(-np.bincount(seq, minlength=total), kind="stable")[:p.frequent]
-        place = np.full(total, p.frequent, dtype=np.int64)
+        symbol_counts = np.bincount(seq, minlength=total)
+        top = np.argsort(-symbol_counts, kind="stable")[:p.frequent]
+        place = np.where(symbol_counts >= p.least_count, rarer, seldom)
         place[top] = np.arange(len(top))
         at = place[seq]
         key = at[:-1] * width
         key += at[1:]
+        second = _second_places(seq)
+        key[second] = width * width - 1
         pair_counts = np.bincount(key, minlength=width * width).reshape(width, width)
-        pair_counts[p.frequent, :] = pair_counts[:, p.frequent] = 0
-        np.fill_diagonal(pair_counts, 0)  # a pair of one symbol overlaps itself
+        pair_counts[seldom:, :] = pair_counts[:, seldom:] = 0
         pair_counts = pair_counts.reshape(-1)
         most = np.flatnonzero(pair_counts >= p.least_count)
-        most = most[np.argsort(-pair_counts[most], kind="stable")][:4 * p.pairs_a_round]
+        # pairs with a rarer symbol: an upper bound by hash bucket, then exact counts
+        rare_at, counted = at == rarer, at != seldom
+        either = (rare_at[:-1] & counted[1:]) | (counted[:-1] & rare_at[1:])
+        either[second] = False
+        rare = np.flatnonzero(either)
+        rare_key = seq[rare] * total + seq[rare + 1]
+        bucket = ((rare_key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - HASH_BITS)).view(np.int64)
+        some = np.bincount(bucket, minlength=1 << HASH_BITS)[bucket] >= p.least_count
+        rare, (rare_pairs, rare_nth, rare_counts) = rare[some], np.unique(rare_key[some], return_inverse=True, return_counts=True)
+        rare_parts = np.stack(np.divmod(rare_pairs, total), axis=1)
+        parts = np.concatenate([top[np.stack(np.divmod(most, width), axis=1)], rare_parts])
+        counts = np.r_[pair_counts[most], rare_counts]
+        order = np.argsort(-counts, kind="stable")[:np.count_nonzero(counts >= p.least_count)]
         chosen, left, right = [], set(), set()
-        for k, a, b in zip(most.tolist(), (most // width).tolist(), (most % width).tolist()):
+        for k, (a, b) in zip(order.tolist(), parts[order].tolist()):
             if a not in right and b not in left:
                 left.add(a)
                 right.add(b)
                 chosen.append(k)
                 if len(chosen) == p.pairs_a_round:
                     break
-        if not chosen or pair_counts[chosen].sum() < p.least_gain * len(seq):
+        if not chosen or counts[chosen].sum() < p.least_gain * len(seq):
             break
+        symbol = np.zeros(len(parts), dtype=np.int32)
+        symbol[chosen] = np.arange(total, total + len(chosen))
         new = np.zeros(width * width, dtype=np.int32)
-        new[chosen] = np.arange(total, total + len(chosen))
+        new[most] = symbol[:len(most)]
         made = new[key]
-        hit = np.flatnonzero(made)
+        made[rare] = symbol[len(most):][rare_nth]
+        hit = np.flatnonzero(made != 0)
         seq[hit] = made[hit]
         keep = np.ones(len(seq), dtype=bool)
         keep[hit + 1] = False
         seq = seq[keep]
-        parts = top[np.array([divmod(k, width) for k in chosen])]
+        parts = parts[chosen]
         rules.append(parts)
         every = np.concatenate(lengths)
         lengths.append(every[parts].sum(axis=1))

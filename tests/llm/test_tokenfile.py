@@ -35,6 +35,52 @@ def test_most_frequent_pairs_become_rules():
     assert len(g.symbols) <= 500 and {(3, 9), (4, 8)} <= {tuple(g.ids[r]) for r in g.rules[:2]}
 
 
+def test_runs_and_repeats_shrink():
+    for tokens, most in ((np.full(100001, 7, dtype=np.uint16), 32), (np.tile(np.array([3, 9, 4, 8], dtype=np.uint16), 500), 40),
+                         (np.tile(np.array([5, 5, 5, 6], dtype=np.uint16), 500), 40)):
+        g = tf.compress(tokens)
+        assert (tf.expand(g, g.symbols) == tokens).all()
+        assert len(g.symbols) <= most
+
+
+def test_pairs_of_rare_ids_become_rules():
+    """More frequent ids than the table holds, and passages of rarer ids that occur 40 times each."""
+    rng = np.random.default_rng(2)
+    common = rng.permutation(np.repeat(np.arange(2100), 45))
+    passages = 2100 + np.arange(1000).reshape(50, 20)
+    dealt = passages[rng.permutation(np.repeat(np.arange(50), 40))].reshape(-1)
+    tokens = np.concatenate([common, dealt]).astype(np.uint16)
+    g = tf.compress(tokens)
+    assert (tf.expand(g, g.symbols) == tokens).all()
+    assert len(g.symbols) < len(common) + 2 * 50 * 40
+
+
+def test_first_round_counts_every_pair():
+    rng = np.random.default_rng(3)
+    tokens = np.repeat(rng.zipf(1.2, 30000).clip(0, 9000), rng.integers(1, 6, 30000)).astype(np.uint16)
+    counts, k = {}, 0
+    while k < len(tokens) - 1:  # the plain count: a run's pairs do not overlap
+        pair = (int(tokens[k]), int(tokens[k + 1]))
+        run = k
+        while pair[0] == pair[1] and run + 1 < len(tokens) and tokens[run + 1] == tokens[k]:
+            run += 1
+        counts[pair] = counts.get(pair, 0) + max(1, (run - k + 1) // 2)
+        k = max(k + 1, run)
+    left, right, want = set(), set(), []
+    g = tf.compress(tokens, tf.TokenFileParams(frequent=16))
+    made = [tuple(int(x) for x in g.ids[r]) for r in g.rules[:g.rounds[0]]]
+    by_count = {}
+    for pair in made:
+        by_count.setdefault(counts[pair], []).append(pair)
+    for n in sorted(by_count, reverse=True):  # ties in the grammar's own order
+        for pair in by_count[n]:
+            left.add(pair[0])
+            right.add(pair[1])
+            want.append(pair)
+    assert want == made and not (left & right) - {a for a, b in made if a == b}
+    assert all(n < 16 or a in right or b in left or (a, b) in made for (a, b), n in counts.items())
+
+
 def test_file(spark):
     rows = [(r["doc_id"], r["text"], 1, 2) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
     rows += [(900, None, None, None), (901, "", 0, 0), (None, "no id", 0, 0), (902, "twice", 0, 0), (902, "twice", 0, 0),
