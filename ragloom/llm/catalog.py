@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ragloom.llm import bpe, license, lm, metricjoin, packing, pii, quality, simhash, substring, tokenfile
+from ragloom.llm import (
+    bpe, classifier, divergence, hardneg, license, lm, metricjoin, packing, pii, quality, simhash, substring, tokenfile,
+)
 from ragloom.llm.common import new_path, read_table
 
 
@@ -53,6 +55,18 @@ def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(read_table(spark, sf_dir, "documents"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.hard_negatives(hardneg.relabelled(read_table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_token_file": op2_token_file,
@@ -64,6 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_lattice_lm": op10_lattice_lm,
+    "op11_divergence_audit": op11_divergence_audit,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
@@ -71,4 +88,6 @@ ORACLE: dict[str, str] = {
     "op6_license_scan": license.ORACLE_SQL,
     "op7_quality_rules": quality.ORACLE_SQL,
     "op9_substring_dedup": substring.ORACLE_SQL,
+    "op11_divergence_audit": divergence.ORACLE_SQL,
+    "op13_hard_negatives": hardneg.ORACLE_SQL,
 }
