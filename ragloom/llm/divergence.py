@@ -21,20 +21,20 @@ pairs of value 0 and no terms; an empty table gives an empty result; other colum
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ragloom.llm.common import materialize, with_package
 
-#: A term: a run of ASCII letters and characters beyond ASCII, as UTF-8 bytes (lower-cased by bytes: A-Z only).
-TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+#: Byte -> byte of a term: A-Z lower-cased; bytes that are no ASCII letter and not beyond ASCII part terms.
+LETTERS = np.full(256, ord(" "), dtype=np.uint8)
+LETTERS[97:123], LETTERS[65:91], LETTERS[128:] = np.arange(97, 123), np.arange(97, 123), np.arange(128, 256)
 
 
 @dataclass(frozen=True)
@@ -45,46 +45,42 @@ class DivergenceParams:
     top_terms: int = 50
     shard_terms: int = 8192           # kept terms of a shard, on average
     broadcast_bytes: int = 64 << 20   # shards broadcast in one second pass
-    task_bytes: int = 64 << 20        # terms or slots that a task holds before it sends them on
+    task_bytes: int = 64 << 20        # dense slots that a task holds before it sends them on
     block_sources: int = 128          # sources of a language compared in one task
 
 
-def terms_of(text: bytes) -> list[bytes]:
-    return TERM.findall(text.lower())
+def terms_of(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
+    """All terms in order: codes and the row of each, and the distinct terms that the codes number. No text is null."""
+    n = len(texts)
+    ends = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset:texts.offset + n + 1] if n else np.zeros(1, dtype=np.int32)
+    data = LETTERS[np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)]
+    clean = pa.Array.from_buffers(pa.string(), n, [None, pa.py_buffer(np.ascontiguousarray(ends)), pa.py_buffer(data)])
+    lists = pc.ascii_split_whitespace(clean)
+    coded = lists.flatten().dictionary_encode()
+    codes, row = coded.indices.to_numpy(), np.repeat(np.arange(n), np.diff(lists.offsets.to_numpy()))
+    blank = pc.index(coded.dictionary, "").as_py()  # before the first and after the last space
+    if blank >= 0:
+        codes, row = codes[codes != blank], row[codes != blank]
+    return codes, row, coded.dictionary
 
 
-def _texts(batch: pa.RecordBatch):
-    """(lang, source, text as bytes) of each row."""
-    return zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist())
-
-
-def document_frequencies(docs: DataFrame, p: DivergenceParams) -> DataFrame:
-    """(lang, term, df) of all terms; a task sends sums."""
+def document_frequencies(docs: DataFrame) -> DataFrame:
+    """(lang, term, df) of all terms; a batch sends sums, which the task adds up before the shuffle."""
     def run(batches):
-        counts, held = {}, 0
-
-        def flush():
-            for lang, seen in counts.items():
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(seen), pa.string()), pa.array(list(seen), pa.binary()).cast(pa.string()),
-                                                  pa.array(list(seen.values()), pa.int64())], names=["lang", "term", "df"])
-            counts.clear()
-
         for b in batches:
-            for lang, _, text in _texts(b):
-                seen = counts.setdefault(lang, Counter())
-                before, found = len(seen), set(terms_of(text))
-                seen.update(found)
-                held += (len(seen) - before) * 100 + (sum(map(len, found)) if len(text) > 1 << 16 else 0)
-                if held > p.task_bytes:
-                    yield from flush()
-                    held = 0
-        yield from flush()
+            langs = b.column(0).dictionary_encode()
+            codes, row, terms = terms_of(b.column(2))
+            k = max(1, len(terms))
+            once = np.unique(row * k + codes)  # a term counts once a document
+            key, df = np.unique(langs.indices.to_numpy()[once // k].astype(np.int64) * k + once % k, return_counts=True)
+            yield pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(key // k)), terms.take(pa.array(key % k)), pa.array(df.astype(np.int64))],
+                                             names=["lang", "term", "df"])
 
-    return docs.mapInArrow(run, "lang string, term string, df long").groupBy("lang", "term").agg(F.sum("df").alias("df"))
+    return docs.select("lang", "source", "text").mapInArrow(run, "lang string, term string, df long").groupBy("lang", "term").agg(F.sum("df").alias("df"))
 
 
-def hash_of(term: bytes, seed: int = 42) -> int:
-    return xxhash.xxh64_intdigest(term, seed)
+def hashes_of(terms: list[bytes], seed: int = 42) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(t, seed) for t in terms), dtype=np.uint64, count=len(terms))
 
 
 def _mixed(h: np.ndarray, d) -> np.ndarray:
@@ -103,7 +99,7 @@ class PerfectHash:
     def build(cls, terms: list[bytes]) -> PerfectHash:
         n, seed = len(terms), 42
         while True:  # another seed where two terms share a 64-bit hash, or a bucket finds no room
-            h = np.array([hash_of(t, seed) for t in terms], dtype=np.uint64)
+            h = hashes_of(terms, seed)
             if len(np.unique(h)) == n and (got := cls._displace(h)) is not None:
                 slots, place = got
                 ordered = np.empty(n, dtype=object)
@@ -148,7 +144,7 @@ class PerfectHash:
         """The slot of each term, -1 where the stored term is another."""
         asked = np.empty(len(terms), dtype=object)
         asked[:] = terms
-        h = np.array([hash_of(t, self.seed) for t in terms], dtype=np.uint64)
+        h = hashes_of(terms, self.seed)
         d = self.place[((h >> np.uint64(40)) % np.uint64(len(self.place))).astype(np.int64)]
         at = np.where(d >= 0, (_mixed(h, np.maximum(d, 0)) % np.uint64(len(self.terms))).astype(np.int64), -1 - d)
         return np.where(self.terms[at] == asked, at, -1)
@@ -173,62 +169,66 @@ def shard_of(term: Column, shards: Column) -> Column:
     return F.pmod(F.xxhash64(term), shards.cast("long")).cast("int")
 
 
+def _places(of: list, codes: np.ndarray, words: list[bytes]) -> np.ndarray:
+    """Slot of each code among a language's slots here, -1 for a term that is not kept (or in no shard here)."""
+    shards, hashes, first, _ = of
+    out = np.full(len(words), -1, dtype=np.int64)
+    asked = [words[c] for c in codes]
+    shard = hashes_of(asked).view(np.int64) % shards
+    by = np.argsort(shard, kind="stable")
+    for at in np.split(by, np.flatnonzero(np.diff(shard[by])) + 1) if len(by) else ():
+        s = int(shard[at[0]])
+        if s in hashes:
+            got = hashes[s].slots([asked[i] for i in at])
+            out[codes[at]] = np.where(got >= 0, got + first[s], -1)
+    return out
+
+
 def recount(docs: DataFrame, tables: list, p: DivergenceParams) -> DataFrame:
     """(lang, source, shard, slot, n) over all texts, for the given shards (rows lang, shards, shard, seed, place, terms)."""
     sent = docs.sparkSession.sparkContext.broadcast([(r.lang, r.shards, r.shard, r.seed, np.array(r.place, dtype=np.int64), [x.encode() for x in r.terms]) for r in tables])
 
     def run(batches):
-        index, parts = {}, {}
+        index = {}  # lang -> number of its shards, {shard: perfect hash}, {shard: first of its slots here}, all slots here
         for lang, shards, shard, seed, place, terms in sent.value:
             stored = np.empty(len(terms), dtype=object)
             stored[:] = terms
-            index.setdefault(lang, {})[shard] = PerfectHash(seed, place, stored)
-            parts[lang] = shards
-        slots, waiting, held, tokens = {}, {}, 0, 0
-
-        def spread():
-            """Add the counted tokens to the dense slots of their groups."""
-            nonlocal held
-            for (lang, source), counts in waiting.items():
-                if not counts:
-                    continue
-                terms = list(counts)
-                n = np.fromiter(counts.values(), dtype=np.int64, count=len(terms))
-                where = np.array([hash_of(t) for t in terms], dtype=np.uint64).view(np.int64) % parts[lang]
-                by = np.argsort(where, kind="stable")
-                cut = np.r_[0, np.flatnonzero(np.diff(where[by])) + 1, len(by)]
-                for a, b in zip(cut[:-1], cut[1:]):
-                    shard = int(where[by[a]])
-                    if shard not in index[lang]:
-                        continue
-                    mph = index[lang][shard]
-                    if (lang, source, shard) not in slots:
-                        slots[lang, source, shard] = np.zeros(len(mph.terms), dtype=np.int64)
-                        held += 8 * len(mph.terms)
-                    at = mph.slots([terms[i] for i in by[a:b]])
-                    np.add.at(slots[lang, source, shard], at[at >= 0], n[by[a:b]][at >= 0])
-            waiting.clear()
+            of = index.setdefault(lang, [shards, {}, {}, 0])
+            of[1][shard], of[2][shard] = PerfectHash(seed, place, stored), of[3]
+            of[3] += len(terms)
+        slots, held = {}, 0
 
         def flush():
-            for (lang, source, shard), dense in slots.items():
-                at = np.flatnonzero(dense)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array([source] * len(at), pa.string()),
-                                                  pa.array(np.full(len(at), shard, dtype=np.int32)), pa.array(at.astype(np.int32)), pa.array(dense[at])],
-                                                 names=["lang", "source", "shard", "slot", "n"])
+            for (lang, source), dense in slots.items():
+                for shard, first in index[lang][2].items():
+                    own = dense[first:first + len(index[lang][1][shard].terms)]
+                    at = np.flatnonzero(own)
+                    zero = np.zeros(len(at), dtype=np.int32)
+                    names = [pa.DictionaryArray.from_arrays(zero, pa.array([x], pa.string())).cast(pa.string()) for x in (lang, source)]
+                    yield pa.RecordBatch.from_arrays([*names, pa.array(zero + np.int32(shard)), pa.array(at.astype(np.int32)), pa.array(own[at])],
+                                                     names=["lang", "source", "shard", "slot", "n"])
             slots.clear()
 
         for b in batches:
-            for lang, source, text in _texts(b):
-                if lang in index:
-                    waiting.setdefault((lang, source), Counter()).update(terms_of(text))
-                    tokens += len(text)
-                    if tokens > p.task_bytes:  # at most as many bytes of terms wait
-                        spread()
-                        tokens = 0
-                        if held > p.task_bytes:
-                            yield from flush()
-                            held = 0
-        spread()
+            name = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+            by = sorted(range(len(name)), key=name.__getitem__)  # a group's documents together
+            name = [name[k] for k in by]
+            codes, row, terms = terms_of(b.column(2).take(pa.array(by, pa.int64())))
+            starts = [k for k in range(len(name)) if k == 0 or name[k] != name[k - 1]]
+            ends = np.searchsorted(row, [*starts, len(name)])
+            groups = [(name[s], codes[a:z]) for s, a, z in zip(starts, ends[:-1], ends[1:]) if z > a and name[s][0] in index]
+            words, known = terms.cast(pa.binary()).to_pylist(), {}
+            for (lang, source), mine in groups:
+                if lang not in known:  # each distinct term of a language is looked up once a batch
+                    known[lang] = _places(index[lang], np.unique(np.concatenate([c for (x, _), c in groups if x == lang])), words)
+                if (lang, source) not in slots:
+                    if slots and held + 8 * index[lang][3] > p.task_bytes:
+                        yield from flush()
+                        held = 0
+                    slots[lang, source] = np.zeros(index[lang][3], dtype=np.int64)
+                    held += 8 * index[lang][3]
+                at = known[lang][mine]
+                slots[lang, source] += np.bincount(at[at >= 0], minlength=index[lang][3])
         yield from flush()
 
     return docs.mapInArrow(run, "lang string, source string, shard int, slot int, n long").groupBy("lang", "source", "shard", "slot").agg(F.sum("n").alias("n"))
@@ -248,7 +248,7 @@ def rounds(sizes: list, limit: int) -> list[list]:
 
 def count_kept_terms(docs: DataFrame, p: DivergenceParams) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(lang, vocab, shards), (lang, shard, slot, term) and (lang, source, shard, slot, n > 0)."""
-    frequent = materialize(document_frequencies(docs, p).filter(F.col("df") >= p.min_docs).select("lang", "term"))
+    frequent = materialize(document_frequencies(docs).filter(F.col("df") >= p.min_docs).select("lang", "term"))
     sizes = materialize(frequent.groupBy("lang").agg(F.count(F.lit(1)).alias("vocab")).withColumn("shards", F.ceil(F.col("vocab") / p.shard_terms).cast("int")))
     shards = materialize(build_shards(frequent.join(sizes, "lang").select("lang", shard_of(F.col("term"), F.col("shards")).alias("shard"), "term")).join(
         sizes.select("lang", "shards"), "lang"))
