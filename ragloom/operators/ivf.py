@@ -25,12 +25,11 @@ from ragloom.operators.search import (
     _query_matrix,
     check_query_ids,
     out_schema,
-    query_blocks,
     rank_within_query,
     topk_kernel,
 )
 from ragloom.params import SearchParams
-from ragloom.session import ship_package
+from ragloom.session import ship_package, write_once
 
 # Index lists and probed lists of the reference's index (all probed: exact).
 NLIST = 128
@@ -45,7 +44,8 @@ def _usable(vec) -> Column:
 def ivf_fit(vectors: DataFrame, vec: str = "embedding", nlist: int = NLIST, seed: int = 42, max_iter: int = 20):
     """R6 training: cosine k-means over the vectors that have a direction; returns the fitted model
     (centroids: nlist × dim). Fit once and pass the model, or its centroids, to the searches."""
-    data = vectors.where(_usable(vec)).select(array_to_vector(F.col(vec)).alias("features"))
+    # up to ``max_iter`` passes read the vectors: written once
+    data = write_once(vectors.where(_usable(vec)).select(F.col(vec).cast("array<double>").alias("v"))).select(array_to_vector("v").alias("features"))
     return KMeans(k=nlist, seed=seed, maxIter=max_iter, distanceMeasure="cosine", featuresCol="features").fit(data)
 
 
@@ -120,14 +120,14 @@ def ivf_search(
     spark = chunks.sparkSession
     ship_package(spark)
     schema = out_schema(chunks, [vec, cell], queries.schema[query_id].dataType)
-    blocks, probed = [], set()
-    n = check_query_ids(queries, query_id)
     # a query row ships its vector (dim doubles) and its probe mask (nlist booleans)
-    for qb in query_blocks(queries, query_id, dim * 8 + cents.shape[0], max_broadcast_bytes, n):
-        ids, q, qn = _query_matrix(qb, query_id, query_vec, "dense", dim)
-        probe = _probes(q, cents, nprobe)
-        probed |= {int(c) for c in np.nonzero(probe.any(axis=0))[0]}
-        blocks.append(spark.sparkContext.broadcast((ids, q, qn, probe)))
+    if check_query_ids(queries, query_id) * (dim * 8 + cents.shape[0]) > max_broadcast_bytes:
+        return ivf_join(chunks, queries, cents, k, nprobe, vec=vec, cell=cell, query_id=query_id, query_vec=query_vec, order=order,
+                        round_digits=round_digits)
+    ids, q, qn = _query_matrix(queries, query_id, query_vec, "dense", dim)
+    probe = _probes(q, cents, nprobe)
+    probed = {int(c) for c in np.nonzero(probe.any(axis=0))[0]}
+    blocks = [spark.sparkContext.broadcast((ids, q, qn, probe))]
     scan = chunks.where(F.col(cell).isin(sorted(probed))) if len(probed) < cents.shape[0] else chunks
     kern = topk_kernel(blocks, _ProbeScorer(vec, dim, cell), [vec, cell], k, None, order, to_arrow_schema(schema), round_digits)
     return rank_within_query(scan.mapInArrow(kern, schema), k, order)
@@ -225,11 +225,12 @@ def ivf_join(
     bc = spark.sparkContext.broadcast(cents)
     check_query_ids(queries, query_id)
     id_type = queries.schema[query_id].dataType
-    probes = queries.select(query_id, F.col(query_vec).cast("array<float>").alias(query_vec)).mapInArrow(
+    # read by the counts and by the join: written once, in the type that the vectors have
+    probes = write_once(queries.select(query_id, query_vec).mapInArrow(
         _probe_rows(bc, nprobe, query_id, query_vec, dim),
-        f"{query_id} {id_type.simpleString()}, cell int, {query_vec} array<float>",
-    )
-    chunks = chunks.where(F.col(cell).isNotNull())  # vectors without a direction match nothing
+        f"{query_id} {id_type.simpleString()}, cell int, {query_vec} {queries.schema[query_vec].dataType.simpleString()}",
+    ))
+    chunks = write_once(chunks.where(F.col(cell).isNotNull()))  # vectors without a direction match nothing
     n_chunks = {r[0]: r[1] for r in chunks.groupBy(cell).count().collect()}  # <= nlist rows
     n_probes = {r[0]: r[1] for r in probes.groupBy("cell").count().collect()}
     # per-cell group counts: a table of nlist rows (its size is the index parameter), broadcast

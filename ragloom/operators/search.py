@@ -10,9 +10,8 @@ Physical plan of ``search_batch`` (R2/R8)::
   per query, only candidates that can still be in the global top-k under the total order
   ``score desc, <tie-break columns> asc``.
 * The query matrix is broadcast only after its size is checked
-  (``rows × dim × 8 ≤ max_broadcast_bytes``); a larger query table is split into blocks by a hash of
-  the query id. All blocks are scored in the same pass: a batch's chunk vectors are built once and
-  met with every block in turn.
+  (``rows × dim × 8 ≤ max_broadcast_bytes``). A larger query table never reaches the driver: it goes
+  through ``blockjoin.block_join``, an exact join of bounded blocks of chunks and queries.
 * Query ids may be of any type. A null or repeated id is an error (one aggregate checks it).
 * The threshold (F3) is applied before the local top-k: for a single descending order,
   "threshold then top-k" equals "top-k then threshold", and far fewer rows leave the task.
@@ -26,7 +25,6 @@ equal a SQL evaluation bit for bit.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -218,19 +216,6 @@ def out_schema(chunks: DataFrame, drop: list[str], id_type: T.DataType = T.LongT
     return T.StructType(fields)
 
 
-def query_blocks(queries: DataFrame, query_id: str, row_bytes: int, max_broadcast_bytes: int, n: int | None = None,
-                 blocks: int | None = None) -> list[DataFrame]:
-    """Split the query table so each block's broadcast stays under the limit.
-
-    The count is an aggregate (one number to the driver); blocks cover all queries."""
-    if blocks is None:
-        n = queries.count() if n is None else n
-        blocks = max(1, math.ceil(n * row_bytes / max_broadcast_bytes))
-    if blocks == 1:
-        return [queries]
-    return [queries.where(F.pmod(F.xxhash64(F.col(query_id)), F.lit(blocks)) == b) for b in range(blocks)]
-
-
 def _infer_dim(queries: DataFrame, vec: str) -> int:
     row = queries.select(F.size(vec).alias("n")).where("n > 0").limit(1).collect()
     if not row:
@@ -250,29 +235,21 @@ def search_candidates(
     dim: int | None = None,
     min_score: float | None = None,
     order: list[str] | None = None,
-    max_broadcast_bytes: int = SearchParams().max_broadcast_bytes,
     round_digits: int | None = None,
     carry_text: bool = True,
 ) -> DataFrame:
-    """Per-task top-k candidates ``(query_id, <chunk columns>, score)``; see ``search_batch``."""
-    query_vec = query_vec or vec
-    order = list(order or [])
-    if mode not in ("dense", "sparse", "text"):
-        raise ValueError(f"mode must be 'dense', 'sparse' or 'text', got {mode!r}")
-    if mode in ("sparse", "text") and dim is None:
-        raise ValueError(f"{mode} search needs dim")
-    if dim is None:
-        dim = _infer_dim(queries, query_vec)
+    """Per-task top-k candidates ``(query_id, <chunk columns>, score)`` against a broadcast of all queries, whose
+    size ``search_batch`` has checked."""
     spark = chunks.sparkSession
     ship_package(spark)
     # a text column is hashed in the task and stays in the payload (unless carry_text is
     # off); vectors are dropped
     drop = [] if (mode == "text" and carry_text) else [vec]
     schema = out_schema(chunks, drop, queries.schema[query_id].dataType)
-    n = check_query_ids(queries, query_id)
-    blocks = [spark.sparkContext.broadcast(_query_matrix(qb, query_id, query_vec, mode, dim))
-              for qb in query_blocks(queries, query_id, dim * 8, max_broadcast_bytes, n)]
-    kern = topk_kernel(blocks, CosineScorer(vec, mode, dim), drop, k, min_score, order, to_arrow_schema(schema), round_digits)
+    query_vec = query_vec or vec
+    dim = dim or _infer_dim(queries, query_vec)
+    block = spark.sparkContext.broadcast(_query_matrix(queries, query_id, query_vec, mode, dim))
+    kern = topk_kernel([block], CosineScorer(vec, mode, dim), drop, k, min_score, list(order or []), to_arrow_schema(schema), round_digits)
     return chunks.mapInArrow(kern, schema)
 
 
@@ -322,10 +299,20 @@ def search_batch(
     applied before the ranking, which gives the same rows as after it.
     """
     order = list(order or [])
+    if mode not in ("dense", "sparse", "text"):
+        raise ValueError(f"mode must be 'dense', 'sparse' or 'text', got {mode!r}")
+    if mode in ("sparse", "text") and dim is None:
+        raise ValueError(f"{mode} search needs dim")
+    query_vec = query_vec or vec
+    dim = dim or _infer_dim(queries, query_vec)
+    if check_query_ids(queries, query_id) * dim * 8 > max_broadcast_bytes:
+        from ragloom.operators.blockjoin import block_join
+
+        return block_join(chunks, queries, k, vec=vec, query_id=query_id, query_vec=query_vec, mode=mode, dim=dim, min_score=min_score,
+                          order=order, round_digits=round_digits, carry_text=carry_text)
     cands = search_candidates(
         chunks, queries, k, vec=vec, query_id=query_id, query_vec=query_vec, mode=mode, dim=dim,
-        min_score=min_score, order=order, max_broadcast_bytes=max_broadcast_bytes, round_digits=round_digits,
-        carry_text=carry_text,
+        min_score=min_score, order=order, round_digits=round_digits, carry_text=carry_text,
     )
     return rank_within_query(cands, k, order)
 

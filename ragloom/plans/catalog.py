@@ -6,6 +6,8 @@ where it is the feature (top-k).
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ from ragloom.functions.metadata import (
 )
 from ragloom.functions.text import WS_CLASS, byte_length, file_ext_lower, normalize_ws
 from ragloom.functions.vectors import vector_widen
+from ragloom.operators.blockjoin import block_join
 from ragloom.operators.chunking import (
     chunk_fixed,
     chunk_markdown,
@@ -47,13 +50,14 @@ from ragloom.operators.messages import (
     search_report,
     tool_messages,
 )
+from ragloom.operators.postings import index_chunks, search_postings, write_postings
 from ragloom.operators.recursive import chunk_recursive_array
 from ragloom.operators.search import search, search_batch, split_by_dimension
 from ragloom.params import CONFIGURED_PACK, GRAPH_PACK, ChunkParams, SearchParams
 from ragloom.plans.ingest import ingest
 from ragloom.plans.rag import rag_contexts, retrieve
 from ragloom.plans.tables import table
-from ragloom.session import ship_package
+from ragloom.session import checkpoint_dir, ship_package, write_once
 from ragloom.sources.chunk_table import to_rows
 from ragloom.sources.reports import field_limit_violations, import_report, import_totals
 
@@ -120,6 +124,12 @@ def q_knn_sparse(spark, sf_dir):
     return sparse_hits(spark, sf_dir, questions(spark, sf_dir)).select(*HIT_COLUMNS)
 
 
+def q_knn_sparse_index(spark, sf_dir):
+    """R8 from a stored inverted index of the hashed-token buckets (postings, no dense matrix)."""
+    path = index_chunks(doc_chunks(spark, sf_dir), "buckets", SEARCH.dim)
+    return search_postings(spark, path, questions(spark, sf_dir), SEARCH.k).select(*HIT_COLUMNS)
+
+
 def q_dedup_hits(spark, sf_dir):
     """F3 + A3 + A4: thresholded hits after both dedup levels."""
     hits = sparse_hits(spark, sf_dir, questions(spark, sf_dir), min_score=SEARCH.min_score)
@@ -206,6 +216,14 @@ def q_knn_batch(spark, sf_dir):
     return _dense_batch(spark, sf_dir, 5)
 
 
+def q_knn_batch_blocks(spark, sf_dir):
+    """R2 for a query table of any size: the block join (pivot angle bounds, two rounds) over all vectors."""
+    e = embeddings(spark, sf_dir)
+    q = e.select(F.col("vec_id").alias("query_id"), "embedding")
+    dim = e.select(F.max(F.size("embedding"))).first()[0]
+    return block_join(e, q, 5, dim=dim, order=["vec_id"], round_digits=DENSE_DIGITS).select("query_id", "vec_id", "label", "score", "rank")
+
+
 def q_knn_threshold(spark, sf_dir):
     """R2 + F3: up to 10 nearest vectors with cosine >= 0.25."""
     return _dense_batch(spark, sf_dir, 10, 0.25)
@@ -387,6 +405,15 @@ def q_field_limit_violations(spark, sf_dir):
 # ----------------------------------------------------------------------------- hybrid
 
 
+def q_bm25_index_search(spark, sf_dir):
+    """X1 from a stored index of two imports (by document id): the statistics are merged from the index alone."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/postings-{uuid.uuid4().hex}"
+    ch = write_once(doc_chunks(spark, sf_dir))
+    for half in (0, 1):
+        write_postings(ch.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == half), path, "words", index_id=f"index-{half}")
+    return search_postings(spark, path, questions(spark, sf_dir), 5).select(*HIT_COLUMNS)
+
+
 def q_bm25_search(spark, sf_dir):
     """BM25 top-5 chunks per benchmark question."""
     return bm25_search(doc_chunks(spark, sf_dir), questions(spark, sf_dir), 5).select(*HIT_COLUMNS)
@@ -604,6 +631,9 @@ QUERIES = {
     "count_chunks": q_count_chunks,
     "chunks_per_document": q_chunks_per_document,
     "knn_sparse": q_knn_sparse,
+    "knn_sparse_index": q_knn_sparse_index,
+    "knn_batch_blocks": q_knn_batch_blocks,
+    "bm25_index_search": q_bm25_index_search,
     "dedup_hits": q_dedup_hits,
     "pack_context": q_pack_context,
     "rag_prompt": q_rag_prompt,

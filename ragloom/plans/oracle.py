@@ -493,6 +493,9 @@ ORACLE = {
     "count_chunks": COUNT_CHUNKS,
     "chunks_per_document": CHUNKS_PER_DOCUMENT,
     "knn_sparse": KNN_SPARSE,
+    "knn_sparse_index": KNN_SPARSE,
+    "knn_batch_blocks": KNN_BATCH,
+    "bm25_index_search": BM25_SEARCH,
     "dedup_hits": DEDUP_HITS,
     "pack_context": PACK_CONTEXT,
     "rag_prompt": RAG_PROMPT,

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "ragloom",
@@ -56,6 +57,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def write_once(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in the shared checkpoint folder and read back: its plan runs once, however
+    often the result is read, and a lost executor costs a re-read of the written files."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -255,7 +255,7 @@ def test_query_ids(spark):
     assert sorted((r["query_id"], r["vec_id"]) for r in search_batch(c, q, 1, order=["vec_id"]).collect()) == want
     many = search_batch(c, q, 1, order=["vec_id"], max_broadcast_bytes=20)
     assert sorted((r["query_id"], r["vec_id"]) for r in many.collect()) == want
-    assert many._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1  # one pass, whatever the blocks
+    assert "MapInArrow" not in many._jdf.queryExecution().optimizedPlan().toString()  # beyond one broadcast: the block join
     for bad in ([(None, [1.0, 0.0])], [("a", [1.0, 0.0]), ("a", [0.0, 1.0])]):
         with pytest.raises(ValueError):
             search_batch(c, spark.createDataFrame(bad, "query_id string, embedding array<float>"), 1, order=["vec_id"])
