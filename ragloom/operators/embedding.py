@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import hashlib
+import time
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from ragloom.session import ship_package
+from ragloom.session import ship_package, write_once
 
 # Fixed value: a token is a maximal run of letters and digits.
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
@@ -203,3 +204,68 @@ def _hash_batch(dim: int):
             return list(np.where(n[:, None] > 0, m / n[:, None], 0.0).astype(np.float32))
 
     return fn
+
+
+def requests(texts: list[str], max_bytes: int, max_texts: int) -> Iterator[list[int]]:
+    """Positions of the texts in consecutive requests of at most ``max_texts`` texts and ``max_bytes`` bytes
+    (a longer text makes a request of its own)."""
+    now, held = [], 0
+    for i, t in enumerate(texts):
+        size = len(t.encode("utf-8"))
+        if now and (len(now) >= max_texts or held + size > max_bytes):
+            yield now
+            now, held = [], 0
+        now.append(i)
+        held += size
+    if now:
+        yield now
+
+
+def _asked(fn, texts: list[str], attempts: int, wait_seconds: float) -> list:
+    """One request, tried at most ``attempts`` times; the last failure fails the task (Spark then tries it elsewhere)."""
+    for attempt in range(attempts):
+        try:
+            vecs = fn(texts)
+            if len(vecs) != len(texts):
+                raise ValueError(f"embedder gave {len(vecs)} vectors for {len(texts)} texts")
+            return vecs
+        except Exception:
+            if attempt + 1 == attempts:
+                raise
+            time.sleep(wait_seconds * 2 ** attempt)
+    return []
+
+
+def embed_distinct(df: DataFrame, text: str = "content", vec: str = "embedding", fn=None, dim: int = 256, *, max_bytes: int = 1 << 20,
+                   max_texts: int = 256, attempts: int = 3, wait_seconds: float = 0.1, hot_rows: int = 100_000, salts: int = 64) -> DataFrame:
+    """E1 + E2 for an embedder that is dear: each distinct missing text is embedded once, whatever its copies.
+
+    The missing texts are counted by value (map-side), embedded in packed requests with bounded retries, and
+    written; the rows then take their vector from that table by the text. A text of more than ``hot_rows`` rows is
+    salted: its rows are dealt over ``salts`` keys and its vector is repeated for each, so no task takes all its
+    copies. Rows that have a vector pass by the join."""
+    ship_package(df.sparkSession)
+    call = fn if fn is not None else _hash_batch(dim)
+    need = needs_embedding(vec)
+    todo = df.where(need).select(F.coalesce(_c(text).cast("string"), F.lit("")).alias("_text"))
+
+    def run(batches):
+        for rb in batches:
+            texts = rb.column(0).to_pylist()
+            out: list = [None] * len(texts)
+            for at in requests(texts, max_bytes, max_texts):
+                for i, v in zip(at, _asked(call, [texts[i] for i in at], attempts, wait_seconds)):
+                    out[i] = None if v is None else np.asarray(v, dtype=np.float32)
+            yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), pa.array(out, pa.list_(pa.float32()))], names=["_text", "_rows", "_new"])
+
+    counted = todo.groupBy("_text").agg(F.count(F.lit(1)).alias("_rows"))
+    made = write_once(counted.mapInArrow(run, "_text string, _rows long, _new array<float>"))
+    hot = made.where(F.col("_rows") > hot_rows).select("_text").withColumn("_hot", F.lit(True))  # few: each stands for hot_rows rows
+    copies = made.withColumn("_salt", F.explode(F.when(F.col("_rows") > hot_rows, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    rows = df.withColumn("_text", F.when(need, F.coalesce(_c(text).cast("string"), F.lit(""))))
+    with_salt = rows.join(F.broadcast(hot) if hot.count() * salts < 1 << 16 else hot, "_text", "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")).otherwise(F.lit(0)))
+    filled = with_salt.where(F.col("_text").isNotNull()).join(copies.select("_text", "_salt", "_new"), ["_text", "_salt"], "left")
+    had = with_salt.where(F.col("_text").isNull()).withColumn("_new", F.lit(None).cast("array<float>"))
+    both = filled.unionByName(had.select(*filled.columns))
+    return both.withColumn(vec, F.when(F.col("_text").isNotNull(), F.col("_new")).otherwise(F.col(vec).cast("array<float>"))).select(*df.columns)

@@ -111,8 +111,10 @@ def ivf_search(
     order: list[str] | None = None,
     round_digits: int | None = None,
     max_broadcast_bytes: int = SearchParams().max_broadcast_bytes,
+    cell_ids: np.ndarray | None = None,
 ) -> DataFrame:
-    """Top-k by cosine among the chunks of each query's ``nprobe`` nearest cells."""
+    """Top-k by cosine among the chunks of each query's ``nprobe`` nearest cells. ``cell_ids``: the cell of each
+    centroid, where cells are not numbered as the centroids are (the filter stays one on ``cell`` itself)."""
     query_vec = query_vec or vec
     order = list(order or [])
     cents = model_or_centroids if isinstance(model_or_centroids, np.ndarray) else centroids(model_or_centroids)
@@ -122,27 +124,32 @@ def ivf_search(
     schema = out_schema(chunks, [vec, cell], queries.schema[query_id].dataType)
     # a query row ships its vector (dim doubles) and its probe mask (nlist booleans)
     if check_query_ids(queries, query_id) * (dim * 8 + cents.shape[0]) > max_broadcast_bytes:
+        if cell_ids is not None:
+            place = F.create_map(*[F.lit(int(x)) for pair in zip(cell_ids, range(len(cell_ids))) for x in pair])
+            chunks = chunks.withColumn(cell, place[F.col(cell)])
         return ivf_join(chunks, queries, cents, k, nprobe, vec=vec, cell=cell, query_id=query_id, query_vec=query_vec, order=order,
                         round_digits=round_digits)
     ids, q, qn = _query_matrix(queries, query_id, query_vec, "dense", dim)
     probe = _probes(q, cents, nprobe)
     probed = {int(c) for c in np.nonzero(probe.any(axis=0))[0]}
     blocks = [spark.sparkContext.broadcast((ids, q, qn, probe))]
-    scan = chunks.where(F.col(cell).isin(sorted(probed))) if len(probed) < cents.shape[0] else chunks
-    kern = topk_kernel(blocks, _ProbeScorer(vec, dim, cell), [vec, cell], k, None, order, to_arrow_schema(schema), round_digits)
+    names = np.arange(cents.shape[0]) if cell_ids is None else np.asarray(cell_ids)
+    scan = chunks.where(F.col(cell).isin([int(names[c]) for c in sorted(probed)])) if len(probed) < cents.shape[0] else chunks
+    kern = topk_kernel(blocks, _ProbeScorer(vec, dim, cell, names), [vec, cell], k, None, order, to_arrow_schema(schema), round_digits)
     return rank_within_query(scan.mapInArrow(kern, schema), k, order)
 
 
 class _ProbeScorer(CosineScorer):
     """Cosine for the queries that probe a row's cell."""
 
-    def __init__(self, vec: str, dim: int, cell: str):
+    def __init__(self, vec: str, dim: int, cell: str, names: np.ndarray):
         super().__init__(vec, "dense", dim)
-        self.cell = cell
+        self.cell, self.names, self.at = cell, np.sort(names), np.argsort(names)
 
     def features(self, rb: pa.RecordBatch):
         cells = pc.fill_null(rb.column(self.cell), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        return super().features(rb), cells
+        place = np.minimum(np.searchsorted(self.names, cells), len(self.names) - 1)  # cell -> row of the centroids
+        return super().features(rb), np.where(self.names[place] == cells, self.at[place], -1)
 
     def scores(self, features, state, lo: int, hi: int) -> np.ndarray:
         base, cells = features

@@ -26,6 +26,7 @@ from ragloom.functions.metadata import (
 from ragloom.functions.text import WS_CLASS, byte_length, file_ext_lower, normalize_ws
 from ragloom.functions.vectors import vector_widen
 from ragloom.operators.blockjoin import block_join
+from ragloom.operators.cells import create_cells, insert_vectors, read_cells
 from ragloom.operators.chunking import (
     chunk_fixed,
     chunk_markdown,
@@ -36,7 +37,7 @@ from ragloom.operators.chunking import (
     is_markdown_type,
 )
 from ragloom.operators.context import dedup_by_chunk, dedup_by_content, pack_flags, rank_hits, score_threshold, skip_bad_hits
-from ragloom.operators.embedding import embed_missing, hash_terms
+from ragloom.operators.embedding import embed_distinct, embed_missing, hash_terms
 from ragloom.operators.hybrid import FUSE_DEPTH, bm25_search, history_queries, rrf_fuse
 from ragloom.operators.ivf import centroids, ivf_assign, ivf_fit, ivf_join, ivf_search
 from ragloom.operators.markdown import derived_markdown, fenced_markdown
@@ -52,6 +53,7 @@ from ragloom.operators.messages import (
 )
 from ragloom.operators.postings import index_chunks, search_postings, write_postings
 from ragloom.operators.recursive import chunk_recursive_array
+from ragloom.operators.table_splitter import register_splitter, windows_of
 from ragloom.operators.search import search, search_batch, split_by_dimension
 from ragloom.params import CONFIGURED_PACK, GRAPH_PACK, ChunkParams, SearchParams
 from ragloom.plans.ingest import ingest
@@ -99,6 +101,14 @@ def q_chunk_fixed(spark, sf_dir):
     return doc_chunks(spark, sf_dir)
 
 
+def q_chunk_table_function(spark, sf_dir):
+    """T7 with a splitter of one's own as a table function in SQL: fixed windows as a lateral join on every document."""
+    register_splitter(spark, "split_windows", windows_of(CHUNKS))
+    documents(spark, sf_dir, ["doc_id", "text"]).createOrReplaceTempView("_documents_to_split")
+    return spark.sql("""SELECT c.chunk_id, CAST(d.doc_id AS STRING) AS doc_id, c.chunk_index, c.content
+                        FROM _documents_to_split d, LATERAL split_windows(CAST(d.doc_id AS STRING), d.text) c""")
+
+
 def q_count_chunks(spark, sf_dir):
     """Chunk count of each document (0 for blank text)."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -224,6 +234,17 @@ def q_knn_batch_blocks(spark, sf_dir):
     return block_join(e, q, 5, dim=dim, order=["vec_id"], round_digits=DENSE_DIGITS).select("query_id", "vec_id", "label", "score", "rank")
 
 
+def q_ivf_grow_labels(spark, sf_dir):
+    """R6 over two imports: cells around the label means, made from half of the vectors, take the other half. Every
+    vector ends in the cell that one assignment of all gives."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cells-{uuid.uuid4().hex}"
+    e, cents = embeddings(spark, sf_dir), label_centroids(spark, sf_dir)
+    first = F.pmod(F.xxhash64("vec_id"), F.lit(2)) == 0
+    create_cells(e.where(first), path, cents)
+    insert_vectors(e.where(~first), path)
+    return read_cells(spark, path).select("vec_id", "label", "cell")
+
+
 def q_knn_threshold(spark, sf_dir):
     """R2 + F3: up to 10 nearest vectors with cosine >= 0.25."""
     return _dense_batch(spark, sf_dir, 10, 0.25)
@@ -584,6 +605,18 @@ def q_embed_missing(spark, sf_dir):
     return out.select("vec_id", F.size("embedding").cast("long").alias("width"), F.round(vector_widen("embedding")[0], 6).alias("first"))
 
 
+def q_embed_distinct(spark, sf_dir):
+    """E1 + E2: the embedder sees every distinct missing text once; copies get the same vector."""
+    e, d = embeddings(spark, sf_dir), table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    rows = e.join(d, "vec_id").select("vec_id", F.substring("text", 1, 20).alias("content"), F.when(F.col("vec_id") % 3 == 0, F.col("embedding")).alias("embedding"))
+
+    def lengths(texts: list[str]):
+        return [[float(len(t)), float(sum(map(ord, t)) % 1009)] for t in texts]
+
+    done = embed_distinct(rows, "content", "embedding", lengths)
+    return done.select("vec_id", F.size("embedding").alias("width"), F.when(F.col("vec_id") % 3 != 0, F.col("embedding")[0].cast("double")).alias("first"))
+
+
 def q_dimension_split(spark, sf_dir):
     """F6 split form: vectors cut to half width are set apart; missing ones pass."""
     e = embeddings(spark, sf_dir)
@@ -613,6 +646,9 @@ def q_template_history(spark, sf_dir):
 QUERIES = {
     "knn_label_means": q_knn_label_means,
     "ivf_assign_labels": q_ivf_assign_labels,
+    "ivf_grow_labels": q_ivf_grow_labels,
+    "chunk_table_function": q_chunk_table_function,
+    "embed_distinct": q_embed_distinct,
     "ivf_search_probes": q_ivf_search_probes,
     "ivf_join_probes": q_ivf_join_probes,
     "chunk_recursive_checks": q_chunk_recursive_checks,

@@ -472,9 +472,18 @@ FROM conversations c LEFT JOIN r ON r.query_id = c.conv_id * 1000000 + c.turn
 WHERE c.role = 'user' AND (c.conv_id + c.turn) % 5 <> 4
 """
 
+EMBED_DISTINCT = """
+SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN len(embedding) ELSE 2 END::INTEGER AS width,
+       CASE WHEN vec_id % 3 <> 0 THEN length(substring(coalesce(text, ''), 1, 20))::DOUBLE END AS first
+FROM embeddings JOIN documents ON vec_id = doc_id
+"""
+
 ORACLE = {
     "knn_label_means": KNN_LABEL_MEANS,
     "ivf_assign_labels": IVF_ASSIGN_LABELS,
+    "ivf_grow_labels": IVF_ASSIGN_LABELS,
+    "chunk_table_function": CHUNK_FIXED,
+    "embed_distinct": EMBED_DISTINCT,
     "ivf_search_probes": IVF_SEARCH_PROBES,
     "ivf_join_probes": IVF_SEARCH_PROBES,
     "chunk_recursive_checks": CHUNK_RECURSIVE_CHECKS,

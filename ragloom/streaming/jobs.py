@@ -16,10 +16,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ragloom.operators.cells import search_cells
 from ragloom.params import CONFIGURED_PACK, ChunkParams, PackParams, SearchParams
 from ragloom.plans.ingest import Splitter, ingest
 from ragloom.plans.rag import rag_contexts
-from ragloom.session import checkpoint_dir
+from ragloom.session import checkpoint_dir, write_once
 from ragloom.sources.chunk_table import write_chunks
 from ragloom.sources.files import SCAN_EXTENSIONS, _ci_glob, documents_from_files, with_file_columns
 
@@ -73,3 +74,21 @@ def search_stream(spark: SparkSession, questions: DataFrame, chunks: DataFrame,
     w = questions.writeStream.foreachBatch(run).option("checkpointLocation", location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def search_cells_stream(spark: SparkSession, questions: DataFrame, cells_path: str, out_path: str, *, k: int = 5, nprobe: int = 8,
+                        order: list[str] | None = None, round_digits: int | None = None, checkpoint: str | None = None, available_now: bool = True,
+                        name: str = "cells") -> StreamingQuery:
+    """S8 over a stored cell table (R7): each micro-batch of ``(query_id, embedding)`` reads only the folders of the cells
+    that its questions probe, in the newest published state. Hits are added to ``out_path``."""
+    location = _ckpt(spark, "cells", checkpoint, name, cells_path, out_path)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        own = f"stream-{stream_id(batch.sparkSession, location)}-{batch_id:09d}"
+        asked = write_once(batch)  # its probes and its vectors are read from what was written
+        search_cells(batch.sparkSession, cells_path, asked, k, nprobe, order=order, round_digits=round_digits).write.mode("overwrite").parquet(
+            os.path.join(out_path, f"answer_id={own}"))
+
+    w = questions.writeStream.foreachBatch(run).option("checkpointLocation", location)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()
