@@ -6,7 +6,8 @@ sequence. The linear program asks for the fewest configurations that cover the l
 is solved by multiplicative weights: lengths that are covered beyond their share lose weight, and
 each step prices the best configuration by knapsack dynamic programming. The fractional solution is
 rounded down, the program is solved again on what is left, and best-fit-decreasing configurations
-take the last rest.
+take the last rest. Best fit over the whole histogram bounds the plan: where rounding leaves more sequences
+than that, its configurations are taken, so the result is never worse than plain best fit.
 
 The driver holds the length histogram (at most ``capacity`` rows) and the configurations, whose
 number depends on the capacity alone. Pieces are numbered within their length by two-level counts
@@ -139,8 +140,24 @@ def best_fit(left: np.ndarray, capacity: int) -> dict[int, int]:
     return config
 
 
+def finish(left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Best-fit-decreasing configurations until nothing is left."""
+    plan = []
+    while left.sum():
+        config = best_fit(left, capacity)
+        plan.append((config, take(left, config, np.inf)))
+    return plan
+
+
 def plan_configurations(counts: np.ndarray, p: PackingParams = PackingParams()) -> list[tuple[dict[int, int], int]]:
-    """(configuration, times) that use every piece of the histogram exactly once."""
+    """(configuration, times) that use every piece of the histogram exactly once: the rounded program, or best fit where that is fewer."""
+    plain = finish(counts.astype(np.int64).copy(), p.capacity)
+    rounded = rounded_program(counts, p)
+    return min(rounded, plain, key=lambda plan: sum(n for _, n in plan))
+
+
+def rounded_program(counts: np.ndarray, p: PackingParams = PackingParams()) -> list[tuple[dict[int, int], int]]:
+    """The plan of the rounded linear program, its last rest by best fit."""
     left = counts.astype(np.int64).copy()
     plan = []
     if left[p.capacity]:
@@ -154,10 +171,7 @@ def plan_configurations(counts: np.ndarray, p: PackingParams = PackingParams())
         plan += [(c, n) for c, n in used if n > 0]
         if not any(n for _, n in used):
             break
-    while left.sum():
-        config = best_fit(left, p.capacity)
-        plan.append((config, take(left, config, np.inf)))
-    return plan
+    return plan + finish(left, p.capacity)
 
 
 def slot_table(plan) -> tuple[np.ndarray, ...]:

@@ -101,3 +101,27 @@ def test_price_is_optimal():
         config = pk.price(value, 20)
         assert sum(i * a for i, a in config.items()) <= 20
         assert abs(sum(value[i] * a for i, a in config.items()) - best[20]) < 1e-9
+
+
+def test_never_worse_than_best_fit():
+    """Histograms on which rounding alone strands pieces; halves, thirds and quarters of the capacity, one token off."""
+    rng = np.random.default_rng(3)
+    cases = [{683: 2000, 682: 1000, 1366: 1000, 1024: 500, 512: 777}]
+    for _ in range(4):
+        cases.append({int(2048 / d) + e: int(rng.integers(1, 900)) for d in (2, 3, 4, 7) for e in (-1, 0, 1)})
+        cases.append({int(n): int(rng.integers(1, 40)) for n in rng.integers(1, 2049, 60)})
+    for case in cases:
+        counts = np.zeros(2049, dtype=np.int64)
+        for n, c in case.items():
+            counts[n] = c
+        plan, used = pk.plan_configurations(counts, pk.PackingParams(rounds=1, steps=6)), np.zeros(2049, dtype=np.int64)
+        for config, times in plan:
+            assert sum(n * a for n, a in config.items()) <= 2048
+            for n, a in config.items():
+                used[n] += a * times
+        assert (used == counts).all()
+        assert sum(t for _, t in plan) <= sum(t for _, t in pk.finish(counts.copy(), 2048))
+    counts = np.zeros(2049, dtype=np.int64)
+    for n, c in cases[0].items():
+        counts[n] = c
+    assert sum(t for _, t in pk.plan_configurations(counts)) <= 2250
