@@ -33,7 +33,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: Kinds that the method adds.
 NUMBER = r"(?<![A-Za-z0-9])[(]?[0-9][0-9().\x20-]{6,28}[0-9](?![A-Za-z0-9])"
-SECRET = r"(?<![A-Za-z0-9])(?=[A-Za-z_-]{0,63}[0-9])[A-Za-z0-9_-]{20,64}(?![A-Za-z0-9])"
+SECRET = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{20,}+"  # whole runs, of any length
 KINDS = (*BASE_KINDS, "number", "secret")
 SECRET_KEY = r"(?i)(token|secret|password|passwd|api_?key)[\x20]?[=:][\x20]?[\"']?$"
 CONTEXT_WORDS = r"(?i)(phone|tel|call|mobile|fax|card|visa|account|token|secret|password|key|id|contact|mail)"

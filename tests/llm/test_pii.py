@@ -102,3 +102,13 @@ def test_empty_and_native(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     for df in (pii.pii_report(docs), pii.redact(docs)):
         assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_long_secrets_are_proposed_whole(spark):
+    """A letter-digit run of any length is one candidate, and a long run without digits costs linear time."""
+    from pyspark.sql import functions as F
+
+    runs = ["a1" * n for n in (9, 10, 32, 33, 100, 5000)] + ["x-" * 200_000, "-" * 100_000 + "7"]
+    df = spark.createDataFrame([(i, f'token = "{r}" end') for i, r in enumerate(runs)], "i long, t string")
+    got = {r["i"]: r["m"] for r in df.select("i", F.regexp_extract_all("t", F.lit(pii.SECRET), F.lit(0)).alias("m")).collect()}
+    assert [got[i] for i in range(len(runs))] == [[]] + [[r] for r in runs[1:6]] + [[], [runs[7]]]
