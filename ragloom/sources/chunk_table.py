@@ -2,7 +2,9 @@
 
 Written rows: ``chunk_id, doc_id, chunk_index, content, source, embedding, metadata_json``. Every import,
 batch or stream, owns one partition ``ingest_id=<id>`` of the table and writes only there, so imports
-never overwrite each other and a replayed import replaces just its own rows. A second partition
+never overwrite each other and a replayed import replaces just its own rows. A replay writes a new
+``version=<n>`` folder and counts once its write is committed (its ``_SUCCESS`` file); readers take the newest
+committed version, and the one before it stays for those that are still reading it. A further partition
 column ``quarantined`` separates rows over a field limit (F7) in the same single write. Every write
 checks the vector width (F6: a wrong width fails the whole write, as in the reference).
 """
@@ -21,7 +23,7 @@ from ragloom.sources.reports import within_field_limits
 
 STORED_COLUMNS = ["chunk_id", "doc_id", "chunk_index", "content", "source", "embedding", "metadata_json"]
 STORED_SCHEMA = ("chunk_id string, doc_id string, chunk_index long, content string, source string, "
-                 "embedding array<float>, metadata_json string, ingest_id string, quarantined boolean")
+                 "embedding array<float>, metadata_json string, ingest_id string, version int, quarantined boolean")
 
 
 def to_rows(chunks: DataFrame) -> DataFrame:
@@ -60,13 +62,44 @@ def write_chunks(chunks: DataFrame, path: str, dim: int, quarantine: bool = Fals
     else:
         failed = F.raise_error(F.concat(F.lit("field over its limit in chunk "), F.col("chunk_id"))).cast("boolean")
         flagged = rows.withColumn("quarantined", F.when(ok, F.lit(False)).otherwise(failed))
-    flagged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("quarantined").parquet(
-        f"{path.rstrip('/')}/ingest_id={ingest_id}")
+    spark, root = chunks.sparkSession, path.rstrip("/")
+    known = _versions(spark, root, ingest_id).get(ingest_id, {})
+    # never an earlier number: an unfinished folder may still be written by a task that lost its executor
+    flagged.write.partitionBy("quarantined").parquet(f"{root}/ingest_id={ingest_id}/version={max(known, default=-1) + 1}")
+    done = sorted(v for v, committed in known.items() if committed)
+    fs, to = _file_system(spark, root)
+    for v in known:
+        if v != (done[-1] if done else None):
+            fs.delete(to(f"{root}/ingest_id={ingest_id}/version={v}"), True)
     return ingest_id
 
 
+def _file_system(spark: SparkSession, path: str):
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return to(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), to
+
+
+def _versions(spark: SparkSession, root: str, ingest_id: str = "*") -> dict[str, dict[int, bool]]:
+    """Import -> version -> committed, from the folder names (no data file is listed)."""
+    fs, to = _file_system(spark, root)
+    out: dict[str, dict[int, bool]] = {}
+    for committed, pattern in ((False, "version=*"), (True, "version=*/_SUCCESS")):
+        for s in fs.globStatus(to(f"{root}/ingest_id={ingest_id}/{pattern}")) or []:
+            p = s.getPath().getParent() if committed else s.getPath()
+            out.setdefault(p.getParent().getName().partition("=")[2], {})[int(p.getName().partition("=")[2])] = committed
+    return out
+
+
 def _stored(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STORED_SCHEMA).parquet(path)
+    """The rows of every import's newest committed version; other folders (few: replays) are left out by a partition filter."""
+    stale = []
+    for own, versions in _versions(spark, path.rstrip("/")).items():
+        newest = max((v for v, committed in versions.items() if committed), default=None)
+        stale += [f"{own}/{v}" for v in versions if v != newest]
+    df = spark.read.schema(STORED_SCHEMA).parquet(path)
+    if stale:
+        df = df.where(~F.concat_ws("/", "ingest_id", F.col("version").cast("string")).isin(stale))
+    return df.drop("version")
 
 
 def read_chunks(spark: SparkSession, path: str, with_vector: bool = False, ingest_id: str | None = None) -> DataFrame:

@@ -226,3 +226,24 @@ def test_import_totals_and_failures(spark):
     t = import_totals(rep).first()
     assert (t["n_success"], t["n_failed"], t["total_chunks"]) == (1, 2, 1)
     assert sorted(r["doc_id"] for r in import_failures(rep).collect()) == ["2", "3"]
+
+
+def test_a_replay_is_published_last(spark, tmpdir_fresh):
+    """Readers keep the old rows until the new version is committed; a failed or unfinished one is never seen."""
+    path = os.path.join(tmpdir_fresh, "t")
+    rows = lambda text, n: spark.createDataFrame([(f"a:{i}", "a", i, text, "s", [1.0, 0.0]) for i in range(n)], "chunk_id string, doc_id string, chunk_index long, content string, source string, embedding array<float>")
+    write_chunks(rows("old", 3), path, 2, ingest_id="one")
+    write_chunks(rows("other", 1), path, 2, ingest_id="two")
+    before = read_chunks(spark, path)
+    with pytest.raises(Exception, match="width"):
+        write_chunks(rows("bad", 2).withColumn("embedding", F.array(F.lit(1.0))), path, 2, ingest_id="one")
+    os.makedirs(os.path.join(path, "ingest_id=one", "version=7", "quarantined=false"))  # a write that never ended
+    got = lambda df: sorted((r["doc_id"], r["content"]) for r in df.collect())
+    old = [("a", "old")] * 3 + [("a", "other")]
+    assert got(read_chunks(spark, path)) == old
+    write_chunks(rows("new", 2), path, 2, ingest_id="one")
+    assert got(read_chunks(spark, path)) == [("a", "new")] * 2 + [("a", "other")] and got(before) == old
+    for turn in range(3):
+        write_chunks(rows(f"turn {turn}", 1), path, 2, ingest_id="one")
+    assert got(read_chunks(spark, path)) == [("a", "other"), ("a", "turn 2")]
+    assert len([x for x in os.listdir(os.path.join(path, "ingest_id=one")) if x.startswith("version=")]) == 2
