@@ -8,8 +8,8 @@ Texts are looked up by white-space-separated parts: white space is dropped by th
 no step of it reaches across. Parts are normalised and split by the tokenizers library's own normaliser
 and pre-tokeniser; the merges are done here. A part that holds a special token's text is cut at it first.
 
-Defined results: a null or empty text has no ids and decodes to the empty text; repeated rows are
-encoded one by one; an empty table gives an empty result; other columns are left alone.
+Defined results: a null or empty text has no ids and decodes to the empty text; a very long text or word is
+encoded whole; repeated rows are encoded one by one; an empty table gives an empty result; other columns are left alone.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections.abc import Sequence
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -25,38 +26,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ragloom.llm.common import with_package
-from ragloom.llm.tokens import tokenizer_path
+from ragloom.llm.tokens import byte_characters, tokenizer_path
 
 MEMO_PARTS = 1 << 19
 NO_RANK = 1 << 60
 SHORT = 128  # symbols; the scan is quadratic, longer words use a heap
-
-
-def merge(symbols: list[str], rank: dict[tuple[str, str], int]) -> list[str]:
-    """Apply the merges of least rank (leftmost first) until none is left."""
-    n = len(symbols)
-    if n < 2:
-        return symbols
-    if n > SHORT:
-        return merge_long(symbols, rank)
-    get = rank.get
-    word = "".join(symbols)
-    bounds = [0]
-    for s in symbols:
-        bounds.append(bounds[-1] + len(s))
-    ranks = [get((a, b), NO_RANK) for a, b in zip(symbols, symbols[1:])]
-    while ranks:
-        least = min(ranks)
-        if least == NO_RANK:
-            break
-        i = ranks.index(least)
-        del bounds[i + 1], ranks[i]  # part i takes part i + 1 in
-        part = word[bounds[i]:bounds[i + 1]]
-        if i < len(ranks):
-            ranks[i] = get((part, word[bounds[i + 1]:bounds[i + 2]]), NO_RANK)
-        if i:
-            ranks[i - 1] = get((word[bounds[i - 1]:bounds[i]], part), NO_RANK)
-    return [word[a:b] for a, b in zip(bounds, bounds[1:])]
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PLAIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")  # fixed values: the vocabulary's pattern
+
+
+class Merges:
+    """The merge table over integer parts: a pair's key is left * size + right."""
+
+    def __init__(self, vocab: dict[str, int], rank: dict[tuple[str, str], int]):
+        self.size = max(vocab.values(), default=0) + 1
+        self.rank = {vocab[a] * self.size + vocab[b]: k for (a, b), k in rank.items()}
+        self.joined = {k: vocab[a + b] for (a, b), k in rank.items()}
+
+    def merge(self, parts: list[int]) -> list[int]:
+        """Apply the merges of least rank (leftmost first) until none is left; ranks[i] stands at the boundary after part i."""
+        get, size, joined = self.rank.get, self.size, self.joined
+        ranks = [get(a * size + b, NO_RANK) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            least = min(ranks)
+            if least == NO_RANK:
+                break
+            i = ranks.index(least)
+            del parts[i + 1], ranks[i]  # part i takes part i + 1 in
+            part = parts[i] = joined[least]
+            if i < len(ranks):
+                ranks[i] = get(part * size + parts[i + 1], NO_RANK)
+            if i:
+                ranks[i - 1] = get(parts[i - 1] * size + part, NO_RANK)
+        return parts
 
 
 def merge_long(symbols: list[str], rank: dict[tuple[str, str], int]) -> list[str]:
@@ -90,37 +92,54 @@ class WordBpe:
         self.vocab: dict[str, int] = model["vocab"]
         self.rank = {tuple(m.split(" ") if isinstance(m, str) else m): k for k, m in enumerate(model["merges"])}
         self.end = model["end_of_word_suffix"] or ""
+        self.merges = Merges(self.vocab, self.rank)
+        self.inner = {c: self.vocab[c] for c in byte_characters().values() if c in self.vocab}
+        self.last = {c: self.vocab[c + self.end] for c in self.inner if c + self.end in self.vocab}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {k: t for t, k in {**self.vocab, **self.special}.items()}
+        self.decimal = {k: str(k) for k in self.tokens}
         self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         library = Tokenizer.from_file(path)
         self.normalize, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
-        self.words: dict[str, list[int]] = {}
-        self.parts: dict[bytes, tuple[str, str, int]] = {}
+        self.alphabet = byte_characters()
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.encoded: dict[bytes, str] = {}  # strings alone: nothing for the garbage collector to follow
+        self.decoded: dict[bytes, str] = {}
         self.limit = memo_parts
 
-    def word_ids(self, word: str) -> list[int]:
+    def word_ids(self, word: str) -> tuple[int, ...]:
         """Ids of one pre-token; a symbol that the vocabulary lacks has none, as without an unknown token."""
         got = self.words.get(word)
         if got is None:
-            symbols = [*word[:-1], word[-1] + self.end]
-            got = self.words[word] = [self.vocab[s] for s in merge([s for s in symbols if s in self.vocab], self.rank)]
+            if len(word) > SHORT:
+                symbols = [*word[:-1], word[-1] + self.end]
+                got = [self.vocab[s] for s in merge_long([s for s in symbols if s in self.vocab], self.rank)]
+            else:
+                parts = [*map(self.inner.get, word[:-1]), self.last.get(word[-1])]
+                got = self.merges.merge([x for x in parts if x is not None] if None in parts else parts)
+            got = self.words[word] = tuple(got)  # of numbers alone, so the garbage collector need not follow it
         return got
 
-    def part_ids(self, part: str) -> list[int]:
-        if self.cut and any(t in part for t in self.special):
+    def part_ids(self, part: str) -> Sequence[int]:
+        if self.cut and "|" in part and any(t in part for t in self.special):
             out = []
             for x in self.cut.split(part):
                 out += [self.special[x]] if x in self.special else self.part_ids(x) if x else []
             return out
+        if _PLAIN.fullmatch(part):
+            low = part.lower()
+            if not part.isascii():  # letters beyond ASCII are two symbols of the byte alphabet
+                return [i for word in _PLAIN_WORDS.findall(low) for i in self.word_ids(word.encode("utf-8").decode("latin-1").translate(self.alphabet))]
+            if low.isalpha():
+                return self.word_ids(low)
+            return [i for word in _PLAIN_WORDS.findall(low) for i in self.word_ids(word)]
         return [i for word, _ in self.split(self.normalize(part)) for i in self.word_ids(word)]
 
-    def part(self, part: bytes) -> tuple[str, str, int]:
-        """(decimal ids, decoded text, count) of one part, both joined by one space."""
-        got = self.parts.get(part)
-        if got is None:
-            ids = self.part_ids(part.decode("utf-8"))
-            got = self.parts[part] = (" ".join(map(str, ids)), self.decode(ids), len(ids))
+    def learn(self, part: bytes) -> str:
+        """Put a part into the memo: its decimal ids and its decoded text, both joined by one space."""
+        ids = self.part_ids(part.decode("utf-8"))
+        self.decoded[part] = self.decode(ids)
+        got = self.encoded[part] = " ".join(map(self.decimal.__getitem__, ids))
         return got
 
     def ids(self, text: str | None) -> list[int]:
@@ -128,16 +147,24 @@ class WordBpe:
 
     def decode(self, ids: list[int]) -> str:
         """The vocabulary names no decoder: the tokens joined by one space."""
-        return " ".join(self.tokens[i] for i in ids)
+        return " ".join(map(self.tokens.__getitem__, ids))
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
         """(number of ids, SHA-256 of the decimal ids, SHA-256 of the decoded text)."""
-        if len(self.parts) > self.limit:
-            self.parts.clear()
-            self.words.clear()
-        known = [p for p in map(self.part, (text or "").encode("utf-8").split()) if p[2]]
-        ids, decoded = (" ".join([p[k] for p in known]) for k in (0, 1))
-        return (sum(p[2] for p in known), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode("utf-8")).hexdigest())
+        if len(self.encoded) > self.limit:
+            for memo in (self.encoded, self.decoded, self.words):
+                memo.clear()
+        parts = (text or "").encode("utf-8").split()
+        encoded = list(map(self.encoded.get, parts))
+        if None in encoded:
+            known, learn = self.encoded.get, self.learn
+            encoded = [(known(p) or learn(p)) if e is None else e for e, p in zip(encoded, parts)]
+        decoded = map(self.decoded.__getitem__, parts)
+        if "" in encoded:  # a part without an id leaves no space
+            encoded, decoded = filter(None, encoded), filter(None, decoded)
+        ids = " ".join(encoded)
+        return (ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
+                hashlib.sha256(" ".join(decoded).encode("utf-8")).hexdigest())
 
 
 @lru_cache(maxsize=2)

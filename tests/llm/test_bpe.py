@@ -49,18 +49,39 @@ def test_documents(spark):
     assert back == {r["doc_id"]: t.decode(t.encode(r["text"] or "", add_special_tokens=False).ids, skip_special_tokens=False) for r in few.collect()}
 
 
+def merged(symbols, rank):
+    vocab = {s: k for k, s in enumerate(sorted({*symbols, *(x for a, b in rank for x in (a, b, a + b))}))}
+    names = {k: s for s, k in vocab.items()}
+    return [names[k] for k in bpe.Merges(vocab, rank).merge([vocab[s] for s in symbols])]
+
+
 def test_merges_in_rank_order():
     rank = {("a", "b"): 1, ("b", "c"): 0, ("a", "bc"): 2, ("a", "a"): 3}
-    assert bpe.merge(list("abc"), rank) == ["abc"]
-    assert bpe.merge(list("aaa"), rank) == ["aa", "a"]
-    assert bpe.merge(list("x"), rank) == ["x"] and bpe.merge([], rank) == []
+    assert merged(list("abc"), rank) == ["abc"]
+    assert merged(list("aaa"), rank) == ["aa", "a"]
+    assert merged(list("x"), rank) == ["x"] and merged([], rank) == []
 
 
 def test_long_words_use_the_same_merges():
     own, rng = bpe.WordBpe(), random.Random(2)
     for _ in range(60):
         word = [rng.choice("aaabetinsr") for _ in range(rng.randint(2, 120))]
-        assert bpe.merge(word, own.rank) == bpe.merge_long(word, own.rank)
+        assert [own.tokens[i] for i in own.merges.merge([own.vocab[c] for c in word])] == bpe.merge_long(word, own.rank)
+
+
+def test_plain_parts_equal_the_library():
+    """Parts that skip the library's normaliser and pre-tokeniser: every printable ASCII and Latin-1 character, in any mix."""
+    t, own, rng = library(), bpe.WordBpe(), random.Random(4)
+    signs = [chr(c) for c in [*range(33, 127), *range(0xA1, 0x100)]] + ["'s", "'LL", "'re", "ab", "The", "é", "ÉTÉ", "ß", "ÿ", "µ", "9"]
+    for _ in range(20000):
+        part = "".join(rng.choice(signs) for _ in range(rng.randint(1, 8)))
+        assert own.ids(part) == t.encode(part, add_special_tokens=False).ids, repr(part)
+
+
+def test_very_long_text():
+    t, own = library(), bpe.WordBpe(memo_parts=1000)
+    text = " ".join(f"Word{k % 7919}, isn't" for k in range(100000))  # 200,000 words
+    assert own.digests(text) == want(t, text)
 
 
 def test_empty(spark):
