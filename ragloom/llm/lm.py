@@ -7,11 +7,14 @@ is the sum over all its segmentations, by a forward recursion in log space; a do
 over its words and its end, since no piece reaches across white space. Any character can also be spelled
 by its byte pieces, so every word has a segmentation.
 
-The most frequent words, at most ``hot_words`` of them, are broadcast (a fixed bound) and cover most
-tokens in one pass; all other words are joined with the word table, so the vocabulary may grow without limit.
+The recursion runs over blocks of words of nearly equal length, place by place, along a trie of the pieces;
+words above 64 characters go one by one, without keeping their edges.
+
+The most frequent words of at most ``hot_bytes`` bytes, at most ``hot_words`` of them, are broadcast (a fixed bound)
+and cover most tokens in one pass; all other words are joined with the word table, so the vocabulary may grow without limit.
 
 Defined results: a null or empty text is its end token alone; a row without a doc_id has the fold of the
-empty text's CRC; repeated rows are counted and scored one by one; without training tokens every count
+empty text's CRC; a very long text or word is counted and scored whole; repeated rows are counted and scored one by one; without training tokens every count
 is 0; an empty table gives an empty result; other columns are left alone.
 """
 
@@ -21,6 +24,7 @@ import math
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +44,8 @@ class LmParams:
     vocabulary: str | None = None   # path; None: the installed piece_bpe_32k.model
     folds: int = 5
     held_fold: int = 1
-    hot_words: int = 1 << 20
+    hot_words: int = 1 << 19        # words of the broadcast table, and
+    hot_bytes: int = 64             # the bytes of each at most: 42 MB in all
     flush_words: int = 1 << 19      # words that a task counts before it sends them on
     smoothing: float = 0.5          # added to every piece's expected count
 
@@ -72,12 +77,86 @@ def vocabulary_scores(path: str | None = None) -> Pieces:
     return Pieces({k: math.log(w) - total for k, w in weight.items()}, [math.log(least) - total] * 256, math.log(least) - total)
 
 
+def _utf8(code: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The UTF-8 bytes of code points: (places in ``code``, their byte) for each byte position of each length."""
+    out, low = [], 0
+    for k, (high, lead) in enumerate(((0x80, 0), (0x800, 0xC0), (0x10000, 0xE0), (0x110000, 0xF0))):
+        at = np.flatnonzero((code >= low) & (code < high))
+        if len(at):
+            c = code[at]
+            out.append((at, lead | c >> 6 * k))
+            out += [(at, 0x80 | c >> 6 * j & 0x3F) for j in range(k)]
+        low = high
+    return out
+
+
+class Trie:
+    """The pieces as a trie over character classes; node 0 is nowhere, node 1 the root.
+
+    Edges of the commonest characters stand in a dense table, the others in a sorted list."""
+
+    DENSE = 128
+
+    def __init__(self, pieces: list[str]):
+        often = Counter(c for p in pieces for c in p)
+        chars = sorted(often, key=lambda c: (-often[c], c))
+        self.kind = np.zeros(0x110000, dtype=np.int32)  # 0: in no piece
+        self.kind[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.kinds = len(chars) + 1
+        kind, child, ends = {c: k + 1 for k, c in enumerate(chars)}, {}, {}
+        for index, piece in enumerate(pieces):
+            node = 1
+            for c in piece:
+                node = child.setdefault(node * self.kinds + kind[c], len(child) + 2)
+            ends[node] = index
+        self.piece = np.full(len(child) + 2, -1, dtype=np.int64)
+        self.piece[list(ends)] = list(ends.values())
+        keys, to = np.array(list(child), dtype=np.int64), np.array(list(child.values()), dtype=np.int32)
+        order = np.argsort(keys)
+        self.keys, self.to = keys[order], to[order]
+        node, k = np.divmod(self.keys, self.kinds)
+        self.dense = np.zeros((len(child) + 2, self.DENSE), dtype=np.int32)
+        common = k < self.DENSE
+        self.dense[node[common], k[common]] = self.to[common]
+
+    def step(self, node: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        out = self.dense[node, np.minimum(kind, self.DENSE - 1)]
+        rare = np.flatnonzero(kind >= self.DENSE)
+        if len(rare):
+            key = node[rare] * self.kinds + kind[rare]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            out[rare] = np.where(self.keys[at] == key, self.to[at], 0)
+        return out
+
+
+@lru_cache(maxsize=2)
+def trie_of(pieces: tuple[str, ...]) -> Trie:
+    """The trie of this worker process: all tasks that the worker runs share it."""
+    return Trie(list(pieces))
+
+
 class Lattice:
-    """All segmentations of one word at a time."""
+    """All segmentations: of one word at a time, or of blocks of words of nearly equal length, place by place."""
+
+    BLOCK = 4096  # words
+    SHORT = 64    # characters; longer words go one by one
 
     def __init__(self, pieces: Pieces):
         self.get, self.byte, self.longest = pieces.table.get, pieces.byte, pieces.longest
         self.spelled: dict[str, float] = {}
+        self.names = list(pieces.table)
+        self.values = np.array(list(pieces.table.values()), dtype=np.float64)
+        self._trie = None
+
+    @property
+    def trie(self) -> Trie:
+        if self._trie is None:
+            self._trie = trie_of(tuple(self.names))
+            self.spell_code = np.zeros(0x110000)
+            code, byte = np.arange(0x110000), np.array(self.byte)
+            for at, b in _utf8(code):
+                self.spell_code[at] += byte[b]
+        return self._trie
 
     def spell(self, char: str) -> float:
         got = self.spelled.get(char)
@@ -85,22 +164,25 @@ class Lattice:
             got = self.spelled[char] = sum(self.byte[b] for b in char.encode("utf-8"))
         return got
 
-    def forward(self, word: str) -> tuple[str, list[float], list[list[tuple[int, float, bool]]]]:
-        """Log sums over the segmentations of each prefix, and the edges (from, score, spelled) into each place."""
+    def into(self, text: str, i: int) -> list[tuple[int, float, bool]]:
+        """The edges (from, score, spelled) into place i."""
+        out, get = [], self.get
+        for j in range(max(0, i - self.longest), i):
+            s = get(text[j:i])
+            if s is not None:
+                out.append((j, s, False))
+        out.append((i - 1, self.spell(text[i - 1]), True))
+        return out
+
+    def forward(self, word: str) -> tuple[str, list[float]]:
+        """Log sums over the segmentations of each prefix; the edges are not kept."""
         text = SPACE + word
-        alpha, edges, get, longest, exp, log = [0.0], [()], self.get, self.longest, math.exp, math.log
+        alpha, exp, log = [0.0], math.exp, math.log
         for i in range(1, len(text) + 1):
-            into = []
-            for j in range(max(0, i - longest), i):
-                s = get(text[j:i])
-                if s is not None:
-                    into.append((j, s, False))
-            into.append((i - 1, self.spell(text[i - 1]), True))
-            sums = [alpha[j] + s for j, s, _ in into]
+            sums = [alpha[j] + s for j, s, _ in self.into(text, i)]
             top = max(sums)
             alpha.append(top + log(sum([exp(x - top) for x in sums])) if len(sums) > 1 else top)
-            edges.append(into)
-        return text, alpha, edges
+        return text, alpha
 
     def score(self, word: str) -> float:
         """Log10 of the word's marginal probability."""
@@ -108,14 +190,14 @@ class Lattice:
 
     def expect(self, word: str, weight: float, pieces: dict[str, float], byte: list[float]) -> None:
         """Add the expected uses of each piece in the word, times ``weight``."""
-        text, alpha, edges = self.forward(word)
+        text, alpha = self.forward(word)
         n = len(text)
         # share[i]: posterior probability that a segmentation has a boundary at i
         share = [0.0] * n + [1.0]
         for i in range(n, 0, -1):
             if share[i] == 0.0:
                 continue
-            for j, s, spelled in edges[i]:
+            for j, s, spelled in self.into(text, i):
                 p = share[i] * math.exp(alpha[j] + s - alpha[i])
                 share[j] += p
                 if spelled:
@@ -125,6 +207,88 @@ class Lattice:
                     key = text[j:i]
                     pieces[key] = pieces.get(key, 0.0) + p * weight
 
+    def _blocks(self, words: list[str]):
+        """Short words by length: (their places in ``words``, lengths, code points by place and word)."""
+        n = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
+        order = np.argsort(n, kind="stable")
+        order = order[n[order] <= self.SHORT]
+        for at in range(0, len(order), self.BLOCK):
+            rows = order[at:at + self.BLOCK]
+            size = n[rows]
+            flat = np.frombuffer("".join([SPACE + words[r] for r in rows]).encode("utf-32-le"), dtype="<u4")
+            codes = np.zeros((len(rows), size[-1]), dtype=np.int64)
+            codes[np.arange(size[-1]) < size[:, None]] = flat
+            yield rows, size, np.ascontiguousarray(codes.T)
+
+    def _forward_block(self, size: np.ndarray, codes: np.ndarray):
+        """alpha by place and word, the spelled edges' scores, and per end place the edges (from, words, pieces)."""
+        trie, (places, m) = self.trie, codes.shape
+        kind = trie.kind[codes]
+        kind[np.arange(places)[:, None] >= size] = 0
+        spelled = self.spell_code[codes]
+        alpha = np.full((places + 1, m), -np.inf)
+        alpha[0] = 0.0
+        into = [[] for _ in range(places + 1)]
+        for j in range(places):
+            first = int(np.searchsorted(size, j, side="right"))  # words are in order of length
+            alpha[j + 1, first:] = np.logaddexp(alpha[j + 1, first:], alpha[j, first:] + spelled[j, first:])
+            word = np.arange(first, m)
+            node = np.ones(len(word), dtype=np.int64)
+            for i in range(j + 1, places + 1):
+                node = trie.step(node, kind[i - 1, word])
+                on = np.flatnonzero(node)
+                if not len(on):
+                    break
+                node, word = node[on].astype(np.int64), word[on]
+                piece = trie.piece[node]
+                known = np.flatnonzero(piece >= 0)
+                if len(known):
+                    w, piece = word[known], piece[known]
+                    alpha[i, w] = np.logaddexp(alpha[i, w], alpha[j, w] + self.values[piece])
+                    into[i].append((j, w, piece))
+        return alpha, spelled, into
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """``score`` of each word."""
+        out = np.full(len(words), np.nan)
+        for rows, size, codes in self._blocks(words):
+            alpha, _, _ = self._forward_block(size, codes)
+            out[rows] = alpha[size, np.arange(len(rows))] / LN10
+        for k in np.flatnonzero(np.isnan(out)):
+            out[k] = self.score(words[k])
+        return out
+
+    def expect_all(self, words: list[str], weights: np.ndarray, uses: np.ndarray, byte: np.ndarray) -> None:
+        """``expect`` of each word: adds to ``uses`` by the pieces' order and to ``byte``."""
+        long_ = np.ones(len(words), dtype=bool)
+        for rows, size, codes in self._blocks(words):
+            long_[rows] = False
+            weight = weights[rows].astype(np.float64)
+            alpha, spelled, into = self._forward_block(size, codes)
+            share = np.zeros_like(alpha)
+            share[size, np.arange(len(rows))] = 1.0
+            letters = np.zeros(codes.shape)
+            for i in range(len(codes), 0, -1):
+                first = int(np.searchsorted(size, i))
+                for j, w, piece in into[i]:
+                    p = share[i, w] * np.exp(alpha[j, w] + self.values[piece] - alpha[i, w])
+                    share[j, w] += p
+                    uses += np.bincount(piece, p * weight[w], len(uses))
+                p = share[i, first:] * np.exp(alpha[i - 1, first:] + spelled[i - 1, first:] - alpha[i, first:])
+                share[i - 1, first:] += p
+                letters[i - 1, first:] = p * weight[first:]
+            flat, x = codes.ravel(), letters.ravel()
+            for at, b in _utf8(flat):
+                byte += np.bincount(b, x[at], 256)
+        pieces, plain, place = {}, [0.0] * 256, None
+        for k in np.flatnonzero(long_):
+            self.expect(words[k], float(weights[k]), pieces, plain)
+        if pieces:
+            place = {name: k for k, name in enumerate(self.names)}
+            for name, x in pieces.items():
+                uses[place[name]] += x
+        byte += plain
+
 
 def held_out(doc_id, p: LmParams) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % p.folds == p.held_fold
@@ -162,13 +326,14 @@ def count_words(docs: DataFrame, p: LmParams) -> DataFrame:
 def estimate(words: DataFrame, start: Pieces, ends: int, p: LmParams) -> Pieces:
     """One expectation step over all training words; the sums of at most the vocabulary's size reach the driver."""
     def run(batches):
-        lattice, pieces, byte = Lattice(start), {}, [0.0] * 256
+        lattice = Lattice(start)
+        uses, byte = np.zeros(len(lattice.names)), np.zeros(256)
         for b in batches:
-            for word, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                lattice.expect(word.decode("utf-8"), c, pieces, byte)
-        names = [*pieces, *(f"<{k}>" for k in range(256))]
-        kinds = [False] * len(pieces) + [True] * 256
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(kinds), pa.array([*pieces.values(), *byte], pa.float64())], names=["piece", "is_byte", "x"])
+            lattice.expect_all([w.decode("utf-8") for w in b.column(0).to_pylist()], b.column(1).to_numpy(), uses, byte)
+        at = np.flatnonzero(uses)
+        names = [*(lattice.names[k] for k in at), *(f"<{k}>" for k in range(256))]
+        kinds = [False] * len(at) + [True] * 256
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(kinds), pa.array(np.r_[uses[at], byte])], names=["piece", "is_byte", "x"])
 
     rows = words.filter("c > 0").select("word", "c").mapInArrow(run, "piece string, is_byte boolean, x double").groupBy("piece", "is_byte").agg(
         F.sum("x").alias("x")).toArrow()
@@ -188,8 +353,8 @@ def _word_scores(words: DataFrame, pieces: Pieces) -> DataFrame:
     def run(batches):
         lattice = Lattice(pieces)
         for b in batches:
-            s = [lattice.score(w.decode("utf-8")) for w in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(3)), pa.array(s, pa.float64())], names=["word", "c", "n", "s"])
+            s = lattice.scores([w.decode("utf-8") for w in b.column(0).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(3)), pa.array(s)], names=["word", "c", "n", "s"])
 
     return words.select("word", "c", "n").mapInArrow(run, "word binary, c long, n long, s double")
 
@@ -217,8 +382,10 @@ def score_documents(docs: DataFrame, p: LmParams = LmParams()) -> DataFrame:
     n, v = n + ends, v + (1 if ends else 0)
     pieces = estimate(counted, vocabulary_scores(p.vocabulary), ends, p)
     words = materialize(_word_scores(counted, pieces))
-    least = hot_threshold(words, p.hot_words)
-    hot_rows = words.filter(F.col("n") >= least).select("word", "c", "s").toArrow()  # at most ``hot_words`` rows
+    short = F.octet_length("word") <= p.hot_bytes
+    least = hot_threshold(words.filter(short), p.hot_words)
+    is_hot = short & (F.col("n") >= least)
+    hot_rows = words.filter(is_hot).select("word", "c", "s").toArrow()  # at most ``hot_words`` rows
     hot = spark.sparkContext.broadcast((b"\n".join(hot_rows.column(0).to_pylist()), hot_rows.column(1).to_numpy(), hot_rows.column(2).to_numpy()))
     base = n + 0.5 * (v + 1)  # above 0
     end_base, end_score, end_known = math.log10((ends + 0.5) / base), pieces.end / LN10, int(ends > 0)
@@ -249,7 +416,7 @@ def score_documents(docs: DataFrame, p: LmParams = LmParams()) -> DataFrame:
     scored = materialize(own.mapInArrow(run, "key long, doc_id long, held_out boolean, n_tokens long, k long, b double, s double, rare array<struct<word:binary,tf:int>>"))
     asked = scored.select("key", F.explode("rare").alias("r")).select("key", "r.word", "r.tf")
     tf = F.col("tf")
-    rest = asked.join(words.filter(F.col("n") < least).select("word", "c", F.col("s").alias("ws")), "word").groupBy("key").agg(
+    rest = asked.join(words.filter(~is_hot).select("word", "c", F.col("s").alias("ws")), "word").groupBy("key").agg(
         F.sum(F.when(F.col("c") > 0, tf).otherwise(0)).alias("rk"), F.sum(tf * F.log10((F.col("c") + 0.5) / F.lit(base))).alias("rb"),
         F.sum(tf * F.col("ws")).alias("rs"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 from conftest import SF001
 
 from ragloom.llm import lm
@@ -58,6 +59,23 @@ def test_expected_counts():
     assert abs(byte[ord("a")] - 2 * want[b"a"] / total) < 1e-9
 
 
+def test_blocks_of_words_equal_single_words():
+    pieces = lm.vocabulary_scores()
+    lattice, rng = lm.Lattice(pieces), random.Random(6)
+    signs = "aaeeinrst" * 4 + "éßñ中文가▁😀\x00\x1c\u200bŁ1.,-"
+    words = ["".join(rng.choice(signs) for _ in range(rng.choice((0, 1, 2, 5, 9, 30, 62, 63, 64, 90)))) for _ in range(3000)]
+    weights = [rng.randint(1, 50) for _ in words]
+    for got, w in zip(lattice.scores(words), words):
+        assert abs(got - lattice.score(w)) < 1e-9 * (1 + abs(got)), w
+    uses, byte = np.zeros(len(pieces.table)), np.zeros(256)
+    lattice.expect_all(words, np.array(weights), uses, byte)
+    want, want_byte = {}, [0.0] * 256
+    for w, x in zip(words, weights):
+        lattice.expect(w, x, want, want_byte)
+    assert np.allclose(uses, [want.get(k, 0.0) for k in pieces.table], rtol=1e-8, atol=1e-12) and np.allclose(byte, want_byte, rtol=1e-8, atol=1e-12)
+    assert len(lattice.scores([])) == 0
+
+
 def slow(rows):
     def words(t):
         low = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
@@ -76,7 +94,7 @@ def test_documents(spark):
     docs = spark.createDataFrame(rows, SCHEMA)
     want = sorted(slow(rows), key=str)
     a = None
-    for p in (lm.LmParams(), lm.LmParams(hot_words=40, flush_words=100), lm.LmParams(hot_words=0)):
+    for p in (lm.LmParams(), lm.LmParams(hot_words=40, flush_words=100), lm.LmParams(hot_words=0), lm.LmParams(hot_bytes=3)):
         got = sorted(map(tuple, lm.score_documents(docs, p).collect()), key=str)
         for g, w in zip(sorted(got, key=lambda r: str(r[:5])), sorted(want, key=lambda r: str(r[:5]))):
             assert g[:5] == w[:5] and abs(g[5] - w[5]) < 1e-7 * abs(w[5])
