@@ -11,9 +11,10 @@ A bucket above ``bucket_rows`` is never cut: it is split again by the pigeonhole
 remaining bits, until it is small or its remaining bits bound its size. A bucket emits at most one
 edge a row (its local components), never all pairs.
 
-Defined results: null and blank texts get fingerprint zero, linked like any other; rows with a null
-doc_id take part, their id never names a component unless no other id is there (then null);
-repeated rows share a class; an empty table gives an empty result.
+Defined results: null and blank texts get fingerprint zero, linked like any other; a very long text has one
+fingerprint of all its shingles; rows with a null doc_id take part, their id never names a component unless no
+other id is there (then null); repeated rows share a class; an empty table gives an empty result; other
+columns are left alone, whatever their names. What ``keep_one`` does with ids that clash is stated there.
 """
 
 from __future__ import annotations
@@ -62,17 +63,18 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, p: SimHashParams = SimHashParams()) -> DataFrame:
-    """(doc_id, fp): fp as a signed long."""
+def fingerprints(docs: DataFrame, p: SimHashParams = SimHashParams(), key: str | None = None) -> DataFrame:
+    """(doc_id, fp): fp as a signed long; with ``key``, that long column too, as row."""
     with_package(docs.sparkSession)
 
     def run(batches):
         for b in batches:
-            fps = [fingerprint(t.as_py(), p.shingle, p.seed) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64), pa.int64())],
-                                             names=["doc_id", "fp"])
+            fps = [fingerprint(t.as_py(), p.shingle, p.seed) for t in b.column(0)]
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(np.array(fps, dtype=np.uint64).view(np.int64), pa.int64())], names=names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    own = [F.col("doc_id").cast("long").alias("doc_id"), *([F.col(key).alias("row")] if key else [])]
+    names = ["doc_id", "row", "fp"] if key else ["doc_id", "fp"]
+    return docs.select("text", *own).mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def _bits(fps: np.ndarray) -> np.ndarray:
@@ -282,23 +284,32 @@ def near_pairs(classes: DataFrame, p: SimHashParams = SimHashParams()) -> DataFr
     return edges
 
 
+def class_components(classes: DataFrame, p: SimHashParams) -> DataFrame:
+    """``classes`` (one row per distinct fp) with the component of each fingerprint; written once."""
+    linked = components(near_pairs(classes.select("fp"), p))
+    return materialize(classes.join(linked, classes["fp"] == linked["node"], "left").select(
+        *[classes[c] for c in classes.columns], F.coalesce("component", "fp").alias("component")))
+
+
 def simhash_groups(docs: DataFrame, p: SimHashParams = SimHashParams()) -> DataFrame:
     """Per row: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links)."""
     fps = materialize(fingerprints(docs, p))
-    classes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    linked = components(near_pairs(classes.select("fp"), p))
-    member = classes.join(linked, classes["fp"] == linked["node"], "left").select(
-        "fp", "rep", F.coalesce("component", "fp").alias("component"))
-    member = materialize(member)
+    member = class_components(materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))), p)
     smallest = member.groupBy("component").agg(F.min("rep").alias("component_id"))
     by_fp = member.join(smallest, "component").select("fp", "component_id")
     return fps.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, p: SimHashParams = SimHashParams()) -> DataFrame:
-    """One document of each group: the one whose doc_id is the component's; rows without an id stay.
-
-    Repeated rows of the kept doc_id are one document and stay; all columns are unchanged."""
-    groups = simhash_groups(docs, p)
-    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """One row of each group: the one with the smallest doc_id, rows without an id last.
+
+    Rows are told apart by a key that is written with them, not by their id: of repeated rows one stays, rows
+    without an id take part, and a row that shares its doc_id with a row of another group is judged on its own.
+    Among rows of one group and id any one stays. All columns are unchanged, whatever their names."""
+    key = next(name for k in range(len(docs.columns) + 1) if (name := f"row_key_{k}") not in {c.lower() for c in docs.columns})
+    rows = materialize(docs.withColumn(key, F.monotonically_increasing_id()))
+    fps = materialize(fingerprints(rows, p, key))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    member = class_components(materialize(fps.groupBy("fp").agg(F.min(order).alias("first"))), p)
+    kept = member.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row").alias(key))
+    return rows.join(kept, key, "left_semi").drop(key)

@@ -65,6 +65,27 @@ def test_keep_one(spark):
     assert sorted(kept) == sorted({r["component_id"] for r in groups})
 
 
+def test_keep_one_decides_by_row(spark):
+    """Clashing and null ids, repeated rows, extra columns with the key's name."""
+    text = " ".join(f"word{k}" for k in range(300))
+    other = " ".join(f"thing{k * 7}" for k in range(300))
+    rows = [(1, text, "a", 1), (2, text, "b", 2), (2, other, "c", 3), (2, other, "c", 3), (None, text, "d", 4), (None, "alone " + other[:900], "e", 5),
+            (None, "alone " + other[:900], "f", 6), (7, None, None, None), (8, "", "g", 7), (None, " ", "h", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, Row_Key_0 string, fp int")
+    assert sh.fingerprint("alone " + other[:900]) not in {sh.fingerprint(other), sh.fingerprint(text)}
+    kept = sh.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = sorted(map(str, (tuple(r)[:2] for r in kept.collect())))
+    assert got == sorted(map(str, [(1, text), (2, other), (None, "alone " + other[:900]), (7, None)]))
+
+
+def test_very_long_text(spark):
+    text = " ".join(f"w{k % 6007}" for k in range(200000))
+    rows = [(1, text), (2, text + " x"), (3, "short")]
+    got = {r["doc_id"]: r["component_id"] for r in sh.simhash_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+
+
 def test_pigeonhole_with_uneven_thresholds():
     """Any four disjoint (t_i + 1) that add up to 4 keep every pair within 3 bits."""
     rng = random.Random(5)
