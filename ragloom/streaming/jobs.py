@@ -18,12 +18,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ragloom.operators.cells import search_cells
 from ragloom.params import CONFIGURED_PACK, ChunkParams, PackParams, SearchParams
-from ragloom.plans.ingest import Splitter, ingest
+from ragloom.plans.ingest import Splitter, ingest, ingest_report
 from ragloom.plans.rag import rag_contexts
 from ragloom.session import checkpoint_dir, write_once
-from ragloom.sources.chunk_table import write_chunks
+from ragloom.sources.chunk_table import read_chunks, write_chunks
 from ragloom.sources.files import SCAN_EXTENSIONS, _ci_glob, documents_from_files, with_file_columns
 
+REPORT_SCHEMA = "doc_id string, chunk_count long, success boolean, error string, ingest_id string"
+
 
 def _ckpt(spark: SparkSession, kind: str, location: str | None, *ends: str) -> str:
     if location:
@@ -41,9 +43,13 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
 def ingest_stream(spark: SparkSession, src_dir: str, table_path: str, *, params: ChunkParams = ChunkParams(),
                   dim: int = 256, checkpoint: str | None = None, available_now: bool = True,
                   max_files_per_trigger: int | None = None, embed_fn=None, splitter: Splitter = "routed",
-                  quarantine: bool = False) -> StreamingQuery:
+                  quarantine: bool = False, report_path: str | None = None) -> StreamingQuery:
     """Every new ``.txt``/``.md`` file under ``src_dir`` is split, embedded, checked (F6, F7) and added to
-    the chunk table, with the same columns and metadata (P3) as a batch import."""
+    the chunk table, with the same columns and metadata (P3) as a batch import.
+
+    With ``report_path`` each micro-batch also leaves its import report (S6) there, under the import's id and only
+    after its chunks are published (``read_stream_reports``). A replayed batch replaces its own report. The report
+    counts the stored rows by their keys and reads the batch's own files once more for the ones that gave none."""
     reader = (spark.readStream.format("text").option("wholetext", "true").option("recursiveFileLookup", "true")
               .option("pathGlobFilter", _ci_glob(SCAN_EXTENSIONS)))
     if max_files_per_trigger:
@@ -54,12 +60,20 @@ def ingest_stream(spark: SparkSession, src_dir: str, table_path: str, *, params:
     def run(batch: DataFrame, batch_id: int) -> None:
         own = f"stream-{stream_id(batch.sparkSession, location)}-{batch_id:09d}"
         write_chunks(ingest(batch, params, dim, embed_fn, splitter), table_path, dim, quarantine, own)
+        if report_path:
+            stored = read_chunks(batch.sparkSession, table_path, ingest_id=own)
+            ingest_report(batch, stored, splitter).write.mode("overwrite").parquet(os.path.join(report_path, f"ingest_id={own}"))
 
     w = docs.writeStream.foreachBatch(run).option("checkpointLocation", location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
+def read_stream_reports(spark: SparkSession, report_path: str) -> DataFrame:
+    """S6 of streams: ``ingest_id, doc_id, chunk_count, success, error`` of every finished micro-batch (``import_totals`` takes it)."""
+    return spark.read.schema(REPORT_SCHEMA).parquet(report_path).select("ingest_id", "doc_id", "chunk_count", "success", "error")
+
+
 def search_stream(spark: SparkSession, questions: DataFrame, chunks: DataFrame, out_path: str, *,
                   search: SearchParams = SearchParams(), pack: PackParams = CONFIGURED_PACK,
                   checkpoint: str | None = None, available_now: bool = True, name: str = "questions") -> StreamingQuery:

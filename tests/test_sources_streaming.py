@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ragloom.plans.ingest import ingest, ingest_to_table, store_chunks
 from ragloom.sources.chunk_table import read_chunks, read_quarantined, stored_ids, to_rows, write_chunks
 from ragloom.sources.files import documents_from_files, documents_from_table, import_report_files, list_files, read_documents, read_files
-from ragloom.streaming.jobs import ingest_stream, search_stream
+from ragloom.sources.reports import import_totals
+from ragloom.streaming.jobs import ingest_stream, read_stream_reports, search_stream
 
 TEXT = "First paragraph of the file. " * 30
 
@@ -87,6 +88,24 @@ def test_stream_equals_batch(spark, tmpdir_fresh):
     assert read_chunks(spark, out).count() == len(streamed)
 
 
+def test_stream_reports_equal_the_batch_report(spark, tmpdir_fresh):
+    """S6 per micro-batch: the same entries and totals as one batch import; a restart adds only its new files."""
+    src, out, reports, ck = (os.path.join(tmpdir_fresh, k) for k in ("in", "table", "reports", "ck"))
+    make_tree(src)
+    embed = lambda ts: [[float(len(t))] * 8 for t in ts]
+    run = lambda: ingest_stream(spark, src, out, dim=8, checkpoint=ck, embed_fn=embed, max_files_per_trigger=3, report_path=reports).awaitTermination(120)
+    run()
+    got = read_stream_reports(spark, reports)
+    rows = lambda df: sorted(map(str, df.select("doc_id", "chunk_count", "success", "error").collect()))
+    batch = ingest_to_table(documents_from_files(read_documents(spark, src)), os.path.join(tmpdir_fresh, "batch"), dim=8, embed_fn=embed).report
+    assert rows(got) == rows(batch) and got.select("ingest_id").distinct().count() == 2
+    assert import_totals(got).collect() == import_totals(batch).collect() and got.where("NOT success").count() > 0
+    with open(os.path.join(src, "later.txt"), "w") as f:
+        f.write(TEXT)
+    run()
+    assert got.sparkSession.read.parquet(reports).count() == batch.count() + 1
+
+
 def test_imports_never_lose_rows(spark, tmpdir_fresh):
     """Two streams, a batch import and a restart with a new checkpoint share one table."""
     table = os.path.join(tmpdir_fresh, "table")
