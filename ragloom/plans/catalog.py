@@ -61,6 +61,7 @@ from ragloom.plans.rag import rag_contexts, retrieve
 from ragloom.plans.tables import table
 from ragloom.session import checkpoint_dir, ship_package, write_once
 from ragloom.sources.chunk_table import to_rows
+from ragloom.sources.files import documents_from_table
 from ragloom.sources.reports import field_limit_violations, import_report, import_totals
 
 CHUNKS = ChunkParams()  # 500 / 50 / 10
@@ -608,7 +609,7 @@ def q_embed_missing(spark, sf_dir):
 def q_embed_distinct(spark, sf_dir):
     """E1 + E2: the embedder sees every distinct missing text once; copies get the same vector."""
     e, d = embeddings(spark, sf_dir), table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
-    rows = e.join(d, "vec_id").select("vec_id", F.substring("text", 1, 20).alias("content"), F.when(F.col("vec_id") % 3 == 0, F.col("embedding")).alias("embedding"))
+    rows = e.join(d, "vec_id").select("vec_id", F.col("text").alias("content"), F.when(F.col("vec_id") % 3 == 0, F.col("embedding")).alias("embedding"))
 
     def lengths(texts: list[str]):
         return [[float(len(t)), float(sum(map(ord, t)) % 1009)] for t in texts]
@@ -617,6 +618,13 @@ def q_embed_distinct(spark, sf_dir):
     return done.select("vec_id", F.size("embedding").alias("width"), F.when(F.col("vec_id") % 3 != 0, F.col("embedding")[0].cast("double")).alias("first"))
 
 
+def q_documents_from_table(spark, sf_dir):
+    """S3: documents as table rows, a third of them without an id (null or empty): those get one from their content."""
+    d, k = table(spark, sf_dir, "documents"), F.col("doc_id")
+    rows = d.select(F.when(k % 3 != 0, k.cast("string")).when(k % 2 == 0, F.lit("")).alias("id"), F.col("text").alias("content"), "source")
+    return documents_from_table(rows)
+
+
 def q_dimension_split(spark, sf_dir):
     """F6 split form: vectors cut to half width are set apart; missing ones pass."""
     e = embeddings(spark, sf_dir)
@@ -649,6 +657,7 @@ QUERIES = {
     "ivf_grow_labels": q_ivf_grow_labels,
     "chunk_table_function": q_chunk_table_function,
     "embed_distinct": q_embed_distinct,
+    "documents_from_table": q_documents_from_table,
     "ivf_search_probes": q_ivf_search_probes,
     "ivf_join_probes": q_ivf_join_probes,
     "chunk_recursive_checks": q_chunk_recursive_checks,

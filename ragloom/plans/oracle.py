@@ -472,9 +472,15 @@ FROM conversations c LEFT JOIN r ON r.query_id = c.conv_id * 1000000 + c.turn
 WHERE c.role = 'user' AND (c.conv_id + c.turn) % 5 <> 4
 """
 
+DOCUMENTS_FROM_TABLE = """
+SELECT CASE WHEN doc_id % 3 <> 0 THEN CAST(doc_id AS VARCHAR)
+            ELSE substring(sha256(coalesce(source, '') || chr(0) || coalesce(text, '')), 1, 32) END AS doc_id,
+       text, coalesce(source, '') AS source
+FROM documents"""
+
 EMBED_DISTINCT = """
 SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN len(embedding) ELSE 2 END::INTEGER AS width,
-       CASE WHEN vec_id % 3 <> 0 THEN length(substring(coalesce(text, ''), 1, 20))::DOUBLE END AS first
+       CASE WHEN vec_id % 3 <> 0 THEN length(coalesce(text, ''))::DOUBLE END AS first
 FROM embeddings JOIN documents ON vec_id = doc_id
 """
 
@@ -484,6 +490,7 @@ ORACLE = {
     "ivf_grow_labels": IVF_ASSIGN_LABELS,
     "chunk_table_function": CHUNK_FIXED,
     "embed_distinct": EMBED_DISTINCT,
+    "documents_from_table": DOCUMENTS_FROM_TABLE,
     "ivf_search_probes": IVF_SEARCH_PROBES,
     "ivf_join_probes": IVF_SEARCH_PROBES,
     "chunk_recursive_checks": CHUNK_RECURSIVE_CHECKS,
