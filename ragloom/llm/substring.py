@@ -8,8 +8,11 @@ shard builds an FM-index and streams its segments through it: backward search ov
 gives the matching statistics, and every full-length match reports the smallest owner. A word goes if
 a window that covers it has an owner with a smaller doc_id.
 
-An anchor with more than ``shard_segments`` distinct segments does not fit a shard: its windows are
-compared by a 128-bit hash in a distributed aggregation, which splits the anchor.
+An anchor with more than ``shard_segments`` distinct segments is dealt again: its segments are cut by the
+smallest hash of twice as many words, and in the last round by the windows themselves, of which a group
+holds one. Equal windows meet in every round, all groups go through the FM-index, and none outgrows a shard.
+
+A very long text is read whole; its segments are rows of their own.
 
 Defined results: a null or blank text has no words and loses none; texts below ``window`` words lose
 none; rows without a doc_id come after all others and lose what those hold, none among themselves;
@@ -38,7 +41,7 @@ class SubstringParams:
     window: int = 50
     gram: int = 16                 # a power of two, below the window
     shard_words: int = 1 << 17     # words of an FM-index, but for a single anchor with more
-    shard_segments: int = 1 << 15  # distinct segments of one anchor; beyond: window hashes
+    shard_segments: int = 1 << 10  # distinct segments of one anchor; beyond: dealt again by longer grams
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -84,8 +87,13 @@ def segments(h: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndar
     while size < gram:
         g = _mix(g[:-size] * BASE + g[size:])
         size *= 2
+    return _by_smallest(g, window - gram + 1)
+
+
+def _by_smallest(g: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Consecutive windows of ``width`` grams that share their smallest gram: its hash, first window, windows."""
     key = (g & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(g), dtype=np.uint64)  # ties: the leftmost
-    anchor = (_sliding_min(key, window - gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    anchor = (_sliding_min(key, width) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
     return g[anchor[first]], first, np.diff(np.r_[first, len(anchor)])
 
@@ -182,21 +190,38 @@ def _matches(contents: DataFrame, p: SubstringParams) -> DataFrame:
             .mapInArrow(run, "anchor long, seg long, j0 int, j1 int, owner long"))
 
 
-def _window_matches(contents: DataFrame, p: SubstringParams) -> DataFrame:
-    """The same by 128-bit window hashes, for anchors beyond a shard."""
+def _parts(contents: DataFrame, gram: int, p: SubstringParams) -> DataFrame:
+    """Segments cut by their smallest ``gram``-word hash: anchor, seg, at (the part's first window), anchor2, seg2, did, words."""
     def run(batches):
         for b in batches:
+            out = [[] for _ in range(7)]
             for anchor, seg, did, w in zip(*(b.column(k).to_pylist() for k in range(4))):
                 h = np.frombuffer(w, dtype=np.uint64)
-                j = np.arange(len(h) - p.window + 1)
-                yield pa.RecordBatch.from_arrays(
-                    [_signed(_runs(h, j, j + p.window)), _signed(_runs(h, j, j + p.window, BASE2)), pa.array(np.full(len(j), anchor)),
-                     pa.array(np.full(len(j), seg)), pa.array(np.full(len(j), did)), pa.array(j.astype(np.int32))],
-                    names=["w1", "w2", "anchor", "seg", "did", "j"])
+                j = np.arange(len(h) - gram + 1)
+                key, s0, nw = _by_smallest(_runs(h, j, j + gram), p.window - gram + 1)
+                ends = s0 + nw + p.window - 1
+                key = _mix(key * BASE + np.array([anchor], dtype=np.int64).view(np.uint64))
+                for c, x in zip(out, ([anchor] * len(s0), [seg] * len(s0), s0.tolist(), key.view(np.int64).tolist(),
+                                      _runs(h, s0, ends).view(np.int64).tolist(), [did] * len(s0), [h[i:k].tobytes() for i, k in zip(s0, ends)])):
+                    c += x
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["anchor", "seg", "at", "anchor2", "seg2", "did", "words"])
 
-    windows = contents.mapInArrow(run, "w1 long, w2 long, anchor long, seg long, did long, j int")
-    least = windows.groupBy("w1", "w2").agg(F.min("did").alias("owner"))
-    return windows.join(least, ["w1", "w2"]).select("anchor", "seg", F.col("j").alias("j0"), F.col("j").alias("j1"), "owner")
+    return contents.mapInArrow(run, "anchor long, seg long, at int, anchor2 long, seg2 long, did long, words binary")
+
+
+def _all_matches(contents: DataFrame, p: SubstringParams, grams: list[int]) -> DataFrame:
+    """``_matches`` of all anchors; one with too many segments is dealt again by the next of ``grams``."""
+    wide = materialize(contents.groupBy("anchor").count().filter(F.col("count") > p.shard_segments).select("anchor"))
+    if not grams or wide.isEmpty():
+        return _matches(contents, p)
+    parts = materialize(_parts(contents.join(wide, "anchor", "left_semi"), grams[0], p))
+    distinct = parts.groupBy("anchor2", "seg2").agg(F.min(F.struct("did", "words")).alias("own"))
+    below = _all_matches(materialize(distinct.select(F.col("anchor2").alias("anchor"), F.col("seg2").alias("seg"), "own.*")), p, grams[1:])
+    below = materialize(below.withColumnsRenamed({"anchor": "anchor2", "seg": "seg2"}))
+    back = parts.select("anchor", "seg", "at", "anchor2", "seg2").join(below, ["anchor2", "seg2"]).select(
+        "anchor", "seg", (F.col("j0") + F.col("at")).alias("j0"), (F.col("j1") + F.col("at")).alias("j1"), "owner")
+    return _matches(contents.join(wide, "anchor", "left_anti"), p).union(back)
 
 
 def repeated_ranges(docs: DataFrame, p: SubstringParams = SubstringParams()) -> DataFrame:
@@ -205,15 +230,12 @@ def repeated_ranges(docs: DataFrame, p: SubstringParams = SubstringParams()) ->
         raise ValueError(f"windows of up to {DEPTH - 1} words")
     with_package(docs.sparkSession)
     found = materialize(occurrences(docs, p))
-    shared = found.groupBy("anchor").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).filter("lo < hi").select("anchor")
+    # written, so that both sides of the join are exchanges of their own and a hot anchor can be split
+    shared = materialize(found.groupBy("anchor").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).filter("lo < hi").select("anchor"))
     found = materialize(found.join(shared, "anchor"))
     owned = found.groupBy("anchor", "seg").agg(F.min(F.struct("did", "th", "s0", "nw")).alias("own")).select("anchor", "seg", "own.*")
     contents = materialize(_contents(docs, owned, p))
-    wide = materialize(contents.groupBy("anchor").count().filter(F.col("count") > p.shard_segments).select("anchor"))
-    if wide.isEmpty():
-        matches = _matches(contents, p)
-    else:
-        matches = _matches(contents.join(wide, "anchor", "left_anti"), p).union(_window_matches(contents.join(wide, "anchor", "left_semi"), p))
+    matches = _all_matches(contents, p, [g for g in (2 * p.gram,) if g < p.window] + [p.window])
     hits = found.join(matches, ["anchor", "seg"]).filter("owner < did").select(
         "did", "th", F.struct((F.col("s0") + F.col("j0")).alias("a"), (F.col("s0") + F.col("j1") + p.window).alias("b")).alias("r"))
     return hits.groupBy("did", "th").agg(F.collect_set("r").alias("ranges"))

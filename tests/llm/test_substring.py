@@ -56,7 +56,34 @@ def test_planted(spark):
     rows = planted(random.Random(4))
     want = slow(rows)
     assert got(spark, rows) == want
-    assert got(spark, rows, sd.SubstringParams(shard_words=100, shard_segments=3)) == want  # many shards; anchors beyond a shard
+    assert got(spark, rows, sd.SubstringParams(shard_words=100, shard_segments=3)) == want  # many shards; anchors dealt again
+
+
+def test_a_hot_anchor_is_dealt_again(spark):
+    """A 45-word passage in 300 texts, each with other words around it: one anchor, nearly all segments different."""
+    rng = random.Random(8)
+    hot = [f"h{i}" for i in range(45)]
+    other = lambda n: [f"w{rng.randrange(50)}" for _ in range(n)]
+    rows = [(k, " ".join(other(30) + hot + other(30)), "", 0) for k in range(300)]
+    rows += [(400 + k, " ".join(other(3) + rows[7 * k][1].split()[20:90] + other(3)), "", 0) for k in range(40)]
+    want = slow(rows)
+    assert sum(int(eval(w)[2]) for w in want) >= 40 * 70
+    p = sd.SubstringParams(shard_segments=8)
+    docs = sd._docs(spark.createDataFrame(rows, SCHEMA))
+    found = sd.occurrences(docs, p)
+    contents = sd._contents(docs, found.groupBy("anchor", "seg").agg(sd.F.min(sd.F.struct("did", "th", "s0", "nw")).alias("own")).select("anchor", "seg", "own.*"), p)
+    most = lambda df, key: df.groupBy(key).agg(sd.F.countDistinct(key.replace("anchor", "seg")).alias("n")).agg(sd.F.max("n")).first()[0]
+    parts = sd._parts(contents, p.window, p)
+    assert most(contents, "anchor") > 200 and most(parts, "anchor2") == 1
+    assert got(spark, rows, p) == want
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(9)
+    long = [f"w{rng.randrange(3000)}" for _ in range(200_000)]
+    rows = [(1, " ".join(long), "", 0), (2, " ".join(long[150_000:150_070]), "", 0), (3, " ".join(long[:60] + ["x"] + long[199_960:]), "", 0)]
+    out = {eval(r)[0]: eval(r)[1:3] for r in got(spark, rows)}
+    assert out == {1: (200_000, 0), 2: (70, 70), 3: (101, 60)}
 
 
 def test_given_documents(spark):
