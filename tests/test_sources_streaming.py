@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ragloom.plans.ingest import ingest, ingest_to_table, store_chunks
-from ragloom.sources.chunk_table import read_chunks, read_quarantined, stored_ids, to_rows, write_chunks
+from ragloom.sources.chunk_table import compact_chunks, read_chunks, read_quarantined, stored_ids, to_rows, write_chunks
 from ragloom.sources.files import documents_from_files, documents_from_table, import_report_files, list_files, read_documents, read_files
 from ragloom.sources.reports import import_totals
 from ragloom.streaming.jobs import ingest_stream, read_stream_reports, search_stream
@@ -266,3 +266,46 @@ def test_a_replay_is_published_last(spark, tmpdir_fresh):
         write_chunks(rows(f"turn {turn}", 1), path, 2, ingest_id="one")
     assert got(read_chunks(spark, path)) == [("a", "other"), ("a", "turn 2")]
     assert len([x for x in os.listdir(os.path.join(path, "ingest_id=one")) if x.startswith("version=")]) == 2
+
+
+def test_compaction_keeps_every_row(spark, tmpdir_fresh):
+    path = os.path.join(tmpdir_fresh, "t")
+    rows = lambda text, n: spark.range(n).select(
+        F.concat(F.lit(text), F.col("id").cast("string")).alias("chunk_id"), F.lit("d").alias("doc_id"), F.col("id").alias("chunk_index"),
+        F.lit(text).alias("content"), F.lit("s").alias("source"), F.array(F.lit(1.0), F.lit(2.0)).alias("embedding"))
+    ids = lambda own=None: sorted(r["chunk_id"] for r in read_chunks(spark, path, ingest_id=own).collect())
+    files = lambda: sum(f.endswith(".parquet") for d, _, fs in os.walk(path) for f in fs)
+    for k in range(6):
+        write_chunks(rows(f"a{k}-", 2), path, 2, ingest_id=f"i{k}")
+    write_chunks(rows("long" * 5000, 1), path, 2, quarantine=True, ingest_id="q")  # over the field limit
+    want, apart = ids(), read_quarantined(spark, path).select("ingest_id", "chunk_id").collect()
+    assert compact_chunks(spark, path, max_bytes=1) is None
+    first = compact_chunks(spark, path)
+    assert ids() == want and ids("i3") == ["a3-0", "a3-1"] and len(want) == 12
+    assert read_quarantined(spark, path).select("ingest_id", "chunk_id").collect() == apart and len(apart) == 1
+    write_chunks(rows("new", 1), path, 2, ingest_id="i3")  # a replay after the merge
+    write_chunks(rows("b", 1), path, 2, ingest_id="i9")
+    now = sorted([x for x in want if not x.startswith("a3")] + ["new0", "b0"])
+    assert ids() == now and ids("i3") == ["new0"]
+    second = compact_chunks(spark, path)  # the merged folder, the replay and the new import
+    assert ids() == now and ids("i3") == ["new0"] and first != second
+    write_chunks(rows("newer", 1), path, 2, ingest_id="i3")
+    third = compact_chunks(spark, path)
+    now = sorted([x for x in now if x != "new0"] + ["newer0"])
+    assert ids() == now and ids("i3") == ["newer0"] and ids("i0") == ["a0-0", "a0-1"] and third
+    assert compact_chunks(spark, path) is None and ids() == now  # one folder is left, in at most one file by kind
+    assert files() == 2 and len(read_quarantined(spark, path).collect()) == 1
+    with pytest.raises(ValueError):
+        write_chunks(rows("x", 1), path, 2, ingest_id="merged-x")
+
+
+def test_an_unpublished_compaction_does_not_count(spark, tmpdir_fresh):
+    path = os.path.join(tmpdir_fresh, "t")
+    one = lambda c: spark.createDataFrame([(c, "d", 0, "x", "s", [1.0, 2.0])], "chunk_id string, doc_id string, chunk_index long, content string, source string, embedding array<float>")
+    write_chunks(one("a"), path, 2, ingest_id="i0")
+    write_chunks(one("b"), path, 2, ingest_id="i1")
+    name = compact_chunks(spark, path)
+    os.remove(os.path.join(path, "_merges", name, "_SUCCESS"))  # as if it had stopped before its list was committed
+    assert sorted(r["chunk_id"] for r in read_chunks(spark, path).collect()) == ["a", "b"]
+    assert compact_chunks(spark, path) and sorted(r["chunk_id"] for r in read_chunks(spark, path).collect()) == ["a", "b"]
+    assert not os.path.exists(os.path.join(path, f"ingest_id={name}"))
