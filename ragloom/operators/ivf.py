@@ -26,6 +26,8 @@ from ragloom.operators.search import (
     check_query_ids,
     out_schema,
     rank_within_query,
+    row_norms,
+    top_rows,
     topk_kernel,
 )
 from ragloom.params import SearchParams
@@ -34,6 +36,7 @@ from ragloom.session import ship_package, write_once
 # Index lists and probed lists of the reference's index (all probed: exact).
 NLIST = 128
 NPROBE = 128
+PROBE_ROWS = 8192  # pairs of a query and a cell in one Arrow batch
 
 
 def _usable(vec) -> Column:
@@ -151,21 +154,22 @@ class _ProbeScorer(CosineScorer):
         place = np.minimum(np.searchsorted(self.names, cells), len(self.names) - 1)  # cell -> row of the centroids
         return super().features(rb), np.where(self.names[place] == cells, self.at[place], -1)
 
-    def scores(self, features, state, lo: int, hi: int) -> np.ndarray:
-        base, cells = features
-        s = super().scores(base, state, lo, hi)
-        s[~state[3][:, cells[lo:hi]] | (cells[lo:hi] < 0)] = np.nan
-        return s
+    def select(self, features, state, k: int, floor: np.ndarray, min_score, round_digits):
+        ((m, cn), cells), (_, q, qn, probe) = features, state
+
+        def allowed(a: int, b: int, lo: int, hi: int) -> np.ndarray:
+            return probe[a:b][:, cells[lo:hi]] & (cells[lo:hi] >= 0)
+
+        return top_rows(q, qn, m, cn, k, floor, min_score, round_digits, allowed)
 
 
 def _probe_rows(bc, nprobe: int, query_id: str, query_vec: str, dim: int):
-    """``mapInArrow`` body: every query with each of its ``nprobe`` cells."""
+    """``mapInArrow`` body: every query with each of its ``nprobe`` cells, some thousand pairs at a time."""
+    some = max(1, PROBE_ROWS // max(1, nprobe))
 
     def run(batches):
         cents = bc.value
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
+        for rb in (b.slice(lo, some) for b in batches for lo in range(0, b.num_rows, some)):
             q = _matrix(rb.column(query_vec), "dense", dim)
             probe = _probes(q, cents, nprobe)
             qi, ci = np.nonzero(probe)
@@ -191,8 +195,7 @@ def _score_group(ct: pa.Table, qt: pa.Table, vec: str, dim: int, k: int, order:
         return arrow_schema.empty_table()
     ids = qt.column("_qid").combine_chunks()
     q = _matrix(qt.column("_qv"), "dense", dim)
-    qn = np.sqrt(np.einsum("ij,ij->i", q, q))
-    run = topk_kernel([_GroupQueries((ids, q, qn))], CosineScorer(vec, "dense", dim), drop, k, None, order,
+    run = topk_kernel([_GroupQueries((ids, q, row_norms(q)))], CosineScorer(vec, "dense", dim), drop, k, None, order,
                       arrow_schema, round_digits)
     out = list(run(iter(ct.to_batches())))
     return pa.Table.from_batches(out, schema=arrow_schema) if out else arrow_schema.empty_table()
