@@ -13,6 +13,8 @@ it over document partitions and nothing is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,14 +77,25 @@ def split_recursive(text: str, size: int = 500, overlap: int = 50, separators: l
     return [c for c in go(text, list(seps)) if c.strip()]
 
 
+SLICE = 256  # texts whose chunks are held at a time
+
+
+def in_slices(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Arrow batches (thousands of rows) a few hundred rows at a time, so their results go out in small batches."""
+    for values in batches:
+        for lo in range(0, len(values), SLICE):
+            yield values.iloc[lo:lo + SLICE]
+
+
 def chunk_recursive_array(text, size: int = 500, overlap: int = 50) -> Column:
     """T3 as a column: ``array<string>``."""
     if overlap >= size:
         raise ValueError(f"overlap ({overlap}) must be smaller than size ({size})")
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def _split(texts: pd.Series) -> pd.Series:
-        return pd.Series([split_recursive(t or "", size, overlap) for t in texts])
+    def _split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in in_slices(batches):
+            yield pd.Series([split_recursive(t or "", size, overlap) for t in texts], dtype=object)
 
     t = F.col(text) if isinstance(text, str) else text
     return _split(t)
@@ -91,16 +104,17 @@ def chunk_recursive_array(text, size: int = 500, overlap: int = 50) -> Column:
 def split_long_array(sections, max_bytes: int, size: int = 500, overlap: int = 50) -> Column:
     """Sections over ``max_bytes`` bytes through T3; the others as they are. Null stays null."""
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def _split(lists: pd.Series) -> pd.Series:
-        out = []
-        for one in lists:
-            if one is None:
-                out.append(None)
-                continue
-            parts: list[str] = []
-            for text in one:
-                parts += [text] if len(text.encode("utf-8")) <= max_bytes else split_recursive(text, size, overlap)
-            out.append(parts)
-        return pd.Series(out, dtype=object)
+    def _split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for lists in in_slices(batches):
+            out = []
+            for one in lists:
+                if one is None:
+                    out.append(None)
+                    continue
+                parts: list[str] = []
+                for text in one:
+                    parts += [text] if len(text.encode("utf-8")) <= max_bytes else split_recursive(text, size, overlap)
+                out.append(parts)
+            yield pd.Series(out, dtype=object)
 
     return _split(F.col(sections) if isinstance(sections, str) else sections)
