@@ -22,6 +22,7 @@ broadcast but query-independent scalars, and no (question, chunk) pair leaves a
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -67,8 +68,15 @@ def _coded(texts: pa.Array, kind: str, dim: int) -> tuple[np.ndarray, np.ndarray
     return parent, np.fromiter((md5_bucket(t, dim) for t in terms), dtype=np.int64, count=len(terms))[codes], [str(b) for b in range(dim)]
 
 
-def _block_rows(batch: pa.RecordBatch, block: int, kind: str, dim: int) -> dict:
-    """One index block: keys in tie-break order and the postings of all its terms."""
+INDEX_ROW = pa.schema([("block", pa.int64()), ("total", pa.int64()),
+                       ("keys", pa.list_(pa.struct([("chunk_id", pa.string()), ("doc_id", pa.string()), ("chunk_index", pa.int64())]))),
+                       ("term", pa.string()), ("pos", pa.list_(pa.int32())), ("tf", pa.list_(pa.int32())), ("len", pa.list_(pa.int32())),
+                       ("n", pa.int32()), ("max_tf", pa.int32()), ("min_len", pa.int32()), ("best", pa.float64())])
+ROWS = 256  # index rows of one Arrow batch
+
+
+def _block_rows(batch: pa.RecordBatch, block: int, kind: str, dim: int) -> Iterator[pa.RecordBatch]:
+    """One index block: a row with its keys in tie-break order (no term), and one row per term."""
     order = pc.sort_indices(batch.select(["doc_id", "chunk_index", "chunk_id"]), sort_keys=[(c, "ascending") for c in ("doc_id", "chunk_index", "chunk_id")], null_placement="at_end")
     batch = batch.take(order)
     n = batch.num_rows
@@ -76,11 +84,20 @@ def _block_rows(batch: pa.RecordBatch, block: int, kind: str, dim: int) -> dict:
     pairs, tf = np.unique(code * n + row, return_counts=True)  # by term, then position
     term, pos = pairs // n, pairs % n
     length = np.bincount(pos, weights=tf.astype(np.float64) ** 2 if kind == "buckets" else tf, minlength=n).astype(np.int64)
+    keys = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.StructArray.from_arrays([batch.column(c) for c in ("chunk_id", "doc_id", "chunk_index")], ["chunk_id", "doc_id", "chunk_index"]))
+    head = {"block": [block], "total": [int(length.sum())], "keys": keys, "n": [n]}
+    yield pa.RecordBatch.from_arrays([pa.array(head.get(f.name, [None]), f.type) for f in INDEX_ROW], schema=INDEX_ROW)
     starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, dtype=np.int64)
-    ends = np.r_[starts[1:], len(term)]
-    found = [{"term": terms[term[a]], "pos": pos[a:z].astype(np.int32), "tf": tf[a:z].astype(np.int32), "len": length[pos[a:z]].astype(np.int32), "n": int(z - a),
-              "max_tf": int(tf[a:z].max()), "min_len": int(length[pos[a:z]].min()), "best": float((tf[a:z] / np.sqrt(length[pos[a:z]])).max())} for a, z in zip(starts, ends)]
-    return {"block": block, "n": n, "total": int(length.sum()), "keys": batch.select(["chunk_id", "doc_id", "chunk_index"]).to_pylist(), "postings": found}
+    lens = length[pos]
+    for lo in range(0, len(starts), ROWS):
+        first = starts[lo:lo + ROWS]
+        a, z = int(first[0]), int(starts[lo + ROWS]) if lo + ROWS < len(starts) else len(term)
+        at = first - a
+        lists = lambda x: pa.ListArray.from_arrays(pa.array(np.r_[at, z - a].astype(np.int32)), pa.array(x[a:z].astype(np.int32)))
+        made = {"block": pa.array(np.full(len(at), block)), "term": pa.array([terms[c] for c in term[first]], pa.string()), "pos": lists(pos), "tf": lists(tf), "len": lists(lens),
+                "n": np.diff(np.r_[at, z - a]).astype(np.int32), "max_tf": np.maximum.reduceat(tf[a:z], at).astype(np.int32), "min_len": np.minimum.reduceat(lens[a:z], at).astype(np.int32),
+                "best": np.maximum.reduceat(tf[a:z] / np.sqrt(lens[a:z]), at)}
+        yield pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) if f.name in made else pa.nulls(len(at), f.type) for f in INDEX_ROW], schema=INDEX_ROW)
 
 
 def write_postings(chunks: DataFrame, path: str, kind: str = "words", dim: int = 256, index_id: str | None = None, params: PostingParams = PostingParams()) -> str:
@@ -91,19 +108,13 @@ def write_postings(chunks: DataFrame, path: str, kind: str = "words", dim: int =
     ship_package(spark)
     index_id = index_id or f"index-{uuid.uuid4().hex}"
     rows = chunks.select(F.col("chunk_id").cast("string"), F.col("doc_id").cast("string"), F.col("chunk_index").cast("long"), F.coalesce(F.col("content").cast("string"), F.lit("")).alias("content"))
-    types = {"block": pa.int64(), "n": pa.int32(), "total": pa.int64(),
-             "keys": pa.list_(pa.struct([("chunk_id", pa.string()), ("doc_id", pa.string()), ("chunk_index", pa.int64())])),
-             "postings": pa.list_(pa.struct([("term", pa.string()), ("pos", pa.list_(pa.int32())), ("tf", pa.list_(pa.int32())), ("len", pa.list_(pa.int32())),
-                                             ("n", pa.int32()), ("max_tf", pa.int32()), ("min_len", pa.int32()), ("best", pa.float64())]))}
-
     def run(batches):
         block, waiting, held = TaskContext.get().partitionId() << 32, [], 0
 
         def done(table):
             nonlocal block
             block += 1
-            made = _block_rows(table.combine_chunks().to_batches()[0], block, kind, dim)
-            return pa.RecordBatch.from_arrays([pa.array([made[c]], t) for c, t in types.items()], names=list(types))
+            yield from _block_rows(table.combine_chunks().to_batches()[0], block, kind, dim)
 
         for b in batches:
             for at in range(0, b.num_rows, params.block_chunks):
@@ -111,17 +122,18 @@ def write_postings(chunks: DataFrame, path: str, kind: str = "words", dim: int =
                 held += waiting[-1].num_rows
                 if held >= params.block_chunks:
                     table = pa.Table.from_batches(waiting)
-                    yield done(table.slice(0, params.block_chunks))
+                    yield from done(table.slice(0, params.block_chunks))
                     waiting, held = table.slice(params.block_chunks).to_batches(), held - params.block_chunks
         if held:
-            yield done(pa.Table.from_batches(waiting))
+            yield from done(pa.Table.from_batches(waiting))
 
-    made = write_once(rows.mapInArrow(run, f"block long, n int, total long, keys array<struct<{KEYS.replace(' ', ':').replace(',:', ',')}>>, "
-                                           f"postings array<struct<{', '.join(':'.join(f.split()) for f in POSTING.split(', '))}>>"))
-    made.select("block", "n", "keys").write.mode("overwrite").parquet(f"{path}/blocks/index_id={index_id}")
-    made.select("block", F.explode("postings").alias("p")).select("block", "p.*").repartitionByRange("term", "block").sortWithinPartitions(
+    # flat rows: a reader of Parquet holds thousands of rows of a column at a time, so no row may hold a block's postings
+    made = write_once(rows.mapInArrow(run, f"block long, total long, keys array<struct<{KEYS.replace(' ', ':').replace(',:', ',')}>>, {POSTING}"))
+    heads = made.where(F.col("term").isNull())
+    heads.select("block", "n", "keys").write.mode("overwrite").parquet(f"{path}/blocks/index_id={index_id}")
+    made.where(F.col("term").isNotNull()).drop("total", "keys").repartitionByRange("term", "block").sortWithinPartitions(
         "term", F.desc("best")).write.mode("overwrite").parquet(f"{path}/postings/index_id={index_id}")
-    made.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("chunks"), F.coalesce(F.sum("total"), F.lit(0)).cast("long").alias("total")).withColumn(
+    heads.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("chunks"), F.coalesce(F.sum("total"), F.lit(0)).cast("long").alias("total")).withColumn(
         "kind", F.lit(kind)).withColumn("dim", F.lit(dim)).write.mode("overwrite").parquet(f"{path}/stats/index_id={index_id}")
     return index_id
 
@@ -242,9 +254,8 @@ def search_postings(spark: SparkSession, path: str, queries: DataFrame, k: int =
 
     def score(block: pa.Table, asks: pa.Table) -> pa.Table:
         lists, keys = {}, None
-        for r in block.select(["term", "keys", "max_tf", "min_len", "best"]).to_pylist():
-            if r["keys"] is not None:
-                keys = r["keys"]
+        for held in block.column("keys").drop_null().to_pylist():
+            keys = held
         arrays = {c: block.column(c).combine_chunks() for c in ("pos", "tf", "len")}
         for i, (t, max_tf, min_len, best) in enumerate(zip(*(block.column(c).to_pylist() for c in ("term", "max_tf", "min_len", "best")))):
             if t is not None:
