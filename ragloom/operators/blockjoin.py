@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ragloom.operators.search import _in_order, _matrix, out_schema, rank_within_query, row_norms, top_rows
+from ragloom.operators.search import _in_order, _matrix, narrowed, out_schema, rank_within_query, row_norms, top_rows
 from ragloom.session import ship_package, write_once
 
 SLACK = 1e-6  # on angles: arccos loses half the digits near 0
@@ -49,9 +49,7 @@ class BlockParams:
 
 def _packed(m: np.ndarray) -> pa.Array:
     """Rows as bytes in the narrowest type that holds the batch exactly: counts up to 255, single or double precision."""
-    with np.errstate(invalid="ignore", over="ignore"):
-        kind = next((t for t in (np.uint8, np.float32) if (m.astype(t) == m).all()), np.float64)
-    data = np.ascontiguousarray(m, dtype=kind)
+    data = narrowed(m)
     offsets = np.arange(len(m) + 1, dtype=np.int32) * (data.itemsize * m.shape[1])
     return pa.Array.from_buffers(pa.binary(), len(m), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 

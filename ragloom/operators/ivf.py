@@ -133,7 +133,7 @@ def ivf_search(
         return ivf_join(chunks, queries, cents, k, nprobe, vec=vec, cell=cell, query_id=query_id, query_vec=query_vec, order=order,
                         round_digits=round_digits)
     ids, q, qn = _query_matrix(queries, query_id, query_vec, "dense", dim)
-    probe = _probes(q, cents, nprobe)
+    probe = _probes(q.astype(np.float64), cents, nprobe)
     probed = {int(c) for c in np.nonzero(probe.any(axis=0))[0]}
     blocks = [spark.sparkContext.broadcast((ids, q, qn, probe))]
     names = np.arange(cents.shape[0]) if cell_ids is None else np.asarray(cell_ids)
