@@ -193,8 +193,7 @@ def write_token_file(docs: DataFrame, path: str, p: TokenFileParams = TokenFileP
     def run(batches):
         encoder, part, shard, held, texts, size = byte_encoder(p.tokenizer), TaskContext.get().partitionId(), 0, [], [], 0
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = encoder.ids(text.as_py())
+            for doc, ids in zip(b.column(0).to_pylist(), encoder.ids_of(b.column(1).to_pylist())):
                 texts.append(np.append(ids, ids.dtype.type(END)))
                 held.append(doc)
                 size += len(texts[-1])

@@ -2,7 +2,8 @@
 
 The byte-level BPE splits a text at every single space that stands between two other characters: the
 space opens the next piece and nothing before it can reach across. So a text's ids are the ids of
-its space-separated parts, and repeated parts are looked up. Parts that the memo lacks go
+its space-separated parts, and repeated parts are looked up: of many texts at a time, each different part
+once. Parts that the memo lacks go
 through the library's model; texts with other runs of white space around a space, and parts
 that are not plain letters, go through the library's whole encoder.
 """
@@ -15,12 +16,15 @@ from array import array
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
+SLICE_CHARS = 1 << 23  # characters whose parts are looked up at a time
 MEMO_PARTS = 1 << 20  # entries, then the memo starts anew
 _AMBIGUOUS = re.compile(r"\s \s|\s $|^ \s|^ ?$")
 _RARE = re.compile(r"[^\S \n]")  # white space other than spaces and newlines
 _LINES = re.compile(r"\s\n|\n\s|^ ?\n|\n$")
-_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")  # letters, and one piece of signs
 
 
 def byte_characters() -> dict[int, str]:
@@ -56,6 +60,7 @@ class ByteEncoder:
         self.tails: dict[str, bytes] = {"": b""}
         self.firsts: dict[str, bytes] = {}
         self.memo: dict[str, bytes] = {}
+        self.lines: dict[str, bytes] = {}
         self.limit = memo_parts
 
     def _whole(self, text: str) -> bytes:
@@ -80,18 +85,19 @@ class ByteEncoder:
 
     def _spaced(self, part: str) -> bytes:
         """A part that follows a space; kept under the part alone."""
-        word, tail = (part[:-1], part[-1]) if part[-1:] in (".", ",") else (part, "")
-        if word.isascii() and word.isalpha():
-            # plain letters stand for themselves in the byte alphabet; the space before them is its own sign
+        plain = _PLAIN.fullmatch(part)
+        if not plain or part[0] == " ":
+            got = self._part(" " + part)
+        else:
+            word, tail = plain.groups()
             stem = self.memo.get(word) if tail else None
             if stem is None:
-                code = self.coded
-                stem = self.memo[word] = b"".join([code[t.id] for t in self.tokenize(self.space + word)])
+                # plain letters stand for themselves in the byte alphabet; the space before them is its own sign
+                code, sign = self.coded, word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.alphabet)
+                stem = self.memo[word] = b"".join([code[t.id] for t in self.tokenize(self.space + sign)])
             if not tail:
                 return stem
             got = stem + self._tail(tail)
-        else:
-            got = self._part(" " + part)
         self.memo[part] = got
         return got
 
@@ -118,8 +124,7 @@ class ByteEncoder:
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, dtype=self.dtype)
-        doubtful = "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _RARE.search(text)
-        if doubtful and _AMBIGUOUS.search(text):
+        if self._doubtful(text) and _AMBIGUOUS.search(text):
             return np.frombuffer(self._whole(text), dtype=self.dtype)
         if len(self.memo) > self.limit:
             self.memo.clear()
@@ -131,6 +136,53 @@ class ByteEncoder:
             got = [(known(p) or spaced(p)) if g is None else g for p, g in zip(parts, got)]
         return np.frombuffer(b"".join(got), dtype=self.dtype)
 
+    def _line(self, part: str) -> bytes:
+        """A newline and the part that follows it."""
+        got = self.lines.get(part)
+        if got is None:
+            if len(self.lines) > 1 << 17:
+                self.lines.clear()
+            got = self.lines[part] = self.newline + self._first(part[1:])
+        return got
+
+    def _looked_up(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts without doubtful white space: each different part is looked up once."""
+        if len(self.memo) > self.limit:
+            self.memo.clear()
+        # a newline between two other characters is a piece of its own: it opens a part of its own here
+        apart = [t.replace("\n", " \n") if "\n" in t and "\n\n" not in t and t[0] != "\n" and t[-1] != "\n" else t for t in texts]
+        split = pc.split_pattern(pa.array(apart, pa.string()), " ")
+        parts, bounds = split.flatten().dictionary_encode(), split.offsets.to_numpy()
+        different = parts.dictionary.to_pylist()
+        ids, spaced, line = list(map(self.memo.get, different)), self._spaced, self._line
+        ids = [(line(p) if p[0] == "\n" else spaced(p)) if g is None else g for g, p in zip(ids, different)]
+        codes = parts.indices.to_numpy().copy()
+        codes[bounds[:-1]] = np.arange(len(different), len(different) + len(texts))  # no space stands before a text's first part
+        ids += [self._first(t.split(" ", 1)[0]) for t in apart]
+        got = pa.array(ids, pa.binary()).take(pa.array(codes))
+        ends = np.frombuffer(got.buffers()[1], dtype=np.int32)[bounds] // np.dtype(self.dtype).itemsize
+        flat = np.frombuffer(got.buffers()[2], dtype=self.dtype, count=int(ends[-1]))
+        return [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+    def ids_of(self, texts: list[str | None]):
+        """``ids`` of each text in order, some ``SLICE_CHARS`` at a time."""
+        lo = 0
+        while lo < len(texts):
+            hi, size = lo, 0
+            while hi < len(texts) and size < SLICE_CHARS:
+                size += len(texts[hi] or "")
+                hi += 1
+            some = texts[lo:hi]
+            plain = [bool(t) and len(t) <= SLICE_CHARS and not self._doubtful(t) for t in some]
+            found = iter(self._looked_up([t for t, p in zip(some, plain) if p]) if any(plain) else ())
+            for t, p in zip(some, plain):
+                yield next(found) if p else self.ids(t)
+            lo = hi
+
+    @staticmethod
+    def _doubtful(text: str) -> bool:
+        return bool("  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _RARE.search(text))
+
 
 @lru_cache(maxsize=2)
 def byte_encoder(path: str | None = None) -> ByteEncoder:

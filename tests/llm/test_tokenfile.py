@@ -104,3 +104,24 @@ def test_empty(spark):
     path = tempfile.mkdtemp(prefix="ragloom-test-") + "/ids"
     tf.write_token_file(spark.createDataFrame([], SCHEMA), path)
     assert tf.token_report(spark, path).count() == 0
+
+
+def test_parts_of_many_texts_are_looked_up_once(monkeypatch):
+    from ragloom.llm import tokens
+
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    words = ["the", "The.", "it's", "don't,", "éleen***", "ÉQUE!!", "a_b", "x^2", "50@mail5.example.com", "#tag", "###", "naïve's", "日本語", "😀", "1234", "<b>",
+             "Straße;", "can''t", "end'", "'s", "`q`", "a~", "×", "é÷", "ªº", "é", "​", "word..."]
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(words, 40)) for _ in range(60)]
+    texts += ["\n".join(" ".join(rng.choice(words, 5)) for _ in range(8)) for _ in range(60)]
+    texts += [None, "", " ", "\n", " a", "a ", "a  b", "a\n\nb c", "\na b", "a b\n", "a \nb", "a\n b", "a\tb c", "a b c", "a\r\nb c", "\n\n a", "a b\nc\n\nd e"]
+    texts = [texts[k] for k in rng.permutation(len(texts))]
+    for size in (1, 300, 1 << 23):
+        monkeypatch.setattr(tokens, "SLICE_CHARS", size)
+        got = [ids.tolist() for ids in tokens.ByteEncoder(memo_parts=40).ids_of(texts)]
+        assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    encoder, asked = tokens.ByteEncoder(), []
+    monkeypatch.setattr(tokens.ByteEncoder, "ids", lambda self, text: asked.append(text) or np.zeros(0, dtype=self.dtype))
+    assert len(list(encoder.ids_of(["one two two one"] * 100))) == 100
+    assert not asked and set(encoder.memo) == {"one", "two"}
