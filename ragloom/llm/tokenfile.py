@@ -47,7 +47,7 @@ class TokenFileParams:
     pairs_a_round: int = 4096
     least_count: int = 16          # occurrences that a rule must have
     least_gain: float = 0.01       # of the sequence, for another round
-    frequent: int = 2048           # symbols whose pairs are counted in one table; the others' pairs are sorted
+    frequent: int = 1024           # symbols whose pairs are counted in one table; the others' pairs are sorted
 
 
 @dataclass
@@ -126,7 +126,7 @@ def compress(tokens: np.ndarray, p: TokenFileParams = TokenFileParams()) -> Gram
         new[most] = symbol[:len(most)]
         made = new[key]
         made[rare] = symbol[len(most):][rare_nth]
-        hit = np.flatnonzero(made != 0)
+        hit = np.flatnonzero(made)
         seq[hit] = made[hit]
         keep = np.ones(len(seq), dtype=bool)
         keep[hit + 1] = False
