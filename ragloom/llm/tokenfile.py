@@ -83,8 +83,8 @@ def compress(tokens: np.ndarray, p: TokenFileParams = TokenFileParams()) -> Gram
     seq = number[tokens]
     total, rules, lengths, rounds = len(ids), [], [np.ones(len(ids), dtype=np.int64)], []
     seldom, rarer, width = p.frequent, p.frequent + 1, p.frequent + 2  # places of symbols below least_count, and of the others not in the table
+    symbol_counts = seen[ids]
     while len(seq) > 1:
-        symbol_counts = np.bincount(seq, minlength=total)
         top = np.argsort(-symbol_counts, kind="stable")[:p.frequent]
         place = np.where(symbol_counts >= p.least_count, rarer, seldom)
         place[top] = np.arange(len(top))
@@ -104,7 +104,7 @@ def compress(tokens: np.ndarray, p: TokenFileParams = TokenFileParams()) -> Gram
         rare = np.flatnonzero(either)
         rare_key = seq[rare] * total + seq[rare + 1]
         bucket = ((rare_key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - HASH_BITS)).view(np.int64)
-        some = np.bincount(bucket, minlength=1 << HASH_BITS)[bucket] >= p.least_count
+        some = (np.bincount(bucket, minlength=1 << HASH_BITS) >= p.least_count)[bucket]
         rare, (rare_pairs, rare_nth, rare_counts) = rare[some], np.unique(rare_key[some], return_inverse=True, return_counts=True)
         rare_parts = np.stack(np.divmod(rare_pairs, total), axis=1)
         parts = np.concatenate([top[np.stack(np.divmod(most, width), axis=1)], rare_parts])
@@ -126,8 +126,9 @@ def compress(tokens: np.ndarray, p: TokenFileParams = TokenFileParams()) -> Gram
         new[most] = symbol[:len(most)]
         made = new[key]
         made[rare] = symbol[len(most):][rare_nth]
-        hit = np.flatnonzero(made)
-        seq[hit] = made[hit]
+        hit = np.flatnonzero(made != 0)
+        put = made[hit]
+        seq[hit] = put
         keep = np.ones(len(seq), dtype=bool)
         keep[hit + 1] = False
         seq = seq[keep]
@@ -136,6 +137,8 @@ def compress(tokens: np.ndarray, p: TokenFileParams = TokenFileParams()) -> Gram
         every = np.concatenate(lengths)
         lengths.append(every[parts].sum(axis=1))
         rounds.append(len(chosen))
+        symbol_counts = np.bincount(put, minlength=total + len(chosen)) + np.r_[symbol_counts, np.zeros(len(chosen), dtype=np.int64)]
+        np.subtract.at(symbol_counts, parts.reshape(-1), np.repeat(symbol_counts[total:], 2))
         total += len(chosen)
     return Grammar(ids.astype(np.uint32), np.concatenate(rules).astype(np.uint32) if rules else np.zeros((0, 2), np.uint32),
                    np.concatenate(lengths[1:]).astype(np.uint32) if rules else np.zeros(0, np.uint32),
@@ -143,20 +146,29 @@ def compress(tokens: np.ndarray, p: TokenFileParams = TokenFileParams()) -> Gram
 
 
 def expand(g: Grammar, symbols: np.ndarray) -> np.ndarray:
-    """Token ids of a run of symbols: the rounds are undone, last first."""
-    seq, first = symbols.astype(np.int64), len(g.ids) + len(g.rules)
-    for n in g.rounds[::-1].astype(int):
-        first -= n
-        twice = seq >= first
-        if twice.any():
-            start = np.arange(len(seq)) + np.r_[0, np.cumsum(twice)[:-1]]
-            pair = g.rules[seq[twice] - len(g.ids)]
-            out = np.empty(len(seq) + int(twice.sum()), dtype=np.int64)
-            out[start] = seq
-            out[start[twice]] = pair[:, 0]
-            out[start[twice] + 1] = pair[:, 1]
-            seq = out
-    return g.ids[seq]
+    """Token ids of a run of symbols: each rule is expanded once, then every symbol's ids are copied.
+
+    The rules of a round stand for places that do not overlap, so all expansions together are bounded by
+    the rounds times the shard's ids over the least count of a rule."""
+    size = g.symbol_lengths()
+    start = np.cumsum(size) - size  # of each symbol's ids in flat
+    flat = np.empty(int(size.sum()), dtype=np.uint32)
+    flat[:len(g.ids)] = g.ids
+    first = len(g.ids)
+    for n in g.rounds.astype(int):
+        made = g.rules[first - len(g.ids):first - len(g.ids) + n].reshape(-1)
+        flat[start[first]:start[first] + int(size[first:first + n].sum())] = _copied(flat, start, size, made)
+        first += n
+    return _copied(flat, start, size, symbols)
+
+
+def _copied(flat: np.ndarray, start: np.ndarray, size: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """The ids of each symbol, flat[start:start + size], one after the other."""
+    n = size[symbols]
+    ends = np.cumsum(n)
+    at = np.repeat(start[symbols] - ends + n, n)
+    at += np.arange(len(at))
+    return flat[at]
 
 
 def decode_range(g: Grammar, start: int, n: int) -> np.ndarray:
@@ -245,6 +257,6 @@ def token_report(spark: SparkSession, path: str) -> DataFrame:
     ahead = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = shards.select("part", "shard", F.coalesce(F.sum("n_tokens").over(ahead), F.lit(0)).alias("in_part")).join(
         spark.createDataFrame(list(parts.items()), "part int, before long"), "part")
-    crc = _decoded(spark, path, "ids_crc32 long", lambda ids: zlib.crc32(ids.astype("<u4").tobytes()), pa.int64())
+    crc = _decoded(spark, path, "ids_crc32 long", lambda ids: zlib.crc32(ids.astype("<u4", copy=False)), pa.int64())
     return crc.join(offsets, ["part", "shard"]).select(
         "doc_id", (F.col("before") + F.col("in_part") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")

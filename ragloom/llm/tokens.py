@@ -3,7 +3,8 @@
 The byte-level BPE splits a text at every single space that stands between two other characters: the
 space opens the next piece and nothing before it can reach across. So a text's ids are the ids of
 its space-separated parts, and repeated parts are looked up: of many texts at a time, each different part
-once. Parts that the memo lacks go
+once. The ASCII signs at the end of a part are a piece of their own behind a letter or digit, so the
+memo holds parts without them. Parts that the memo lacks go
 through the library's model; texts with other runs of white space around a space, and parts
 that are not plain letters, go through the library's whole encoder.
 """
@@ -24,7 +25,11 @@ MEMO_PARTS = 1 << 20  # entries, then the memo starts anew
 _AMBIGUOUS = re.compile(r"\s \s|\s $|^ \s|^ ?$")
 _RARE = re.compile(r"[^\S \n]")  # white space other than spaces and newlines
 _LINES = re.compile(r"\s\n|\n\s|^ ?\n|\n$")
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")  # letters, and one piece of signs
+_SIGNS = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
+_SIGNLESS = r"^(?s:.*)[^!-/:-@\[-`{-~]"  # all up to the last character that is no such sign
+_STEM = r"[A-Za-z0-9À-ÖØ-öø-ÿ]$"  # a letter or digit last: signs behind it are a piece of their own
 
 
 def byte_characters() -> dict[int, str]:
@@ -69,13 +74,6 @@ class ByteEncoder:
     def _piece(self, piece: str) -> list[int]:
         return [t.id for t in self.tokenize(piece.encode("utf-8").decode("latin-1").translate(self.alphabet))]
 
-    def _tail(self, tail: str) -> list[int]:
-        if tail not in self.tails:
-            if len(self.tails) > 4096:
-                self.tails = {"": []}
-            self.tails[tail] = self._piece(tail)
-        return self.tails[tail]
-
     def _tail(self, tail: str) -> bytes:
         if tail not in self.tails:
             if len(self.tails) > 4096:
@@ -85,19 +83,20 @@ class ByteEncoder:
 
     def _spaced(self, part: str) -> bytes:
         """A part that follows a space; kept under the part alone."""
+        if part.isascii() and part.isalpha():  # plain letters stand for themselves in the byte alphabet
+            sign = part
+        else:
+            sign = part.encode("utf-8").decode("latin-1").translate(self.alphabet) if _LETTERS.fullmatch(part) else None
+        if sign:
+            code = self.coded  # the space before a part is its own sign
+            got = self.memo[part] = b"".join([code[t.id] for t in self.tokenize(self.space + sign)])
+            return got
         plain = _PLAIN.fullmatch(part)
         if not plain or part[0] == " ":
             got = self._part(" " + part)
         else:
             word, tail = plain.groups()
-            stem = self.memo.get(word) if tail else None
-            if stem is None:
-                # plain letters stand for themselves in the byte alphabet; the space before them is its own sign
-                code, sign = self.coded, word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.alphabet)
-                stem = self.memo[word] = b"".join([code[t.id] for t in self.tokenize(self.space + sign)])
-            if not tail:
-                return stem
-            got = stem + self._tail(tail)
+            got = (self.memo.get(word) or self._spaced(word)) + self._tail(tail)
         self.memo[part] = got
         return got
 
@@ -153,13 +152,19 @@ class ByteEncoder:
         apart = [t.replace("\n", " \n") if "\n" in t and "\n\n" not in t and t[0] != "\n" and t[-1] != "\n" else t for t in texts]
         split = pc.split_pattern(pa.array(apart, pa.string()), " ")
         parts, bounds = split.flatten().dictionary_encode(), split.offsets.to_numpy()
-        different = parts.dictionary.to_pylist()
+        stems = pc.ascii_rtrim(parts.dictionary, characters=_SIGNS)
+        signed = pc.match_substring_regex(stems, _STEM)
+        tails = pc.replace_substring_regex(pc.if_else(signed, parts.dictionary, ""), _SIGNLESS, "").dictionary_encode()
+        stems = pc.if_else(signed, stems, parts.dictionary).dictionary_encode()
+        different = stems.dictionary.to_numpy(zero_copy_only=False).tolist()
         ids, spaced, line = list(map(self.memo.get, different)), self._spaced, self._line
         ids = [(line(p) if p[0] == "\n" else spaced(p)) if g is None else g for g, p in zip(ids, different)]
+        tail_ids = pa.array([self._tail(t) for t in tails.dictionary.to_pylist()], pa.binary())
+        ids = pc.binary_join_element_wise(pa.array(ids, pa.binary()).take(stems.indices), tail_ids.take(tails.indices), b"")
         codes = parts.indices.to_numpy().copy()
-        codes[bounds[:-1]] = np.arange(len(different), len(different) + len(texts))  # no space stands before a text's first part
-        ids += [self._first(t.split(" ", 1)[0]) for t in apart]
-        got = pa.array(ids, pa.binary()).take(pa.array(codes))
+        codes[bounds[:-1]] = np.arange(len(ids), len(ids) + len(texts))  # no space stands before a text's first part
+        firsts = pa.array([self._first(t.split(" ", 1)[0]) for t in apart], pa.binary())
+        got = pa.concat_arrays([ids, firsts]).take(pa.array(codes))
         ends = np.frombuffer(got.buffers()[1], dtype=np.int32)[bounds] // np.dtype(self.dtype).itemsize
         flat = np.frombuffer(got.buffers()[2], dtype=self.dtype, count=int(ends[-1]))
         return [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
@@ -181,7 +186,9 @@ class ByteEncoder:
 
     @staticmethod
     def _doubtful(text: str) -> bool:
-        return bool("  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _RARE.search(text))
+        if "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " ":
+            return True
+        return not text.replace("\n", " ").isprintable() and bool(_RARE.search(text))  # no rare white space is printable
 
 
 @lru_cache(maxsize=2)

@@ -125,3 +125,37 @@ def test_parts_of_many_texts_are_looked_up_once(monkeypatch):
     monkeypatch.setattr(tokens.ByteEncoder, "ids", lambda self, text: asked.append(text) or np.zeros(0, dtype=self.dtype))
     assert len(list(encoder.ids_of(["one two two one"] * 100))) == 100
     assert not asked and set(encoder.memo) == {"one", "two"}
+
+
+def test_memo_holds_parts_without_the_signs_behind_them():
+    from ragloom.llm import tokens
+
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    encoder = tokens.ByteEncoder()
+    texts = ["one two, one. one\ntwo... (one) one!?\"", "Straße; Straße two one\none; 50 50% 5-0, 5-0."]
+    assert [ids.tolist() for ids in encoder.ids_of(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert set(encoder.memo) == {"one", "two", "(one", "Straße", "50", "5-0"}
+    # signs that are, or may be, one piece with what stands before them
+    ends = ["é", "ก็", "×", "÷", "。", "日", "²", "½", "ª", "µ", "'", "'s", "'ll", "_", "​", "\x00", "\x1f", "\xa0", " ", "　", "\n", "\n\n", "퟿", "😀", "A", "9", "ÿ", ""]
+    tails = ["", ".", "'", "'''", "...", "_", "%)", "'.", "~`", "\x7f", "¿"]
+    parts = [w + e + t for w in ("", "a", "Ü", "7", "$") for e in ends for t in tails]
+    texts = [x for p in parts for x in (p, f"b {p} c", f"b\n{p} c", f"{p}\n{p}", f"b {p}\n\nc")]
+    for size in (1, 1 << 23):
+        tokens.SLICE_CHARS, kept = size, tokens.SLICE_CHARS
+        try:
+            got = [ids.tolist() for ids in tokens.ByteEncoder().ids_of(texts)]
+        finally:
+            tokens.SLICE_CHARS = kept
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_rules_are_expanded_once(monkeypatch):
+    rng = np.random.default_rng(7)
+    tokens = np.concatenate([np.full(4099, 3), np.tile(rng.integers(0, 30, 64), 300), rng.zipf(1.3, 20000).clip(0, 5000)]).astype(np.uint16)
+    p = tf.TokenFileParams(pairs_a_round=64)
+    g, copied, plain = tf.compress(tokens, p), [], tf._copied
+    monkeypatch.setattr(tf, "_copied", lambda *a: copied.append(plain(*a)) or copied[-1])
+    assert (tf.expand(g, g.symbols) == tokens).all()
+    assert len(copied) == len(g.rounds) + 1 and len(copied[-1]) == len(tokens)
+    assert sum(map(len, copied[:-1])) == g.lengths.sum() <= len(g.rounds) * len(tokens) / p.least_count
+    assert len(tf.expand(g, g.symbols[:0])) == 0
